@@ -117,7 +117,7 @@ def zip_pack(names: pd.Series, contents: pd.Series) -> pd.Series:
             out.append(None)
             continue
         buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
             for n, c in zip(ns, cs):
                 zf.writestr(n, b"" if c is None else bytes(c))
         out.append(buf.getvalue())

@@ -10,20 +10,24 @@ from pyspark.sql import functions as F
 PAGE_SEPARATOR = "\n---\n"
 LINE_SEPARATOR = " "
 
-# Characters the producer's ``str.strip()`` removes: ASCII blanks and
-# controls \t \n \x0b \f \r, the separators \x1c-\x1f and \x85, and the
-# Unicode spaces U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F,
-# U+205F, U+3000.  Spark's trim() removes only the space character.
-WHITESPACE_CLASS = (
-    r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# The characters the producer's ``str.strip()`` removes: ASCII
+# blanks and controls \t \n \x0b \f \r, the separators \x1c-\x1f and \x85,
+# and the Unicode spaces U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029,
+# U+202F, U+205F, U+3000.  Spark's one-argument trim() removes spaces only.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
 )
-_STRIP_PATTERN = rf"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
 
 
 def unicode_strip(c: Column) -> Column:
-    """Remove leading and trailing whitespace in the Unicode sense."""
-    return F.regexp_replace(c, _STRIP_PATTERN, "")
+    """Remove leading and trailing whitespace in the Unicode sense.
+
+    ``btrim`` with an explicit character set walks in from both ends only,
+    unlike an anchored regex that scans the whole text.
+    """
+    return F.btrim(c, F.lit(WHITESPACE_CHARS))
 
 
 def join_pages(pages: Column) -> Column:

@@ -12,15 +12,16 @@ Scale notes
   the scan.  No ``distinct`` on the target: an anti join does not need one.
   AQE turns it into a broadcast join only when the hash side proved small at
   runtime, and splits skewed partitions of the batch side.
-* In-batch first-per-hash (D2) is a ``min_by`` aggregate, which combines
-  map-side: a hash repeated a million times leaves each map task as one row.
+* In-batch first-per-hash (D2) is ``row_number() = 1`` per hash, planned
+  with a partial ``WindowGroupLimit`` map-side: a hash repeated a million
+  times leaves each map task as one row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH = "file_hash"
@@ -62,24 +63,28 @@ def already_captured(batch: DataFrame, target: DataFrame | None, hash_col: str =
 def first_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "key"),
                    hash_col: str = HASH) -> DataFrame:
     """Keep the first row per non-empty hash by ``order``; keep all
-    empty-hash rows.  Deterministic where concurrent writers would race."""
-    cols = batch.columns
+    empty-hash rows.  Deterministic where concurrent writers would race.
+
+    ``row_number() = 1`` lets Catalyst plan a partial ``WindowGroupLimit``
+    before the shuffle (one row per hash leaves each map task, so a hot hash
+    is cut down map-side) and prune every column the caller does not use.
+    """
     keyed = batch.where(has_hash(hash_col))
-    firsts = (
-        keyed.groupBy(hash_col)
-        .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order])).alias("__w"))
-        .select("__w.*")
-    )
+    w = Window.partitionBy(hash_col).orderBy(*[F.col(c).asc() for c in order])
+    firsts = keyed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
     return firsts.unionByName(batch.where(~has_hash(hash_col)))
 
 
 def later_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "key"),
-                   hash_col: str = HASH) -> DataFrame:
-    """Rows D2 drops: the in-batch repeats of a hash (reported as duplicates)."""
-    keep = first_per_hash(batch.select(hash_col, *order), order, hash_col).where(has_hash(hash_col))
+                   hash_col: str = HASH, key: str = "key") -> DataFrame:
+    """Rows D2 drops: the in-batch repeats of a hash (reported as duplicates).
+
+    Anti join on the object key (unique, so no hot partition) against the
+    one-row-per-hash winners.
+    """
     keyed = batch.where(has_hash(hash_col))
-    on = [hash_col, *order]
-    return keyed.join(keep, on=on, how="left_anti")
+    winners = first_per_hash(keyed.select(hash_col, *dict.fromkeys([*order, key])), order, hash_col)
+    return keyed.join(winners.select(F.col(key).alias("__wk")), F.col(key) == F.col("__wk"), "left_anti")
 
 
 def distinct_keys(batch: DataFrame, keys: Sequence[str], seen: DataFrame | None = None) -> DataFrame:

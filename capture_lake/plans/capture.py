@@ -32,6 +32,7 @@ from capture_lake.operators import dedup, ocr, pdf, quality
 from capture_lake.operators.extractor import run_extractor
 from capture_lake.operators.metrics import batch_outcome
 from capture_lake.schema import RECORD_COLUMNS
+from capture_lake.session import shared_dir
 from capture_lake.sources import listing as L
 
 
@@ -142,6 +143,7 @@ def capture_files(
     prefix: str = "",
     region: dict | None = None,
     partitions: int | None = None,
+    materialize: bool = True,
 ) -> CaptureResult:
     """M2 over object folders.
 
@@ -191,6 +193,13 @@ def capture_files(
                       lambda x: x.isNotNull())
     checked = assemble(extracted, None, intake_text=intake_text, duration_ms=F.col("__ocr_ms"),
                        width=F.col("__w"), height=F.col("__h"), extra_errors=errors)
+    keep = ["key", "metadata", "status", "error", *RECORD_COLUMNS]
+    # One materialisation in the shared checkpoint folder: records,
+    # quarantine and outcome read it instead of re-running the extractors,
+    # and a lost executor does not send the batch back through OCR.
+    if materialize:
+        shared_dir(spark)
+        checked = checked.select(*keep).checkpoint(eager=True)
     return finish(checked, dups)
 
 

@@ -60,7 +60,9 @@ def intake_key(doc_id: Column) -> Column:
 
 def captures(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """Listing + hash + metadata stand-in, one row per document."""
-    d = table(spark, sf_dir, "documents")
+    # The text digest is computed once in its own projection; Catalyst keeps
+    # it there (an expensive expression is not inlined into several uses).
+    d = table(spark, sf_dir, "documents").withColumn("__md5", F.md5(F.col("text")))
     doc_id = F.col("doc_id")
     base = d.select(
         doc_id,
@@ -69,8 +71,8 @@ def captures(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFr
         F.col("n_chars").alias("size"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
          + F.make_dt_interval(F.lit(0), F.lit(0), doc_id.cast("int"), F.lit(0))).alias("last_modified"),
-        F.concat(F.lit('"'), F.md5(F.col("text")), F.lit('"')).alias("etag"),
-        F.when(doc_id % 17 == 0, F.lit("")).otherwise(F.md5(F.col("text"))).alias("file_hash"),
+        F.concat(F.lit('"'), F.col("__md5"), F.lit('"')).alias("etag"),
+        F.when(doc_id % 17 == 0, F.lit("")).otherwise(F.col("__md5")).alias("file_hash"),
         F.col("text"),
         F.col("source"),
         F.col("lang"),
