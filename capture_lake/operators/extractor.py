@@ -32,6 +32,20 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) when it has fewer, before per-row Python work.
+
+    A large scan already has many partitions and is returned unchanged, so
+    no shuffle is added at scale; a small input split into few files (or one
+    row group) gets spread over all cores instead of running in one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def _normalize(result: Any, fields: list[str]) -> list[Any]:
     if len(fields) == 1 and not isinstance(result, dict | tuple | list):
         return [result]
@@ -52,6 +66,7 @@ def run_extractor(
     error_col: str = "error",
     elapsed_col: str | None = None,
     passthrough: Sequence[str] | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Apply ``factory()(*row[input_cols])`` to every row of ``df``.
 
@@ -62,7 +77,7 @@ def run_extractor(
         raise ValueError("on_error must be 'fail' or 'empty'")
     keep = list(df.columns if passthrough is None else passthrough)
     names = list(dict.fromkeys([*keep, *input_cols]))
-    src = df.select(*names)
+    src = spread(df.select(*names), min_partitions)
     out_fields = [src.schema[c] for c in keep] + list(output_type.fields)
     out_fields.append(T.StructField(error_col, T.StringType()))
     if elapsed_col:

@@ -29,7 +29,7 @@ from capture_lake.functions import metadata as M
 from capture_lake.functions.codecs import zstd_inflate
 from capture_lake.functions.text import join_pages
 from capture_lake.operators import dedup, ocr, pdf, quality
-from capture_lake.operators.extractor import run_extractor
+from capture_lake.operators.extractor import run_extractor, spread
 from capture_lake.operators.metrics import batch_outcome
 from capture_lake.schema import RECORD_COLUMNS
 from capture_lake.session import shared_dir
@@ -159,8 +159,7 @@ def capture_files(
 
     payloads = L.read_payloads(spark, images_root, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
     rows = fresh.join(payloads.select(F.col("path").alias("__p"), "content"), F.col("path") == F.col("__p"), "left").drop("__p")
-    if partitions:
-        rows = rows.repartition(partitions)
+    rows = spread(rows, partitions)
     rows = rows.withColumn("__img", zstd_inflate(F.col("content"))).drop("content")
     img = F.col("__img.payload")
     rows = rows.withColumns({"__w": IMG.png_width(img), "__h": IMG.png_height(img)})
