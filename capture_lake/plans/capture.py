@@ -122,6 +122,23 @@ def finish(checked: DataFrame, duplicates: DataFrame, listing_keys: DataFrame |
     return CaptureResult(good, bad, per_row.unionByName(dups))
 
 
+def run_single(capture: Callable[[list[str]], CaptureResult], key: str) -> dict:
+    """Capture one named object (``--key`` runs).
+
+    ``capture(keys)`` runs the job restricted to ``keys``.  A duplicate is a
+    success with 0 rows; a quarantined or missing object raises, so the
+    caller's job fails.  Only the one key's status reaches the driver.
+    """
+    res = capture([key])
+    rows = res.results.where(F.col("key") == key).select("status", "n_rows", "error").collect()
+    if not rows:
+        raise RuntimeError(f"Processing failed: object not found: {key}")
+    bad = [r for r in rows if r.status == quality.STATUS_QUARANTINE]
+    if bad:
+        raise RuntimeError(f"Processing failed: {key}: {bad[0].error}")
+    return {"status": rows[0].status, "key": key, "rows": int(sum(r.n_rows for r in rows))}
+
+
 # --------------------------------------------------------------------------
 # Object folders + extractors (the production path)
 # --------------------------------------------------------------------------
@@ -144,6 +161,7 @@ def capture_files(
     region: dict | None = None,
     partitions: int | None = None,
     materialize: bool = True,
+    keys: list[str] | None = None,
 ) -> CaptureResult:
     """M2 over object folders.
 
@@ -154,6 +172,8 @@ def capture_files(
     """
     region = region or IMG.OCR_REGION
     listed = L.list_objects(spark, images_root, prefix=prefix, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
+    if keys is not None:
+        listed = L.select_keys(listed, keys)
     with_meta = L.attach_metadata(listed, manifest)
     fresh, dups = fresh_objects(with_meta, target)
 

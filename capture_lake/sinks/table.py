@@ -11,7 +11,7 @@ into one task); each task writes its own file into the day folder, and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from capture_lake.schema import DAY_COLUMN, to_records, with_day
@@ -40,13 +40,20 @@ def _create_namespace(spark: SparkSession, ns: str, warehouse: str) -> None:
         pass
 
 
-def append_records(df: DataFrame, identifier: str, warehouse: str, fmt: str = "parquet") -> int | None:
+def append_records(df: DataFrame, identifier: str, warehouse: str, fmt: str = "parquet") -> dict:
     """W1 + W2: append ``df`` (projected to the record schema) to ``identifier``,
     creating namespace and table on first write.  An empty frame is still a
-    valid append.  Returns nothing heavy: no count is taken here."""
+    valid append.
+
+    Returns the write counters (A6) gathered by an ``Observation`` on the
+    written rows, so counting takes no extra pass over the data:
+    ``rows_written`` and ``rows_with_hash``.
+    """
     spark = df.sparkSession
     ns, _ = split_identifier(identifier)
-    records = to_records(df)
+    obs = Observation("capture_write")
+    records = to_records(df).observe(obs, F.count(F.lit(1)).alias("rows_written"),
+                                     F.count_if(F.col("file_hash") != "").alias("rows_with_hash"))
     exists = table_exists(spark, identifier)
     if fmt == "iceberg":
         w = records.writeTo(identifier)
@@ -56,7 +63,7 @@ def append_records(df: DataFrame, identifier: str, warehouse: str, fmt: str = "p
             _create_namespace(spark, ns, warehouse)
             (w.using("iceberg").partitionedBy(F.days("processed_at"))
              .tableProperty("location", table_location(warehouse, identifier)).create())
-        return None
+        return dict(obs.get)
     out = with_day(records)
     writer = (out.write.format(fmt).mode("append").partitionBy(DAY_COLUMN)
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
@@ -65,4 +72,4 @@ def append_records(df: DataFrame, identifier: str, warehouse: str, fmt: str = "p
         writer = writer.option("path", table_location(warehouse, identifier))
     writer.saveAsTable(identifier)
     spark.catalog.refreshTable(identifier)
-    return None
+    return dict(obs.get)

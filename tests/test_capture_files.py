@@ -101,3 +101,20 @@ def test_interval_and_prefix_listing(spark, bucket):
     assert list_objects(spark, images, start="2000-01-01", end="2999-01-01").count() == 7
     plan = list_objects(spark, images, start="2000-01-01", end="2999-01-01")._jdf.queryExecution().executedPlan().toString()
     assert "modificationTime" in plan and "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_run_single(spark, bucket):
+    from capture_lake.plans.capture import run_single
+
+    images, intake, manifest, target = bucket
+
+    def job(keys):
+        return capture_files(spark, images, manifest, target, ocr_factory, pdf_factory, intake_root=intake,
+                             keys=keys, materialize=False)
+
+    assert run_single(job, "2024/01/01/a.png.zst") == {"status": "ok", "key": "2024/01/01/a.png.zst", "rows": 1}
+    assert run_single(job, "2024/01/01/e.png.zst")["rows"] == 0  # duplicate: success, no rows
+    with pytest.raises(RuntimeError, match="ZstdError"):
+        run_single(job, "2024/01/01/c.png.zst")
+    with pytest.raises(RuntimeError, match="not found"):
+        run_single(job, "2024/01/01/zzz.png.zst")

@@ -69,7 +69,8 @@ def test_create_append_and_lookup(spark):
     assert not table_exists(spark, ident)
     append_records(empty_records(spark), ident, wh)  # empty append creates the table
     assert table_exists(spark, ident) and spark.table(ident).count() == 0
-    append_records(record(spark, "h1", "2024-01-01"), ident, wh)
+    counters = append_records(record(spark, "h1", "2024-01-01"), ident, wh)
+    assert counters == {"rows_written": 1, "rows_with_hash": 1}
     append_records(record(spark, "h2", "2024-01-02"), ident, wh)
     t = spark.table(ident)
     assert t.count() == 2
