@@ -2,19 +2,21 @@
 
 Scale notes
 -----------
-* An empty hash never takes part in a match (P8).  Rows with an empty hash
-  are routed around every shuffle instead of being joined on a constant,
-  because an empty or NULL join key would send all of them to one reducer
-  (one "hot" group can hold a third of a batch).  The two branches share the
-  upstream exchange, so the input is not computed twice.
-* The anti join (J1) is a plain equi join on the hash: the target's hash
-  column is read alone (column pruning) with ``file_hash <> ''`` pushed into
-  the scan.  No ``distinct`` on the target: an anti join does not need one.
-  AQE turns it into a broadcast join only when the hash side proved small at
+* An empty hash never takes part in a match (P8).  Joining or windowing on
+  the raw hash would send every empty-hash row (one "hot" group can hold a
+  third of a batch) to a single reducer.  Instead each row gets a *dedup
+  key*: its hash, or for an empty hash a per-row value that can never equal
+  a hash (``"\0" || key``).  Empty-hash rows then spread evenly, never match
+  and always come out first in their own window: one scan, one shuffle, no
+  hot partition, and no second pass over the input.
+* The anti join (J1) is an equi join on that key: the target's hash column
+  is read alone (column pruning) with ``file_hash <> ''`` pushed into the
+  scan.  No ``distinct`` on the target: an anti join does not need one.  AQE
+  turns it into a broadcast join only when the hash side proved small at
   runtime, and splits skewed partitions of the batch side.
-* In-batch first-per-hash (D2) is ``row_number() = 1`` per hash, planned
-  with a partial ``WindowGroupLimit`` map-side: a hash repeated a million
-  times leaves each map task as one row.
+* In-batch first-per-hash (D2) is ``row_number() = 1`` over the dedup key,
+  planned with a partial ``WindowGroupLimit`` map-side: a hash repeated a
+  million times leaves each map task as one row.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH = "file_hash"
+KEY = "key"
+_NEVER_A_HASH = "\u0000"
 
 
 def has_hash(col: str = HASH) -> Column:
@@ -32,22 +36,29 @@ def has_hash(col: str = HASH) -> Column:
     return F.coalesce(F.col(col) != F.lit(""), F.lit(False))
 
 
+def dedup_key(df: DataFrame, hash_col: str = HASH, key: str | None = KEY) -> Column:
+    """The hash, or a unique never-matching value for an empty hash."""
+    if key is not None and key in df.columns:
+        row_id = F.col(key).cast("string")
+    else:  # no key column: a digest of the whole row spreads the rows
+        row_id = F.xxhash64(*[F.col(c) for c in df.columns]).cast("string")
+    return F.when(has_hash(hash_col), F.col(hash_col)).otherwise(F.concat(F.lit(_NEVER_A_HASH), row_id))
+
+
 def _target_hashes(target: DataFrame, target_col: str) -> DataFrame:
     return target.select(F.col(target_col).alias("__seen_hash")).where(F.col("__seen_hash") != F.lit(""))
 
 
 def drop_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,
-                  target_col: str = HASH) -> DataFrame:
+                  target_col: str = HASH, key: str | None = KEY) -> DataFrame:
     """Rows whose hash is not in ``target`` yet; empty hashes always pass.
 
     ``target=None`` (no table yet) keeps every row, as on a first run.
     """
     if target is None:
         return batch
-    keyed = batch.where(has_hash(hash_col))
     seen = _target_hashes(target, target_col)
-    fresh = keyed.join(seen, keyed[hash_col] == seen["__seen_hash"], "left_anti")
-    return fresh.unionByName(batch.where(~has_hash(hash_col)))
+    return batch.join(seen, dedup_key(batch, hash_col, key) == seen["__seen_hash"], "left_anti")
 
 
 def already_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,
@@ -61,7 +72,7 @@ def already_captured(batch: DataFrame, target: DataFrame | None, hash_col: str =
 
 
 def first_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "key"),
-                   hash_col: str = HASH) -> DataFrame:
+                   hash_col: str = HASH, key: str | None = KEY) -> DataFrame:
     """Keep the first row per non-empty hash by ``order``; keep all
     empty-hash rows.  Deterministic where concurrent writers would race.
 
@@ -69,21 +80,19 @@ def first_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "k
     before the shuffle (one row per hash leaves each map task, so a hot hash
     is cut down map-side) and prune every column the caller does not use.
     """
-    keyed = batch.where(has_hash(hash_col))
-    w = Window.partitionBy(hash_col).orderBy(*[F.col(c).asc() for c in order])
-    firsts = keyed.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
-    return firsts.unionByName(batch.where(~has_hash(hash_col)))
+    w = Window.partitionBy(dedup_key(batch, hash_col, key)).orderBy(*[F.col(c).asc() for c in order])
+    return batch.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
 def later_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "key"),
-                   hash_col: str = HASH, key: str = "key") -> DataFrame:
+                   hash_col: str = HASH, key: str = KEY) -> DataFrame:
     """Rows D2 drops: the in-batch repeats of a hash (reported as duplicates).
 
     Anti join on the object key (unique, so no hot partition) against the
     one-row-per-hash winners.
     """
     keyed = batch.where(has_hash(hash_col))
-    winners = first_per_hash(keyed.select(hash_col, *dict.fromkeys([*order, key])), order, hash_col)
+    winners = first_per_hash(keyed.select(hash_col, *dict.fromkeys([*order, key])), order, hash_col, key)
     return keyed.join(winners.select(F.col(key).alias("__wk")), F.col(key) == F.col("__wk"), "left_anti")
 
 
