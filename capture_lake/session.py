@@ -64,14 +64,16 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per context (``--py-files``).
+    """Send this package to the Python workers once per local context.
 
     UDFs and extractors are pickled by reference to their module, so each
     Python worker must be able to import ``capture_lake``.
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
+        # On a cluster the package travels with the job (--py-files or an
+        # installed wheel); only local sessions get it zipped here.
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="capture-lake-pyfiles-"), "capture_lake.zip")

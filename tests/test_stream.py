@@ -60,3 +60,23 @@ def test_retry_queue(spark):
     q = spark.createDataFrame([("k1", "e", "H1"), ("k2", "e", "H2"), ("k3", "e", "")], "key string, error string, file_hash string")
     t = spark.createDataFrame([("H1", "p1"), ("", "k3")], "file_hash string, original_path string")
     assert [r.key for r in retry_queue(q, t).collect()] == ["k2"]
+
+
+def test_processing_time_trigger(spark):
+    base = scratch_path(spark, "stream-timed")
+    src, ckpt, wh = f"{base}/in", f"{base}/ckpt", f"{base}/wh"
+    ident = "capture_lake_t.stream_timed"
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
+    t0 = dt.datetime(2024, 1, 1)
+    drop(spark, f"{src}/d0", [("a", 1, t0, "", meta("H1")), ("b", 1, t0, "", meta("H2"))])
+    stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(src)
+    q = start_capture_stream(spark, stream, ident, wh, ckpt, interval="1 second")
+    try:
+        q.processAllAvailable()
+        drop(spark, f"{src}/d1", [("c", 1, t0, "", meta("H1")), ("d", 1, t0, "", meta("H3"))])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    spark.catalog.refreshTable(ident)
+    assert sorted(r.file_hash for r in spark.table(ident).collect()) == ["H1", "H2", "H3"]
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
