@@ -49,16 +49,41 @@ def _target_hashes(target: DataFrame, target_col: str) -> DataFrame:
     return target.select(F.col(target_col).alias("__seen_hash")).where(F.col("__seen_hash") != F.lit(""))
 
 
+def anti_join_bounded(left: DataFrame, left_key: Column, right: DataFrame, right_col: str,
+                      probe: Column | None = None, broadcast_limit: int | None = None) -> DataFrame:
+    """``left`` rows whose ``left_key`` is not in ``right[right_col]``.
+
+    With ``broadcast_limit``, when the distinct ``probe`` values of ``left``
+    (default: ``left_key``) number at most that many -- checked with a
+    bounded count -- the right side is first semi-joined against them as a
+    broadcast (a map-side filter over the right scan: no shuffle of the big
+    side), and only its few matches are broadcast back for the anti join.
+    Otherwise a shuffled anti join is planned (AQE may still broadcast from
+    runtime sizes, and splits skewed partitions of ``left``).
+    """
+    if broadcast_limit is not None:
+        probes = left.select((left_key if probe is None else probe).alias("__b")).where(
+            F.col("__b").isNotNull()).distinct()
+        if probes.limit(broadcast_limit + 1).count() <= broadcast_limit:
+            hits = right.join(F.broadcast(probes), right[right_col] == F.col("__b"), "left_semi")
+            return left.join(F.broadcast(hits), left_key == hits[right_col], "left_anti")
+    return left.join(right, left_key == right[right_col], "left_anti")
+
+
 def drop_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,
-                  target_col: str = HASH, key: str | None = KEY) -> DataFrame:
+                  target_col: str = HASH, key: str | None = KEY,
+                  broadcast_limit: int | None = None) -> DataFrame:
     """Rows whose hash is not in ``target`` yet; empty hashes always pass.
 
     ``target=None`` (no table yet) keeps every row, as on a first run.
+    ``broadcast_limit`` bounds the batch hash set that may filter the target
+    scan map-side (see ``anti_join_bounded``); use it for micro-batches.
     """
     if target is None:
         return batch
     seen = _target_hashes(target, target_col)
-    return batch.join(seen, dedup_key(batch, hash_col, key) == seen["__seen_hash"], "left_anti")
+    probe = F.when(has_hash(hash_col), F.col(hash_col))
+    return anti_join_bounded(batch, dedup_key(batch, hash_col, key), seen, "__seen_hash", probe, broadcast_limit)
 
 
 def already_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,

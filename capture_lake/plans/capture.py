@@ -48,14 +48,16 @@ class CaptureResult:
 
 
 def fresh_objects(listing: DataFrame, target: DataFrame | None,
-                  order: tuple[str, ...] = ("last_modified", "key")) -> tuple[DataFrame, DataFrame]:
+                  order: tuple[str, ...] = ("last_modified", "key"),
+                  broadcast_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """J1 + D2 on listing rows with a ``metadata`` map.
 
     Returns (fresh, duplicates).  Duplicates are rows whose hash is already in
     the target, or repeats of a hash earlier in the same batch.
+    ``broadcast_limit`` enables the bounded semi-join reduction of J1.
     """
     hashed = listing.withColumn("file_hash", M.meta_string("metadata", M.KEY_CONTENT_HASH, ""))
-    not_captured = dedup.drop_captured(hashed, target)
+    not_captured = dedup.drop_captured(hashed, target, broadcast_limit=broadcast_limit)
     fresh = dedup.first_per_hash(not_captured, order)
     dup_target = dedup.already_captured(hashed, target).select("key")
     dup_batch = dedup.later_per_hash(not_captured, order).select("key")

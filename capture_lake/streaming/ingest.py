@@ -31,6 +31,9 @@ from capture_lake.sources.tables import read_target
 
 Assembler = Callable[[DataFrame], DataFrame]
 
+# Distinct hashes of one micro-batch that may be broadcast (~64 MiB of hashes).
+MICRO_BATCH_BROADCAST_LIMIT = 1_000_000
+
 
 def _plain_assemble(fresh: DataFrame) -> DataFrame:
     return C.assemble(fresh)
@@ -41,20 +44,26 @@ def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
     """One micro-batch: D2 + J1 against the refreshed target, assemble, append."""
     spark = batch_df.sparkSession
     target = read_target(spark, identifier)
-    fresh, _ = C.fresh_objects(batch_df, target)
+    # A micro-batch is bounded (maxFilesPerTrigger / maxBytesPerTrigger), so
+    # its hash set is broadcast to filter the target scan map-side.
+    fresh, _ = C.fresh_objects(batch_df, target, broadcast_limit=MICRO_BATCH_BROADCAST_LIMIT)
     if target is not None:
         # Replay guard for empty hashes: same path already written.
         paths = target.where(F.col("file_hash") == "").select(F.col("original_path").alias("__p"))
-        empty = fresh.where(~dedup.has_hash()).join(paths, F.col("key") == F.col("__p"), "left_anti")
+        empty = dedup.anti_join_bounded(fresh.where(~dedup.has_hash()), F.col("key"), paths, "__p",
+                                        broadcast_limit=MICRO_BATCH_BROADCAST_LIMIT)
         fresh = fresh.where(dedup.has_hash()).unionByName(empty)
-    checked = assemble(fresh).persist()
+    checked = assemble(fresh)
+    if quarantine_path:
+        checked = checked.persist()  # two writes read it
     try:
         res = C.finish(checked, fresh.limit(0).select("key"))
         append_records(res.records, identifier, warehouse)
         if quarantine_path:
             res.quarantine.write.mode("append").parquet(quarantine_path)
     finally:
-        checked.unpersist()
+        if quarantine_path:
+            checked.unpersist()
 
 
 def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str, warehouse: str,
@@ -69,14 +78,18 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
     return writer.start()
 
 
-def listing_stream(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
+def listing_stream(spark: SparkSession, root: str, manifest: DataFrame,
+                   max_files_per_trigger: int = 100_000) -> DataFrame:
     """T1 source: new ``.png.zst`` objects under ``root`` with their metadata.
 
     The binaryFile stream needs its schema; content is not projected.  The
     manifest is a static table joined per micro-batch (stream-static join).
+    ``maxFilesPerTrigger`` bounds each micro-batch (oldest files first), which
+    is what lets a batch's hash set be broadcast against the target.
     """
     files = (spark.readStream.format("binaryFile").schema(L.BINARY_FILE_SCHEMA)
-             .option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{L.CAPTURE_SUFFIX}").load(root))
+             .option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{L.CAPTURE_SUFFIX}")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(root))
     listed = files.select(L.key_of(F.col("path"), root).alias("key"), F.col("length").alias("size"),
                           F.col("modificationTime").alias("last_modified"), F.lit("").alias("etag"), "path")
     return L.attach_metadata(listed, manifest)

@@ -46,3 +46,19 @@ def test_histogram_is_one_pass(spark):
 def test_regions_expand_without_join(spark):
     plan = plan_of(E.queries()["crop_boxes"](spark, SF_SMALL))
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_bounded_batch_filters_target_map_side(spark, tmp_dir):
+    path = f"{tmp_dir}/target_big"
+    spark.range(5000).selectExpr("md5(cast(id as string)) as file_hash", "'p' as original_path") \
+        .write.parquet(path)
+    target = spark.read.parquet(path)
+    batch = spark.createDataFrame([("k1", "h1"), ("k2", ""), ("k3", "c4ca4238a0b923820dcc509a6f75849b")],
+                                  "key string, file_hash string")
+    out = dedup.drop_captured(batch, target, broadcast_limit=10)
+    plan = plan_of(out)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert sorted(r.key for r in out.collect()) == ["k1", "k2"]
+    # above the bound: the general shuffled join, same answer
+    big = dedup.drop_captured(batch, target, broadcast_limit=1)
+    assert sorted(r.key for r in big.collect()) == ["k1", "k2"]

@@ -80,3 +80,33 @@ def test_processing_time_trigger(spark):
     spark.catalog.refreshTable(ident)
     assert sorted(r.file_hash for r in spark.table(ident).collect()) == ["H1", "H2", "H3"]
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
+
+
+def test_binary_file_listing_stream(spark):
+    import os
+
+    from conftest import png_bytes, zstd_bytes
+    from capture_lake.streaming.ingest import listing_stream
+
+    base = scratch_path(spark, "stream-files")
+    root = base.replace("file:", "") + "/images"
+    os.makedirs(f"{root}/2024/01/01")
+    for name, w in (("a", 10), ("b", 20)):
+        with open(f"{root}/2024/01/01/{name}.png.zst", "wb") as f:
+            f.write(zstd_bytes(png_bytes(w, 5)))
+    with open(f"{root}/2024/01/01/skip.txt", "wb") as f:
+        f.write(b"x")
+    manifest = spark.createDataFrame([("2024/01/01/a.png.zst", {"content-hash": "HA", "image-width": "10",
+                                                                "image-height": "5"})],
+                                     "key string, metadata map<string,string>")
+    ident = "capture_lake_t.stream_files"
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
+    stream = listing_stream(spark, root, manifest)
+    q = start_capture_stream(spark, stream, ident, f"{base}/wh", f"{base}/ckpt", available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    spark.catalog.refreshTable(ident)
+    got = sorted((r.file_hash, r.image_width) for r in spark.table(ident).collect())
+    # b has no manifest row: empty map -> no dimensions -> quarantined, not written
+    assert got == [("HA", 10)]
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
