@@ -103,10 +103,20 @@ def assemble(
 
 def attach_intake(df: DataFrame, intake_text: DataFrame) -> DataFrame:
     """Left join to the source archive text; no key, no archive, no PDF or
-    a bad archive all give ``""``, never a lost row."""
+    a bad archive all give ``""``, never a lost row.
+
+    Images without an archive key join on a per-row value that matches
+    nothing (``"\0" || key``) instead of a shared NULL/empty key, so they
+    spread over the reducers instead of piling into one.  An archive shared
+    by many images is split by AQE's skew join (left side).
+    """
     extra = [c for c in intake_text.columns if c not in ("intake_key", "pdf_raw_text")]
     it = intake_text.select(F.col("intake_key").alias("__ikey"), F.col("pdf_raw_text").alias("__pdf"), *extra)
-    with_key = df.withColumn("__src", M.meta_get("metadata", M.KEY_SOURCE_INTAKE_KEY))
+    src = M.meta_get("metadata", M.KEY_SOURCE_INTAKE_KEY)
+    row_id = (F.col("key").cast("string") if "key" in df.columns
+              else F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
+    with_key = df.withColumn("__src", F.when(F.coalesce(src != "", F.lit(False)), src)
+                             .otherwise(F.concat(F.lit("\u0000"), row_id)))
     joined = with_key.join(it, with_key["__src"] == it["__ikey"], "left")
     return joined.withColumn("pdf_raw_text", F.coalesce(F.col("__pdf"), F.lit(""))).drop("__src", "__ikey", "__pdf")
 
@@ -172,15 +182,45 @@ def capture_files(
     ``pdf_factory()`` returns ``fn(pdf_bytes) -> list of page texts``.
     ``partitions`` spreads fresh rows evenly before the Python work.
     """
-    region = region or IMG.OCR_REGION
     listed = L.list_objects(spark, images_root, prefix=prefix, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
     if keys is not None:
         listed = L.select_keys(listed, keys)
     with_meta = L.attach_metadata(listed, manifest)
     fresh, dups = fresh_objects(with_meta, target)
+    # Listing rows only (no bytes): kept so the path probe and the join below
+    # do not redo the listing, manifest join and dedup.
+    fresh = fresh.persist()
 
-    payloads = L.read_payloads(spark, images_root, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
-    rows = fresh.join(payloads.select(F.col("path").alias("__p"), "content"), F.col("path") == F.col("__p"), "left").drop("__p")
+    # Bytes of fresh objects only when few, else an interval-bounded scan.
+    rows = L.payloads_for(spark, fresh, images_root, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
+    checked = assemble_payloads(spark, rows, ocr_factory, pdf_factory, intake_root, region, partitions)
+    keep = ["key", "metadata", "status", "error", *RECORD_COLUMNS]
+    # One materialisation in the shared checkpoint folder: records,
+    # quarantine and outcome read it instead of re-running the extractors,
+    # and a lost executor does not send the batch back through OCR.
+    if materialize:
+        shared_dir(spark)
+        checked = checked.select(*keep).checkpoint(eager=True)
+        fresh.unpersist()
+    return finish(checked, dups)
+
+
+def assemble_payloads(
+    spark: SparkSession,
+    rows: DataFrame,
+    ocr_factory: Callable[[], Callable[[bytes, dict], Any]],
+    pdf_factory: Callable[[], Callable[[bytes], Any]] | None = None,
+    intake_root: str | None = None,
+    region: dict | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Fresh rows with ``metadata`` and zstd ``content`` -> checked records.
+
+    M1 inflate, P7 size, P5/P6 OCR box, M3 OCR (``fail`` policy), E3/A1-A3
+    row-local, then the source archive text (J3) and the record columns.
+    Every failure is a per-row error routed to quarantine.
+    """
+    region = region or IMG.OCR_REGION
     rows = spread(rows, partitions)
     rows = rows.withColumn("__img", zstd_inflate(F.col("content"))).drop("content")
     img = F.col("__img.payload")
@@ -212,30 +252,30 @@ def capture_files(
                      F.lit("UnidentifiedImageError: cannot identify image file"))
     errors = F.filter(F.array(F.col("__img.error"), not_png, F.col("__box_err"), F.col("__ocr_err")),
                       lambda x: x.isNotNull())
-    checked = assemble(extracted, None, intake_text=intake_text, duration_ms=F.col("__ocr_ms"),
-                       width=F.col("__w"), height=F.col("__h"), extra_errors=errors)
-    keep = ["key", "metadata", "status", "error", *RECORD_COLUMNS]
-    # One materialisation in the shared checkpoint folder: records,
-    # quarantine and outcome read it instead of re-running the extractors,
-    # and a lost executor does not send the batch back through OCR.
-    if materialize:
-        shared_dir(spark)
-        checked = checked.select(*keep).checkpoint(eager=True)
-    return finish(checked, dups)
+    return assemble(extracted, None, intake_text=intake_text, duration_ms=F.col("__ocr_ms"),
+                    width=F.col("__w"), height=F.col("__h"), extra_errors=errors)
+
+
+ARCHIVE_PATH_LIMIT = L.PATH_LOAD_LIMIT
 
 
 def archive_texts(spark: SparkSession, intake_root: str, images: DataFrame,
-                  pdf_factory: Callable[[], Callable[[bytes], Any]]) -> DataFrame:
+                  pdf_factory: Callable[[], Callable[[bytes], Any]],
+                  path_limit: int = ARCHIVE_PATH_LIMIT) -> DataFrame:
     """Per referenced archive: first PDF member -> pages -> assembled text.
 
-    Only archives referenced by the batch are read (distinct keys combine
-    map-side, so a ZIP shared by many images is read once).
+    ``binaryFile`` reads the bytes of every file its listing keeps, so the
+    intake folder is listed *without* content, semi-joined with the batch's
+    distinct referenced keys (combined map-side: a ZIP shared by many images
+    is read once), and only those paths are loaded (``payloads_for``).  A
+    missing archive is simply absent (its images get ``""``).
     """
     refs = images.select(M.meta_get("metadata", M.KEY_SOURCE_INTAKE_KEY).alias("intake_key")).where(
-        F.col("intake_key").isNotNull()).distinct()
-    archives = L.read_payloads(spark, intake_root).select(F.col("key").alias("intake_key"), "content")
-    wanted = archives.join(refs, "intake_key", "left_semi")
-    firsts = pdf.first_pdf(wanted)
+        F.col("intake_key").isNotNull() & (F.col("intake_key") != "")).distinct()
+    listed = L.list_objects(spark, intake_root).select(F.col("key").alias("intake_key"), "path")
+    present = listed.join(refs, "intake_key", "left_semi")
+    archives = L.payloads_for(spark, present, intake_root, path_limit=path_limit).select("intake_key", "content")
+    firsts = pdf.first_pdf(archives)
     texts = run_extractor(firsts, pdf_factory, ["pdf_bytes"], PDF_OUTPUT, on_error="empty", empty=[],
                           error_col="__pdf_err", passthrough=["intake_key"])
     return texts.select("intake_key", join_pages(F.col("pages")).alias("pdf_raw_text"))

@@ -116,6 +116,34 @@ def read_payloads(spark: SparkSession, root: str, suffix: str | None = None,
     return files.select("path", key_of(F.col("path"), root).alias("key"), "content")
 
 
+# Fresh objects whose bytes may be loaded by name (about 10 MB of paths on
+# the driver, the same order as Spark's own listing of those files).
+PATH_LOAD_LIMIT = 100_000
+
+
+def payloads_for(spark: SparkSession, rows: DataFrame, root: str, suffix: str | None = None,
+                 start: dt.datetime | str | None = None, end: dt.datetime | str | None = None,
+                 path_limit: int = PATH_LOAD_LIMIT) -> DataFrame:
+    """``rows`` (with ``path``) joined to their bytes as ``content``.
+
+    ``binaryFile`` reads the bytes of every file it lists, and a join cannot
+    prune that, so when at most ``path_limit`` rows remain their paths are
+    loaded by name: duplicates dropped by dedup are never read.  Otherwise
+    the folder is scanned with the interval filters pushed down and joined
+    on ``path``.  A path missing at load time gives NULL content.
+    """
+    paths = [r.path for r in rows.select("path").where(F.col("path").isNotNull())
+             .limit(path_limit + 1).collect()]
+    if len(paths) <= path_limit:
+        if not paths:
+            return rows.withColumn("content", F.lit(None).cast("binary"))
+        files = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
+    else:
+        files = read_payloads(spark, root, suffix=suffix, start=start, end=end)
+    p = files.select(F.col("path").alias("__p"), "content")
+    return rows.join(p, F.col("path") == F.col("__p"), "left").drop("__p")
+
+
 def select_keys(df: DataFrame, keys: Iterable[str], key: str = "key") -> DataFrame:
     """Only the named objects (``--key`` runs)."""
     return df.where(F.col(key).isin(list(keys)))

@@ -33,6 +33,7 @@ Assembler = Callable[[DataFrame], DataFrame]
 
 # Distinct hashes of one micro-batch that may be broadcast (~64 MiB of hashes).
 MICRO_BATCH_BROADCAST_LIMIT = 1_000_000
+RETRY_BROADCAST_LIMIT = 1_000_000
 
 
 def _plain_assemble(fresh: DataFrame) -> DataFrame:
@@ -98,9 +99,10 @@ def listing_stream(spark: SparkSession, root: str, manifest: DataFrame,
 def retry_queue(quarantine: DataFrame, target: DataFrame) -> DataFrame:
     """T4: quarantined objects whose hash and path are still not in the target."""
     q = quarantine.select("key", "error", "file_hash")
-    q = dedup.drop_captured(q, target)
+    q = dedup.drop_captured(q, target, broadcast_limit=RETRY_BROADCAST_LIMIT)
     paths = target.select(F.col("original_path").alias("__p"))
-    return q.join(paths, q["key"] == paths["__p"], "left_anti").select("key", "error")
+    q = dedup.anti_join_bounded(q, F.col("key"), paths, "__p", broadcast_limit=RETRY_BROADCAST_LIMIT)
+    return q.select("key", "error")
 
 
 # ---------------------------------------------------------------------------

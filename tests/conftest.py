@@ -18,6 +18,9 @@ def pytest_collection_modifyitems(session, config, items):
     # so pickle their functions by value.
     for mod in {item.module for item in items if getattr(item, "module", None) is not None}:
         cloudpickle.register_pickle_by_value(mod)
+    import extractors_fixture
+
+    cloudpickle.register_pickle_by_value(extractors_fixture)
 
 
 SF_SMALL = "/root/testdata/sf0.001"
