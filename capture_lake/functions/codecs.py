@@ -35,6 +35,10 @@ READ_TYPE = T.StructType(
 )
 
 
+# Fixed value: the error of an empty payload.
+EMPTY_PAYLOAD_ERROR = "ValueError: compressed_bytes must not be empty"
+
+
 def _err(exc: BaseException) -> str:
     return f"{type(exc).__name__}: {exc}"
 
@@ -46,7 +50,7 @@ def inflate_one(blob: bytes | None) -> tuple[bytes | None, str | None]:
     if blob is None:
         return None, None
     if len(blob) == 0:
-        return None, "ValueError: compressed_bytes must not be empty"
+        return None, EMPTY_PAYLOAD_ERROR
     try:
         with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob)) as reader:
             return reader.read(), None

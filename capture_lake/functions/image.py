@@ -40,14 +40,15 @@ def box_ok(box: Column) -> Column:
     return (box["right"] > box["left"]) & (box["lower"] > box["upper"])
 
 
+# Fixed value: the zero-area message format.
+ZERO_AREA_MESSAGE = "Crop region produces a zero-area box: (%d, %d, %d, %d) for image size (%d, %d)."
+
+
 def box_error(box: Column, width: Column, height: Column) -> Column:
     """The zero-area message, NULL when the box is usable."""
     return F.when(
         ~box_ok(box),
-        F.format_string(
-            "Crop region produces a zero-area box: (%d, %d, %d, %d) for image size (%d, %d).",
-            box["left"], box["upper"], box["right"], box["lower"], width, height,
-        ),
+        F.format_string(ZERO_AREA_MESSAGE, box["left"], box["upper"], box["right"], box["lower"], width, height),
     )
 
 

@@ -121,7 +121,7 @@ def attach_intake(df: DataFrame, intake_text: DataFrame) -> DataFrame:
     return joined.withColumn("pdf_raw_text", F.coalesce(F.col("__pdf"), F.lit(""))).drop("__src", "__ikey", "__pdf")
 
 
-def finish(checked: DataFrame, duplicates: DataFrame, listing_keys: DataFrame | None = None) -> CaptureResult:
+def finish(checked: DataFrame, duplicates: DataFrame) -> CaptureResult:
     """Q6 split and per-object results."""
     keep = ["key", *RECORD_COLUMNS]
     good = checked.where(F.col("status") == quality.STATUS_OK).select(*keep)
@@ -155,6 +155,9 @@ def run_single(capture: Callable[[list[str]], CaptureResult], key: str) -> dict:
 # Object folders + extractors (the production path)
 # --------------------------------------------------------------------------
 
+# Fixed value: the error of a payload that inflates but is not an image.
+NOT_AN_IMAGE_ERROR = "UnidentifiedImageError: cannot identify image file"
+
 OCR_OUTPUT = T.StructType([T.StructField("ocr_raw", ocr.RAW_TYPE)])
 PDF_OUTPUT = T.StructType([T.StructField("pages", T.ArrayType(T.StringType()))])
 
@@ -248,8 +251,7 @@ def assemble_payloads(
     if intake_root is not None and pdf_factory is not None:
         intake_text = archive_texts(spark, intake_root, extracted, pdf_factory)
 
-    not_png = F.when(F.col("__img.error").isNull() & F.col("__w").isNull(),
-                     F.lit("UnidentifiedImageError: cannot identify image file"))
+    not_png = F.when(F.col("__img.error").isNull() & F.col("__w").isNull(), F.lit(NOT_AN_IMAGE_ERROR))
     errors = F.filter(F.array(F.col("__img.error"), not_png, F.col("__box_err"), F.col("__ocr_err")),
                       lambda x: x.isNotNull())
     return assemble(extracted, None, intake_text=intake_text, duration_ms=F.col("__ocr_ms"),

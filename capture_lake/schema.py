@@ -42,11 +42,15 @@ def missing_columns(df: DataFrame) -> list[str]:
     return [c for c in RECORD_COLUMNS if c not in have]
 
 
+# Fixed value: the missing-columns message prefix.
+MISSING_FIELDS_MESSAGE = "Missing required fields: "
+
+
 def require_columns(df: DataFrame) -> DataFrame:
     """Raise ``ValueError`` naming every missing record column (Q3)."""
     missing = missing_columns(df)
     if missing:
-        raise ValueError(f"Missing required fields: {missing}")
+        raise ValueError(f"{MISSING_FIELDS_MESSAGE}{missing}")
     return df
 
 

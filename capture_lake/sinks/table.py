@@ -23,7 +23,7 @@ MAX_RECORDS_PER_FILE = 1_000_000
 def split_identifier(identifier: str) -> tuple[str, str]:
     """``"<namespace>.<table>"`` split at the first dot."""
     if "." not in identifier:
-        raise ValueError(f"table_identifier must be in '<namespace>.<table>' format, got: {identifier!r}")
+        raise ValueError(f"table identifier must be '<namespace>.<table>', got: {identifier!r}")
     ns, name = identifier.split(".", 1)
     return ns, name
 

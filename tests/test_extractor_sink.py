@@ -46,7 +46,7 @@ def test_empty_policy(spark):
 
 
 def test_identifier_rules():
-    assert split_identifier("bp.records_raw") == ("bp", "records_raw")
+    assert split_identifier("lake.records_raw") == ("lake", "records_raw")
     assert split_identifier("a.b.c") == ("a", "b.c")
     with pytest.raises(ValueError):
         split_identifier("nodotintablename")
