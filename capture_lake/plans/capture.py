@@ -30,7 +30,7 @@ from capture_lake.functions.codecs import zstd_inflate
 from capture_lake.functions.text import join_pages
 from capture_lake.operators import dedup, ocr, pdf, quality
 from capture_lake.operators.extractor import run_extractor, spread
-from capture_lake.operators.metrics import batch_outcome
+from capture_lake.operators.metrics import CONFIDENCE_BOUNDS, DURATION_BOUNDS, batch_outcome, histogram
 from capture_lake.schema import RECORD_COLUMNS
 from capture_lake.session import shared_dir
 from capture_lake.sources import listing as L
@@ -46,6 +46,14 @@ class CaptureResult:
         """A5/A6 summary of the batch."""
         return batch_outcome(self.results)
 
+    def confidence_histogram(self) -> DataFrame:
+        """A7 over the written records' mean OCR confidence."""
+        return histogram(self.records, "ocr_confidence_mean", CONFIDENCE_BOUNDS)
+
+    def duration_histogram(self) -> DataFrame:
+        """A8 over the written records' processing time, in seconds."""
+        return histogram(self.records, F.col("processing_duration_ms") / 1000.0, DURATION_BOUNDS)
+
 
 def fresh_objects(listing: DataFrame, target: DataFrame | None,
                   order: tuple[str, ...] = ("last_modified", "key"),

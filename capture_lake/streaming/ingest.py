@@ -96,6 +96,17 @@ def listing_stream(spark: SparkSession, root: str, manifest: DataFrame,
     return L.attach_metadata(listed, manifest)
 
 
+def dedup_keys_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 hour") -> DataFrame:
+    """D1 on a stream: drop repeats of ``keys`` seen within the watermark.
+
+    State is kept only for ``delay`` past the latest event time, so it stays
+    bounded on an endless stream; event times without a zone are read as UTC.
+    """
+    ts = F.col(event_time)
+    timed = stream.withColumn(event_time, ts.cast("timestamp"))
+    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+
+
 def retry_queue(quarantine: DataFrame, target: DataFrame) -> DataFrame:
     """T4: quarantined objects whose hash and path are still not in the target."""
     q = quarantine.select("key", "error", "file_hash")

@@ -118,3 +118,24 @@ def test_run_single(spark, bucket):
         run_single(job, "2024/01/01/c.png.zst")
     with pytest.raises(RuntimeError, match="not found"):
         run_single(job, "2024/01/01/zzz.png.zst")
+
+
+def test_no_python_below_the_dedup_join(spark, bucket):
+    images, intake, manifest, target = bucket
+    res = capture_files(spark, images, manifest, target, ocr_factory, pdf_factory, intake_root=intake,
+                        materialize=False)
+    plan = res.records._jdf.queryExecution().executedPlan().toString()
+    first_python = min(plan.find(t) for t in ("ArrowEvalPython", "MapInArrow") if t in plan)
+    # the anti join sits in the cached listing below every Python node
+    assert "InMemoryTableScan" in plan and plan.find("InMemoryTableScan") > first_python
+    fresh_plan = [l for l in plan.split("\n") if "LeftAnti" in l]
+    assert all(plan.find(l) > first_python for l in fresh_plan)
+
+
+def test_capture_histograms(spark, bucket):
+    images, intake, manifest, target = bucket
+    res = capture_files(spark, images, manifest, target, ocr_factory, pdf_factory, intake_root=intake)
+    conf = {r.le: r.value for r in res.confidence_histogram().collect() if r.series == "bucket"}
+    assert conf["0.7"] == 0 and conf["0.8"] == 2 and conf["+Inf"] == 2
+    dur = {r.series: r.value for r in res.duration_histogram().collect() if r.series != "bucket"}
+    assert dur["count"] == 2

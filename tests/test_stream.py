@@ -110,3 +110,19 @@ def test_binary_file_listing_stream(spark):
     # b has no manifest row: empty map -> no dimensions -> quarantined, not written
     assert got == [("HA", 10)]
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
+
+
+def test_dedup_keys_stream(spark):
+    from capture_lake.streaming.ingest import dedup_keys_stream
+
+    base = scratch_path(spark, "stream-keys")
+    schema = "key string, ts timestamp_ntz"
+    t0 = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([("a", t0), ("a", t0 + dt.timedelta(minutes=1)), ("b", t0)], schema) \
+        .write.parquet(f"{base}/in/d0")
+    stream = spark.readStream.schema(schema).parquet(f"{base}/in/d0")
+    q = (dedup_keys_stream(stream, ["key"], "ts", "10 minutes").writeStream.format("memory")
+         .queryName("dedup_keys_out").option("checkpointLocation", f"{base}/ckpt").start())
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.key for r in spark.table("dedup_keys_out").collect()) == ["a", "b"]
