@@ -34,7 +34,8 @@ def _load_factory(path: str | None):
 
 def _read_table(spark: SparkSession, path: str):
     if path.endswith(".json") or path.endswith(".jsonl"):
-        return spark.read.schema("key string, metadata map<string,string>").json(path)
+        from capture_lake.sources.listing import MANIFEST_SCHEMA
+        return spark.read.schema(MANIFEST_SCHEMA).json(path)
     return spark.read.parquet(path)
 
 

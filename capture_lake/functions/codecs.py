@@ -11,7 +11,6 @@ import io
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,8 +125,3 @@ def zip_pack(names: pd.Series, contents: pd.Series) -> pd.Series:
                 zf.writestr(n, b"" if c is None else bytes(c))
         out.append(buf.getvalue())
     return pd.Series(out)
-
-
-def utf8(c: Column) -> Column:
-    """BINARY to STRING (UTF-8)."""
-    return c.cast("string")

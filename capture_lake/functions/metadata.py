@@ -70,11 +70,6 @@ def parse_int(s: Column) -> Column:
     return F.when(s.rlike(INT_PATTERN), cleaned.try_cast("int"))
 
 
-def parse_long(s: Column) -> Column:
-    cleaned = F.regexp_replace(F.trim(s), "_", "")
-    return F.when(s.rlike(INT_PATTERN), cleaned.try_cast("bigint"))
-
-
 def parse_double(s: Column) -> Column:
     """Strict float parse (P2); NULL when the text is not a float literal."""
     cleaned = F.regexp_replace(F.trim(s), "_", "")

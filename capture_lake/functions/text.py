@@ -38,8 +38,3 @@ def join_pages(pages: Column) -> Column:
     """
     kept = F.filter(pages, lambda p: p.isNotNull() & (p != F.lit("")))
     return F.coalesce(unicode_strip(F.array_join(kept, PAGE_SEPARATOR)), F.lit(""))
-
-
-def split_lines(text: Column) -> Column:
-    """Split a text at newlines into an ARRAY of pages (the page stand-in)."""
-    return F.split(text, "\n")

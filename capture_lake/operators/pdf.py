@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capture_lake.functions.codecs import zip_members, zip_read
-from capture_lake.functions.text import PAGE_SEPARATOR, join_pages, unicode_strip
+from capture_lake.functions.text import PAGE_SEPARATOR, unicode_strip
 
 # Fixed value: the member suffix that marks the PDF inside an archive.
 PDF_SUFFIX = ".pdf"
@@ -70,8 +70,3 @@ def assemble_pages(pages: DataFrame, key: str, order: str = "page_no", text: str
     sep = PAGE_SEPARATOR.replace("\n", "\\n")
     joined = F.expr(f"listagg(`{text}`, '{sep}') WITHIN GROUP (ORDER BY `{order}`)")
     return pages.groupBy(key).agg(unicode_strip(joined).alias("pdf_raw_text"))
-
-
-def page_text(pages: Column) -> Column:
-    """A4 on an ARRAY<STRING> of pages (row-local)."""
-    return join_pages(pages)

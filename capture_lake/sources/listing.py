@@ -1,5 +1,8 @@
 """Object listing and payload scans.
 
+Listing rows are ``(key, size, last_modified, etag, path)``; the manifest is
+``(key, metadata map<string,string>)``.
+
 A bucket (or folder) is read with Spark's ``binaryFile`` source.  Listing
 projects only ``path, length, modificationTime``, so file contents are never
 read for a listing; the suffix goes to the source as ``pathGlobFilter`` and
@@ -20,14 +23,6 @@ from pyspark.sql import types as T
 # Fixed value: the object suffix of capture images.
 CAPTURE_SUFFIX = ".png.zst"
 
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("last_modified", T.TimestampType()),
-        T.StructField("etag", T.StringType()),
-    ]
-)
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("metadata", T.MapType(T.StringType(), T.StringType()))]
 )
@@ -57,12 +52,6 @@ def strip_etag(etag: Column) -> Column:
     return F.btrim(etag, F.lit('"'))
 
 
-def interval(col: Column, start: dt.datetime | str | None, end: dt.datetime | str | None) -> Column | None:
-    """Half-open ``[start, end)``; no bound unless both are given."""
-    if start is None or end is None:
-        return None
-    return (col >= F.lit(start)) & (col < F.lit(end))
-
 
 def filter_listing(df: DataFrame, prefix: str = "", suffix: str | None = None,
                    start: dt.datetime | str | None = None, end: dt.datetime | str | None = None,
@@ -154,9 +143,3 @@ def attach_metadata(listing: DataFrame, manifest: DataFrame, key: str = "key") -
     m = manifest.select(F.col(key).alias("__mkey"), F.col("metadata").alias("__meta"))
     out = listing.join(m, listing[key] == m["__mkey"], "left").drop("__mkey")
     return out.withColumn("metadata", F.coalesce(F.col("__meta"), F.create_map().cast("map<string,string>"))).drop("__meta")
-
-
-def attach_payload(rows: DataFrame, payloads: DataFrame, key: str = "key") -> DataFrame:
-    """Rows joined to their bytes (inner: an object without bytes is gone)."""
-    p = payloads.select(F.col(key).alias("__pkey"), F.col("content"))
-    return rows.join(p, rows[key] == p["__pkey"], "inner").drop("__pkey")

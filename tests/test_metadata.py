@@ -31,7 +31,7 @@ def test_defaults_only_when_missing(spark):
 
 
 @pytest.mark.parametrize("text,expected", [
-    (" 12 ", 12), ("+5", 5), ("-7", -7), ("1_000", 1000), ("", None), ("1e3", None), ("12.0", None),
+    (" 12 ", 12), ("\t12\n", 12), ("+5", 5), ("-7", -7), ("1_000", 1000), ("", None), ("1e3", None), ("12.0", None),
     ("1__0", None), ("_1", None), ("abc", None), ("99999999999", None), ("2147483647", 2147483647),
 ])
 def test_int_parse_matches_producer(spark, text, expected):
@@ -40,7 +40,7 @@ def test_int_parse_matches_producer(spark, text, expected):
 
 
 @pytest.mark.parametrize("text,expected", [
-    ("2.5", 2.5), (" 3 ", 3.0), ("1e3", 1000.0), (".5", 0.5), ("5.", 5.0), ("1_0.5", 10.5), ("-0.25", -0.25),
+    ("2.5", 2.5), (" 3 ", 3.0), ("\t1.5\n", 1.5), ("1e3", 1000.0), (".5", 0.5), ("5.", 5.0), ("1_0.5", 10.5), ("-0.25", -0.25),
     ("1d", None), ("1f", None), ("", None), ("abc", None), ("inf", float("inf")), ("-Infinity", float("-inf")),
 ])
 def test_float_parse_matches_producer(spark, text, expected):
