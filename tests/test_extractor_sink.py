@@ -81,3 +81,13 @@ def test_create_append_and_lookup(spark):
         "processed_at_day=2024-01-01", "processed_at_day=2024-01-02"]
     assert not table_exists(spark, "missing_ns.tbl")
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
+
+
+def test_rest_catalog_conf():
+    from capture_lake.sinks.catalog import rest_catalog_conf
+
+    conf = rest_catalog_conf("lake", "http://catalog:8181", "s3://lake", s3_endpoint="http://s3:9000")
+    assert conf["spark.sql.catalog.lake.type"] == "rest"
+    assert conf["spark.sql.catalog.lake.s3.path-style-access"] == "true"
+    assert "spark.sql.catalog.lake.s3.access-key-id" not in conf
+    assert "spark.sql.catalog.lake.s3.endpoint" not in rest_catalog_conf("c", "u", "w")
