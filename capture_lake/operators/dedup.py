@@ -11,9 +11,11 @@ Scale notes
   hot partition, and no second pass over the input.
 * The anti join (J1) is an equi join on that key: the target's hash column
   is read alone (column pruning) with ``file_hash <> ''`` pushed into the
-  scan.  No ``distinct`` on the target: an anti join does not need one.  AQE
-  turns it into a broadcast join only when the hash side proved small at
-  runtime, and splits skewed partitions of the batch side.
+  scan, and de-duplicated first (map-side combine; the join reuses that
+  partitioning), so a hash repeated in the target is never a hot key on the
+  side AQE cannot split.  AQE turns it into a broadcast join only when the
+  hash side proved small at runtime, and splits skewed partitions of the
+  batch side.
 * In-batch first-per-hash (D2) is ``row_number() = 1`` over the dedup key,
   planned with a partial ``WindowGroupLimit`` map-side: a hash repeated a
   million times leaves each map task as one row.
@@ -61,13 +63,18 @@ def anti_join_bounded(left: DataFrame, left_key: Column, right: DataFrame, right
     Otherwise a shuffled anti join is planned (AQE may still broadcast from
     runtime sizes, and splits skewed partitions of ``left``).
     """
+    keys = right.select(right_col)
     if broadcast_limit is not None:
         probes = left.select((left_key if probe is None else probe).alias("__b")).where(
             F.col("__b").isNotNull()).distinct()
         if probes.limit(broadcast_limit + 1).count() <= broadcast_limit:
-            hits = right.join(F.broadcast(probes), right[right_col] == F.col("__b"), "left_semi")
+            # distinct: at most one row per probe, so the broadcast is bounded
+            hits = keys.join(F.broadcast(probes), keys[right_col] == F.col("__b"), "left_semi").distinct()
             return left.join(F.broadcast(hits), left_key == hits[right_col], "left_anti")
-    return left.join(right, left_key == right[right_col], "left_anti")
+    # distinct combines map-side (a value repeated in a third of ``right``
+    # leaves each task once) and the join reuses its hash partitioning
+    uniq = keys.distinct()
+    return left.join(uniq, left_key == uniq[right_col], "left_anti")
 
 
 def drop_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,
@@ -92,7 +99,7 @@ def already_captured(batch: DataFrame, target: DataFrame | None, hash_col: str =
     if target is None:
         return batch.limit(0)
     keyed = batch.where(has_hash(hash_col))
-    seen = _target_hashes(target, target_col)
+    seen = _target_hashes(target, target_col).distinct()
     return keyed.join(seen, keyed[hash_col] == seen["__seen_hash"], "left_semi")
 
 
@@ -129,7 +136,9 @@ def distinct_keys(batch: DataFrame, keys: Sequence[str], seen: DataFrame | None
     """
     out = batch.dropDuplicates(list(keys))
     if seen is not None:
-        out = out.join(seen.select(*keys), on=list(keys), how="left_anti")
+        # distinct first: a hot key on the right of an anti join cannot be
+        # split by AQE, but after a map-side combine it is one row per task
+        out = out.join(seen.select(*keys).distinct(), on=list(keys), how="left_anti")
     return out
 
 
