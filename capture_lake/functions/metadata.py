@@ -34,16 +34,19 @@ STRING_DEFAULTS = {
 }
 COMPRESSION_RATIO_DEFAULT = "0.0"
 
-# Number grammars of the producer's language: optional blanks and sign,
-# digits with single underscores between them; floats add a fraction, an
-# exponent and the inf/nan words.  Spark's cast alone differs on "1_000"
-# (rejects) and "1d" (accepts), so values are checked first, then cast.
+# Number grammars of the producer's language: optional ASCII blanks
+# (space, \t \n \v \f \r; not the \x1c-\x1f separators) and sign, digits
+# with single underscores between them; floats add a fraction, an exponent
+# and the inf/nan words.  Spark's
+# cast alone differs on "1_000" (rejects), "1d" (accepts) and "-nan"
+# (rejects), so values are checked first, then cast.
+_WS = r"[\t\n\x0B\f\r ]"
 _DIGITS = r"[0-9](?:_?[0-9])*"
-INT_PATTERN = rf"^\s*[+-]?{_DIGITS}\s*$"
-FLOAT_PATTERN = (
-    rf"^\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-    rf"|(?i:inf|infinity|nan))\s*$"
-)
+INT_PATTERN = rf"^{_WS}*[+-]?{_DIGITS}{_WS}*$"
+FLOAT_PATTERN = rf"^{_WS}*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?{_WS}*$"
+NAN_PATTERN = rf"^{_WS}*[+-]?(?i:nan){_WS}*$"
+POS_INF_PATTERN = rf"^{_WS}*\+?(?i:inf|infinity){_WS}*$"
+NEG_INF_PATTERN = rf"^{_WS}*-(?i:inf|infinity){_WS}*$"
 
 
 def _as_col(c: Column | str) -> Column:
@@ -73,7 +76,10 @@ def parse_int(s: Column) -> Column:
 def parse_double(s: Column) -> Column:
     """Strict float parse (P2); NULL when the text is not a float literal."""
     cleaned = F.regexp_replace(F.trim(s), "_", "")
-    return F.when(s.rlike(FLOAT_PATTERN), cleaned.try_cast("double"))
+    return (F.when(s.rlike(FLOAT_PATTERN), cleaned.try_cast("double"))
+            .when(s.rlike(NAN_PATTERN), F.lit(float("nan")))
+            .when(s.rlike(POS_INF_PATTERN), F.lit(float("inf")))
+            .when(s.rlike(NEG_INF_PATTERN), F.lit(float("-inf"))))
 
 
 def meta_int(metadata: Column | str, key: str, fallback: Column | None = None) -> Column:
