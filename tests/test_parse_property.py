@@ -53,3 +53,19 @@ def test_known_corner_cases(spark):
     for r in rows:
         assert same(r.n, py_int(r.s)), (repr(r.s), r.n, py_int(r.s))
         assert same(r.d, py_float(r.s)), (repr(r.s), r.d, py_float(r.s))
+
+
+PAGE_ALPHABET = "ab-\n" + "".join(chr(c) for c in range(0x09, 0x0E)) + "\x1c\x1d\x1e\x1f \x85\xa0   ​    　﻿"
+pages = st.lists(st.lists(st.one_of(st.none(), st.text(alphabet=PAGE_ALPHABET, max_size=5)), max_size=4),
+                 min_size=30, max_size=30)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pages)
+def test_page_assembly_matches_python(spark, docs):
+    from capture_lake.functions.text import join_pages
+
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, pages array<string>")
+    got = {r.i: r.t for r in df.select("i", join_pages(F.col("pages")).alias("t")).collect()}
+    for i, d in enumerate(docs):
+        assert got[i] == "\n---\n".join(p for p in d if p).strip(), (d, got[i])
