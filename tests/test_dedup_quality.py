@@ -91,3 +91,15 @@ def test_batch_outcome(spark):
                                 "key string, status string, n_rows bigint")
     r = metrics.batch_outcome(res).first()
     assert (r.total, r.succeeded, r.files_extracted, r.rows_written) == (3, 2, 1, 1)
+
+
+def test_empty_hash_third_spreads_over_partitions(spark):
+    # a third of the batch has an empty hash: on the dedup key they spread
+    rows = [(f"k{i:05d}", "" if i % 3 == 0 else f"h{i}", T0) for i in range(6000)]
+    b = batch(spark, rows)
+    parts = (b.repartition(8, dedup.dedup_key(b)).groupBy(F.spark_partition_id().alias("p")).count()
+             .agg(F.max("count").alias("m")).first().m)
+    assert parts < 6000 / 8 * 1.5
+    # versus partitioning on the raw hash, where all 2000 land in one partition
+    raw = b.repartition(8, "file_hash").groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert raw >= 2000
