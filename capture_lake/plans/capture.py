@@ -61,15 +61,17 @@ def fresh_objects(listing: DataFrame, target: DataFrame | None,
     """J1 + D2 on listing rows with a ``metadata`` map.
 
     Returns (fresh, duplicates).  Duplicates are rows whose hash is already in
-    the target, or repeats of a hash earlier in the same batch.
-    ``broadcast_limit`` enables the bounded semi-join reduction of J1.
+    the target, or repeats of a hash earlier in the same batch: exactly the
+    listed objects that are not fresh, found by an anti join on the unique
+    object key between two batch-sized frames (no second pass over the
+    target).  ``broadcast_limit`` enables the bounded semi-join reduction of J1.
     """
     hashed = listing.withColumn("file_hash", M.meta_string("metadata", M.KEY_CONTENT_HASH, ""))
     not_captured = dedup.drop_captured(hashed, target, broadcast_limit=broadcast_limit)
     fresh = dedup.first_per_hash(not_captured, order)
-    dup_target = dedup.already_captured(hashed, target).select("key")
-    dup_batch = dedup.later_per_hash(not_captured, order).select("key")
-    return fresh, dup_target.unionByName(dup_batch)
+    kept = fresh.select(F.col("key").alias("__fresh_key"))
+    dups = hashed.select("key").join(kept, F.col("key") == F.col("__fresh_key"), "left_anti")
+    return fresh, dups
 
 
 def assemble(
