@@ -113,8 +113,11 @@ def _run_stream(args, spark, manifest, ocr_factory, pdf_factory) -> int:
         # Per micro-batch (bounded by maxFilesPerTrigger): bytes of the fresh
         # objects loaded by name, then the same payload path as the batch job.
         session = fresh.sparkSession
+        intake_text = None
+        if args.intake and pdf_factory is not None:
+            intake_text = C.archive_texts(session, args.intake, fresh, pdf_factory)
         rows = L.payloads_for(session, fresh, args.images, suffix=L.CAPTURE_SUFFIX)
-        return C.assemble_payloads(session, rows, ocr_factory, pdf_factory, args.intake)
+        return C.assemble_payloads(rows, ocr_factory, intake_text)
 
     checkpoint = args.checkpoint or f"{shared_dir(spark).rstrip('/')}/capture-stream-{args.table}"
     stream = listing_stream(spark, args.images, manifest)

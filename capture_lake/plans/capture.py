@@ -204,9 +204,14 @@ def capture_files(
     # do not redo the listing, manifest join and dedup.
     fresh = fresh.persist()
 
+    # Archive texts from the listing rows (metadata only), so finding the
+    # referenced archives never runs the image pipeline.
+    intake_text = None
+    if intake_root is not None and pdf_factory is not None:
+        intake_text = archive_texts(spark, intake_root, fresh, pdf_factory)
     # Bytes of fresh objects only when few, else an interval-bounded scan.
     rows = L.payloads_for(spark, fresh, images_root, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
-    checked = assemble_payloads(spark, rows, ocr_factory, pdf_factory, intake_root, region, partitions)
+    checked = assemble_payloads(rows, ocr_factory, intake_text, region, partitions)
     keep = ["key", "metadata", "status", "error", *RECORD_COLUMNS]
     # One materialisation in the shared checkpoint folder: records,
     # quarantine and outcome read it instead of re-running the extractors,
@@ -219,19 +224,19 @@ def capture_files(
 
 
 def assemble_payloads(
-    spark: SparkSession,
     rows: DataFrame,
     ocr_factory: Callable[[], Callable[[bytes, dict], Any]],
-    pdf_factory: Callable[[], Callable[[bytes], Any]] | None = None,
-    intake_root: str | None = None,
+    intake_text: DataFrame | None = None,
     region: dict | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Fresh rows with ``metadata`` and zstd ``content`` -> checked records.
 
     M1 inflate, P7 size, P5/P6 OCR box, M3 OCR (``fail`` policy), E3/A1-A3
-    row-local, then the source archive text (J3) and the record columns.
-    Every failure is a per-row error routed to quarantine.
+    row-local, then the source archive text (J3, ``intake_text`` from
+    ``archive_texts``) and the record columns.  Every failure is a per-row
+    error routed to quarantine.  Nothing here triggers a job: the extractor
+    runs once, when the caller materialises the result.
     """
     region = region or IMG.OCR_REGION
     rows = spread(rows, partitions)
@@ -257,10 +262,6 @@ def assemble_payloads(
                               error_col="__ocr_err", elapsed_col="__ocr_ms")
     extracted = ocr.summarize_raw(extracted, "ocr_raw")
 
-    intake_text = None
-    if intake_root is not None and pdf_factory is not None:
-        intake_text = archive_texts(spark, intake_root, extracted, pdf_factory)
-
     not_png = F.when(F.col("__img.error").isNull() & F.col("__w").isNull(), F.lit(NOT_AN_IMAGE_ERROR))
     errors = F.filter(F.array(F.col("__img.error"), not_png, F.col("__box_err"), F.col("__ocr_err")),
                       lambda x: x.isNotNull())

@@ -139,3 +139,22 @@ def test_capture_histograms(spark, bucket):
     assert conf["0.7"] == 0 and conf["0.8"] == 2 and conf["+Inf"] == 2
     dur = {r.series: r.value for r in res.duration_histogram().collect() if r.series != "bucket"}
     assert dur["count"] == 2
+
+
+def test_ocr_runs_once_per_fresh_image(spark, bucket):
+    images, intake, manifest, target = bucket
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting_factory():
+        inner = ocr_factory()
+
+        def fn(png, box):
+            calls.add(1)
+            return inner(png, box)
+        return fn
+
+    res = capture_files(spark, images, manifest, target, counting_factory, pdf_factory, intake_root=intake)
+    res.records.collect()
+    res.quarantine.collect()
+    res.outcome().collect()
+    assert calls.value == 2  # a and f: duplicates and broken payloads never reach OCR
