@@ -16,8 +16,9 @@ Error policy per row:
 
 ``elapsed_col`` records the wall time spent in the function per row, in ms.
 
-Size the input partitions before calling (``repartition(n)`` on the row
-count, not on a key) so one task holds a bounded number of payloads.
+Partitions: a file scan packs ``maxPartitionBytes`` per task, which bounds the
+payloads per task; ``partitions`` (round robin, never a key) or ``spread`` on a
+scan raise the parallelism of a small input.
 """
 
 from __future__ import annotations
@@ -32,18 +33,21 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when it has fewer, before per-row Python work.
+def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a *scan* over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) when it has fewer, before per-row Python work.
 
-    A large scan already has many partitions and is returned unchanged, so
-    no shuffle is added at scale; a small input split into few files (or one
-    row group) gets spread over all cores instead of running in one task.
+    Only for frames without shuffles: reading the partition count of a plain
+    scan plans it without running anything, while under AQE a plan with
+    exchanges would execute its upstream stages just to answer.  A large
+    scan already has many partitions and is returned unchanged, so no
+    shuffle is added at scale; a small input in few files (or one row group)
+    is spread over all cores instead of running in one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= target:
+        return scan
+    return scan.repartition(target)
 
 
 def _normalize(result: Any, fields: list[str]) -> list[Any]:
@@ -66,18 +70,21 @@ def run_extractor(
     error_col: str = "error",
     elapsed_col: str | None = None,
     passthrough: Sequence[str] | None = None,
-    min_partitions: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Apply ``factory()(*row[input_cols])`` to every row of ``df``.
 
     Returns ``passthrough`` columns (default: all of ``df``) + the fields of
-    ``output_type`` + ``error_col`` (+ ``elapsed_col``).
+    ``output_type`` + ``error_col`` (+ ``elapsed_col``).  ``partitions``
+    repartitions the input first (round robin), when given.
     """
     if on_error not in ("fail", "empty"):
         raise ValueError("on_error must be 'fail' or 'empty'")
     keep = list(df.columns if passthrough is None else passthrough)
     names = list(dict.fromkeys([*keep, *input_cols]))
-    src = spread(df.select(*names), min_partitions)
+    src = df.select(*names)
+    if partitions:
+        src = src.repartition(partitions)
     out_fields = [src.schema[c] for c in keep] + list(output_type.fields)
     out_fields.append(T.StructField(error_col, T.StringType()))
     if elapsed_col:

@@ -29,7 +29,7 @@ from capture_lake.functions import metadata as M
 from capture_lake.functions.codecs import zstd_inflate
 from capture_lake.functions.text import join_pages
 from capture_lake.operators import dedup, ocr, pdf, quality
-from capture_lake.operators.extractor import run_extractor, spread
+from capture_lake.operators.extractor import run_extractor
 from capture_lake.operators.metrics import CONFIDENCE_BOUNDS, DURATION_BOUNDS, batch_outcome, histogram
 from capture_lake.schema import RECORD_COLUMNS
 from capture_lake.session import shared_dir
@@ -193,7 +193,8 @@ def capture_files(
     ``ocr_factory()`` returns ``fn(image_png_bytes, box) -> nested lines``
     (blocks of ``{"text", "confidence"}``); it is called on fresh rows only.
     ``pdf_factory()`` returns ``fn(pdf_bytes) -> list of page texts``.
-    ``partitions`` spreads fresh rows evenly before the Python work.
+    ``partitions`` round-robins the fresh rows before the Python work (the
+    payload scan's byte-packed partitions are used otherwise).
     """
     listed = L.list_objects(spark, images_root, prefix=prefix, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
     if keys is not None:
@@ -239,7 +240,8 @@ def assemble_payloads(
     runs once, when the caller materialises the result.
     """
     region = region or IMG.OCR_REGION
-    rows = spread(rows, partitions)
+    if partitions:
+        rows = rows.repartition(partitions)
     rows = rows.withColumn("__img", zstd_inflate(F.col("content"))).drop("content")
     img = F.col("__img.payload")
     rows = rows.withColumns({"__w": IMG.png_width(img), "__h": IMG.png_height(img)})
