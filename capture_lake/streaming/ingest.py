@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from capture_lake.sources import listing as L
 from capture_lake.sources.tables import read_target
 
 Assembler = Callable[[DataFrame], DataFrame]
+log = logging.getLogger(__name__)
 
 # Distinct hashes of one micro-batch that may be broadcast (~64 MiB of hashes).
 MICRO_BATCH_BROADCAST_LIMIT = 1_000_000
@@ -41,8 +43,11 @@ def _plain_assemble(fresh: DataFrame) -> DataFrame:
 
 
 def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
-                  assemble: Assembler = _plain_assemble, quarantine_path: str | None = None) -> None:
-    """One micro-batch: D2 + J1 against the refreshed target, assemble, append."""
+                  assemble: Assembler = _plain_assemble, quarantine_path: str | None = None,
+                  batch_id: int | None = None) -> dict:
+    """One micro-batch: D2 + J1 against the refreshed target, assemble, append.
+
+    Returns (and logs) the write counters observed on the append."""
     spark = batch_df.sparkSession
     target = read_target(spark, identifier)
     # A micro-batch is bounded (maxFilesPerTrigger / maxBytesPerTrigger), so
@@ -59,12 +64,14 @@ def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
         checked = checked.persist()  # two writes read it
     try:
         res = C.finish(checked, fresh.limit(0).select("key"))
-        append_records(res.records, identifier, warehouse)
+        counters = append_records(res.records, identifier, warehouse)
         if quarantine_path:
             res.quarantine.write.mode("append").parquet(quarantine_path)
     finally:
         if quarantine_path:
             checked.unpersist()
+    log.info("capture batch %s into %s: %s", batch_id, identifier, counters)
+    return counters
 
 
 def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str, warehouse: str,
@@ -74,7 +81,7 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
     """Start the stream: ``source`` is a streaming frame of listing rows with a
     ``metadata`` map (see ``listing_stream``)."""
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, _id: capture_batch(df, identifier, warehouse, assemble, quarantine_path))
+        lambda df, batch_id: capture_batch(df, identifier, warehouse, assemble, quarantine_path, batch_id))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
