@@ -8,8 +8,9 @@
 * T3 cross-batch hash dedup: ``foreachBatch`` dedups inside the batch (D2)
   and against the target (J1) read through the batch's own session after a
   table refresh (a stale file listing could admit duplicates).
-  ``foreachBatch`` is at-least-once: a replayed batch is harmless for hashed
-  rows (J1); empty-hash rows are also checked by path against the target.
+  ``foreachBatch`` is at-least-once: a batch writes a commit marker after its
+  writes, a replay of a marked batch is skipped, and a replay in the short
+  window before the marker is harmless for hashed rows (J1).
 * T4 retry: quarantine rows that are still not in the target, for a batch
   re-run.
 """
@@ -42,23 +43,42 @@ def _plain_assemble(fresh: DataFrame) -> DataFrame:
     return C.assemble(fresh)
 
 
+def _committed(spark, commit_dir: str | None, batch_id: int | None) -> bool:
+    if commit_dir is None or batch_id is None:
+        return False
+    try:
+        spark.read.parquet(f"{commit_dir}/batch={batch_id}")
+        return True
+    except Exception:  # no marker: not committed
+        return False
+
+
+def _mark_committed(spark, commit_dir: str | None, batch_id: int | None) -> None:
+    if commit_dir is not None and batch_id is not None:
+        spark.range(1).selectExpr(f"{int(batch_id)} as batch_id").write.mode("overwrite").parquet(
+            f"{commit_dir}/batch={batch_id}")
+
+
 def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
                   assemble: Assembler = _plain_assemble, quarantine_path: str | None = None,
-                  batch_id: int | None = None) -> dict:
+                  batch_id: int | None = None, commit_dir: str | None = None) -> dict:
     """One micro-batch: D2 + J1 against the refreshed target, assemble, append.
 
-    Returns (and logs) the write counters observed on the append."""
+    ``foreachBatch`` is at-least-once.  With ``commit_dir`` a marker is
+    written per ``batch_id`` after its writes succeed, and a replayed batch
+    whose marker exists is skipped whole.  A replay after the append but
+    before the marker is still harmless for hashed rows (J1 drops them);
+    only empty-hash rows could repeat, as they would in the producer.
+    Returns (and logs) the write counters observed on the append.
+    """
     spark = batch_df.sparkSession
+    if _committed(spark, commit_dir, batch_id):
+        log.info("capture batch %s into %s: already committed, skipped", batch_id, identifier)
+        return {"rows_written": 0, "rows_with_hash": 0, "skipped": True}
     target = read_target(spark, identifier)
     # A micro-batch is bounded (maxFilesPerTrigger / maxBytesPerTrigger), so
     # its hash set is broadcast to filter the target scan map-side.
     fresh, _ = C.fresh_objects(batch_df, target, broadcast_limit=MICRO_BATCH_BROADCAST_LIMIT)
-    if target is not None:
-        # Replay guard for empty hashes: same path already written.
-        paths = target.where(F.col("file_hash") == "").select(F.col("original_path").alias("__p"))
-        empty = dedup.anti_join_bounded(fresh.where(~dedup.has_hash()), F.col("key"), paths, "__p",
-                                        broadcast_limit=MICRO_BATCH_BROADCAST_LIMIT)
-        fresh = fresh.where(dedup.has_hash()).unionByName(empty)
     checked = assemble(fresh)
     if quarantine_path:
         checked = checked.persist()  # two writes read it
@@ -70,6 +90,7 @@ def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
     finally:
         if quarantine_path:
             checked.unpersist()
+    _mark_committed(spark, commit_dir, batch_id)
     log.info("capture batch %s into %s: %s", batch_id, identifier, counters)
     return counters
 
@@ -79,9 +100,12 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
                          available_now: bool = False, interval: str = "60 seconds",
                          quarantine_path: str | None = None):
     """Start the stream: ``source`` is a streaming frame of listing rows with a
-    ``metadata`` map (see ``listing_stream``)."""
+    ``metadata`` map (see ``listing_stream``).  Batch commit markers live
+    next to the stream checkpoint."""
+    commit_dir = f"{checkpoint.rstrip('/')}/_capture_commits"
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: capture_batch(df, identifier, warehouse, assemble, quarantine_path, batch_id))
+        lambda df, batch_id: capture_batch(df, identifier, warehouse, assemble, quarantine_path, batch_id,
+                                           commit_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 

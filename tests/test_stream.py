@@ -126,3 +126,23 @@ def test_dedup_keys_stream(spark):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.key for r in spark.table("dedup_keys_out").collect()) == ["a", "b"]
+
+
+def test_replayed_batch_writes_nothing_twice(spark):
+    from capture_lake.streaming.ingest import capture_batch
+
+    base = scratch_path(spark, "stream-replay")
+    ident = "capture_lake_t.stream_replay"
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
+    t0 = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([("a", 1, t0, "", meta("H1")), ("e", 1, t0, "", meta(""))], SCHEMA)
+    commits = f"{base}/ckpt/_capture_commits"
+    first = capture_batch(batch, ident, f"{base}/wh", batch_id=0, commit_dir=commits)
+    again = capture_batch(batch, ident, f"{base}/wh", batch_id=0, commit_dir=commits)  # replay
+    assert first["rows_written"] == 2 and again.get("skipped")
+    # a replay that missed its marker: the hashed row is still dropped by J1
+    late = capture_batch(batch, ident, f"{base}/wh", batch_id=1)
+    assert late["rows_with_hash"] == 0
+    spark.catalog.refreshTable(ident)
+    assert sorted(r.file_hash for r in spark.table(ident).collect()) == ["", "", "H1"]
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
