@@ -139,12 +139,16 @@ def dedup_keys_stream(stream: DataFrame, keys: list[str], event_time: str, delay
 
 
 def retry_queue(quarantine: DataFrame, target: DataFrame) -> DataFrame:
-    """T4: quarantined objects whose hash and path are still not in the target."""
-    q = quarantine.select("key", "error", "file_hash")
+    """T4: quarantined objects to run again, one row per key with its latest error.
+
+    An object whose hash has been captured since (for instance from a copy)
+    needs no retry (J1).  The quarantine is append-only, so a key that
+    failed several times appears several times; the per-key aggregate keeps
+    the error of the latest attempt and combines map-side.
+    """
+    q = quarantine.select("key", "error", "file_hash", "processed_at")
     q = dedup.drop_captured(q, target, broadcast_limit=RETRY_BROADCAST_LIMIT)
-    paths = target.select(F.col("original_path").alias("__p"))
-    q = dedup.anti_join_bounded(q, F.col("key"), paths, "__p", broadcast_limit=RETRY_BROADCAST_LIMIT)
-    return q.select("key", "error")
+    return q.groupBy("key").agg(F.max_by("error", "processed_at").alias("error"))
 
 
 # ---------------------------------------------------------------------------

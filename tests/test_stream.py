@@ -57,9 +57,14 @@ def test_two_runs_with_restart(spark):
 
 
 def test_retry_queue(spark):
-    q = spark.createDataFrame([("k1", "e", "H1"), ("k2", "e", "H2"), ("k3", "e", "")], "key string, error string, file_hash string")
-    t = spark.createDataFrame([("H1", "p1"), ("", "k3")], "file_hash string, original_path string")
-    assert [r.key for r in retry_queue(q, t).collect()] == ["k2"]
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    q = spark.createDataFrame([("k1", "e", "H1", t1), ("k2", "old", "H2", t1), ("k2", "new", "H2", t2),
+                               ("k3", "e3", "", t1)],
+                              "key string, error string, file_hash string, processed_at timestamp")
+    t = spark.createDataFrame([("H1", "p1")], "file_hash string, original_path string")
+    got = sorted((r.key, r.error) for r in retry_queue(q, t).collect())
+    assert got == [("k2", "new"), ("k3", "e3")]
+
 
 
 def test_processing_time_trigger(spark):
