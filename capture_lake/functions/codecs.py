@@ -32,6 +32,10 @@ MEMBERS_TYPE = T.StructType(
 READ_TYPE = T.StructType(
     [T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
 )
+FIRST_MEMBER_TYPE = T.StructType(
+    [T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType()),
+     T.StructField("error", T.StringType())]
+)
 
 
 # Fixed value: the error of an empty payload.
@@ -111,6 +115,35 @@ def zip_read(blobs: pd.Series, names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"content": [o[0] for o in out], "error": [o[1] for o in out]})
 
 
+def first_member_one(blob: bytes | None, suffix: str):
+    """First member (archive order) whose lower-cased name ends with ``suffix``."""
+    if blob is None:
+        return None, None, None
+    try:
+        with zipfile.ZipFile(io.BytesIO(blob)) as zf:
+            for name in zf.namelist():
+                if name.lower().endswith(suffix):
+                    return name, zf.read(name), None
+            return None, None, None
+    except Exception as exc:
+        return None, None, _err(exc)
+
+
+def zip_first_member(suffix: str):
+    """Pandas UDF: STRUCT(name, content, error) of the first member whose name
+    ends with ``suffix`` (case-insensitive); one pass over each archive, so
+    its bytes cross to Python once."""
+    suffix = suffix.lower()
+
+    @F.pandas_udf(FIRST_MEMBER_TYPE)
+    def first_member(blobs: pd.Series) -> pd.DataFrame:
+        out = [first_member_one(b, suffix) for b in blobs]
+        return pd.DataFrame({"name": [o[0] for o in out], "content": [o[1] for o in out],
+                             "error": [o[2] for o in out]})
+
+    return first_member
+
+
 @F.pandas_udf(T.BinaryType())
 def zip_pack(names: pd.Series, contents: pd.Series) -> pd.Series:
     """Pack ARRAY<name> with ARRAY<content> into one ZIP per row (stand-in archives)."""

@@ -1,9 +1,9 @@
 """Source archives and page text (E1 members, E2 first PDF, P9, E4 pages, A4).
 
-The archive work is split so contents are read once and only where needed:
-``zip_members`` lists names (no decompression), built-ins pick the first
-``.pdf`` member in archive order, and ``zip_read`` inflates that one member.
-A per-file text extractor (M3) turns PDF bytes into page texts.
+Archives are opened once per row: ``first_pdf`` walks the names in archive
+order and inflates only the first ``.pdf`` member; ``explode_members`` lists
+names without inflating anything.  A per-file text extractor (M3) turns PDF
+bytes into page texts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capture_lake.functions.codecs import zip_members, zip_read
+from capture_lake.functions.codecs import zip_first_member, zip_members
 from capture_lake.functions.text import PAGE_SEPARATOR, unicode_strip
 
 # Fixed value: the member suffix that marks the PDF inside an archive.
@@ -41,19 +41,19 @@ def first_pdf_name(members: Column) -> Column:
 
 
 def first_pdf(archives: DataFrame, content_col: str = "content") -> DataFrame:
-    """E1 + E2 per archive row: adds ``pdf_name``, ``pdf_bytes``, ``archive_error``.
-
-    Row-local: no shuffle, every archive stays one row.
+    """E1 + E2 + P9 per archive row: adds ``pdf_name``, ``pdf_bytes``,
+    ``archive_error``.
+
+    Row-local (no shuffle, every archive stays one row) and one pass: the
+    archive is opened once, its names are walked in archive order and the
+    first ``.pdf`` (any case) is read, so the archive bytes cross to Python
+    once.  ``explode_members`` + ``is_pdf_name`` give the same choice over
+    member rows.
     """
-    listed = archives.withColumn("__m", zip_members(F.col(content_col)))
-    named = listed.withColumn("pdf_name", first_pdf_name(F.col("__m.members")))
-    read = named.withColumn("__r", zip_read(F.col(content_col), F.col("pdf_name")))
-    return read.withColumns(
-        {
-            "pdf_bytes": F.col("__r.content"),
-            "archive_error": F.coalesce(F.col("__m.error"), F.col("__r.error")),
-        }
-    ).drop("__m", "__r")
+    found = archives.withColumn("__f", zip_first_member(PDF_SUFFIX)(F.col(content_col)))
+    return found.withColumns(
+        {"pdf_name": F.col("__f.name"), "pdf_bytes": F.col("__f.content"), "archive_error": F.col("__f.error")}
+    ).drop("__f")
 
 
 def page_rows(df: DataFrame, key_cols: list[str], pages_col: str) -> DataFrame:

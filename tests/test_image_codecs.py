@@ -90,3 +90,15 @@ def test_members_exploded_in_order(spark):
 def test_pdf_suffix_predicate(spark, name, ok):
     got = spark.createDataFrame([(name,)], "n string").select(pdf.is_pdf_name(F.col("n")).alias("v")).first().v
     assert got is ok
+
+
+def test_builtin_member_choice_agrees_with_one_pass(spark):
+    from capture_lake.functions.codecs import zip_read
+
+    z1 = make_zip([("b.txt", b"x"), ("Z.PDF", b"zz"), ("a.pdf", b"aa")])
+    z2 = make_zip([("only.txt", b"t")])
+    df = spark.createDataFrame([(1, z1), (2, z2)], "k int, content binary")
+    listed = df.withColumn("name", pdf.first_pdf_name(zip_members("content").members))
+    two_step = listed.withColumn("r", zip_read("content", "name")).select("k", "name", F.col("r.content").alias("c"))
+    one_pass = pdf.first_pdf(df).select("k", F.col("pdf_name").alias("name"), F.col("pdf_bytes").alias("c"))
+    assert sorted(two_step.collect()) == sorted(one_pass.collect())
