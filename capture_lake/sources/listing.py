@@ -16,6 +16,7 @@ import datetime as dt
 import re
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,11 +68,25 @@ def filter_listing(df: DataFrame, prefix: str = "", suffix: str | None = None,
     return out
 
 
-def _binary_files(spark: SparkSession, root: str, suffix: str | None) -> DataFrame:
+_GLOB_SPECIAL = re.compile(r"([\\*?\[\]{}])")
+
+
+def _binary_files(spark: SparkSession, root: str, suffix: str | None, prefix: str = "") -> DataFrame:
+    """binaryFile scan of ``root``; a key ``prefix`` is pushed into the path as
+    a glob (``root/<prefix>*``) so only matching folders and objects are
+    listed, as an object store lists by prefix.  No match gives no rows."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    return reader.load(root)
+    path = root
+    if prefix:
+        path = f"{root.rstrip('/')}/{_GLOB_SPECIAL.sub(r'\\\1', prefix)}*"
+    try:
+        return reader.load(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return spark.createDataFrame([], BINARY_FILE_SCHEMA)
+        raise
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str | None = None,
@@ -80,7 +95,7 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str |
 
     The file source has no ETag, so ``etag`` is ``""`` (the producer's default).
     """
-    files = _binary_files(spark, root, suffix)
+    files = _binary_files(spark, root, suffix, prefix)
     if start is not None and end is not None:
         files = files.where((F.col("modificationTime") >= F.lit(start).cast("timestamp"))
                             & (F.col("modificationTime") < F.lit(end).cast("timestamp")))

@@ -158,3 +158,14 @@ def test_ocr_runs_once_per_fresh_image(spark, bucket):
     res.quarantine.collect()
     res.outcome().collect()
     assert calls.value == 2  # a and f: duplicates and broken payloads never reach OCR
+
+
+def test_prefix_pushed_into_listing_path(spark, bucket):
+    from capture_lake.sources.listing import list_objects
+    images = bucket[0]
+    assert list_objects(spark, images, prefix="2024/01/0").count() == 7      # partial folder name
+    assert list_objects(spark, images, prefix="2024/01/01/b").count() == 1
+    assert list_objects(spark, images, prefix="2025/").count() == 0          # nothing there: empty, no error
+    # only the prefix's objects are listed at all (before any filter)
+    listed = list_objects(spark, images, prefix="2024/01/01/a").inputFiles()
+    assert len(listed) == 1 and listed[0].endswith("2024/01/01/a.png.zst")
