@@ -44,19 +44,20 @@ def _plain_assemble(fresh: DataFrame) -> DataFrame:
 
 
 def _committed(spark, commit_dir: str | None, batch_id: int | None) -> bool:
+    """True when ``batch_id`` has a commit marker.  A sentinel marker always
+    exists (written once, mode ``ignore``), so the glob below never names a
+    missing path: only the sentinel and this batch's folder are listed."""
     if commit_dir is None or batch_id is None:
         return False
-    try:
-        spark.read.parquet(f"{commit_dir}/batch={batch_id}")
-        return True
-    except Exception:  # no marker: not committed
-        return False
+    spark.range(1).selectExpr("-1L as batch_id").write.mode("ignore").parquet(f"{commit_dir}/sentinel")
+    marks = spark.read.schema("batch_id bigint").parquet(f"{commit_dir}/{{sentinel,batch-{int(batch_id)}}}")
+    return not marks.where(F.col("batch_id") == int(batch_id)).limit(1).isEmpty()
 
 
 def _mark_committed(spark, commit_dir: str | None, batch_id: int | None) -> None:
     if commit_dir is not None and batch_id is not None:
-        spark.range(1).selectExpr(f"{int(batch_id)} as batch_id").write.mode("overwrite").parquet(
-            f"{commit_dir}/batch={batch_id}")
+        spark.range(1).selectExpr(f"{int(batch_id)}L as batch_id").write.mode("overwrite").parquet(
+            f"{commit_dir}/batch-{int(batch_id)}")
 
 
 def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
