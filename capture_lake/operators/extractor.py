@@ -60,6 +60,29 @@ def _normalize(result: Any, fields: list[str]) -> list[Any]:
     return list(result)
 
 
+def _to_arrow(results: list[list[Any]], arrow_types: list[pa.DataType], errors: list[str | None],
+              on_error: str, empty_row: list[Any] | None) -> list[pa.Array]:
+    """Column arrays for the outputs.  A value that does not fit its declared
+    type is a per-row error too: the batch is converted at once, and only
+    when that fails row by row, so one malformed result never fails a task."""
+    try:
+        return [pa.array(r, type=t) for r, t in zip(results, arrow_types)]
+    except (pa.ArrowException, TypeError, ValueError, OverflowError):
+        pass
+    n = len(errors)
+    for i in range(n):
+        try:
+            for r, t in zip(results, arrow_types):
+                pa.array([r[i]], type=t)
+        except (pa.ArrowException, TypeError, ValueError, OverflowError) as exc:
+            fill = empty_row if (on_error == "empty" and empty_row) else [None] * len(results)
+            for r, v in zip(results, fill):
+                r[i] = v
+            if on_error != "empty":
+                errors[i] = f"{type(exc).__name__}: {exc}"
+    return [pa.array(r, type=t) for r, t in zip(results, arrow_types)]
+
+
 def run_extractor(
     df: DataFrame,
     factory: Callable[[], Callable[..., Any]],
@@ -116,7 +139,7 @@ def run_extractor(
                     results[i].append(v)
                 errors.append(err)
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            arrays += [pa.array(r, type=t) for r, t in zip(results, arrow_types)]
+            arrays += _to_arrow(results, arrow_types, errors, on_error, empty_row)
             arrays.append(pa.array(errors, type=pa.string()))
             if elapsed_col:
                 arrays.append(pa.array(elapsed, type=pa.int64()))

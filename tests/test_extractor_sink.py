@@ -91,3 +91,15 @@ def test_rest_catalog_conf():
     assert conf["spark.sql.catalog.lake.s3.path-style-access"] == "true"
     assert "spark.sql.catalog.lake.s3.access-key-id" not in conf
     assert "spark.sql.catalog.lake.s3.endpoint" not in rest_catalog_conf("c", "u", "w")
+
+
+def test_malformed_output_is_a_row_error(spark):
+    def factory():
+        def fn(i):
+            return {"n": "not a number" if i == 2 else i, "pid": 0}
+        return fn
+
+    df = spark.createDataFrame([(i,) for i in range(5)], "i int")
+    rows = {r.i: r for r in run_extractor(df, factory, ["i"], OUT).collect()}
+    assert rows[2].n is None and rows[2].error.startswith("Arrow")
+    assert [rows[i].n for i in (0, 1, 3, 4)] == [0, 1, 3, 4] and rows[0].error is None
