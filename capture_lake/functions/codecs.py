@@ -41,6 +41,10 @@ FIRST_MEMBER_TYPE = T.StructType(
 # Fixed value: the error of an empty payload.
 EMPTY_PAYLOAD_ERROR = "ValueError: compressed_bytes must not be empty"
 
+# Largest inflated payload or archive member read into a task: a corrupt or
+# hostile object becomes a per-row error instead of exhausting an executor.
+MAX_INFLATED_BYTES = 512 * 1024 * 1024
+
 
 def _err(exc: BaseException) -> str:
     return f"{type(exc).__name__}: {exc}"
@@ -56,7 +60,10 @@ def inflate_one(blob: bytes | None) -> tuple[bytes | None, str | None]:
         return None, EMPTY_PAYLOAD_ERROR
     try:
         with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(blob)) as reader:
-            return reader.read(), None
+            data = reader.read(MAX_INFLATED_BYTES + 1)
+        if len(data) > MAX_INFLATED_BYTES:
+            return None, f"ValueError: inflated payload exceeds {MAX_INFLATED_BYTES} bytes"
+        return data, None
     except Exception as exc:  # corrupt frame: a per-row error
         return None, _err(exc)
 
@@ -103,7 +110,10 @@ def read_member_one(blob: bytes | None, name: str | None):
         return None, None
     try:
         with zipfile.ZipFile(io.BytesIO(blob)) as zf:
-            return zf.read(name), None
+            info = zf.getinfo(name)
+            if info.file_size > MAX_INFLATED_BYTES:
+                return None, f"ValueError: member exceeds {MAX_INFLATED_BYTES} bytes"
+            return zf.read(info), None
     except Exception as exc:
         return None, _err(exc)
 
@@ -121,9 +131,11 @@ def first_member_one(blob: bytes | None, suffix: str):
         return None, None, None
     try:
         with zipfile.ZipFile(io.BytesIO(blob)) as zf:
-            for name in zf.namelist():
-                if name.lower().endswith(suffix):
-                    return name, zf.read(name), None
+            for info in zf.infolist():
+                if info.filename.lower().endswith(suffix):
+                    if info.file_size > MAX_INFLATED_BYTES:
+                        return info.filename, None, f"ValueError: member exceeds {MAX_INFLATED_BYTES} bytes"
+                    return info.filename, zf.read(info), None
             return None, None, None
     except Exception as exc:
         return None, None, _err(exc)

@@ -102,3 +102,16 @@ def test_builtin_member_choice_agrees_with_one_pass(spark):
     two_step = listed.withColumn("r", zip_read("content", "name")).select("k", "name", F.col("r.content").alias("c"))
     one_pass = pdf.first_pdf(df).select("k", F.col("pdf_name").alias("name"), F.col("pdf_bytes").alias("c"))
     assert sorted(two_step.collect()) == sorted(one_pass.collect())
+
+
+def test_inflate_size_cap(monkeypatch):
+    from capture_lake.functions import codecs
+
+    monkeypatch.setattr(codecs, "MAX_INFLATED_BYTES", 100)
+    big = zstd_bytes(b"x" * 1000)
+    payload, err = codecs.inflate_one(big)
+    assert payload is None and "exceeds 100 bytes" in err
+    z = make_zip([("a.pdf", b"y" * 1000)])
+    name, content, err = codecs.first_member_one(z, ".pdf")
+    assert name == "a.pdf" and content is None and "exceeds" in err
+    assert codecs.inflate_one(zstd_bytes(b"x" * 50)) == (b"x" * 50, None)
