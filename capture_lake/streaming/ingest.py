@@ -62,18 +62,21 @@ def _mark_committed(spark, commit_dir: str | None, batch_id: int | None) -> None
 
 def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
                   assemble: Assembler = _plain_assemble, quarantine_path: str | None = None,
-                  batch_id: int | None = None, commit_dir: str | None = None) -> dict:
+                  batch_id: int | None = None, commit_dir: str | None = None,
+                  probe_dir: str | None = "same") -> dict:
     """One micro-batch: D2 + J1 against the refreshed target, assemble, append.
 
     ``foreachBatch`` is at-least-once.  With ``commit_dir`` a marker is
     written per ``batch_id`` after its writes succeed, and a replayed batch
-    whose marker exists is skipped whole.  A replay after the append but
+    whose marker exists is skipped whole (``probe_dir`` is where markers are
+    looked up: the commit folder by default, None to skip the lookup for a
+    batch that cannot be a replay).  A replay after the append but
     before the marker is still harmless for hashed rows (J1 drops them);
     only empty-hash rows could repeat, as they would in the producer.
     Returns (and logs) the write counters observed on the append.
     """
     spark = batch_df.sparkSession
-    if _committed(spark, commit_dir, batch_id):
+    if _committed(spark, commit_dir if probe_dir == "same" else probe_dir, batch_id):
         log.info("capture batch %s into %s: already committed, skipped", batch_id, identifier)
         return {"rows_written": 0, "rows_with_hash": 0, "skipped": True}
     target = read_target(spark, identifier)
@@ -104,9 +107,17 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
     ``metadata`` map (see ``listing_stream``).  Batch commit markers live
     next to the stream checkpoint."""
     commit_dir = f"{checkpoint.rstrip('/')}/_capture_commits"
-    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: capture_batch(df, identifier, warehouse, assemble, quarantine_path, batch_id,
-                                           commit_dir))
+    # Spark re-runs a micro-batch only as the first batch after a (re)start,
+    # so only that one probes its marker; every batch still writes one.
+    first = [True]
+
+    def each_batch(df: DataFrame, batch_id: int) -> None:
+        probe = commit_dir if first[0] else None
+        first[0] = False
+        capture_batch(df, identifier, warehouse, assemble, quarantine_path, batch_id, commit_dir,
+                      probe_dir=probe)
+
+    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each_batch)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
