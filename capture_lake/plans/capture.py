@@ -199,7 +199,7 @@ def capture_files(
     listed = L.list_objects(spark, images_root, prefix=prefix, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
     if keys is not None:
         listed = L.select_keys(listed, keys)
-    with_meta = L.attach_metadata(listed, manifest)
+    with_meta = L.attach_metadata(listed, manifest, broadcast_limit=L.PATH_LOAD_LIMIT)
     fresh, dups = fresh_objects(with_meta, target)
     # Listing rows only (no bytes): kept so the path probe and the join below
     # do not redo the listing, manifest join and dedup.

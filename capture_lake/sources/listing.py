@@ -53,7 +53,6 @@ def strip_etag(etag: Column) -> Column:
     return F.btrim(etag, F.lit('"'))
 
 
-
 def filter_listing(df: DataFrame, prefix: str = "", suffix: str | None = None,
                    start: dt.datetime | str | None = None, end: dt.datetime | str | None = None,
                    key: str = "key", ts: str = "last_modified") -> DataFrame:
@@ -153,8 +152,20 @@ def select_keys(df: DataFrame, keys: Iterable[str], key: str = "key") -> DataFra
     return df.where(F.col(key).isin(list(keys)))
 
 
-def attach_metadata(listing: DataFrame, manifest: DataFrame, key: str = "key") -> DataFrame:
-    """Listing joined to its user metadata; no manifest row = empty map."""
+def attach_metadata(listing: DataFrame, manifest: DataFrame, key: str = "key",
+                    broadcast_limit: int | None = None) -> DataFrame:
+    """Listing joined to its user metadata; no manifest row = empty map.
+
+    A manifest covers every object ever seen while a batch lists one
+    interval.  With ``broadcast_limit``, when the batch has at most that many
+    keys (checked with a bounded count), they are broadcast to filter the
+    manifest scan map-side first, so the large side is never shuffled; AQE
+    then sees a small right side.  Otherwise a plain left join is planned.
+    """
     m = manifest.select(F.col(key).alias("__mkey"), F.col("metadata").alias("__meta"))
+    if broadcast_limit is not None:
+        keys = listing.select(F.col(key).alias("__b")).where(F.col("__b").isNotNull()).distinct()
+        if keys.limit(broadcast_limit + 1).count() <= broadcast_limit:
+            m = m.join(F.broadcast(keys), m["__mkey"] == F.col("__b"), "left_semi")
     out = listing.join(m, listing[key] == m["__mkey"], "left").drop("__mkey")
     return out.withColumn("metadata", F.coalesce(F.col("__meta"), F.create_map().cast("map<string,string>"))).drop("__meta")

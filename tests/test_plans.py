@@ -62,3 +62,19 @@ def test_bounded_batch_filters_target_map_side(spark, tmp_dir):
     # above the bound: the general shuffled join, same answer
     big = dedup.drop_captured(batch, target, broadcast_limit=1)
     assert sorted(r.key for r in big.collect()) == ["k1", "k2"]
+
+
+def test_bounded_listing_filters_manifest_map_side(spark, tmp_dir):
+    from capture_lake.sources.listing import attach_metadata
+
+    path = f"{tmp_dir}/manifest_big"
+    spark.range(5000).selectExpr("concat('k', cast(id as string)) as key",
+                                 "map('content-hash', md5(cast(id as string))) as metadata").write.parquet(path)
+    manifest = spark.read.parquet(path)
+    listing = spark.createDataFrame([("k1",), ("k7",), ("zz",)], "key string")
+    plain = sorted((r.key, r.metadata.get("content-hash")) for r in attach_metadata(listing, manifest).collect())
+    reduced = attach_metadata(listing, manifest, broadcast_limit=10)
+    assert sorted((r.key, r.metadata.get("content-hash")) for r in reduced.collect()) == plain
+    assert dict(plain)["zz"] is None
+    plan = plan_of(reduced)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
