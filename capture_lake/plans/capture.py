@@ -288,6 +288,10 @@ def archive_texts(spark: SparkSession, intake_root: str, images: DataFrame,
     refs = images.select(M.meta_get("metadata", M.KEY_SOURCE_INTAKE_KEY).alias("intake_key")).where(
         F.col("intake_key").isNotNull() & (F.col("intake_key") != "")).distinct()
     listed = L.list_objects(spark, intake_root).select(F.col("key").alias("intake_key"), "path")
+    # The batch's references are at most its fresh rows: when bounded they
+    # are broadcast, so the intake listing is filtered map-side.
+    if refs.limit(path_limit + 1).count() <= path_limit:
+        refs = F.broadcast(refs)
     present = listed.join(refs, "intake_key", "left_semi")
     archives = L.payloads_for(spark, present, intake_root, path_limit=path_limit).select("intake_key", "content")
     firsts = pdf.first_pdf(archives)
