@@ -103,3 +103,25 @@ def test_empty_hash_third_spreads_over_partitions(spark):
     # versus partitioning on the raw hash, where all 2000 land in one partition
     raw = b.repartition(8, "file_hash").groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
     assert raw >= 2000
+
+
+def test_images_without_archive_key_spread_in_j3(spark):
+    from capture_lake.plans.capture import attach_intake
+
+    # a third of the images carry no archive key: they must not share one join key
+    rows = [(f"k{i:05d}", {} if i % 3 == 0 else {"source-intake-key": f"z{i % 7}.zip"}) for i in range(6000)]
+    images = spark.createDataFrame(rows, "key string, metadata map<string,string>")
+    intake = spark.createDataFrame([(f"z{j}.zip", f"text{j}") for j in range(7)], "intake_key string, pdf_raw_text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = attach_intake(images, intake)
+        assert out.count() == 6000 and out.where(F.col("pdf_raw_text") == "").count() == 2000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        keyed = images.withColumn("k", F.when(F.try_element_at("metadata", F.lit("source-intake-key")).isNotNull(),
+                                              F.lit("x")).otherwise(F.concat(F.lit("\u0000"), "key")))
+        empty_rows = keyed.where(F.col("k") != "x").repartition(8, "k")
+        biggest = empty_rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert biggest < 2000 / 8 * 1.6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
