@@ -53,3 +53,19 @@ def test_query_matches_oracle(spark, con, name):
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert digest(df.columns, rows) == digest(ocols, orows)
+
+
+@pytest.mark.parametrize("name", ["capture_records", "dedup_batch_first", "dedup_persistent", "batch_outcome"])
+def test_shuffle_heavy_queries_without_aqe(spark, con, name):
+    # correctness must not depend on runtime re-planning (AQE off, many partitions)
+    df = E.queries()[name](spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    cur = con.execute(ORACLES[name])
+    ocols = [d[0] for d in cur.description]
+    assert digest(df.columns, rows) == digest(ocols, cur.fetchall())
