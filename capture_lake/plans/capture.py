@@ -190,8 +190,9 @@ def capture_files(
 ) -> CaptureResult:
     """M2 over object folders.
 
-    ``ocr_factory()`` returns ``fn(image_png_bytes, box) -> nested lines``
-    (blocks of ``{"text", "confidence"}``); it is called on fresh rows only.
+    ``ocr_factory()`` returns ``fn(image_png_bytes, box) -> nested lines``:
+    blocks of ``{"text", "confidence"}`` or of the engine's native
+    ``[box, [text, confidence]]`` entries; it is called on fresh rows only.
     ``pdf_factory()`` returns ``fn(pdf_bytes) -> list of page texts``.
     ``partitions`` round-robins the fresh rows before the Python work (the
     payload scan's byte-packed partitions are used otherwise).
@@ -257,7 +258,7 @@ def assemble_payloads(
         def call(png, box):
             if png is None:
                 return None
-            return fn(png, box)
+            return ocr.lines_from_engine(fn(png, box))
         return call
 
     extracted = run_extractor(rows, ocr_guarded, ["__ocr_in", "__box"], OCR_OUTPUT, on_error="fail",

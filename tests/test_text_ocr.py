@@ -63,3 +63,24 @@ def test_page_rows_skip_empty(spark):
     assert [(r.page_no, r.text) for r in rows] == [(0, "a"), (3, " ")]
     assembled = pdf.assemble_pages(pdf.page_rows(df, ["d"], "pages"), "d").first()
     assert assembled.pdf_raw_text == "a\n---"
+
+
+def test_engine_native_result_shapes(spark):
+    from capture_lake.operators.ocr import RAW_TYPE, lines_from_engine
+
+    native = [[["word1", ["hello", 0.99]], ["word2", ["world", 0.95]]]]
+    assert lines_from_engine(native) == [[{"text": "hello", "confidence": 0.99},
+                                          {"text": "world", "confidence": 0.95}]]
+    assert lines_from_engine([[]]) == [None] and lines_from_engine(None) is None and lines_from_engine([]) == []
+    messy = [None, [["b"], ["b", None], ["b", ["x"]], ["b", [7, "0.5"]]]]
+    assert lines_from_engine(messy) == [None, [None, None, None, {"text": "7", "confidence": 0.5}]]
+    with pytest.raises(ValueError):
+        lines_from_engine([[["b", ["t", "high"]]]])
+    df = spark.createDataFrame([(0, lines_from_engine(native)), (1, lines_from_engine([[]])),
+                                (2, lines_from_engine(None)), (3, lines_from_engine(messy))],
+                               "i int, ocr_raw " + RAW_TYPE.simpleString())
+    rows = {r.i: r for r in ocr.summarize_raw(df).collect()}
+    assert rows[0].ocr_raw_text == "hello world" and rows[0].ocr_confidence_mean == pytest.approx(0.97)
+    assert (rows[1].ocr_raw_text, rows[1].ocr_confidence_mean) == ("", 0.0)
+    assert (rows[2].ocr_raw_text, rows[2].ocr_confidence_mean) == ("", 0.0)
+    assert (rows[3].ocr_raw_text, rows[3].ocr_confidence_mean) == ("7", 0.5)
