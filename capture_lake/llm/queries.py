@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from capture_lake.llm.langid import op10_language_id
+from capture_lake.llm.quality import op5_quality_classifier
 from capture_lake.llm.simhash import op4_simhash_near_dedup
+from capture_lake.llm.surrogates import op2_pii_surrogates
+from capture_lake.llm.swap_packing import op1_best_fit_packing
 
 REGISTRY: dict = {
+    "op1_best_fit_packing": (op1_best_fit_packing, None),
+    "op2_pii_surrogates": (op2_pii_surrogates, None),
     "op4_simhash_near_dedup": (op4_simhash_near_dedup, None),
+    "op5_quality_classifier": (op5_quality_classifier, None),
+    "op10_language_id": (op10_language_id, None),
 }

@@ -28,7 +28,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from capture_lake.llm.common import bounded_batches, clean_text, fresh_names, stored, table
 
@@ -69,17 +68,11 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> Dat
     """(doc_id, th, fp): fingerprint and text hash of every row of `docs`."""
     bounded_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.fromiter((fingerprint(t, words_per_shingle) for t in b["text"]), np.int64, len(b))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "th": b["th"], "fp": fp})
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), clean_text().alias("text"))
-    return rows.mapInPandas(run, "doc_id long, th long, fp long")
-
+    @F.pandas_udf("long")
+    def simhash(text: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((fingerprint(t, words_per_shingle) for t in text), np.int64, len(text)))
 
-def _segment(fp, base, width):
-    return F.shiftrightunsigned(fp, base).bitwiseAND(F.shiftleft(F.lit(1).cast("long"), width) - 1)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), simhash(clean_text()).alias("fp"))
 
 
 def segment_buckets(fps: DataFrame) -> DataFrame:
