@@ -1,0 +1,548 @@
+"""The training-data operators against brute force, on small tables and edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from capture_lake.llm import bitslice, chat, langid, minhash, quality, simhash, surrogates, swap_packing, token_output, tokens, unigram
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+EXTRA = ", th string, fp string, key string, row string, score string, __th int"
+
+
+def docs_frame(spark, rows, extra=False):
+    rows = [(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in rows]
+    if not extra:
+        return spark.createDataFrame(rows, DOCS)
+    return spark.createDataFrame([(*r, "a", "b", "c", "d", "e", 7) for r in rows], DOCS + EXTRA)
+
+
+def odd_rows():
+    """Nulls, empty and long texts, ties, repeated rows."""
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta"]
+    rnd = random.Random(5)
+    long_text = " ".join(rnd.choice(words) for _ in range(30_000))
+    text = "The and of that is for with on at by from it was a " * 4
+    return [
+        (1, text, "en", "a/x"), (1, text, "en", "a/x"), (2, text, None, "a/y"), (3, None, "en", None), (4, "", "en", ""),
+        (None, text, "en", "b"), (None, None, None, None), (5, long_text, "en", "b/z/q"), (6, "?! 12", "fr", "c"),
+        (7, "le la les des un une et est dans pour que qui", "fr", "c"), (8, "le la les des un une et est dans pour que qui sur", "fr", "c"),
+    ]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return docs_frame(spark, odd_rows(), extra=True)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return docs_frame(spark, [])
+
+
+# --- SimHash near-duplicates ------------------------------------------------
+
+def brute_components(ids, fps, distance=3):
+    x = np.array(fps, np.int64).view(np.uint64)
+    at = list(range(len(x)))
+
+    def find(i):
+        while at[i] != i:
+            i = at[i]
+        return i
+
+    for i in range(len(x)):
+        for j in range(i + 1, len(x)):
+            if int(np.bitwise_count(x[i] ^ x[j])) <= distance:
+                a, b = find(i), find(j)
+                at[max(a, b)] = min(a, b)
+    groups = {}
+    for i in range(len(x)):
+        groups.setdefault(find(i), []).append(ids[i])
+    out = {}
+    for members in groups.values():
+        least = min((m for m in members if m is not None), default=None)
+        out.update({m: least for m in members})
+    return out
+
+
+@pytest.mark.parametrize("max_bucket", [2, 512])
+def test_simhash_links_and_components(spark, max_bucket):
+    rnd = random.Random(3)
+    centre = rnd.getrandbits(64)
+    fps = {rnd.getrandbits(64) for _ in range(40)}
+    for _ in range(150):  # a dense cloud whose members are linked by chains
+        x = centre
+        for _ in range(rnd.randint(0, 5)):
+            x ^= 1 << rnd.randrange(64)
+        fps.add(x)
+    signed = sorted(int(np.uint64(x).view(np.int64)) for x in fps)
+    frame = spark.createDataFrame([(x,) for x in signed], "fp long")
+    edges = simhash.links(frame, max_bucket=max_bucket)
+    roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    want = brute_components(signed, signed)
+    assert {x: roots.get(x, x) for x in signed} == want
+
+
+def test_simhash_fingerprint_matches_spark_hash(spark):
+    text = "The  Quick\tbrown fox the quick BROWN fox É jumps"
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)]
+    hashes = [r[0] & (2**64 - 1) for r in spark.createDataFrame([(s,) for s in shingles], "s string").select(F.xxhash64("s")).collect()]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert simhash.fingerprint(text) & (2**64 - 1) == want
+    assert simhash.fingerprint("") == simhash.fingerprint(" \n\t") == 0
+    assert simhash.fingerprint("Two Words") == simhash.fingerprint("two  words")
+
+
+def test_simhash_odd_rows(spark, odd, none):
+    rows = odd_rows()
+    got = simhash.near_duplicates(odd).collect()
+    assert len(got) == len(rows)
+    want = brute_components([r[0] for r in rows], [simhash.fingerprint(r[1] or "") for r in rows])
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == {k: v for k, v in want.items() if k is not None}
+    kept = simhash.one_per_group(odd)
+    assert kept.columns == odd.columns
+    groups = {want[r[0]] for r in rows if r[0] is not None}
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(groups)
+    assert simhash.near_duplicates(none).count() == 0 and simhash.one_per_group(none).count() == 0
+
+
+def test_simhash_chain_of_components(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)], "a long, b long")
+    roots = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
+    assert roots == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+# --- Packing ------------------------------------------------------------------
+
+@pytest.mark.parametrize("kind", ["any", "thirds", "small"])
+def test_local_search_packs_validly_and_not_worse(kind):
+    rnd = np.random.default_rng(7)
+    lengths = {"any": rnd.integers(1, 2048, 400), "thirds": rnd.integers(600, 760, 240), "small": rnd.integers(1, 60, 500)}[kind]
+    first = swap_packing._Search(lengths, 2048)
+    before, squares = len(first.bins), sum(f * f for f in first.fill)
+    bins = first.run()
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= 2048 for b in bins)
+    assert len(bins) <= before and sum(f * f for f in first.fill) >= squares
+    if kind == "thirds":
+        assert len(bins) < before  # best fit alone is far from the bound here
+    assert swap_packing.pack(np.zeros(0, np.int64)) == []
+
+
+def test_token_ids_are_those_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = swap_packing.word_bpe_path()
+    tok, ours = Tokenizer.from_file(path), tokens.BpeIds(path)
+    texts = [
+        "", "  ", "The end.\nNext, don't we'll 'S stop!!", "İstanbul ΟΔΥΣΣΕΥΣ <|endoftext|>hi <| a", "l'été naïve x\x1cy ½²'s''s ''re", "日本語 𝒳y é",
+        "ß STRASSE µm ª º ÿ \u0085 a b ­  z", "a" * 3000, ". , !! a.b c.", "\x00 \x1f", "+1 (551) 555-0826&&& ́e",
+    ]
+    for text, ids in zip(texts, ours.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+def test_token_tables_forget_and_remember(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_ENTRIES", 5)
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 10)
+    path = swap_packing.word_bpe_path()
+    texts = [f"word{i % 7} again. word{i}x, end" for i in range(40)]
+    small = tokens.BpeIds(path)
+    monkeypatch.setattr(tokens, "MAX_ENTRIES", 10_000)
+    want = [tokens.BpeIds(path).encode(t) for t in texts]
+    monkeypatch.setattr(tokens, "MAX_ENTRIES", 5)
+    assert list(small.encode_many(texts)) == want
+
+
+def test_pack_documents(spark, odd, none):
+    got = swap_packing.pack_documents(odd, group=8).collect()
+    ours = tokens.BpeIds(swap_packing.word_bpe_path())
+    want = []
+    for doc_id, text, _, _ in odd_rows():
+        ids = ours.encode(text or "") + bytes(4)
+        want += [(doc_id, k, k * 2048, len(ids[at : at + 8192]) // 4, zlib.crc32(ids[at : at + 8192])) for k, at in enumerate(range(0, len(ids), 8192))]
+    keyed = lambda rows: sorted(rows, key=lambda r: tuple(-1 if x is None else x for x in r))
+    assert keyed([(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got]) == keyed(want)
+    by = {}
+    for r in got:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert swap_packing.pack_documents(none).count() == 0
+
+
+# --- Token matrices -----------------------------------------------------------
+
+def test_free_tree_finds_the_least_enough():
+    tree, have = token_output.FreeTree(100), {}
+    rnd = random.Random(1)
+    for _ in range(500):
+        x = rnd.randint(1, 100)
+        if rnd.random() < 0.5:
+            tree.add(x, 1)
+            have[x] = have.get(x, 0) + 1
+        elif have.get(x):
+            tree.add(x, -1)
+            have[x] -= 1
+        need = rnd.randint(1, 100)
+        assert tree.least(need) == min((k for k, n in have.items() if n and k >= need), default=None)
+
+
+def test_best_fit_decreasing_rows():
+    lengths = [60, 50, 40, 30, 20, 10, 100]
+    rows = token_output.best_fit_decreasing(lengths, 100)
+    assert [[lengths[i] for i in r] for r in rows] == [[100], [60, 40], [50, 30, 20], [10]]
+
+
+def test_token_matrices_round_trip(spark, none):
+    rows = [r for r in odd_rows() if r[0] is not None][1:]
+    packed = token_output.token_matrices(docs_frame(spark, rows), group_chars=60_000)
+    enc, end = token_output.encoder(token_output.byte_bpe_path())
+    back = {r["doc_id"]: np.frombuffer(r["ids"], "<u2").tolist() for r in token_output.documents_of(packed).collect()}
+    assert back == {i: [*enc.encode_ordinary(t or ""), end] for i, t, _, _ in rows}
+    for r in packed.collect():
+        assert len(r["ids"]) == len(r["positions"]) == 2 * token_output.CAPACITY
+        assert r["cu_seqlens"][0] == 0 and r["cu_seqlens"][-1] == r["n_tokens"] <= token_output.CAPACITY
+        assert r["position_resets"] == r["cu_seqlens"][:-1]
+        want = [p for a, b in zip(r["cu_seqlens"], r["cu_seqlens"][1:]) for p in range(b - a)]
+        assert np.frombuffer(r["positions"], "<u2").tolist()[: r["n_tokens"]] == want
+    assert token_output.token_matrices(none).count() == 0
+
+
+def test_token_matrices_odd_rows(spark, odd):
+    packed = token_output.token_matrices(odd).collect()
+    assert sum(len(r["doc_ids"]) for r in packed) >= len(odd_rows())
+    assert sum(x is None for r in packed for x in r["doc_ids"]) == 2
+
+
+# --- Bit-sliced top-k ----------------------------------------------------------
+
+def brute_top(rows, k=5):
+    out = []
+    for qi, q in rows.items():
+        if qi % 50 == 0:
+            scores = [(-sum(int(a) * int(b) for a, b in zip(q, v)), i) for i, v in rows.items() if i != qi]
+            out += [(qi, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("values", ["normal", "ties", "negative"])
+def test_bit_sliced_top_k(spark, values):
+    rnd = np.random.default_rng(2)
+    n, d = 230, 9
+    x = {"normal": rnd.normal(0, 0.3, (n, d)), "ties": rnd.integers(0, 2, (n, d)) / 256, "negative": -rnd.random((n, d))}[values]
+    frame = spark.createDataFrame([(i, x[i].tolist()) for i in range(n)], "vec_id long, embedding array<double>")
+    rows = bitslice.quantised(frame)
+    got = bitslice.top_k(rows, rows.where("vec_id % 50 = 0"), block_rows=70, group_queries=2)
+    want = brute_top({i: np.floor(256 * x[i]) for i in range(n)})
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_bit_sliced_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [
+        (0, [1.0, 2.0]), (50, [-1.0, 0.5]), (1, None), (2, [nan, 1.0]), (3, [inf, 0.0]), (4, [None, 1.0]), (None, [1.0, 1.0]),
+        (5, []), (6, [1.0]), (7, [1.0, 2.0]), (7, [1.0, 2.0]), (8, [0.0, 0.0, 9.0]),
+    ]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    rows = bitslice.quantised(frame)
+    usable = {0: [256, 512, 0], 50: [-256, 128, 0], 5: [0, 0, 0], 6: [256, 0, 0], 7: [256, 512, 0], 8: [0, 0, 2304]}
+    got = sorted(tuple(r) for r in bitslice.top_k(rows, rows.where("vec_id % 50 = 0")).collect())
+    assert got == brute_top(usable)
+    empty = bitslice.quantised(frame.limit(0))
+    assert bitslice.top_k(empty, empty).count() == 0
+
+
+# --- PII surrogates ---------------------------------------------------------------
+
+def test_surrogates_keep_format_and_coreference(spark):
+    text = (
+        "Mail Ana.34@mail7.example.com or ANA.34@MAIL7.EXAMPLE.COM; call +1 (551) 555-0826, +1 551-555-0826, card 4111 1111 1111 1111 and "
+        "4111111111111111 at 97.51.17.173 and 192.168.1.7; 123-45-6789; Mr. John Smith met Mrs Smith and Frau Anna Weber; Dr Anna Weber; "
+        "Господин Иванов; key 04dbebab91ab85687d33eeaaf9ac699e1188f962 04DBEBAB91AB85687D33EEAAF9AC699E1188F962."
+    )
+    frame = docs_frame(spark, [(1, text, "en", "s"), (2, "nothing here", "en", "s"), (3, None, "en", "s"), (4, "", "en", "s"), (1, text, "en", "s")], extra=True)
+    got = surrogates.pseudonymize(frame)
+    assert got.columns == frame.columns
+    rows = {(r["doc_id"]): r["text"] for r in got.collect()}
+    assert got.count() == 5 and rows[2] == "nothing here" and rows[3] is None and rows[4] == ""
+    new = rows[1]
+    old_entities = ["Ana.34", "551) 555-0826", "4111 1111", "97.51.17", "192.168.1.7", "123-45-6789", "John", "Smith", "Weber", "Иванов", "04dbebab"]
+    assert not [x for x in old_entities if x.lower() in new.lower()]
+    assert re.search(r"^Mail [A-Z][a-z]{2}\.\d{2}@[a-p]{8}\.example\.com or [A-Z]{3}\.\d{2}@[A-P]{8}\.EXAMPLE\.COM; ", new)
+    mails = re.findall(r"\S+@\S+\.com", new, re.I)
+    assert mails[0].lower() == mails[1].lower()
+    phones = re.search(r"call \+1 \((\d{3})\) (\d{3})-(\d{4}), \+1 (\d{3})-(\d{3})-(\d{4}),", new).groups()
+    assert phones[:3] == phones[3:]
+    cards = re.search(r"card (\d{4}) (\d{4}) (\d{4}) (\d{4}) and (\d{16}) at", new).groups()
+    assert "".join(cards[:4]) == cards[4]
+    digits = [int(c) for c in cards[4]]
+    assert sum(d if i % 2 else (2 * d - 9 * (2 * d > 9)) for i, d in enumerate(digits)) % 10 == 0  # the original's check digit holds too
+    assert re.search(r" and 192\.168\.\d+\.\d+; \d{3}-\d{2}-\d{4}; ", new)
+    names = re.search(r"Mr\. (\w+) (\w+) met Mrs (\w+) and Frau (\w+) (\w+); Dr (\w+) (\w+); Господин (\w+);", new).groups()
+    assert names[1] == names[2] and names[3:5] == names[5:7]
+    assert names[0].lower() in surrogates.GIVEN["latin", "m"] and names[3].lower() in surrogates.GIVEN["latin", "f"]
+    assert re.fullmatch("[А-Яа-яё]+", names[7])
+    keys = re.search(r"key ([0-9a-f]{40}) ([0-9A-F]{40})\.", new).groups()
+    assert keys[0] == keys[1].lower()
+    other = surrogates.pseudonymize(frame, key="another").where("doc_id = 1").first()["text"]
+    assert other != new
+
+
+def test_surrogate_collisions_are_resolved(spark):
+    # one-letter addresses at one domain collide at once: 36 entities share 26 letters and 10 digits
+    names = "abcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, f"write to {c}@site.org today", "en", "s") for i, c in enumerate(names)]
+    frame = docs_frame(spark, rows + rows[:5])
+    found = surrogates._described(surrogates.mentions(frame))
+    assert surrogates.exceptions(found, "k").count() > 0
+    got = {r["doc_id"]: re.search(r"\S+@\S+", r["text"]).group() for r in surrogates.pseudonymize(frame, key="k").collect()}
+    assert len(set(got.values())) == len(names)
+    assert not set(got.values()) & {f"{c}@site.org" for c in names}
+
+
+def test_surrogates_of_nothing(spark, odd, none):
+    assert surrogates.pseudonymize(none).count() == 0
+    same = {(r["doc_id"], r["text"]) for r in odd.collect()}
+    assert {(r["doc_id"], r["text"]) for r in surrogates.pseudonymize(odd).collect()} == same
+
+
+# --- Quality ---------------------------------------------------------------------
+
+def test_quality_learns_and_shrinks(spark):
+    rnd = random.Random(9)
+    good = lambda: " ".join(rnd.choice(["one", "two", "three", "four", "five", "six", "seven"]) + str(rnd.randint(0, 99)) for _ in range(60))
+    bad = lambda: " ".join(rnd.choice(["buy", "now", "win"]) + rnd.choice(["***", "$$$", "!!"]) for _ in range(60))
+    rows, labels = [], []
+    for i in range(300):
+        is_good = i % 3 > 0
+        rows.append((i, good() if is_good else bad(), "en", f"host{i % 4}/p{i % 8}"))
+        if i < 200:
+            labels.append((i, int(is_good), 0))
+    docs, told = docs_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scored = {r["doc_id"]: r for r in quality.score(docs, told).collect()}
+    assert all((scored[i]["quality"] >= 0.5) == (i % 3 > 0) for i in range(200, 300))
+    kept = quality.keep_good(docs, told)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, r in scored.items() if r["keep"]}
+
+
+def test_quality_site_posteriors_by_hand(spark):
+    logits = [("h1", "a", 2.0), ("h1", "a", 1.0), ("h1", "b", -1.0), ("h2", "", 3.0), ("h2", "", None), ("h3", "", -2.0)] * 3
+    frame = spark.createDataFrame([(i, h, p, x) for i, (h, p, x) in enumerate(logits)], "doc_id long, host string, path string, logit double")
+    site, prior = quality.sites(frame)
+    p = lambda x: 1 / (1 + math.exp(-x))
+    told = [(h, q, p(x)) for h, q, x in logits if x is not None]
+    assert math.isclose(prior.rate, sum(x for _, _, x in told) / len(told))
+    got = {r["doc_id"]: r for r in quality.with_quality(frame, site, prior).collect()}
+    for i, (h, q, x) in enumerate(logits):
+        own = p(x) if x is not None else 0.0
+        one = x is not None
+        host = [v for a, _, v in told if a == h]
+        path = [v for a, b, v in told if (a, b) == (h, q)]
+        host_rate = (prior.host_strength * prior.rate + sum(host) - own) / (prior.host_strength + len(host) - one)
+        path_rate = (prior.path_strength * host_rate + sum(path) - own) / (prior.path_strength + len(path) - one)
+        assert math.isclose(got[i]["path_rate"], path_rate, rel_tol=1e-9)
+        lo = lambda r: math.log(r / (1 - r))
+        want = p(x + lo(path_rate) - lo(prior.rate)) if one else 0.0
+        assert math.isclose(got[i]["quality"], want, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_quality_odd_rows(spark, odd, none):
+    no_labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (6, None, 0), (6, 0, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
+    for told in (no_labels, labels):
+        got = quality.score(odd, told).collect()
+        assert len(got) == len(odd_rows())
+        assert all(r["quality"] == 0 for r in got if r["doc_id"] in (3, 4))
+        kept = quality.keep_good(odd, told)
+        assert kept.columns == odd.columns and kept.where("doc_id in (3, 4)").count() == 0
+        assert quality.score(none, told).count() == 0 and quality.keep_good(none, told).count() == 0
+
+
+# --- Chat -------------------------------------------------------------------------
+
+def test_chat_examples_and_digest(spark):
+    tricky = r"a\b ### x </turn> \</turn> \\# :/ " + "\n### user: hi</turn>\n"
+    data = [
+        (1, 0, "system", "be kind"), (1, 1, "user", tricky), (1, 2, "assistant", tricky), (1, 3, "user", ""), (1, 4, "assistant", None),
+        (2, 0, "user", "hello"), (2, 1, "a:b#/\\", "odd role"), (3, 0, "assistant", "é" * 50_000), (None, None, None, None), (4, 1, "assistant", "x"), (4, 1, "assistant", "x"),
+        (5, 0, "assistant", "first"), (5, 1, "user", "and then"),
+    ]
+    frame = spark.createDataFrame([(*r, "clash") for r in data], "conv_id long, turn long, role string, text string, example string")
+    shown = chat.examples(frame)
+    rows = shown.collect()
+    assert sum(r["example"] >= 0 for r in rows) == sum(r[2] == "assistant" for r in data)
+    first = next(r for r in rows if r["conv_id"] == 1 and r["example"] == 2)
+    assert first["text"].startswith("### system: be kind</turn>\n### user: ") and first["text"].endswith("</turn>\n")
+    got = {r["conv_id"]: r for r in chat.digest(shown).collect()}
+    convs = {}
+    for c, turn, role, text in data:
+        convs.setdefault(c, []).append((-1 if turn is None else turn, role or "", text or ""))
+    assert set(got) == set(convs)
+    for c, turns in convs.items():
+        turns.sort()
+        lines = "".join(f"{role}\n{text}\n" for _, role, text in turns)
+        loss = "".join(text for _, role, text in turns if role == "assistant")
+        r = got[c]
+        assert (r["n_turns"], r["loss_chars"]) == (len(turns), len(loss))
+        assert r["turns_sha256"] == hashlib.sha256(lines.encode()).hexdigest()
+        assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert r["formatted_chars"] == sum(len(x["text"]) for x in rows if x["conv_id"] == c)
+    assert chat.examples(frame.limit(0)).count() == 0
+    assert chat.with_probe(frame.limit(0)).count() == 2
+
+
+# --- Unigram segmentation -------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def segmenter():
+    return unigram.Segmenter(unigram.Model.read(unigram.model_path()))
+
+
+def test_double_array_trie():
+    pieces = {b"a": 0, b"ab": 1, b"abc": 2, b"b": 3, b"\xff\x00": 4, b" x": 5}
+    trie = unigram.Trie.build(pieces)
+    for word in [b"a", b"ab", b"abc", b"b", b"\xff\x00", b" x", b"abd", b"c", b"\xff", b" "]:
+        state = 0
+        for c in word:
+            nxt = int(trie.base[state]) + c + 1
+            state = nxt if trie.check[nxt] == state else -1
+            if state < 0:
+                break
+        assert (int(trie.value[state]) if state >= 0 else -1) == pieces.get(word, -1)
+
+
+def test_viterbi_is_the_best_of_all_segmentations(segmenter):
+    m = segmenter.m
+    ids = {p: i for i, p in enumerate(m.piece_bytes) if p and i not in m.byte_ids}
+
+    def best(unit):  # every segmentation, by recursion
+        if not unit:
+            return 0.0
+        out = -math.inf
+        n = unigram._char_length(unit[0])
+        for j in range(1, len(unit) + 1):
+            if unit[:j] in ids:
+                out = max(out, m.scores[ids[unit[:j]]] + best(unit[j:]))
+        if unit[:n] not in ids:
+            out = max(out, m.unknown + best(unit[n:]))
+        return out
+
+    units = [" hello".encode(), " zé☃q".encode(), b" the", "日本".encode(), b"  x", b" a\nb", " ▁".encode()]
+    for unit, (found, score) in zip(units, segmenter.many(units)):
+        assert math.isclose(score, best(unit), rel_tol=1e-12)
+        assert segmenter.one(unit) == (found, pytest.approx(score))
+
+
+def test_segmentation_round_trip(spark, segmenter, odd, none):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=unigram.model_path())
+    texts = ["", "plain text", "  two  blanks ", "literal ▁ marker", "日本語 ☃ \n\t\x00", "x" * 2000, "é" * 300]
+    for text, (ids, _) in zip(texts, segmenter.encode(texts)):
+        assert segmenter.decode(ids) == text
+    assert sp.decode(segmenter.encode(["plain text"])[0][0].tolist()) == "plain text"
+    rows = unigram.segmentation(odd)
+    back = rows.withColumn("back", unigram.decoded("ids", None, spark)).collect()
+    assert len(back) == len(odd_rows()) and all(r["back"] == r["text"] for r in back)
+    assert unigram.segmentation(none).count() == 0
+
+
+# --- Fingerprints -----------------------------------------------------------------
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_minhash_likeness_estimates_jaccard():
+    rnd = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    errors = []
+    for share in (0.0, 0.3, 0.6, 0.9, 1.0) * 8:
+        a = [rnd.choice(vocabulary) for _ in range(rnd.choice([12, 60, 400, 3000]))]
+        b = a[: int(len(a) * share)] + [rnd.choice(vocabulary) for _ in range(len(a) - int(len(a) * share))]
+        a, b = " ".join(a), " ".join(b)
+        true = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+        got = minhash.likeness(minhash.unpack(minhash.fingerprint(a)), minhash.unpack(minhash.fingerprint(b)))
+        errors.append(got - true)
+        assert minhash.fingerprint(a) == minhash.fingerprint(a)
+    assert np.std(errors) < 0.05 and max(map(abs, errors)) < 0.2
+    assert minhash.fingerprint("") == "" and minhash.likeness(None, None) == 1 and minhash.likeness(None, minhash.unpack(minhash.fingerprint("a"))) == 0
+
+
+def test_edited_pairs_by_brute_force(spark, odd, none):
+    rows = [(i, t, "en", "s") for i, t in enumerate(["alpha beta gamma " * n for n in range(1, 40)])]
+    cases = {"plain": rows, "one": rows[:1], "odd": [r for r in odd_rows() if r[0] is not None and r[0] > 1]}
+    for data in cases.values():
+        got = {r["doc_id"]: r for r in minhash.edited_pairs(docs_frame(spark, data), range_chars=1000).collect()}
+        assert len(got) == len(data)
+        ordered = sorted(data, key=lambda r: -r[0])
+        for at, (i, text, _, _) in enumerate(ordered):
+            text, nxt = text or "", ordered[(at + 1) % len(ordered)][1] or ""
+            n = len(text) // 3
+            edited = text[: len(text) - n] + nxt[:n]
+            r = got[i]
+            assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+            assert (r["fingerprint"], r["edited_fingerprint"]) == (minhash.fingerprint(text), minhash.fingerprint(edited))
+            like = lambda a, b: minhash.likeness(minhash.unpack(a), minhash.unpack(b)) if a and b else float(a == b)
+            assert r["near_edited"] == like(r["fingerprint"], r["edited_fingerprint"])
+            assert r["near_next"] == like(r["fingerprint"], minhash.fingerprint(nxt))
+    assert minhash.edited_pairs(odd, range_chars=500).count() == len(odd_rows())
+    assert minhash.edited_pairs(none).count() == 0
+
+
+# --- Language ---------------------------------------------------------------------
+
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 6, 20, 63])
+def test_codewords_are_apart(k):
+    code = langid.codewords(k)
+    assert len({tuple(r) for r in code}) == (k if k > 1 else len({tuple(r) for r in code}))
+    if k > 2:
+        least = min(int((a != b).sum()) for i, a in enumerate(code) for b in code[:i])
+        assert least >= (2 ** (k - 2) if k <= 5 else 2 ** int(k).bit_length() // 2)
+
+
+def test_language_id_held_out(spark):
+    rnd = random.Random(8)
+    parts = {"aa": ["ka", "to", "mi", "ra"], "bb": ["shu", "ple", "gro", "dem"], "cc": ["éon", "ñar", "ouü", "çel"], "dd": ["xyz", "qwt", "vbk", "jfp"]}
+    rows = []
+    for i in range(400):
+        lang = sorted(parts)[i % 4]
+        rows.append((i, " ".join("".join(rnd.choices(parts[lang], k=3)) for _ in range(15)), lang, "s"))
+    docs = docs_frame(spark, rows)
+    model = langid.train(docs)
+    got = langid.predict(docs.select("doc_id", "lang", "text", langid.held_out().alias("held_out")), model).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert all(r["lang"] == r["lang_pred"] and 0.5 < r["score"] <= 1 and not r["ambiguous"] for r in got)
+    assert model.predict("12 !?") == ("und", 0.0, True) and model.predict(None) == ("und", 0.0, True)
+    # the bits that survive outvote a wrong one
+    half = langid.Model(model.langs, model.code, model.weights.copy(), model.alpha)
+    half.weights[:, 0] *= -1
+    assert sum(half.predict(t)[0] == lang for _, t, lang, _ in rows) > 380
+
+
+def test_language_odd_rows(spark, odd, none):
+    got = langid.predict(odd.select("doc_id", "text"), langid.train(odd)).collect()
+    assert len(got) == len(odd_rows())
+    assert all(r["lang_pred"] == "und" for r in got if not r["text"] or r["text"] == "?! 12")
+    kept = langid.keep_known(odd, langid.train(odd))
+    assert kept.columns == odd.columns and kept.count() == len(odd_rows()) - 4
+    nothing = langid.train(none)
+    assert nothing.langs == [] and langid.predict(none.select("text"), nothing).count() == 0
+    assert nothing.predict("some words") == ("und", 0.0, True)
