@@ -51,46 +51,41 @@ def _target_hashes(target: DataFrame, target_col: str) -> DataFrame:
     return target.select(F.col(target_col).alias("__seen_hash")).where(F.col("__seen_hash") != F.lit(""))
 
 
-def anti_join_bounded(left: DataFrame, left_key: Column, right: DataFrame, right_col: str,
-                      probe: Column | None = None, broadcast_limit: int | None = None) -> DataFrame:
-    """``left`` rows whose ``left_key`` is not in ``right[right_col]``.
-
-    With ``broadcast_limit``, when the distinct ``probe`` values of ``left``
-    (default: ``left_key``) number at most that many -- checked with a
-    bounded count -- the right side is first semi-joined against them as a
-    broadcast (a map-side filter over the right scan: no shuffle of the big
-    side), and only its few matches are broadcast back for the anti join.
-    Otherwise a shuffled anti join is planned (AQE may still broadcast from
-    runtime sizes, and splits skewed partitions of ``left``).
-    """
-    keys = right.select(right_col)
-    if broadcast_limit is not None:
-        probes = left.select((left_key if probe is None else probe).alias("__b")).where(
-            F.col("__b").isNotNull()).distinct()
-        if probes.limit(broadcast_limit + 1).count() <= broadcast_limit:
-            # distinct: at most one row per probe, so the broadcast is bounded
-            hits = keys.join(F.broadcast(probes), keys[right_col] == F.col("__b"), "left_semi").distinct()
-            return left.join(F.broadcast(hits), left_key == hits[right_col], "left_anti")
-    # distinct combines map-side (a value repeated in a third of ``right``
-    # leaves each task once) and the join reuses its hash partitioning
-    uniq = keys.distinct()
-    return left.join(uniq, left_key == uniq[right_col], "left_anti")
+def _captured_hashes(batch: DataFrame, target: DataFrame, hash_col: str, target_col: str, bounded: bool) -> DataFrame:
+    """Distinct target hashes as ``__seen_hash``.
+
+    ``bounded`` says that the batch's row count is capped by its source (a
+    stream's ``maxFilesPerTrigger``): its hashes are broadcast to filter the
+    target scan map-side, and the few hits are what is left to join.  Otherwise
+    the distinct target hashes are joined as they are (AQE picks the join)."""
+    seen = _target_hashes(target, target_col)
+    if bounded:
+        probes = batch.select(F.col(hash_col).alias("__b")).where(has_hash("__b")).distinct()
+        seen = seen.join(F.broadcast(probes), seen["__seen_hash"] == F.col("__b"), "left_semi")
+    # distinct combines map-side: a hash repeated in the target leaves each task once
+    return seen.distinct()
 
 
 def drop_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,
-                  target_col: str = HASH, key: str | None = KEY,
-                  broadcast_limit: int | None = None) -> DataFrame:
+                  target_col: str = HASH, key: str | None = KEY, bounded: bool = False) -> DataFrame:
     """Rows whose hash is not in ``target`` yet; empty hashes always pass.
 
     ``target=None`` (no table yet) keeps every row, as on a first run.
-    ``broadcast_limit`` bounds the batch hash set that may filter the target
-    scan map-side (see ``anti_join_bounded``); use it for micro-batches.
     """
     if target is None:
         return batch
-    seen = _target_hashes(target, target_col)
-    probe = F.when(has_hash(hash_col), F.col(hash_col))
-    return anti_join_bounded(batch, dedup_key(batch, hash_col, key), seen, "__seen_hash", probe, broadcast_limit)
+    seen = _captured_hashes(batch, target, hash_col, target_col, bounded)
+    return batch.join(seen, dedup_key(batch, hash_col, key) == seen["__seen_hash"], "left_anti")
+
+
+def mark_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH, target_col: str = HASH,
+                  key: str | None = KEY, bounded: bool = False, flag: str = "captured") -> DataFrame:
+    """J1 and J2 in one pass: every row, with whether its hash is already in ``target``."""
+    if target is None:
+        return batch.withColumn(flag, F.lit(False))
+    seen = _captured_hashes(batch, target, hash_col, target_col, bounded)
+    joined = batch.join(seen, dedup_key(batch, hash_col, key) == seen["__seen_hash"], "left")
+    return joined.withColumn(flag, F.col("__seen_hash").isNotNull()).drop("__seen_hash")
 
 
 def already_captured(batch: DataFrame, target: DataFrame | None, hash_col: str = HASH,
@@ -116,18 +111,6 @@ def first_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "k
     return batch.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def later_per_hash(batch: DataFrame, order: Sequence[str] = ("last_modified", "key"),
-                   hash_col: str = HASH, key: str = KEY) -> DataFrame:
-    """Rows D2 drops: the in-batch repeats of a hash (reported as duplicates).
-
-    Anti join on the object key (unique, so no hot partition) against the
-    one-row-per-hash winners.
-    """
-    keyed = batch.where(has_hash(hash_col))
-    winners = first_per_hash(keyed.select(hash_col, *dict.fromkeys([*order, key])), order, hash_col, key)
-    return keyed.join(winners.select(F.col(key).alias("__wk")), F.col(key) == F.col("__wk"), "left_anti")
-
-
 def distinct_keys(batch: DataFrame, keys: Sequence[str], seen: DataFrame | None = None) -> DataFrame:
     """One row per key tuple, minus keys already seen.
 

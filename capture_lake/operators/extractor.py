@@ -17,8 +17,8 @@ Error policy per row:
 ``elapsed_col`` records the wall time spent in the function per row, in ms.
 
 Partitions: a file scan packs ``maxPartitionBytes`` per task, which bounds the
-payloads per task; ``partitions`` (round robin, never a key) or ``spread`` on a
-scan raise the parallelism of a small input.
+payloads per task; ``partitions`` (round robin, never a key) raises the
+parallelism of a small input.
 """
 
 from __future__ import annotations
@@ -33,23 +33,6 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
-def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a *scan* over at least ``min_partitions`` tasks (default:
-    the cluster's parallelism) when it has fewer, before per-row Python work.
-
-    Only for frames without shuffles: reading the partition count of a plain
-    scan plans it without running anything, while under AQE a plan with
-    exchanges would execute its upstream stages just to answer.  A large
-    scan already has many partitions and is returned unchanged, so no
-    shuffle is added at scale; a small input in few files (or one row group)
-    is spread over all cores instead of running in one task.
-    """
-    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= target:
-        return scan
-    return scan.repartition(target)
-
-
 def _normalize(result: Any, fields: list[str]) -> list[Any]:
     if len(fields) == 1 and not isinstance(result, dict | tuple | list):
         return [result]

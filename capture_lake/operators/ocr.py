@@ -23,35 +23,28 @@ LINE_TYPE = T.StructType(
 RAW_TYPE = T.ArrayType(T.ArrayType(LINE_TYPE))
 
 
-def _engine_line(line):
-    """One recognised line as ``{"text", "confidence"}``, or None when short.
-
-    Accepts ``{"text", "confidence"}`` dicts and the engine's native
-    ``[box, [text, confidence]]`` entries; text becomes ``str`` and confidence
-    ``float`` (a confidence that is not a number raises: the image fails)."""
-    if not line:
-        return None
-    if isinstance(line, dict):
-        text, conf = line.get("text"), line.get("confidence")
-        if text is None or conf is None:
-            return None
-        return {"text": str(text), "confidence": float(conf)}
-    if len(line) < 2:
-        return None
-    info = line[1]
-    if not info or len(info) < 2:
-        return None
-    return {"text": str(info[0]), "confidence": float(info[1])}
+def _shape(entry):
+    """An engine entry in the shape of ``LINE_TYPE``.
+
+    An entry is a mapping with the two fields, or a sequence whose second
+    member is the recognised (text, confidence).  What an entry lacks becomes
+    NULL; ``flat_lines`` drops such lines in Spark.  A confidence that is not a
+    number raises: the image fails."""
+    if isinstance(entry, dict):
+        pair = [entry.get(f) for f in LINE_TYPE.fieldNames()]
+    else:
+        read = [*(entry or ()), None, None][1] or ()
+        pair = [*read, None, None][:2]
+    text, confidence = pair
+    return {
+        "text": text if text is None else str(text),
+        "confidence": confidence if confidence is None else float(confidence),
+    }
 
 
 def lines_from_engine(raw):
-    """Python side of E3: an OCR engine result to ``RAW_TYPE`` values.
-
-    Blocks and lines keep their order; NULL/empty blocks and short lines
-    become NULL/[] entries, which ``flat_lines`` then skips in Spark."""
-    if not raw:
-        return None if raw is None else []
-    return [None if not block else [_engine_line(line) for line in block] for block in raw]
+    """Python side of E3: an OCR engine's blocks of entries as ``RAW_TYPE`` values, order kept."""
+    return raw if raw is None else [[_shape(entry) for entry in block or ()] for block in raw]
 
 
 def flat_lines(raw: Column) -> Column:

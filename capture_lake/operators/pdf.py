@@ -34,12 +34,6 @@ def explode_members(archives: DataFrame, key_col: str, content_col: str = "conte
     ).select(key_col, "__member.member_index", "__member.name", "__member.size", "error")
 
 
-def first_pdf_name(members: Column) -> Column:
-    """E2 on the member array: name of the first PDF in archive order, NULL if none."""
-    pdfs = F.filter(members, lambda m: is_pdf_name(m["name"]))
-    return F.try_element_at(F.transform(pdfs, lambda m: m["name"]), F.lit(1))
-
-
 def first_pdf(archives: DataFrame, content_col: str = "content") -> DataFrame:
     """E1 + E2 + P9 per archive row: adds ``pdf_name``, ``pdf_bytes``,
     ``archive_error``.

@@ -64,11 +64,3 @@ def check(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = None,
             "error": F.when(F.size("__v") > 0, F.concat_ws(",", "__v")),
         }
     ).drop("__v")
-
-
-def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Q6: (good, quarantine) from a checked frame.  Persist ``checked`` (or
-    write it once) before running both sides on large input."""
-    good = checked.where(F.col("status") == STATUS_OK)
-    bad = checked.where(F.col("status") != STATUS_OK)
-    return good, bad

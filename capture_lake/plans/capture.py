@@ -2,9 +2,9 @@
 
 ``assemble`` is the relational core shared by every entry point::
 
-    listing+metadata -> J1 anti (target) -> D2 first per hash
-      -> A3 OCR text/confidence (left) -> J3 source archive text (left)
-      -> P1-P4 typed columns -> Q4 rules -> Q6 good / quarantine
+    listing+metadata -> J1 (target) -> A3 OCR text/confidence (left)
+      -> J3 source archive text (left) -> P1-P4 typed columns -> Q4 rules
+      -> D2 first passing copy per hash -> one stored result row per object
 
 ``capture_files`` feeds it from object folders with user extractors (M3) for
 OCR and PDF text; the test-data queries feed it from the driver's tables.
@@ -31,16 +31,31 @@ from capture_lake.functions.text import join_pages
 from capture_lake.operators import dedup, ocr, pdf, quality
 from capture_lake.operators.extractor import run_extractor
 from capture_lake.operators.metrics import CONFIDENCE_BOUNDS, DURATION_BOUNDS, batch_outcome, histogram
-from capture_lake.schema import RECORD_COLUMNS
-from capture_lake.session import shared_dir
+from capture_lake.schema import RECORD_COLUMNS, RECORD_SCHEMA
+from capture_lake.session import stored
 from capture_lake.sources import listing as L
 
 
+# What is kept of every listed object (results), beside the record columns.
+RESULT_COLUMNS = ["key", "label", "status", "n_rows", "error"]
+
+
 @dataclass
 class CaptureResult:
-    records: DataFrame      # good rows, record columns (+ key)
-    quarantine: DataFrame   # failed rows: key, label, error, record columns
-    results: DataFrame      # one row per listed object: key, status, n_rows, error
+    """``results``: one stored row per listed object, with RESULT_COLUMNS and the record
+    columns (null but for the hash in duplicates).  Everything else is derived from it."""
+
+    results: DataFrame
+
+    @property
+    def records(self) -> DataFrame:
+        """Good rows: key and record columns."""
+        return self.results.where(F.col("status") == quality.STATUS_OK).select("key", *RECORD_COLUMNS)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """Failed rows: key, label, error and record columns."""
+        return self.results.where(F.col("status") == quality.STATUS_QUARANTINE).select("key", "label", "error", *RECORD_COLUMNS)
 
     def outcome(self) -> DataFrame:
         """A5/A6 summary of the batch."""
@@ -55,23 +70,89 @@ class CaptureResult:
         return histogram(self.records, F.col("processing_duration_ms") / 1000.0, DURATION_BOUNDS)
 
 
-def fresh_objects(listing: DataFrame, target: DataFrame | None,
-                  order: tuple[str, ...] = ("last_modified", "key"),
-                  broadcast_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """J1 + D2 on listing rows with a ``metadata`` map.
+# Fixed value: the error of an object that was listed and is gone when it is read.
+VANISHED_ERROR = "FileNotFoundError: object vanished before it was read"
+
 
-    Returns (fresh, duplicates).  Duplicates are rows whose hash is already in
-    the target, or repeats of a hash earlier in the same batch: exactly the
-    listed objects that are not fresh, found by an anti join on the unique
-    object key between two batch-sized frames (no second pass over the
-    target).  ``broadcast_limit`` enables the bounded semi-join reduction of J1.
+def capture_rows(
+    listing: DataFrame,
+    target: DataFrame | None,
+    process: Callable[[DataFrame], DataFrame],
+    order: tuple[str, ...] = ("last_modified", "key"),
+    bounded: bool = False,
+    copies_at_once: bool = False,
+) -> CaptureResult:
+    """J1, D2 and the checks for listing rows with a ``metadata`` map: what becomes of each.
+
+    As if the objects came one after the other by ``order``: a hash in the
+    target, or written by an earlier object of the batch, makes a duplicate;
+    else the object is processed, and it is written if it passes all checks.
+    So the first *passing* copy of a hash is the record, copies before it are
+    failures, copies after it duplicates.
+
+    ``process`` turns listing rows into checked rows (``status``, ``error``, record
+    columns).  It is expensive for object files, so first only the first copy of
+    each hash with readable metadata is processed; the other copies follow
+    where it failed.  ``copies_at_once`` (cheap ``process``) takes all copies in
+    one pass.  ``bounded``: see ``dedup.mark_captured``.
     """
     hashed = listing.withColumn("file_hash", M.meta_string("metadata", M.KEY_CONTENT_HASH, ""))
-    not_captured = dedup.drop_captured(hashed, target, broadcast_limit=broadcast_limit)
-    fresh = dedup.first_per_hash(not_captured, order)
-    kept = fresh.select(F.col("key").alias("__fresh_key"))
-    dups = hashed.select("key").join(kept, F.col("key") == F.col("__fresh_key"), "left_anti")
-    return fresh, dups
+    marked = stored(dedup.mark_captured(hashed, target, bounded=bounded).withColumns(
+        {"__ord": F.struct(*order), "__dkey": dedup.dedup_key(hashed), "__bad": M.parse_errors("metadata")}))
+    todo = marked.where(~F.col("captured"))
+    readable = todo.where(F.size("__bad") == 0)
+    extra = ["__ord", "__dkey", "__bad", "captured"]
+
+    def run(rows: DataFrame) -> DataFrame:
+        """Checked rows, stored; listed objects that gave none have vanished."""
+        done = stored(process(rows.drop(*extra)).select("key", "status", "error", *RECORD_COLUMNS))
+        found = done.withColumn("__found", F.lit(True)).drop("file_hash")
+        joined = rows.select("key", "metadata", "file_hash", "__ord", "__dkey").join(found, "key", "left")
+        gone = F.col("__found").isNull()
+        return joined.withColumns({
+            "status": F.when(gone, F.lit(quality.STATUS_QUARANTINE)).otherwise(F.col("status")),
+            "error": F.when(gone, F.lit(VANISHED_ERROR)).otherwise(F.col("error")),
+            "processed_at": F.when(gone, F.current_timestamp()).otherwise(F.col("processed_at")),
+        }).drop("__found")
+
+    if copies_at_once:
+        done = run(todo)
+    else:
+        first = stored(dedup.first_per_hash(readable, order))
+        done = stored(run(first))
+        failed = done.where((F.col("status") != quality.STATUS_OK) & dedup.has_hash()).select("__dkey").distinct()
+        others = readable.join(failed, "__dkey", "left_semi").join(first.select("key"), "key", "left_anti")
+        others = stored(others)
+        if not others.isEmpty():
+            done = done.unionByName(run(others))
+        # unreadable metadata fails whatever the payload holds
+        columns = {c: F.lit(None).cast(RECORD_SCHEMA[c].dataType) for c in RECORD_COLUMNS if c != "file_hash"}
+        columns |= {"status": F.lit(quality.STATUS_QUARANTINE), "error": F.concat_ws(",", "__bad"), "processed_at": F.current_timestamp(), "original_path": F.col("key")}
+        bad = todo.where(F.size("__bad") > 0).withColumns(columns)
+        done = done.unionByName(bad.select(*done.columns))
+    done = stored(done)
+
+    # the first copy of each hash that passed (one row per hash: partial minima, no window over copies)
+    passed = done.where(F.col("status") == quality.STATUS_OK)
+    winners = passed.groupBy("__dkey").agg(F.min("__ord").alias("__won"))
+    judged = done.join(winners, "__dkey", "left")
+    later = F.col("__ord") > F.col("__won")
+    status = F.when(F.coalesce(later, F.lit(False)), F.lit(quality.STATUS_DUPLICATE)).otherwise(F.col("status"))
+    judged = judged.withColumn("status", status)
+    known = done.select("key")
+    rest = marked.join(known, "key", "left_anti").withColumns(
+        {"status": F.lit(quality.STATUS_DUPLICATE), "error": F.lit(None).cast("string")})
+
+    def row(df: DataFrame, has_record: bool) -> DataFrame:
+        dup = F.col("status") == quality.STATUS_DUPLICATE
+        keep = [F.col("file_hash") if c == "file_hash"
+                else F.when(~dup, F.col(c)).alias(c) if has_record else F.lit(None).cast(RECORD_SCHEMA[c].dataType).alias(c)
+                for c in RECORD_COLUMNS]
+        return df.select("key", M.log_label("metadata", "key").alias("label"), "status",
+                         F.when(F.col("status") == quality.STATUS_OK, 1).otherwise(0).cast("bigint").alias("n_rows"),
+                         F.when(~dup, F.col("error")).alias("error"), *keep)
+
+    return CaptureResult(stored(row(judged, True).unionByName(row(rest, False))))
 
 
 def assemble(
@@ -84,9 +165,13 @@ def assemble(
     width: Column | None = None,
     height: Column | None = None,
     extra_errors: Column | None = None,
+    enforce_rules: bool = True,
 ) -> DataFrame:
     """Record columns + ``status``/``error`` for fresh rows (no dedup here).
 
+    ``enforce_rules``: rows that break a range rule fail (False: only rows that
+    could not be read or parsed do, and the rules are left to reports).
+
     ``ocr_summary``: ``(key, ocr_raw_text, ocr_confidence_mean)``, joined on
     ``ocr_keys`` = (fresh column, summary column); when None, ``fresh``
     already has the two OCR columns.  ``intake_text``: ``(intake_key,
@@ -108,7 +193,7 @@ def assemble(
     errs = M.parse_errors("metadata", width, height)
     if extra_errors is not None:
         errs = F.concat(errs, extra_errors)
-    return quality.check(df, extra_errors=errs)
+    return quality.check(df, None if enforce_rules else [], extra_errors=errs)
 
 
 def attach_intake(df: DataFrame, intake_text: DataFrame) -> DataFrame:
@@ -131,19 +216,6 @@ def attach_intake(df: DataFrame, intake_text: DataFrame) -> DataFrame:
     return joined.withColumn("pdf_raw_text", F.coalesce(F.col("__pdf"), F.lit(""))).drop("__src", "__ikey", "__pdf")
 
 
-def finish(checked: DataFrame, duplicates: DataFrame) -> CaptureResult:
-    """Q6 split and per-object results."""
-    keep = ["key", *RECORD_COLUMNS]
-    good = checked.where(F.col("status") == quality.STATUS_OK).select(*keep)
-    bad = checked.where(F.col("status") != quality.STATUS_OK).select(
-        "key", M.log_label("metadata", "key").alias("label"), "error", *RECORD_COLUMNS)
-    per_row = checked.select("key", "status", F.when(F.col("status") == quality.STATUS_OK, 1).otherwise(0)
-                             .cast("bigint").alias("n_rows"), "error")
-    dups = duplicates.select("key", F.lit(quality.STATUS_DUPLICATE).alias("status"),
-                             F.lit(0).cast("bigint").alias("n_rows"), F.lit(None).cast("string").alias("error"))
-    return CaptureResult(good, bad, per_row.unionByName(dups))
-
-
 def run_single(capture: Callable[[list[str]], CaptureResult], key: str) -> dict:
     """Capture one named object (``--key`` runs).
 
@@ -152,7 +224,7 @@ def run_single(capture: Callable[[list[str]], CaptureResult], key: str) -> dict:
     caller's job fails.  Only the one key's status reaches the driver.
     """
     res = capture([key])
-    rows = res.results.where(F.col("key") == key).select("status", "n_rows", "error").collect()
+    rows = res.results.where(F.col("key") == key).select("status", "n_rows", "error").limit(2).collect()
     if not rows:
         raise RuntimeError(f"Processing failed: object not found: {key}")
     bad = [r for r in rows if r.status == quality.STATUS_QUARANTINE]
@@ -185,8 +257,8 @@ def capture_files(
     prefix: str = "",
     region: dict | None = None,
     partitions: int | None = None,
-    materialize: bool = True,
-    keys: list[str] | None = None,
+    keys: list[str] | DataFrame | None = None,
+    enforce_rules: bool = True,
 ) -> CaptureResult:
     """M2 over object folders.
 
@@ -196,33 +268,41 @@ def capture_files(
     ``pdf_factory()`` returns ``fn(pdf_bytes) -> list of page texts``.
     ``partitions`` round-robins the fresh rows before the Python work (the
     payload scan's byte-packed partitions are used otherwise).
+    ``keys``: only these objects; one key is also the listing's prefix.
     """
-    listed = L.list_objects(spark, images_root, prefix=prefix, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
-    if keys is not None:
+    if isinstance(keys, list) and len(keys) == 1 and keys[0].startswith(prefix):
+        prefix = keys[0]
+    files = L.open_files(spark, images_root, prefix, L.CAPTURE_SUFFIX, start, end)
+    listed = L.listing_of(files, images_root, prefix)
+    if isinstance(keys, DataFrame):
+        listed = listed.join(keys.select("key").distinct(), "key", "left_semi")
+    elif keys is not None:
         listed = L.select_keys(listed, keys)
-    with_meta = L.attach_metadata(listed, manifest, broadcast_limit=L.PATH_LOAD_LIMIT)
-    fresh, dups = fresh_objects(with_meta, target)
-    # Listing rows only (no bytes): kept so the path probe and the join below
-    # do not redo the listing, manifest join and dedup.
-    fresh = fresh.persist()
-
-    # Archive texts from the listing rows (metadata only), so finding the
-    # referenced archives never runs the image pipeline.
-    intake_text = None
-    if intake_root is not None and pdf_factory is not None:
-        intake_text = archive_texts(spark, intake_root, fresh, pdf_factory)
-    # Bytes of fresh objects only when few, else an interval-bounded scan.
-    rows = L.payloads_for(spark, fresh, images_root, suffix=L.CAPTURE_SUFFIX, start=start, end=end)
-    checked = assemble_payloads(rows, ocr_factory, intake_text, region, partitions)
-    keep = ["key", "metadata", "status", "error", *RECORD_COLUMNS]
-    # One materialisation in the shared checkpoint folder: records,
-    # quarantine and outcome read it instead of re-running the extractors,
-    # and a lost executor does not send the batch back through OCR.
-    if materialize:
-        shared_dir(spark)
-        checked = checked.select(*keep).checkpoint(eager=True)
-        fresh.unpersist()
-    return finish(checked, dups)
+    with_meta = L.attach_metadata(listed, manifest)
+    process = payload_process(spark, files, ocr_factory, pdf_factory, intake_root, region, partitions, enforce_rules)
+    return capture_rows(with_meta, target, process)
+
+
+def payload_process(
+    spark: SparkSession,
+    files: DataFrame,
+    ocr_factory: Callable[[], Callable[[bytes, dict], Any]],
+    pdf_factory: Callable[[], Callable[[bytes], Any]] | None = None,
+    intake_root: str | None = None,
+    region: dict | None = None,
+    partitions: int | None = None,
+    enforce_rules: bool = True,
+) -> Callable[[DataFrame], DataFrame]:
+    """``process`` of ``capture_rows`` for stored listing rows whose bytes are in ``files``."""
+
+    def process(rows: DataFrame) -> DataFrame:
+        # archive texts come from the listing rows, so finding the archives never runs the image pipeline
+        intake_text = None
+        if intake_root is not None and pdf_factory is not None:
+            intake_text = archive_texts(spark, intake_root, rows, pdf_factory)
+        return assemble_payloads(L.payloads_for(files, rows), ocr_factory, intake_text, region, partitions, enforce_rules)
+
+    return process
 
 
 def assemble_payloads(
@@ -231,6 +311,7 @@ def assemble_payloads(
     intake_text: DataFrame | None = None,
     region: dict | None = None,
     partitions: int | None = None,
+    enforce_rules: bool = True,
 ) -> DataFrame:
     """Fresh rows with ``metadata`` and zstd ``content`` -> checked records.
 
@@ -238,19 +319,24 @@ def assemble_payloads(
     row-local, then the source archive text (J3, ``intake_text`` from
     ``archive_texts``) and the record columns.  Every failure is a per-row
     error routed to quarantine.  Nothing here triggers a job: the extractor
-    runs once, when the caller materialises the result.
+    runs once, when the caller materialises the result.  The image goes to the
+    extractor once and does not come back.
+
+    P4: ``processing_duration_ms`` is the time to inflate, to recognise and to
+    read the archive's PDF; the write of the batch is not included.
     """
     region = region or IMG.OCR_REGION
     if partitions:
         rows = rows.repartition(partitions)
     rows = rows.withColumn("__img", zstd_inflate(F.col("content"))).drop("content")
     img = F.col("__img.payload")
-    rows = rows.withColumns({"__w": IMG.png_width(img), "__h": IMG.png_height(img)})
+    rows = rows.withColumns({"__w": IMG.png_width(img), "__h": IMG.png_height(img),
+                             "__img_err": F.col("__img.error"), "__img_ms": F.col("__img.ms")})
     box = IMG.pixel_box(F.lit(region["x_min"]), F.lit(region["y_min"]), F.lit(region["x_max"]),
                         F.lit(region["y_max"]), F.col("__w"), F.col("__h"))
     rows = rows.withColumn("__box", box).withColumn("__box_err", IMG.box_error(F.col("__box"), F.col("__w"), F.col("__h")))
-    ok_for_ocr = F.col("__img.error").isNull() & F.col("__w").isNotNull() & F.col("__box_err").isNull()
-    rows = rows.withColumn("__ocr_in", F.when(ok_for_ocr, img))
+    ok_for_ocr = F.col("__img_err").isNull() & F.col("__w").isNotNull() & F.col("__box_err").isNull()
+    rows = rows.withColumn("__ocr_in", F.when(ok_for_ocr, img)).drop("__img")
 
     def ocr_guarded():
         fn = ocr_factory()
@@ -261,41 +347,37 @@ def assemble_payloads(
             return ocr.lines_from_engine(fn(png, box))
         return call
 
+    passing = [c for c in rows.columns if c != "__ocr_in"]
     extracted = run_extractor(rows, ocr_guarded, ["__ocr_in", "__box"], OCR_OUTPUT, on_error="fail",
-                              error_col="__ocr_err", elapsed_col="__ocr_ms")
+                              error_col="__ocr_err", elapsed_col="__ocr_ms", passthrough=passing)
     extracted = ocr.summarize_raw(extracted, "ocr_raw")
 
-    not_png = F.when(F.col("__img.error").isNull() & F.col("__w").isNull(), F.lit(NOT_AN_IMAGE_ERROR))
-    errors = F.filter(F.array(F.col("__img.error"), not_png, F.col("__box_err"), F.col("__ocr_err")),
+    not_png = F.when(F.col("__img_err").isNull() & F.col("__w").isNull(), F.lit(NOT_AN_IMAGE_ERROR))
+    errors = F.filter(F.array(F.col("__img_err"), not_png, F.col("__box_err"), F.col("__ocr_err")),
                       lambda x: x.isNotNull())
-    return assemble(extracted, None, intake_text=intake_text, duration_ms=F.col("__ocr_ms"),
-                    width=F.col("__w"), height=F.col("__h"), extra_errors=errors)
-
-
-ARCHIVE_PATH_LIMIT = L.PATH_LOAD_LIMIT
+    spent = F.coalesce(F.col("__img_ms"), F.lit(0.0)) + F.col("__ocr_ms")
+    if intake_text is not None:
+        spent = spent + F.coalesce(F.col("pdf_ms"), F.lit(0))
+    return assemble(extracted, None, intake_text=intake_text, duration_ms=F.round(spent),
+                    width=F.col("__w"), height=F.col("__h"), extra_errors=errors, enforce_rules=enforce_rules)
 
 
 def archive_texts(spark: SparkSession, intake_root: str, images: DataFrame,
-                  pdf_factory: Callable[[], Callable[[bytes], Any]],
-                  path_limit: int = ARCHIVE_PATH_LIMIT) -> DataFrame:
-    """Per referenced archive: first PDF member -> pages -> assembled text.
-
-    ``binaryFile`` reads the bytes of every file its listing keeps, so the
-    intake folder is listed *without* content, semi-joined with the batch's
-    distinct referenced keys (combined map-side: a ZIP shared by many images
-    is read once), and only those paths are loaded (``payloads_for``).  A
-    missing archive is simply absent (its images get ``""``).
+                  pdf_factory: Callable[[], Callable[[bytes], Any]]) -> DataFrame:
+    """Per referenced archive: first PDF member -> pages -> assembled text, and the ms it took.
+
+    The intake folder is listed without content and semi-joined with the
+    batch's distinct references (combined map-side: a ZIP shared by many images
+    is read once); the scan of the bytes is cut down to the modification times
+    of the archives that are left (``payloads_for``).  A missing archive is
+    simply absent (its images get ``""``).
     """
     refs = images.select(M.meta_get("metadata", M.KEY_SOURCE_INTAKE_KEY).alias("intake_key")).where(
         F.col("intake_key").isNotNull() & (F.col("intake_key") != "")).distinct()
-    listed = L.list_objects(spark, intake_root).select(F.col("key").alias("intake_key"), "path")
-    # The batch's references are at most its fresh rows: when bounded they
-    # are broadcast, so the intake listing is filtered map-side.
-    if refs.limit(path_limit + 1).count() <= path_limit:
-        refs = F.broadcast(refs)
-    present = listed.join(refs, "intake_key", "left_semi")
-    archives = L.payloads_for(spark, present, intake_root, path_limit=path_limit).select("intake_key", "content")
-    firsts = pdf.first_pdf(archives)
+    files = L.open_files(spark, intake_root)
+    listed = L.listing_of(files, intake_root).select(F.col("key").alias("intake_key"), "path", "last_modified")
+    present = stored(listed.join(refs, "intake_key", "left_semi"))
+    firsts = pdf.first_pdf(L.payloads_for(files, present).select("intake_key", "content"))
     texts = run_extractor(firsts, pdf_factory, ["pdf_bytes"], PDF_OUTPUT, on_error="empty", empty=[],
-                          error_col="__pdf_err", passthrough=["intake_key"])
-    return texts.select("intake_key", join_pages(F.col("pages")).alias("pdf_raw_text"))
+                          error_col="__pdf_err", elapsed_col="pdf_ms", passthrough=["intake_key"])
+    return texts.select("intake_key", join_pages(F.col("pages")).alias("pdf_raw_text"), "pdf_ms")

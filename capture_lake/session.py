@@ -12,7 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on.  AQE re-plans joins from real shuffle sizes
 # (broadcast only when the built side proved small at runtime, skew split on
@@ -87,26 +87,35 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Written tables and checkpoints go there, never to a machine-local folder.
-    Only when the setting is missing (local tests) a folder is made and set.
+    Only on a one-machine session without the setting (tests) a folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    try:
-        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        conf_dir = None
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not _one_machine(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="capture-lake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder, so a lost executor repeats nothing."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one job's output."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

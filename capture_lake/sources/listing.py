@@ -70,34 +70,41 @@ def filter_listing(df: DataFrame, prefix: str = "", suffix: str | None = None,
 _GLOB_SPECIAL = re.compile(r"([\\*?\[\]{}])")
 
 
-def _binary_files(spark: SparkSession, root: str, suffix: str | None, prefix: str = "") -> DataFrame:
-    """binaryFile scan of ``root``; a key ``prefix`` is pushed into the path as
-    a glob (``root/<prefix>*``) so only matching folders and objects are
-    listed, as an object store lists by prefix.  No match gives no rows."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+def open_files(spark: SparkSession, root: str, prefix: str = "", suffix: str | None = None,
+               start: dt.datetime | str | None = None, end: dt.datetime | str | None = None) -> DataFrame:
+    """binaryFile scan ``(path, modificationTime, length, content)`` of ``root``.
+
+    A key ``prefix`` is pushed into the path as an escaped glob
+    (``root/<prefix>*``) so only matching folders and objects are listed, as an
+    object store lists by prefix; interval bounds are pushed filters.  No match
+    gives no rows.  A file that goes between listing and reading is skipped by
+    the read; callers find it by its missing row.
+
+    Spark's file sources never list names that begin with ``_`` or ``.``;
+    ``count_hidden`` tells how many there are."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    path = root
+    path = _GLOB_SPECIAL.sub(r"\\\1", root.rstrip("/"))
     if prefix:
-        path = f"{root.rstrip('/')}/{_GLOB_SPECIAL.sub(r'\\\1', prefix)}*"
+        path = f"{path}/{_GLOB_SPECIAL.sub(r'\\\1', prefix)}*"
     try:
-        return reader.load(path)
+        files = reader.load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return spark.createDataFrame([], BINARY_FILE_SCHEMA)
         raise
+    if start is not None and end is not None:
+        files = files.where((F.col("modificationTime") >= F.lit(start).cast("timestamp"))
+                            & (F.col("modificationTime") < F.lit(end).cast("timestamp")))
+    return files
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str | None = None,
-                 start: dt.datetime | str | None = None, end: dt.datetime | str | None = None) -> DataFrame:
-    """Listing ``(key, size, last_modified, etag)`` of every object under ``root``.
+def listing_of(files: DataFrame, root: str, prefix: str = "") -> DataFrame:
+    """``(key, size, last_modified, etag, path)`` of a file scan; no byte is read.
 
     The file source has no ETag, so ``etag`` is ``""`` (the producer's default).
     """
-    files = _binary_files(spark, root, suffix, prefix)
-    if start is not None and end is not None:
-        files = files.where((F.col("modificationTime") >= F.lit(start).cast("timestamp"))
-                            & (F.col("modificationTime") < F.lit(end).cast("timestamp")))
     listing = files.select(
         key_of(F.col("path"), root).alias("key"),
         F.col("length").alias("size"),
@@ -108,43 +115,75 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str |
     return filter_listing(listing, prefix=prefix)
 
 
-def read_payloads(spark: SparkSession, root: str, suffix: str | None = None,
-                  start: dt.datetime | str | None = None, end: dt.datetime | str | None = None) -> DataFrame:
-    """Payload scan ``(path, key, content)`` with the same pushed filters as the
-    listing, so only objects of the interval are read."""
-    files = _binary_files(spark, root, suffix)
-    if start is not None and end is not None:
-        files = files.where((F.col("modificationTime") >= F.lit(start).cast("timestamp"))
-                            & (F.col("modificationTime") < F.lit(end).cast("timestamp")))
-    return files.select("path", key_of(F.col("path"), root).alias("key"), "content")
-
-
-# Fresh objects whose bytes may be loaded by name (about 10 MB of paths on
-# the driver, the same order as Spark's own listing of those files).
-PATH_LOAD_LIMIT = 100_000
-
-
-def payloads_for(spark: SparkSession, rows: DataFrame, root: str, suffix: str | None = None,
-                 start: dt.datetime | str | None = None, end: dt.datetime | str | None = None,
-                 path_limit: int = PATH_LOAD_LIMIT) -> DataFrame:
-    """``rows`` (with ``path``) joined to their bytes as ``content``.
-
-    ``binaryFile`` reads the bytes of every file it lists, and a join cannot
-    prune that, so when at most ``path_limit`` rows remain their paths are
-    loaded by name: duplicates dropped by dedup are never read.  Otherwise
-    the folder is scanned with the interval filters pushed down and joined
-    on ``path``.  A path missing at load time gives NULL content.
+def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str | None = None,
+                 start: dt.datetime | str | None = None, end: dt.datetime | str | None = None) -> DataFrame:
+    """Listing of every object under ``root``."""
+    return listing_of(open_files(spark, root, prefix, suffix, start, end), root, prefix)
+
+
+def count_hidden(spark: SparkSession, root: str) -> int:
+    """Objects under ``root`` that no Spark file source lists: those whose name, or a folder's
+    name on the way, begins with ``_`` or ``.``.  One glob per folder level; names only."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    base = _GLOB_SPECIAL.sub(r"\\\1", root.rstrip("/"))
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(conf)
+    total, level = 0, base
+    while True:
+        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/{{_,.}}*")) or []:
+            total += fs.getContentSummary(status.getPath()).getFileCount()
+        level += "/[!_.]*"
+        if not any(status.isDirectory() for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(level)) or []):
+            return total
+
+
+# Time ranges that a payload scan is cut down to, and bytes of listing rows that one
+# broadcast may hold.
+TIME_RANGES = 256
+SLICE_BYTES = 32 * 1024 * 1024
+
+
+def payloads_for(files: DataFrame, rows: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """``rows`` (stored listing rows with ``path`` and ``last_modified``) with their bytes as ``content``.
+
+    The bytes stream by on the scan side and the rows are broadcast, so no byte
+    is ever exchanged.  The rows' modification times, as at most
+    ``TIME_RANGES`` ranges, are pushed into the scan: files outside of them are
+    not read.  Rows of more than ``slice_bytes`` are joined in slices of
+    consecutive ranges, each scanned once (a range that is larger by itself is
+    cut by a hash of the path).  A row whose file is gone has no result row.
     """
-    paths = [r.path for r in rows.select("path").where(F.col("path").isNotNull())
-             .limit(path_limit + 1).collect()]
-    if len(paths) <= path_limit:
-        if not paths:
-            return rows.withColumn("content", F.lit(None).cast("binary"))
-        files = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
-    else:
-        files = read_payloads(spark, root, suffix=suffix, start=start, end=end)
-    p = files.select(F.col("path").alias("__p"), "content")
-    return rows.join(p, F.col("path") == F.col("__p"), "left").drop("__p")
+    spark = rows.sparkSession
+    us = F.unix_micros(F.col("last_modified").cast("timestamp"))
+    weight = F.lit(200) + sum((F.length(F.to_json(F.struct(c))) for c in rows.columns), F.lit(0))
+    ends = rows.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    nothing = files.sparkSession.createDataFrame([], BINARY_FILE_SCHEMA)
+    if ends["lo"] is None:
+        return nothing.select(F.col("path").alias("__p"), "content").join(rows, F.col("__p") == F.col("path")).drop("__p")
+    width = (ends["hi"] - ends["lo"]) // TIME_RANGES + 1
+    spans = (rows.groupBy(F.floor((us - F.lit(ends["lo"])) / F.lit(width)).alias("b"))
+             .agg(F.min(us).alias("lo"), F.max(us).alias("hi"), F.sum(weight).alias("bytes")).orderBy("b").collect())
+    slices: list[list] = []
+    for span in spans:  # at most TIME_RANGES + 1 of them
+        if slices and sum(s["bytes"] for s in slices[-1]) + span["bytes"] <= slice_bytes:
+            slices[-1].append(span)
+        else:
+            slices.append([span])
+    out = None
+    time = F.col("modificationTime")
+    for part in slices:
+        wanted = None
+        for s in part:
+            one = (time >= F.timestamp_micros(F.lit(s["lo"]))) & (time <= F.timestamp_micros(F.lit(s["hi"])))
+            wanted = one if wanted is None else wanted | one
+        cuts = -(-int(sum(s["bytes"] for s in part)) // slice_bytes)
+        scan = files.where(wanted).select(F.col("path").alias("__p"), "content")
+        for k in range(cuts):
+            some = rows.where(us.between(part[0]["lo"], part[-1]["hi"]))
+            if cuts > 1:
+                some = some.where(F.pmod(F.xxhash64("path"), F.lit(cuts)) == k)
+            joined = scan.join(F.broadcast(some), F.col("__p") == F.col("path")).drop("__p")
+            out = joined if out is None else out.unionByName(joined)
+    return out
 
 
 def select_keys(df: DataFrame, keys: Iterable[str], key: str = "key") -> DataFrame:
@@ -152,20 +191,26 @@ def select_keys(df: DataFrame, keys: Iterable[str], key: str = "key") -> DataFra
     return df.where(F.col(key).isin(list(keys)))
 
 
-def attach_metadata(listing: DataFrame, manifest: DataFrame, key: str = "key",
-                    broadcast_limit: int | None = None) -> DataFrame:
+def latest_manifest(manifest: DataFrame, key: str = "key", version: str = "updated_at") -> DataFrame:
+    """One metadata row per key: the latest by ``version`` when the manifest has that column,
+    and among equals (or without it) the one whose JSON text is greatest."""
+    order = [F.col(version)] if version in manifest.columns else []
+    return manifest.groupBy(key).agg(F.max_by("metadata", F.struct(*order, F.to_json("metadata"))).alias("metadata"))
+
+
+def attach_metadata(listing: DataFrame, manifest: DataFrame, key: str = "key", bounded: bool = False) -> DataFrame:
     """Listing joined to its user metadata; no manifest row = empty map.
 
-    A manifest covers every object ever seen while a batch lists one
-    interval.  With ``broadcast_limit``, when the batch has at most that many
-    keys (checked with a bounded count), they are broadcast to filter the
-    manifest scan map-side first, so the large side is never shuffled; AQE
-    then sees a small right side.  Otherwise a plain left join is planned.
+    Repeated manifest rows of a key count once (``latest_manifest``).  A manifest
+    covers every object ever seen while a batch lists one interval.  ``bounded``
+    says that the listing's row count is capped by its source (a stream's
+    ``maxFilesPerTrigger``): its keys are broadcast to filter the manifest scan
+    map-side, and only the batch's own manifest rows are exchanged.
     """
-    m = manifest.select(F.col(key).alias("__mkey"), F.col("metadata").alias("__meta"))
-    if broadcast_limit is not None:
+    m = manifest
+    if bounded:
         keys = listing.select(F.col(key).alias("__b")).where(F.col("__b").isNotNull()).distinct()
-        if keys.limit(broadcast_limit + 1).count() <= broadcast_limit:
-            m = m.join(F.broadcast(keys), m["__mkey"] == F.col("__b"), "left_semi")
+        m = m.join(F.broadcast(keys), m[key] == F.col("__b"), "left_semi")
+    m = latest_manifest(m, key).select(F.col(key).alias("__mkey"), F.col("metadata").alias("__meta"))
     out = listing.join(m, listing[key] == m["__mkey"], "left").drop("__mkey")
     return out.withColumn("metadata", F.coalesce(F.col("__meta"), F.create_map().cast("map<string,string>"))).drop("__meta")

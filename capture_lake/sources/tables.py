@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from capture_lake.operators.dedup import hash_exists
 
+# Spark's error conditions for a namespace or table that isn't there.
+MISSING_CONDITIONS = ("SCHEMA_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "NO_SUCH_NAMESPACE", "NO_SUCH_TABLE")
+
 
 def table_exists(spark: SparkSession, identifier: str) -> bool:
-    """True when the table is in the catalog (False for a missing namespace)."""
+    """True when the table is in the catalog; False for a missing table or namespace.
+
+    Any other failure (a catalog that is down) is raised: read as "no table"
+    it would capture everything again."""
     try:
         return spark.catalog.tableExists(identifier)
-    except Exception:
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() in MISSING_CONDITIONS:
+            return False
+        raise
 
 
 def read_target(spark: SparkSession, identifier: str) -> DataFrame | None:

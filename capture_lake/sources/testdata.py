@@ -16,6 +16,7 @@ them with Spark expressions; every operator stays generic over column names.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,3 +136,29 @@ def intake_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lab.join(docs, "doc_id").select(intake_key(F.col("doc_id")).alias("intake_key"),
                                            F.split(F.col("text"), "\n").alias("pages"))
+
+
+def write_objects(objects: DataFrame, root: str) -> int:
+    """Write ``(key, content, last_modified)`` rows as files under ``root``; how many.
+
+    ``root`` is a folder that every node mounts at the same place (a ``file:`` path);
+    Spark has no sink for single binary objects.  A task that runs again
+    writes the same files again."""
+    import os
+
+    base = root.removeprefix("file://").removeprefix("file:")
+    if not base.startswith("/"):
+        raise ValueError(f"not a mounted folder: {root}")
+
+    def write(batches):
+        for b in batches:
+            for key, content, seconds in zip(*(b.column(i).to_pylist() for i in range(3))):
+                path = os.path.join(base, key)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as f:
+                    f.write(content)
+                os.utime(path, (seconds, seconds))
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    rows = objects.select("key", "content", F.unix_timestamp(F.col("last_modified").cast("timestamp")).alias("seconds"))
+    return rows.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0

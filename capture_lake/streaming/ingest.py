@@ -5,14 +5,14 @@
   re-listing, so each object is read once.
 * T2 interval runs: the same query with ``availableNow=True`` (hourly jobs);
   hours missed while the job was down are picked up from the checkpoint.
-* T3 cross-batch hash dedup: ``foreachBatch`` dedups inside the batch (D2)
-  and against the target (J1) read through the batch's own session after a
-  table refresh (a stale file listing could admit duplicates).
+* T3 cross-batch hash dedup: ``foreachBatch`` runs the batch job's core
+  (``capture_rows``) against the target, read through the batch's own session
+  after a table refresh (a stale file listing could admit duplicates).
   ``foreachBatch`` is at-least-once: a batch writes a commit marker after its
   writes, a replay of a marked batch is skipped, and a replay in the short
   window before the marker is harmless for hashed rows (J1).
-* T4 retry: quarantine rows that are still not in the target, for a batch
-  re-run.
+* T4 retry: every run appends its per-object results to a log; the objects
+  whose latest result is a failure are the queue of a retry run.
 """
 
 from __future__ import annotations
@@ -24,23 +24,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capture_lake.operators import dedup
+from capture_lake.operators import dedup, quality
 from capture_lake.plans import capture as C
-from capture_lake.session import scratch_path
+from capture_lake.session import scratch_path, stored
 from capture_lake.sinks.table import append_records
 from capture_lake.sources import listing as L
 from capture_lake.sources.tables import read_target
 
-Assembler = Callable[[DataFrame], DataFrame]
+Process = Callable[[DataFrame], DataFrame]
 log = logging.getLogger(__name__)
 
-# Distinct hashes of one micro-batch that may be broadcast (~64 MiB of hashes).
-MICRO_BATCH_BROADCAST_LIMIT = 1_000_000
-RETRY_BROADCAST_LIMIT = 1_000_000
+# What the results log keeps of every listed object.
+LOG_COLUMNS = ["key", "file_hash", "label", "status", "n_rows", "error"]
 
 
-def _plain_assemble(fresh: DataFrame) -> DataFrame:
-    return C.assemble(fresh)
+def table_sidecar(warehouse: str, identifier: str, what: str) -> str:
+    """A folder next to the table's own: its quarantine, results log or stream checkpoint."""
+    return f"{warehouse.rstrip('/')}/{identifier.split('.', 1)[-1]}_{what}"
 
 
 def _committed(spark, commit_dir: str | None, batch_id: int | None) -> bool:
@@ -60,11 +60,34 @@ def _mark_committed(spark, commit_dir: str | None, batch_id: int | None) -> None
             f"{commit_dir}/batch-{int(batch_id)}")
 
 
-def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
-                  assemble: Assembler = _plain_assemble, quarantine_path: str | None = None,
-                  batch_id: int | None = None, commit_dir: str | None = None,
-                  probe_dir: str | None = "same") -> dict:
-    """One micro-batch: D2 + J1 against the refreshed target, assemble, append.
+def write_results(res: C.CaptureResult, identifier: str, warehouse: str, fmt: str = "parquet",
+                  quarantine_path: str | None = None, results_path: str | None = None) -> dict:
+    """Append the records, then the failures and the results log; all come from the stored results.
+
+    Returns (A5, A6) the batch's totals and the write counters, and (A7, A8)
+    the two histograms as lists of (series, le, value)."""
+    counters = append_records(res.records, identifier, warehouse, fmt)
+    quarantine_path = quarantine_path or table_sidecar(warehouse, identifier, "quarantine")
+    res.quarantine.write.mode("append").parquet(quarantine_path)
+    logged = res.results.select(*LOG_COLUMNS, F.current_timestamp().alias("logged_at"))
+    logged.write.mode("append").parquet(results_path or table_sidecar(warehouse, identifier, "results"))
+    return {
+        **res.outcome().first().asDict(), **counters,
+        "confidence_histogram": [list(r) for r in res.confidence_histogram().collect()],
+        "duration_histogram": [list(r) for r in res.duration_histogram().collect()],
+    }
+
+
+def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str, process: Process = C.assemble,
+                  quarantine_path: str | None = None, batch_id: int | None = None,
+                  commit_dir: str | None = None, probe_dir: str | None = "same",
+                  manifest: DataFrame | None = None, fmt: str = "parquet", results_path: str | None = None,
+                  copies_at_once: bool = False, bounded: bool = False) -> dict:
+    """One micro-batch: J1 against the refreshed target, D2 and checks, append.
+
+    ``manifest``: joined here, pruned to the batch's keys (else the rows bring
+    their ``metadata``).  ``bounded``: the source caps a micro-batch
+    (``maxFilesPerTrigger``), so its keys and hashes may be broadcast.
 
     ``foreachBatch`` is at-least-once.  With ``commit_dir`` a marker is
     written per ``batch_id`` after its writes succeed, and a replayed batch
@@ -73,39 +96,32 @@ def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str,
     batch that cannot be a replay).  A replay after the append but
     before the marker is still harmless for hashed rows (J1 drops them);
     only empty-hash rows could repeat, as they would in the producer.
-    Returns (and logs) the write counters observed on the append.
+    Returns (and logs) what ``write_results`` does.
     """
     spark = batch_df.sparkSession
     if _committed(spark, commit_dir if probe_dir == "same" else probe_dir, batch_id):
         log.info("capture batch %s into %s: already committed, skipped", batch_id, identifier)
         return {"rows_written": 0, "rows_with_hash": 0, "skipped": True}
-    target = read_target(spark, identifier)
-    # A micro-batch is bounded (maxFilesPerTrigger / maxBytesPerTrigger), so
-    # its hash set is broadcast to filter the target scan map-side.
-    fresh, _ = C.fresh_objects(batch_df, target, broadcast_limit=MICRO_BATCH_BROADCAST_LIMIT)
-    checked = assemble(fresh)
-    if quarantine_path:
-        checked = checked.persist()  # two writes read it
-    try:
-        res = C.finish(checked, fresh.limit(0).select("key"))
-        counters = append_records(res.records, identifier, warehouse)
-        if quarantine_path:
-            res.quarantine.write.mode("append").parquet(quarantine_path)
-    finally:
-        if quarantine_path:
-            checked.unpersist()
+    if manifest is not None:
+        # stored first: the manifest's filter and the join read the listing once
+        batch_df = L.attach_metadata(stored(batch_df), manifest, bounded=bounded)
+    res = C.capture_rows(batch_df, read_target(spark, identifier), process, bounded=bounded, copies_at_once=copies_at_once)
+    counters = write_results(res, identifier, warehouse, fmt, quarantine_path, results_path)
     _mark_committed(spark, commit_dir, batch_id)
     log.info("capture batch %s into %s: %s", batch_id, identifier, counters)
     return counters
 
 
 def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str, warehouse: str,
-                         checkpoint: str, assemble: Assembler = _plain_assemble,
+                         checkpoint: str, process: Process = C.assemble,
                          available_now: bool = False, interval: str = "60 seconds",
-                         quarantine_path: str | None = None):
-    """Start the stream: ``source`` is a streaming frame of listing rows with a
-    ``metadata`` map (see ``listing_stream``).  Batch commit markers live
-    next to the stream checkpoint."""
+                         quarantine_path: str | None = None, manifest: DataFrame | None = None,
+                         fmt: str = "parquet", results_path: str | None = None, copies_at_once: bool = False,
+                         bounded: bool = False, report: Callable[[dict], None] | None = None):
+    """Start the stream: ``source`` is a streaming frame of listing rows, with a
+    ``metadata`` map unless ``manifest`` is given (see ``listing_stream``).  Batch
+    commit markers live next to the stream checkpoint; ``report`` gets each
+    batch's totals."""
     commit_dir = f"{checkpoint.rstrip('/')}/_capture_commits"
     # Spark re-runs a micro-batch only as the first batch after a (re)start,
     # so only that one probes its marker; every batch still writes one.
@@ -114,29 +130,29 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
     def each_batch(df: DataFrame, batch_id: int) -> None:
         probe = commit_dir if first[0] else None
         first[0] = False
-        capture_batch(df, identifier, warehouse, assemble, quarantine_path, batch_id, commit_dir,
-                      probe_dir=probe)
+        totals = capture_batch(df, identifier, warehouse, process, quarantine_path, batch_id, commit_dir,
+                               probe_dir=probe, manifest=manifest, fmt=fmt, results_path=results_path,
+                               copies_at_once=copies_at_once, bounded=bounded)
+        if report is not None:
+            report(totals)
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each_batch)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
 
-def listing_stream(spark: SparkSession, root: str, manifest: DataFrame,
-                   max_files_per_trigger: int = 100_000) -> DataFrame:
-    """T1 source: new ``.png.zst`` objects under ``root`` with their metadata.
+def listing_stream(spark: SparkSession, root: str, prefix: str = "", max_files_per_trigger: int = 10_000) -> DataFrame:
+    """T1 source: listing rows of new ``.png.zst`` objects under ``root`` (no byte is read).
 
-    The binaryFile stream needs its schema; content is not projected.  The
-    manifest is a static table joined per micro-batch (stream-static join).
-    ``maxFilesPerTrigger`` bounds each micro-batch (oldest files first), which
-    is what lets a batch's hash set be broadcast against the target.
+    The binaryFile stream needs its schema; content is not projected.
+    ``maxFilesPerTrigger`` caps each micro-batch (oldest files first), which is
+    what lets its keys and hashes be broadcast.  The source reads an object
+    once; failures come again through the retry run.
     """
     files = (spark.readStream.format("binaryFile").schema(L.BINARY_FILE_SCHEMA)
              .option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{L.CAPTURE_SUFFIX}")
              .option("maxFilesPerTrigger", max_files_per_trigger).load(root))
-    listed = files.select(L.key_of(F.col("path"), root).alias("key"), F.col("length").alias("size"),
-                          F.col("modificationTime").alias("last_modified"), F.lit("").alias("etag"), "path")
-    return L.attach_metadata(listed, manifest)
+    return L.listing_of(files, root, prefix)
 
 
 def dedup_keys_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 hour") -> DataFrame:
@@ -150,17 +166,14 @@ def dedup_keys_stream(stream: DataFrame, keys: list[str], event_time: str, delay
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def retry_queue(quarantine: DataFrame, target: DataFrame) -> DataFrame:
-    """T4: quarantined objects to run again, one row per key with its latest error.
+def retry_queue(results_log: DataFrame) -> DataFrame:
+    """T4: ``(key, error)`` of the objects to run again: those whose latest logged result is a failure.
 
-    An object whose hash has been captured since (for instance from a copy)
-    needs no retry (J1).  The quarantine is append-only, so a key that
-    failed several times appears several times; the per-key aggregate keeps
-    the error of the latest attempt and combines map-side.
+    Keyed by object, so an object without a hash leaves the queue as well once
+    it is captured.  The aggregate combines map-side.
     """
-    q = quarantine.select("key", "error", "file_hash", "processed_at")
-    q = dedup.drop_captured(q, target, broadcast_limit=RETRY_BROADCAST_LIMIT)
-    return q.groupBy("key").agg(F.max_by("error", "processed_at").alias("error"))
+    latest = results_log.groupBy("key").agg(F.max_by(F.struct("status", "error"), F.struct("logged_at", F.col("status") == quality.STATUS_QUARANTINE)).alias("last"))
+    return latest.where(F.col("last.status") == quality.STATUS_QUARANTINE).select("key", F.col("last.error").alias("error"))
 
 
 # ---------------------------------------------------------------------------
@@ -191,7 +204,7 @@ def demo_stream_capture(spark: SparkSession, sf_dir: str, drops: int = 3) -> Dat
         staged.where(F.col("drop_no") == i).select(*STREAM_COLUMNS).write.mode("overwrite").parquet(f"{src_dir}/drop={i}")
         stream = (spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src_dir)
                   .where(F.col("key").endswith(L.CAPTURE_SUFFIX)))
-        q = start_capture_stream(spark, stream, ident, wh, ckpt, available_now=True)
+        q = start_capture_stream(spark, stream, ident, wh, ckpt, available_now=True, copies_at_once=True)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))

@@ -110,7 +110,7 @@ def test_run_single(spark, bucket):
 
     def job(keys):
         return capture_files(spark, images, manifest, target, ocr_factory, pdf_factory, intake_root=intake,
-                             keys=keys, materialize=False)
+                             keys=keys)
 
     assert run_single(job, "2024/01/01/a.png.zst") == {"status": "ok", "key": "2024/01/01/a.png.zst", "rows": 1}
     assert run_single(job, "2024/01/01/e.png.zst")["rows"] == 0  # duplicate: success, no rows
@@ -120,16 +120,114 @@ def test_run_single(spark, bucket):
         run_single(job, "2024/01/01/zzz.png.zst")
 
 
-def test_no_python_below_the_dedup_join(spark, bucket):
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bytes_are_never_exchanged_and_do_not_leave_the_extractor(spark, bucket):
+    from capture_lake.plans.capture import assemble_payloads
+    from capture_lake.session import stored
+    from capture_lake.sources import listing as L
+
+    images, _, manifest, _ = bucket
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        files = L.open_files(spark, images, suffix=L.CAPTURE_SUFFIX)
+        rows = stored(L.attach_metadata(L.listing_of(files, images), manifest))
+        joined = L.payloads_for(files, rows)
+        plan = plan_of(joined)
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        assert "modificationTime" in plan.split("PushedFilters")[-1]
+        assert joined.count() == 6
+        sliced = L.payloads_for(files, rows, slice_bytes=600)  # many slices, the same rows
+        assert sorted((r.key, bytes(r.content)) for r in sliced.collect()) == sorted((r.key, bytes(r.content)) for r in joined.collect())
+        checked = assemble_payloads(joined, ocr_factory)
+        out = [l for l in plan_of(checked).split("\n") if "MapInArrow" in l][0]
+        returned = out.rsplit("[", 1)[-1]
+        assert "__ocr_in" not in returned and "__img#" not in returned and "content" not in returned
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("names", [["a[1].png.zst"], ["a?.png.zst", "ab.png.zst"], ["{x}.png.zst", "x.png.zst"], ["a*.png.zst", "a b.png.zst"]])
+def test_keys_are_not_globs(spark, names):
+    base = scratch_path(spark, "globs").replace("file:", "")
+    for i, name in enumerate(names):
+        write(f"{base}/in[1]/{name}", zstd_bytes(png_bytes(10 + i, 9)))
+    manifest = spark.createDataFrame([(names[0], {"content-hash": "H0"})], "key string, metadata map<string,string>")
+    res = capture_files(spark, f"{base}/in[1]", manifest, None, ocr_factory)
+    assert sorted((r.key, r.image_width) for r in res.records.collect()) == sorted((n, 10 + i) for i, n in enumerate(names))
+    one = capture_files(spark, f"{base}/in[1]", manifest, None, ocr_factory, keys=[names[0]])
+    assert [(r.key, r.file_hash) for r in one.records.collect()] == [(names[0], "H0")]
+
+
+def test_vanished_object_is_a_failure(spark, bucket):
+    from capture_lake.plans.capture import capture_rows, payload_process
+    from capture_lake.sources import listing as L
+
+    images, _, manifest, _ = bucket
+    files = L.open_files(spark, images, suffix=L.CAPTURE_SUFFIX)
+    listing = L.attach_metadata(L.listing_of(files, images), manifest)
+    inner = payload_process(spark, files, ocr_factory)
+
+    def process(rows):  # the object goes after it has been listed
+        if os.path.exists(f"{images}/2024/01/01/f.png.zst"):
+            os.remove(f"{images}/2024/01/01/f.png.zst")
+        return inner(rows)
+
+    res = capture_rows(listing, None, process)
+    gone = {r.key: r.error for r in res.quarantine.collect()}
+    assert gone["2024/01/01/f.png.zst"].startswith("FileNotFoundError")
+    assert res.outcome().first().total == 6
+
+
+def test_good_copy_behind_a_corrupt_one_is_written(spark):
+    base = scratch_path(spark, "copies").replace("file:", "")
+    write(f"{base}/a.png.zst", b"corrupt")
+    write(f"{base}/b.png.zst", zstd_bytes(png_bytes(20, 10)))
+    write(f"{base}/c.png.zst", zstd_bytes(png_bytes(20, 10)))
+    for i, n in enumerate("abc"):
+        os.utime(f"{base}/{n}.png.zst", (1_700_000_000 + i, 1_700_000_000 + i))
+    manifest = spark.createDataFrame([(f"{n}.png.zst", {"content-hash": "H"}) for n in "abc"], "key string, metadata map<string,string>")
+    res = capture_files(spark, base, manifest, None, ocr_factory)
+    assert {r.key[0]: r.status for r in res.results.collect()} == {"a": "quarantine", "b": "ok", "c": "duplicate"}
+    o = res.outcome().first()
+    assert (o.total, o.succeeded, o.rows_written) == (3, 2, 1)
+
+
+def test_duration_covers_slow_archives(spark, bucket):
     images, intake, manifest, target = bucket
-    res = capture_files(spark, images, manifest, target, ocr_factory, pdf_factory, intake_root=intake,
-                        materialize=False)
-    plan = res.records._jdf.queryExecution().executedPlan().toString()
-    first_python = min(plan.find(t) for t in ("ArrowEvalPython", "MapInArrow") if t in plan)
-    # the anti join sits in the cached listing below every Python node
-    assert "InMemoryTableScan" in plan and plan.find("InMemoryTableScan") > first_python
-    fresh_plan = [l for l in plan.split("\n") if "LeftAnti" in l]
-    assert all(plan.find(l) > first_python for l in fresh_plan)
+
+    def slow_pdf():
+        import time
+        inner = pdf_factory()
+
+        def fn(b):
+            time.sleep(0.3)
+            return inner(b)
+        return fn
+
+    res = capture_files(spark, images, manifest, target, ocr_factory, slow_pdf, intake_root=intake)
+    spent = {r.key: r.processing_duration_ms for r in res.records.collect()}
+    assert spent["2024/01/01/a.png.zst"] >= 300
+
+
+def test_range_rules_can_be_left_to_reports(spark, bucket):
+    images, _, _, _ = bucket
+    zero = spark.createDataFrame([("2024/01/01/a.png.zst", {"content-hash": "H1", "image-height": "0"})], "key string, metadata map<string,string>")
+    keys = ["2024/01/01/a.png.zst"]
+    assert capture_files(spark, images, zero, None, ocr_factory, keys=keys).records.count() == 0
+    assert capture_files(spark, images, zero, None, ocr_factory, keys=keys, enforce_rules=False).records.first().image_height == 0
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from capture_lake.session import shared_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))
 
 
 def test_capture_histograms(spark, bucket):

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from capture_lake import cli
 from capture_lake.session import scratch_path
 from conftest import png_bytes, zstd_bytes
@@ -31,31 +33,74 @@ def setup(spark):
 
 def args_for(base, images, intake, table, *extra):
     return ["capture", "--images", images, "--manifest", f"{base}/manifest.json", "--intake", intake,
-            "--table", table, "--warehouse", f"{base}/wh", "--quarantine", f"{base}/q",
+            "--table", table, "--warehouse", f"{base}/wh",
             "--ocr", "extractors_fixture:make_ocr", "--pdf", "extractors_fixture:make_pdf", *extra]
 
 
-def test_cli_batch_key_and_stream(spark, capsys):
+def last_line(capsys):
+    return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+
+def test_cli_batch_key_retry(spark, capsys):
     base, images, intake = setup(spark)
     table = "capture_lake_t.cli_records"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     parser = cli.build_parser()
-    assert cli.run(parser.parse_args(args_for(base, images, intake, table)), spark) == 0
-    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["total"] == 2 and out["files_extracted"] == 1 and out["rows_written"] == 1
+    run = lambda *extra: cli.run(parser.parse_args(args_for(base, images, intake, table, *extra)), spark)
+    write(f"{images}/_hidden/c.png.zst", b"x")
+    write(f"{images}/sub/.d.png.zst", b"x")
+    assert run() == 0
+    out = last_line(capsys)
+    assert out["total"] == 2 and out["files_extracted"] == 1 and out["rows_written"] == 1 and out["hidden_skipped"] == 2
     row = spark.table(table).first()
     assert (row.file_hash, row.ocr_raw_text, row.pdf_raw_text, row.image_width) == ("HA", "w40", "hello", 40)
-    assert spark.read.parquet(f"{base}/q").count() == 1
+    assert spark.read.parquet(f"{base}/wh/cli_records_quarantine").count() == 1  # kept without being asked for
     # single key: duplicate now (success, 0 rows); broken key fails the run
-    assert cli.run(parser.parse_args(args_for(base, images, intake, table, "--key", "a.png.zst")), spark) == 0
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows"] == 0
-    assert cli.run(parser.parse_args(args_for(base, images, intake, table, "--key", "b.png.zst")), spark) == 1
-    # stream drain into a new table
-    t2 = "capture_lake_t.cli_stream"
-    spark.sql(f"DROP TABLE IF EXISTS {t2}")
-    assert cli.run(parser.parse_args(args_for(base, images, intake, t2, "--stream", "--available-now",
-                                              "--checkpoint", f"{base}/ckpt")), spark) == 0
-    spark.catalog.refreshTable(t2)
-    assert [(r.file_hash, r.pdf_raw_text) for r in spark.table(t2).collect()] == [("HA", "hello")]
+    assert run("--key", "a.png.zst") == 0
+    assert last_line(capsys)["rows"] == 0
+    assert run("--key", "b.png.zst") == 1
+    # a second run over more objects counts its own writes only
+    write(f"{images}/e.png.zst", zstd_bytes(png_bytes(12, 20)))  # no manifest row: no hash
+    assert run() == 0
+    out = last_line(capsys)
+    assert (out["total"], out["succeeded"], out["rows_written"]) == (3, 2, 1)
+    # fail, fix, retry, gone
+    write(f"{images}/b.png.zst", zstd_bytes(png_bytes(50, 20)))
+    assert run("--retry") == 0
+    out = last_line(capsys)
+    assert (out["total"], out["rows_written"]) == (1, 1)
+    assert run("--retry") == 0
+    assert last_line(capsys)["total"] == 0
+    spark.catalog.refreshTable(table)
+    assert sorted(r.file_hash for r in spark.table(table).collect()) == ["", "HA", "HB"]
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {t2}")
+
+
+def test_cli_stream(spark, capsys):
+    base, images, intake = setup(spark)
+    table = "capture_lake_t.cli_stream"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    parser = cli.build_parser()
+    write(f"{images}/x/k.png.zst", zstd_bytes(png_bytes(33, 20)))
+    run = lambda *extra: cli.run(parser.parse_args(args_for(base, images, intake, table, "--stream", "--available-now", *extra)), spark)
+    assert run("--prefix", "a") == 0
+    spark.catalog.refreshTable(table)
+    assert [(r.file_hash, r.pdf_raw_text) for r in spark.table(table).collect()] == [("HA", "hello")]
+    assert os.path.isdir(f"{base}/wh/cli_stream_checkpoint")  # the next application finds it
+    capsys.readouterr()
+    assert run("--prefix", "a") == 0  # nothing is read again
+    assert "rows_written" not in capsys.readouterr().out
+    # the broken one is logged as a failure
+    assert run("--checkpoint", f"{base}/ck2") == 0
+    failed = spark.read.parquet(f"{base}/wh/cli_stream_results").where("status = 'quarantine'")
+    assert [r.key for r in failed.collect()] == ["b.png.zst"]
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@pytest.mark.parametrize("extra", [
+    ["--stream", "--start", "2024-01-01", "--end", "2024-01-02"], ["--stream", "--key", "k"], ["--stream", "--retry"],
+    ["--available-now"], ["--checkpoint", "c"], ["--retry", "--key", "k"], ["--start", "2024-01-01"],
+])
+def test_cli_rejects_options_a_mode_would_ignore(extra):
+    with pytest.raises(SystemExit):
+        cli.check_options(cli.build_parser().parse_args(args_for("b", "i", "n", "a.t", *extra)))

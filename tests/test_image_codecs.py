@@ -10,8 +10,8 @@ from capture_lake.operators import pdf
 from conftest import png_bytes, zstd_bytes
 
 REGIONS = {
-    "full": (0.0, 0.0, 1.0, 1.0), "top": (0.0, 0.0, 1.0, 0.15), "centre": (0.1, 0.1, 0.9, 0.9),
-    "zero_width": (0.5, 0.0, 0.5, 1.0), "zero_height": (0.0, 0.4, 1.0, 0.4), "out": (-0.5, -0.5, 1.5, 1.5),
+    "full": (0.0, 0.0, 1.0, 1.0), "top": (0.0, 0.0, 1.0, 0.23), "inner": (0.25, 0.3, 0.75, 0.6),
+    "zero_width": (0.3, 0.1, 0.3, 0.9), "zero_height": (0.2, 0.75, 0.8, 0.75), "out": (-0.25, -0.75, 1.25, 2.0),
 }
 
 
@@ -27,18 +27,18 @@ def boxes(spark, w, h):
 def test_boxes_truncate_and_flag_zero_area(spark):
     got = boxes(spark, 200, 100)
     assert (got["full"].left, got["full"].upper, got["full"].right, got["full"].lower) == (0, 0, 200, 100)
-    assert got["top"].lower == 15 and got["top"].right == 200  # 15 % of 100 px
-    c = got["centre"]
-    assert c.right - c.left < 200 and c.lower - c.upper < 100 and c.ok
+    assert got["top"].lower == 23 and got["top"].right == 200  # 23 % of 100 px
+    c = got["inner"]
+    assert (c.left, c.upper, c.right, c.lower, c.ok) == (50, 30, 150, 60, True)
     assert not got["zero_width"].ok and "zero-area" in got["zero_width"].err
     assert not got["zero_height"].ok
     o = got["out"]  # not clamped
-    assert (o.left, o.upper, o.right, o.lower, o.ok) == (-100, -50, 300, 150, True)
+    assert (o.left, o.upper, o.right, o.lower, o.ok) == (-50, -75, 250, 200, True)
 
 
 def test_negative_truncates_toward_zero(spark):
     got = boxes(spark, 7, 7)["out"]
-    assert got.left == -3  # int(-3.5)
+    assert got.left == -1 and got.upper == -5  # -1.75 and -5.25
 
 
 def test_png_header_dimensions(spark):
@@ -92,26 +92,10 @@ def test_pdf_suffix_predicate(spark, name, ok):
     assert got is ok
 
 
-def test_builtin_member_choice_agrees_with_one_pass(spark):
-    from capture_lake.functions.codecs import zip_read
-
-    z1 = make_zip([("b.txt", b"x"), ("Z.PDF", b"zz"), ("a.pdf", b"aa")])
-    z2 = make_zip([("only.txt", b"t")])
-    df = spark.createDataFrame([(1, z1), (2, z2)], "k int, content binary")
-    listed = df.withColumn("name", pdf.first_pdf_name(zip_members("content").members))
-    two_step = listed.withColumn("r", zip_read("content", "name")).select("k", "name", F.col("r.content").alias("c"))
-    one_pass = pdf.first_pdf(df).select("k", F.col("pdf_name").alias("name"), F.col("pdf_bytes").alias("c"))
-    assert sorted(two_step.collect()) == sorted(one_pass.collect())
-
-
-def test_inflate_size_cap(monkeypatch):
+def test_inflate_and_members_have_no_size_cap():
     from capture_lake.functions import codecs
 
-    monkeypatch.setattr(codecs, "MAX_INFLATED_BYTES", 100)
-    big = zstd_bytes(b"x" * 1000)
-    payload, err = codecs.inflate_one(big)
-    assert payload is None and "exceeds 100 bytes" in err
-    z = make_zip([("a.pdf", b"y" * 1000)])
-    name, content, err = codecs.first_member_one(z, ".pdf")
-    assert name == "a.pdf" and content is None and "exceeds" in err
-    assert codecs.inflate_one(zstd_bytes(b"x" * 50)) == (b"x" * 50, None)
+    big = bytes(64) * (1 << 20)  # 64 MiB from a few bytes
+    assert codecs.inflate_one(zstd_bytes(big)) == (big, None)
+    name, content, err = codecs.first_member_one(make_zip([("a.pdf", b"y" * 5_000_000)]), ".pdf")
+    assert (name, len(content), err) == ("a.pdf", 5_000_000, None)

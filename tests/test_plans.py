@@ -31,12 +31,6 @@ def test_listing_interval_pushed_to_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string,source:string,n_chars:bigint>" in scan
 
 
-def test_no_python_before_dedup_in_flagship(spark):
-    df = E.queries()["capture_records"](spark, SF_SMALL)
-    plan = plan_of(df)
-    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan and "PythonUDF" not in plan
-
-
 def test_histogram_is_one_pass(spark):
     df = E.queries()["confidence_histogram"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
@@ -55,12 +49,12 @@ def test_bounded_batch_filters_target_map_side(spark, tmp_dir):
     target = spark.read.parquet(path)
     batch = spark.createDataFrame([("k1", "h1"), ("k2", ""), ("k3", "c4ca4238a0b923820dcc509a6f75849b")],
                                   "key string, file_hash string")
-    out = dedup.drop_captured(batch, target, broadcast_limit=10)
+    out = dedup.drop_captured(batch, target, bounded=True)
     plan = plan_of(out)
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     assert sorted(r.key for r in out.collect()) == ["k1", "k2"]
-    # above the bound: the general shuffled join, same answer
-    big = dedup.drop_captured(batch, target, broadcast_limit=1)
+    # without a bound: the general join, same answer
+    big = dedup.drop_captured(batch, target)
     assert sorted(r.key for r in big.collect()) == ["k1", "k2"]
 
 
@@ -73,8 +67,23 @@ def test_bounded_listing_filters_manifest_map_side(spark, tmp_dir):
     manifest = spark.read.parquet(path)
     listing = spark.createDataFrame([("k1",), ("k7",), ("zz",)], "key string")
     plain = sorted((r.key, r.metadata.get("content-hash")) for r in attach_metadata(listing, manifest).collect())
-    reduced = attach_metadata(listing, manifest, broadcast_limit=10)
+    reduced = attach_metadata(listing, manifest, bounded=True)
     assert sorted((r.key, r.metadata.get("content-hash")) for r in reduced.collect()) == plain
     assert dict(plain)["zz"] is None
     plan = plan_of(reduced)
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # the scan of the manifest is filtered before anything is exchanged
+    scan = plan.index("manifest_big")
+    assert plan[:scan].rindex("BroadcastHashJoin") > plan[:scan].rindex("Exchange hashpartitioning(key")
+
+
+def test_latest_manifest_row_per_key(spark):
+    from capture_lake.sources.listing import attach_metadata
+
+    manifest = spark.createDataFrame([("a", {"v": "1"}, 1), ("a", {"v": "2"}, 3), ("a", {"v": "9"}, 2), ("b", {"v": "1"}, 1)],
+                                     "key string, metadata map<string,string>, updated_at int")
+    listing = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
+    for bounded in (False, True):
+        got = sorted((r.key, r.metadata.get("v")) for r in attach_metadata(listing, manifest, bounded=bounded).collect())
+        assert got == [("a", "2"), ("b", "1"), ("c", None)]
+        twice = attach_metadata(listing, manifest.drop("updated_at").union(manifest.drop("updated_at")), bounded=bounded)
+        assert twice.count() == 3

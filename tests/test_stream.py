@@ -27,9 +27,11 @@ def meta(h, height="10"):
 
 def run(spark, src, ident, wh, ckpt):
     stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(src)
-    q = start_capture_stream(spark, stream, ident, wh, ckpt, available_now=True)
+    totals = []
+    q = start_capture_stream(spark, stream, ident, wh, ckpt, available_now=True, report=totals.append)
     q.awaitTermination()
     assert q.exception() is None
+    return totals
 
 
 def test_two_runs_with_restart(spark):
@@ -40,7 +42,10 @@ def test_two_runs_with_restart(spark):
     t0 = dt.datetime(2024, 1, 1)
     drop(spark, f"{src}/d0", [("a", 1, t0, "", meta("H1")), ("b", 1, t0, "", meta("H1")),
                               ("c", 1, t0, "", meta("")), ("q", 1, t0, "", meta("H9", "0"))])
-    run(spark, src, ident, wh, ckpt)
+    (first,) = run(spark, src, ident, wh, ckpt)
+    assert (first["total"], first["succeeded"], first["files_extracted"], first["rows_written"]) == (4, 3, 2, 2)
+    assert [r for r in first["confidence_histogram"] if r[0] == "count"][0][2] == 2
+    assert [r for r in first["duration_histogram"] if r[0] == "count"][0][2] == 2
     drop(spark, f"{src}/d1", [("d", 1, t0, "", meta("H1")), ("e", 1, t0, "", meta("H2")),
                               ("f", 1, t0, "", meta(""))])
     run(spark, src, ident, wh, ckpt)  # restart: d0 is not read again
@@ -56,15 +61,30 @@ def test_two_runs_with_restart(spark):
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
 
 
-def test_retry_queue(spark):
+def test_retry_queue_is_the_latest_failure_per_key(spark):
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    q = spark.createDataFrame([("k1", "e", "H1", t1), ("k2", "old", "H2", t1), ("k2", "new", "H2", t2),
-                               ("k3", "e3", "", t1)],
-                              "key string, error string, file_hash string, processed_at timestamp")
-    t = spark.createDataFrame([("H1", "p1")], "file_hash string, original_path string")
-    got = sorted((r.key, r.error) for r in retry_queue(q, t).collect())
-    assert got == [("k2", "new"), ("k3", "e3")]
+    log = spark.createDataFrame([
+        ("k1", "quarantine", "e", t1), ("k1", "ok", None, t2), ("k2", "quarantine", "old", t1), ("k2", "quarantine", "new", t2),
+        ("k3", "quarantine", "e3", t1), ("k4", "ok", None, t1), ("k5", "quarantine", "e5", t1), ("k5", "duplicate", None, t2),
+    ], "key string, status string, error string, logged_at timestamp")
+    assert sorted((r.key, r.error) for r in retry_queue(log).collect()) == [("k2", "new"), ("k3", "e3")]
+
 
+def test_failed_copy_does_not_shadow_a_later_good_one(spark):
+    base = scratch_path(spark, "stream-shadow")
+    src, ckpt, wh = f"{base}/in", f"{base}/ckpt", f"{base}/wh"
+    ident = "capture_lake_t.stream_shadow"
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
+    t0 = dt.datetime(2024, 1, 1)
+    drop(spark, f"{src}/d0", [("a", 1, t0, "", meta("H1", "0")), ("b", 1, t0, "", meta("H1"))])
+    run(spark, src, ident, wh, ckpt)
+    drop(spark, f"{src}/d1", [("c", 1, t0, "", meta("H2", "0"))])
+    run(spark, src, ident, wh, ckpt)
+    drop(spark, f"{src}/d2", [("d", 1, t0, "", meta("H2"))])
+    run(spark, src, ident, wh, ckpt)
+    spark.catalog.refreshTable(ident)
+    assert sorted(r.file_hash for r in spark.table(ident).collect()) == ["H1", "H2"]
+    spark.sql(f"DROP TABLE IF EXISTS {ident}")
 
 
 def test_processing_time_trigger(spark):
@@ -106,8 +126,8 @@ def test_binary_file_listing_stream(spark):
                                      "key string, metadata map<string,string>")
     ident = "capture_lake_t.stream_files"
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
-    stream = listing_stream(spark, root, manifest)
-    q = start_capture_stream(spark, stream, ident, f"{base}/wh", f"{base}/ckpt", available_now=True)
+    stream = listing_stream(spark, root, max_files_per_trigger=1)
+    q = start_capture_stream(spark, stream, ident, f"{base}/wh", f"{base}/ckpt", available_now=True, manifest=manifest, bounded=True)
     q.awaitTermination()
     assert q.exception() is None
     spark.catalog.refreshTable(ident)

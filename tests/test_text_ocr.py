@@ -18,18 +18,18 @@ def test_unicode_strip_matches_str_strip(spark, text, expected):
 
 
 def test_pages_joined_with_separator(spark):
-    df = spark.createDataFrame([(["first page", "second page"],), (["only"],), (["", None, " x "],), (None,),
+    df = spark.createDataFrame([(["cover", "appendix B"],), (["only"],), (["", None, " x "],), (None,),
                                 ([" ", "a"],)], "pages array<string>")
     got = [r.v for r in df.select(join_pages(F.col("pages")).alias("v")).collect()]
-    assert got == ["first page\n---\nsecond page", "only", "x", "", "---\na"]
+    assert got == ["cover\n---\nappendix B", "only", "x", "", "---\na"]
 
 
-def test_ocr_lines_hello_world(spark):
-    df = spark.createDataFrame([(0, [[{"text": "hello", "confidence": 0.9}, {"text": "world", "confidence": 0.8}]])],
+def test_ocr_lines_of_one_block(spark):
+    df = spark.createDataFrame([(0, [[{"text": "total", "confidence": 0.25}, {"text": "41,50", "confidence": 0.75}]])],
                                RAW_SCHEMA)
     r = ocr.summarize_raw(df).first()
-    assert r.ocr_raw_text == "hello world"
-    assert r.ocr_confidence_mean == pytest.approx(0.85)
+    assert r.ocr_raw_text == "total 41,50"
+    assert r.ocr_confidence_mean == pytest.approx(0.5)
 
 
 def test_ocr_empty_and_null_results(spark):
@@ -49,11 +49,11 @@ def test_ocr_null_block_and_bad_lines_skipped(spark):
 
 
 def test_grouped_lines_ordered_and_left_joined(spark):
-    lines = spark.createDataFrame([("k1", 2, "world", 0.8), ("k1", 1, "hello", 0.9)],
+    lines = spark.createDataFrame([("k1", 2, "left", 0.375), ("k1", 1, "right", 0.625)],
                                   "key string, n int, text string, confidence double")
     images = spark.createDataFrame([("k1",), ("k2",)], "key string")
     out = ocr.attach_ocr(images, ocr.summarize_lines(lines, "key", "n"), "key", "key").orderBy("key").collect()
-    assert out[0].ocr_raw_text == "hello world" and out[0].ocr_confidence_mean == pytest.approx(0.85)
+    assert out[0].ocr_raw_text == "right left" and out[0].ocr_confidence_mean == pytest.approx(0.5)
     assert (out[1].ocr_raw_text, out[1].ocr_confidence_mean) == ("", 0.0)
 
 
@@ -65,22 +65,18 @@ def test_page_rows_skip_empty(spark):
     assert assembled.pdf_raw_text == "a\n---"
 
 
-def test_engine_native_result_shapes(spark):
+def test_engine_entries_of_any_shape(spark):
     from capture_lake.operators.ocr import RAW_TYPE, lines_from_engine
 
-    native = [[["word1", ["hello", 0.99]], ["word2", ["world", 0.95]]]]
-    assert lines_from_engine(native) == [[{"text": "hello", "confidence": 0.99},
-                                          {"text": "world", "confidence": 0.95}]]
-    assert lines_from_engine([[]]) == [None] and lines_from_engine(None) is None and lines_from_engine([]) == []
-    messy = [None, [["b"], ["b", None], ["b", ["x"]], ["b", [7, "0.5"]]]]
-    assert lines_from_engine(messy) == [None, [None, None, None, {"text": "7", "confidence": 0.5}]]
+    box = [[0, 0], [4, 0], [4, 2], [0, 2]]
+    results = [
+        [[[box, ["sum", 0.5]], [box, ["9 kg", 1.0]]], [{"text": "net", "confidence": 0.75}]],  # both shapes, two blocks
+        [[], None, [[box, [12, "0.25"]]]],  # values are converted
+        [[[box], [box, None], [box, ["no score"]], None, {"text": "x"}, []]],  # entries that lack something
+        None, [],
+    ]
+    df = spark.createDataFrame([(i, lines_from_engine(r)) for i, r in enumerate(results)], "i int, ocr_raw " + RAW_TYPE.simpleString())
+    got = {r.i: (r.ocr_raw_text, r.ocr_confidence_mean) for r in ocr.summarize_raw(df).collect()}
+    assert got == {0: ("sum 9 kg net", 0.75), 1: ("12", 0.25), 2: ("", 0.0), 3: ("", 0.0), 4: ("", 0.0)}
     with pytest.raises(ValueError):
-        lines_from_engine([[["b", ["t", "high"]]]])
-    df = spark.createDataFrame([(0, lines_from_engine(native)), (1, lines_from_engine([[]])),
-                                (2, lines_from_engine(None)), (3, lines_from_engine(messy))],
-                               "i int, ocr_raw " + RAW_TYPE.simpleString())
-    rows = {r.i: r for r in ocr.summarize_raw(df).collect()}
-    assert rows[0].ocr_raw_text == "hello world" and rows[0].ocr_confidence_mean == pytest.approx(0.97)
-    assert (rows[1].ocr_raw_text, rows[1].ocr_confidence_mean) == ("", 0.0)
-    assert (rows[2].ocr_raw_text, rows[2].ocr_confidence_mean) == ("", 0.0)
-    assert (rows[3].ocr_raw_text, rows[3].ocr_confidence_mean) == ("7", 0.5)
+        lines_from_engine([[[box, ["sum", "sure"]]]])
