@@ -36,6 +36,8 @@ MAX_DISTANCE = 3
 SEED = 42
 #: Largest bucket that is compared directly; larger ones are cut further.
 MAX_BUCKET = 512
+#: Variant rows that one task makes, on average.
+VARIANTS_PER_TASK = 500_000
 #: Shingle hashes counted at a time, so a very long text needs bounded memory.
 CHUNK = 1 << 16
 
@@ -75,15 +77,15 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> Dat
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), simhash(clean_text()).alias("fp"))
 
 
-def segment_buckets(fps: DataFrame) -> DataFrame:
+def segment_buckets(fps: DataFrame, tasks: int) -> DataFrame:
     """(key, n, base, fp): fingerprints that share a 32-bit segment up to one bit.
 
-    `fps` holds distinct fingerprints.  The variants are taken of distinct segment
+    `fps` holds distinct fingerprints; `tasks` shares out the variants (32 of each segment value).  The variants are taken of distinct segment
     values, so a variant matches two values at most, however many rows hold them.
     `base` is where the other, still unshared, half begins."""
     values = fps.select("fp", F.explode(F.array(F.lit(0), F.lit(32))).alias("seg"))
     values = values.withColumn("v", F.expr("shiftrightunsigned(fp, seg) & 4294967295L"))
-    counted = values.groupBy("seg", "v").agg(F.count("*").alias("n"))
+    counted = values.repartition(tasks, "seg", "v").groupBy("seg", "v").agg(F.count("*").alias("n"))
     variants = counted.select("seg", "v", "n", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("p"))
     variants = variants.withColumn("masked", F.expr("v & ~shiftleft(1L, p)"))
     apart = (
@@ -147,7 +149,7 @@ def links_in_buckets(members: DataFrame, max_distance: int = MAX_DISTANCE) -> Da
 def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(a, b): links between distinct fingerprints that keep every connected set connected."""
     found = []
-    buckets = stored(segment_buckets(fps))
+    buckets = stored(segment_buckets(fps, max(8, -(-64 * fps.count() // VARIANTS_PER_TASK))))
     width = 32
     while True:
         small = buckets if width <= 8 else buckets.where(F.col("n") <= max_bucket)
