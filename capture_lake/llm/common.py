@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from capture_lake.session import scratch_path, shared_dir
 
 #: Bytes of text that one Arrow batch to a Python worker may hold.
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes and rows, so long texts do not pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def stored(df: DataFrame) -> DataFrame:
