@@ -142,14 +142,31 @@ def train(rows: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     return fit(np.array([r["x"] for r in sample], float), np.array([r["y"] for r in sample], float))
 
 
+def _logits(model: Model, rows: list) -> pd.Series:
+    """Log-odds of feature rows; null for rows without features."""
+    has = np.array([x is not None for x in rows], bool)
+    out = np.full(len(rows), np.nan)
+    if has.any():
+        out[has] = model.logit(np.array([list(x) for x in rows if x is not None], float))
+    return pd.Series(out).astype(object).where(pd.Series(has), None)
+
+
 def _logit_udf(model: Model):
+    """Log-odds of a column of features."""
+
     @F.pandas_udf("double")
     def own(x: pd.Series) -> pd.Series:
-        out = np.full(len(x), np.nan)
-        has = x.notna().to_numpy()
-        if has.any():
-            out[has] = model.logit(np.array(x[has].tolist(), float))
-        return pd.Series(out).astype(object).where(has, None)
+        return _logits(model, x.tolist())
+
+    return own
+
+
+def _text_logit_udf(model: Model):
+    """Log-odds of a column of texts: features and model in one Python pass."""
+
+    @F.pandas_udf("double")
+    def own(text: pd.Series) -> pd.Series:
+        return _logits(model, [features(t) for t in text])
 
     return own
 
@@ -231,11 +248,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELL
     text, and the site table is joined on its stored size (broadcast only when small)."""
     rows = evidence(docs)
     model = train(rows, labels, max_labelled)
-    own = _logit_udf(model)
-    site, prior = sites(rows.withColumn("logit", own("x")).drop("x"))
+    site, prior = sites(rows.withColumn("logit", _logit_udf(model)("x")).drop("x"))
     site = stored_table(site, "sites")
     (bag,) = fresh_names(docs, "row")
-    wide = docs.select(F.struct(*docs.columns).alias(bag), host_of(F.col("source")).alias("host"), path_of(F.col("source")).alias("path"), own(_features(clean_text())).alias("logit"))
+    wide = docs.select(F.struct(*docs.columns).alias(bag), host_of(F.col("source")).alias("host"), path_of(F.col("source")).alias("path"), _text_logit_udf(model)(clean_text()).alias("logit"))
     return with_quality(wide, site, prior).where(F.col("quality") >= threshold).select(f"{bag}.*")
 
 
