@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from capture_lake.llm.common import bounded_batches, clean_text, fresh_names, stored, stored_table, table
 
-#: Labelled rows the classifier is fitted on at most (those with the smallest hash of their id).
+#: Labelled rows the classifier is fitted on, about, when there are more.
 MAX_LABELLED = 20_000
 #: Least quality a document needs to stay.
 THRESHOLD = 0.5
@@ -132,14 +132,18 @@ def evidence(docs: DataFrame) -> DataFrame:
 
 
 def train(rows: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """A classifier from labelled rows; of more than `max_labelled` about so many are taken, by a
+    hash of their id, so no more than that reaches the driver however large the tables are."""
     told = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
-    sample = (
-        rows.where("x is not null").join(told, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("x")).limit(max_labelled).select("x", "y").collect()
-    )
+    labelled = stored(rows.where("x is not null").join(told, "doc_id").select("doc_id", "x", "y"))
+    count = labelled.count()
+    if count > max_labelled:
+        share = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20))
+        labelled = labelled.where(share < int((1 << 20) * max_labelled / count))
+    sample = sorted((r["doc_id"], list(r["x"]), r["y"]) for r in labelled.collect())
     if not sample:
         return Model()
-    return fit(np.array([r["x"] for r in sample], float), np.array([r["y"] for r in sample], float))
+    return fit(np.array([x for _, x, _ in sample], float), np.array([y for _, _, y in sample], float))
 
 
 def _logits(model: Model, rows: list) -> pd.Series:
