@@ -50,10 +50,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -
 
     @F.pandas_udf("total long, crcs array<long>")
     def cut(text: pd.Series) -> pd.DataFrame:
-        encode = BpeIds.of(tokenizer_path).encode
         total, crcs = [], []
-        for t in text:
-            ids = encode(t) + end
+        for ids in BpeIds.of(tokenizer_path).encode_many(text):
+            ids += end
             total.append(len(ids) // 4)
             crcs.append([zlib.crc32(ids[at : at + 4 * capacity]) for at in range(0, len(ids), 4 * capacity)])
         return pd.DataFrame({"total": total, "crcs": crcs})

@@ -2,9 +2,9 @@
 
 `BpeIds` gives exactly the ids of the file's own tokenizer.  Byte-pair merges
 never cross the tokenizer's word pattern, nor white space, so the ids of each
-word and of each run without white space are kept in bounded tables per worker,
-and a text is a join of their ids; what isn't in the tables yet, or goes beyond
-Latin-1, is encoded by the tokenizer itself.
+run without white space are kept in a bounded table per worker, and a text is a
+join of its runs' ids.  Words that aren't in the table yet go through the file's
+merges; what lies beyond Latin-1 goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -12,55 +12,50 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 
-#: Words whose ids a worker remembers, as many again that it has seen before those.
-MAX_WORDS = 200_000
-#: Longer words are encoded anew each time.
-MAX_WORD = 48
+import numpy as np
+
+#: Entries of a worker's table; as many again are kept that were in use before those.
+MAX_ENTRIES = 150_000
+#: Characters of text whose runs are held at once.
+CHARS_AT_ONCE = 1 << 20
 
 # The word pattern of the tokenizer file, for lower-case Latin-1 text.
 _LETTER = "a-zªµºß-öø-ÿ"
 _NUMBER = "0-9²³¹¼-¾"
-_SPACE = "\t-\r \u0085 "
-SPACE = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
+_SPACE = "\t-\r \u0085\u00a0"
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-
-
-class _Words(dict):
-    """word -> its ids as little-endian unsigned 32-bit numbers."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
+#: The sign of a byte that has none of its own: byte-level vocabularies write such bytes, in order,
+#: as the characters from 256 on.
+_SIGNLESS = [*range(33), *range(127, 161), 173]
+BYTE_SIGNS = {b: 256 + k for k, b in enumerate(_SIGNLESS)}
+#: A full stop or comma next to another mark, with which it makes one word.
+MARKS_TOGETHER = re.compile(f"[.,](?:[^{_SPACE}{_LETTER}{_NUMBER}]|(?<=[^{_SPACE}{_LETTER}{_NUMBER}].))", re.S)
+#: str.split takes these for white space, the tokenizer doesn't.
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
+SPACE = re.compile(f"(?:[^\\s]|[{ODD_SPACE}])+")
+
+
+class _Table:
+    """A bounded table of ids: when it is full it becomes the older one, and entries in use come
+    back from there."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def made(self, word: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word) or self.made(word)
-        if len(word) <= MAX_WORD:
-            if len(self) >= MAX_WORDS:  # words in use come back from the older table
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-
-class _Chunks(_Words):
-    """The same for what stands between white space, which no word crosses."""
-
-    def __init__(self, tokenizer):
-        super().__init__(tokenizer)
-        self.words = _Words(tokenizer)
-
-    def made(self, chunk: str) -> bytes:
-        if "<|" in chunk or not _latin(chunk):
-            return super().made(chunk)
-        return b"".join(map(self.words.__getitem__, WORDS.findall(chunk.lower())))
+    def unknown(self, keys: set[str]) -> list[str]:
+        """Those of `keys` that have to be made; the others are in `now` afterwards."""
+        if len(self.now) >= MAX_ENTRIES:
+            self.older, self.now = self.now, {}
+        now, older, out = self.now, self.older, []
+        for k in keys.difference(now):
+            if k in older:
+                now[k] = older[k]
+            else:
+                out.append(k)
+        return out
 
 
 _made: dict[str, "BpeIds"] = {}
@@ -72,7 +67,8 @@ class BpeIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.chunks = _Chunks(Tokenizer.from_file(path))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.table = _Table()
 
     @classmethod
     def of(cls, path: str) -> "BpeIds":
@@ -81,11 +77,67 @@ class BpeIds:
             _made[path] = cls(path)
         return _made[path]
 
+    def _encoded(self, text: str) -> bytes:
+        """Ids of any text by the whole tokenizer."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn_words(self, new: list[str]) -> None:
+        """Ids of words of the pattern, in lower-case Latin-1: merges of their UTF-8 bytes."""
+        merge, known = self.tokenizer.model.tokenize, self.table.now
+        for w in new:
+            shown = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(BYTE_SIGNS)
+            ids = array("I", [t.id for t in merge(shown)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            known[w] = ids.tobytes()
+
+    def _learn(self, runs: set[str]) -> None:
+        """Ids of runs without white space: of a word, or of several words."""
+        words, several = [], {}
+        for r in self.table.unknown(runs):
+            if r.isalpha() and r.islower() and _latin(r):
+                words.append(r)
+            elif "<|" in r or not _latin(r):
+                self.table.now[r] = self._encoded(r)
+            else:
+                several[r] = WORDS.findall(r.lower())
+        known = self.table.now
+        more = {w for parts in several.values() for w in parts}
+        self._learn_words([*words, *(w for w in more.difference(known, words))])
+        for r, parts in several.items():
+            known[r] = b"".join([known[w] for w in parts])
+
+    def _runs(self, text: str) -> list[str]:
+        """What stands between white space; in plain texts full stops and commas stand alone too."""
+        if any(c in text for c in ODD_SPACE):
+            return SPACE.findall(text)
+        if "<|" not in text and _latin(text):
+            lower = text.lower()
+            if not MARKS_TOGETHER.search(lower):
+                lower = lower.replace(".", " . ").replace(",", " , ")
+            return lower.split()
+        return text.split()
+
+    def encode_many(self, texts) -> Iterator[bytes]:
+        """Ids of whole texts, four bytes each; some texts are split at a time."""
+        held: list[list[str]] = []
+        size = 0
+        for t in texts:
+            held.append(self._runs(t))
+            size += len(t)
+            if size >= CHARS_AT_ONCE:
+                yield from self._joined(held)
+                held, size = [], 0
+        yield from self._joined(held)
+
+    def _joined(self, split: list[list[str]]) -> Iterator[bytes]:
+        self._learn(set().union(*split))
+        get = self.table.now.__getitem__
+        for runs in split:
+            yield b"".join(map(get, runs))
+
     def encode(self, text: str) -> bytes:
-        """Ids of the whole text, four bytes each."""
-        # str.split takes four control characters for white space that the tokenizer doesn't
-        odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        return b"".join(map(self.chunks.__getitem__, SPACE.findall(text) if odd else text.split()))
+        return next(self.encode_many([text]))
 
 
 def _latin(text: str) -> bool:
