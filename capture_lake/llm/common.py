@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capture_lake.session import scratch_path, shared_dir
+from capture_lake.session import scratch_path, stored  # noqa: F401  (`stored` is used by the operators)
 
 #: Bytes of text that one Arrow batch to a Python worker may hold.
 BATCH_BYTES = 4 * 1024 * 1024
@@ -21,12 +21,6 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """`df` computed once and kept in the shared checkpoint folder (survives lost executors)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored_table(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder: column pruning and, unlike a
     checkpoint, file sizes that let Catalyst broadcast it only when it is small."""
