@@ -1,7 +1,8 @@
 """Keyed, type-consistent surrogates for personal data, by DataFrame functions only.
 
 Found are e-mail addresses, IPv4 addresses, telephone, card and social-security
-numbers, long hexadecimal secrets and names that follow a title.  An entity is
+numbers, access keys, hexadecimal secrets, what a password, token or key is set to, and
+names that follow a title.  An entity is
 its type and its canonical form (digits alone, or lower case), so all spellings
 of one entity get one surrogate, written in the format of each mention: digits
 stay digits between the same separators, card numbers keep their length and
@@ -54,6 +55,9 @@ SYLLABLES = {
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])"
 HEX = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
+KEY = r"(?<![0-9A-Za-z])A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
+_ASSIGNS = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?"""
+SECRET = rf"""(?=[PpSsTtAa])(?<![0-9A-Za-z]){_ASSIGNS}(?=[^\s"']{{0,100}}[0-9])[^\s"',;]{{8,128}}"""
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = (
@@ -66,8 +70,8 @@ _WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
 _INITIAL = "(?=[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "])"
 NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLE}\.? {_WORD}(?: {_WORD})?(?![\p{{L}}])"
 #: What any entity has; texts without it are not searched for entities.
-HINT = rf"[0-9@]|{_INITIAL}{_TITLE}\.? \p{{Lu}}"
-PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", NAME))
+HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|{_INITIAL}{_TITLE}\.? \p{{Lu}}"
+PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -76,33 +80,33 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
-def _kind(m: Column) -> Column:
+def _lead(m: Column) -> Column:
+    """What stands before the entity in its mention: a title, or what a secret is assigned to."""
+    return F.regexp_extract(m, rf"^(?:{_TITLE}\.? |{_ASSIGNS}(?!$))", 0)
+
+
+def _kind(m: Column, lead: Column, bare: Column) -> Column:
+    """The type of a mention `m` that is `lead` and the entity `bare`."""
     return (
-        F.when(m.contains("@"), "email")
+        F.when(m.contains("@") & m.rlike(f"^(?:{EMAIL})$"), "email")
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
-        .when(m.rlike("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "hex")
+        .when(bare.rlike("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "hex")
+        .when(m.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(m.rlike("^[0-9 -]{13,}$") & (F.length(_digits(m)) >= 13), "card")
         .when(m.rlike("^[+(0-9]"), "phone")
+        .when(lead.rlike("[=:]"), "secret")
         .otherwise("name")
     )
 
 
-def _title(m: Column) -> Column:
-    return F.regexp_extract(m, rf"^({_TITLE}\.? )", 1)
-
+def _canon(bare: Column, kind: Column) -> Column:
+    return F.when(kind.isin("ssn", "card", "phone"), _digits(bare)).otherwise(F.lower(bare))
 
-def _canon(m: Column, kind: Column) -> Column:
-    return (
-        F.when(kind.isin("email", "hex", "ip"), F.lower(m))
-        .when(kind.isin("ssn", "card", "phone"), _digits(m))
-        .otherwise(F.lower(F.regexp_replace(m, rf"^{_TITLE}\.? ", "")))
-    )
 
-
-def _gender(m: Column, canon: Column) -> Column:
+def _gender(lead: Column, canon: Column) -> Column:
     """m, f or n (not told) of a name, by its title or else by a known given name."""
-    title = F.regexp_replace(_title(m), r"\.? $", "")
+    title = F.regexp_replace(lead, r"\.? $", "")
     given = F.substring_index(canon, " ", 1)
     known = {g: [n for (_, x), names in GIVEN.items() if x == g for n in names] for g in "mf"}
     return (
@@ -152,6 +156,26 @@ def _phone(canon: Column, digits: Column) -> Column:
     return F.concat(F.substring(canon, F.lit(1), lead), F.substring(rest, F.lit(1), n - lead))
 
 
+def _secret(canon: Column, long_hex: Column) -> Column:
+    """Hexadecimal for hexadecimal, else a letter for a letter and a digit for a digit."""
+
+    def swap(c, i):
+        h = F.conv(F.substring(long_hex, (i * 2) % 126 + 1, F.lit(2)), 16, 10).cast("int")
+        letter = F.substring(F.lit(LETTERS), h % 26 + 1, F.lit(1))
+        return F.when(c.rlike("[0-9]"), (h % 10).cast("string")).when(c.rlike("[a-z]"), letter).otherwise(c)
+
+    same_length = F.substring(long_hex, F.lit(1), F.length(canon))
+    return F.when(canon.rlike("^[0-9a-f]+$"), same_length).otherwise(F.array_join(F.transform(F.split(canon, ""), swap), ""))
+
+
+def _key(canon: Column, hashed: Column) -> Column:
+    def swap(i):
+        h = F.conv(F.substring(hashed, i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        return F.substring(F.lit(LETTERS + "234567"), h % 32 + 1, F.lit(1))
+
+    return F.concat(F.substring(canon, 1, 4), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), swap), ""))
+
+
 def _ip(canon: Column, hashed: Column) -> Column:
     part = [_number(hashed, at, 256).cast("string") for at in (1, 5, 9)]
     first = F.lit(20) + _number(hashed, 13, 100)
@@ -198,7 +222,8 @@ def surrogate(kind: Column, canon: Column, gender: Column, hashed: Column, attem
     return (
         F.when(kind == "email", _email(canon, hashed, key, attempt))
         .when(kind == "ip", _ip(canon, hashed))
-        .when(kind == "hex", F.substring(F.concat(hashed, F.sha2(hashed, 256)), F.lit(1), F.length(canon)))
+        .when(kind.isin("hex", "secret"), _secret(canon, F.concat(hashed, F.sha2(hashed, 256))))
+        .when(kind == "key", _key(canon, hashed))
         .when(kind == "card", _card(canon, digits))
         .when(kind == "phone", _phone(canon, digits))
         .when(kind == "ssn", F.substring(digits, F.lit(1), F.length(canon)))
@@ -206,22 +231,26 @@ def surrogate(kind: Column, canon: Column, gender: Column, hashed: Column, attem
     )
 
 
-def _as_written(m: Column, kind: Column, made: Column) -> Column:
-    """A canonical surrogate in the format of the mention `m`."""
+def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Column:
+    """A canonical surrogate in the format of the mention of `bare` after `lead`."""
 
     def fill(c, i):
-        before = F.length(_digits(F.substring(m, F.lit(1), i)))
+        before = F.length(_digits(F.substring(bare, F.lit(1), i)))
         return F.when(c.rlike("[0-9]"), F.substring(made, before + 1, F.lit(1))).otherwise(c)
 
-    numbers = F.array_join(F.transform(F.split(m, ""), fill), "")
-    title = _title(m)
-    bare = F.substring(m, F.length(title) + 1, F.length(m))
-    cased = F.when(F.upper(bare) == bare, F.upper(made)).otherwise(
-        F.when(kind == "name", F.initcap(made))
-        .when(F.rlike(m, F.lit(r"^\p{Lu}")), F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made))))
-        .otherwise(made)
+    def case(c, i):
+        new = F.substring(made, i + 1, F.lit(1))
+        return F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
+
+    numbers = F.array_join(F.transform(F.split(bare, ""), fill), "")
+    letters = F.array_join(F.transform(F.split(bare, ""), case), "")
+    cased = (
+        F.when(F.upper(bare) == bare, F.upper(made)).when(F.lower(bare) == bare, made)
+        .when(kind == "name", F.initcap(made)).when(kind.isin("hex", "secret"), letters)
+        .otherwise(F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made))))
     )
-    return F.when(kind.isin("card", "phone", "ssn"), numbers).when(kind == "ip", made).otherwise(F.concat(title, cased))
+    new = F.when(kind.isin("card", "phone", "ssn"), numbers).when(kind == "ip", made).otherwise(cased)
+    return F.concat(lead, new)
 
 
 def _matches(text: Column) -> Column:
@@ -235,8 +264,10 @@ def mentions(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("kind", _kind(F.col("m"))).withColumn("canon", _canon(F.col("m"), F.col("kind")))
-    return rows.withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("m"), F.col("canon"))).otherwise("n"))
+    m = F.col("m")
+    rows = rows.withColumn("lead", _lead(m)).withColumn("bare", F.substring(m, F.length("lead") + 1, F.length(m)))
+    rows = rows.withColumn("kind", _kind(m, F.col("lead"), F.col("bare"))).withColumn("canon", _canon(F.col("bare"), F.col("kind")))
+    return rows.withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("lead"), F.col("canon"))).otherwise("n")).drop("lead", "bare")
 
 
 def exceptions(found: DataFrame, key: str) -> DataFrame:
@@ -280,14 +311,17 @@ def _rewritten(text: Column, key: str, special: Column | None) -> Column:
             return new
         return F.coalesce(F.try_element_at(special, F.concat(x["kind"], F.lit(":"), x["canon"])), new)
 
-    steps = F.transform(_matches(text), lambda m: F.struct(m.alias("m"), _kind(m).alias("kind")))
-    steps = F.transform(steps, lambda x: F.struct(x["m"].alias("m"), x["kind"].alias("kind"), _canon(x["m"], x["kind"]).alias("canon")))
-    steps = F.transform(steps, lambda x: F.struct(
-        x["m"].alias("m"), x["kind"].alias("kind"), x["canon"].alias("canon"),
-        _gender(x["m"], x["canon"]).alias("gender"), _hash(key, x["kind"], x["canon"], first).alias("hashed"),
-    ))
-    steps = F.transform(steps, lambda x: F.struct(x["m"].alias("m"), x["kind"].alias("kind"), made(x).alias("made")))
-    new = F.transform(steps, lambda x: _as_written(x["m"], x["kind"], x["made"]))
+    def step(rows: Column, *kept: str, **more) -> Column:
+        return F.transform(rows, lambda x: F.struct(*(x[k].alias(k) for k in kept), *(f(x).alias(n) for n, f in more.items())))
+
+    steps = F.transform(_matches(text), lambda m: F.struct(m.alias("m"), _lead(m).alias("lead")))
+    steps = step(steps, "m", "lead", bare=lambda x: F.substring(x["m"], F.length(x["lead"]) + 1, F.length(x["m"])))
+    steps = step(steps, "lead", "bare", kind=lambda x: _kind(x["m"], x["lead"], x["bare"]))
+    steps = step(steps, "lead", "bare", "kind", canon=lambda x: _canon(x["bare"], x["kind"]))
+    steps = step(steps, "lead", "bare", "kind", "canon", gender=lambda x: _gender(x["lead"], x["canon"]),
+                 hashed=lambda x: _hash(key, x["kind"], x["canon"], first))
+    steps = step(steps, "lead", "bare", "kind", made=made)
+    new = F.transform(steps, lambda x: _as_written(x["lead"], x["bare"], x["kind"], x["made"]))
     # as many pieces between the mentions as there are mentions, and one more
     pieces = F.split(text, PATTERN, -1)
     joined = F.array_join(F.zip_with(pieces, F.concat(new, F.array(F.lit(""))), lambda p, n: F.concat(p, n)), "")
