@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from capture_lake.llm.common import bounded_batches, clean_text, table
 
 #: Units a worker remembers, and as many again that it has seen before those.
-MAX_UNITS = 120_000
+MAX_UNITS = 200_000
 #: Units searched in step at a time, and the longest of them in bytes.
 STEP_UNITS = 8192
 LONG_UNIT = 256
@@ -161,8 +161,10 @@ class Segmenter:
 
     def __init__(self, model: Model):
         self.m = model
-        self.units: dict[bytes, tuple[bytes, float]] = {}
-        self.older: dict[bytes, tuple[bytes, float]] = {}
+        # ids (unsigned 16-bit) and scores by unit, and those of the units used before
+        self.ids: dict[bytes, bytes] = {}
+        self.scores: dict[bytes, float] = {}
+        self.older: tuple[dict[bytes, bytes], dict[bytes, float]] = ({}, {})
 
     def one(self, unit: bytes) -> tuple[list[int], float]:
         """Ids and score of one unit."""
@@ -194,8 +196,8 @@ class Segmenter:
             at = start
         return ids[::-1], best[n]
 
-    def many(self, units: list[bytes]) -> list[tuple[list[int], float]]:
-        """The same for units of at most LONG_UNIT bytes, all in step."""
+    def many(self, units: list[bytes]) -> list[tuple[bytes, float]]:
+        """Ids as bytes and score of units of at most LONG_UNIT bytes, all in step."""
         m, w = self.m, len(units)
         size = np.array([len(u) for u in units])
         longest = int(size.max(initial=0))
@@ -244,23 +246,33 @@ class Segmenter:
                 break
             found.append((lanes, piece[at[lanes], lanes], start[at[lanes], lanes], at[lanes]))
             at[lanes] = start[at[lanes], lanes]
-        ids: list[list[int]] = [[] for _ in units]
-        for lanes, pieces, starts, ends in reversed(found):
-            for k, p, a, b in zip(lanes.tolist(), pieces.tolist(), starts.tolist(), ends.tolist()):
-                if p >= 0:
-                    ids[k].append(p)
-                else:
-                    ids[k] += [m.byte_ids[c] for c in units[k][a:b]]
-        return list(zip(ids, best[size, np.arange(w)].tolist()))
+        # one row of ids per unit, its last piece in the last column
+        rounds = len(found)
+        grid, count, bare = np.zeros((w, rounds), np.uint16), np.zeros(w, np.int64), np.zeros(w, bool)
+        for r, (lanes, pieces, _, _) in enumerate(found):
+            grid[lanes, rounds - 1 - r] = pieces
+            count[lanes] = r + 1
+            bare[lanes[pieces < 0]] = True
+        raw = grid.tobytes()
+        out = [raw[2 * (k * rounds + rounds - n) : 2 * (k + 1) * rounds] for k, n in enumerate(count.tolist())]
+        spelt: dict[int, array] = {k: array("H") for k in np.nonzero(bare)[0].tolist()}
+        for lanes, pieces, starts, ends in reversed(found):  # characters without a piece, as bytes
+            some = bare[lanes]
+            for k, p, a, b in zip(*(x[some].tolist() for x in (lanes, pieces, starts, ends))):
+                spelt[k].extend([p] if p >= 0 else [m.byte_ids[c] for c in units[k][a:b]])
+        for k, ids in spelt.items():
+            out[k] = ids.tobytes()
+        return list(zip(out, best[size, np.arange(w)].tolist()))
 
     def remember(self, units: set[bytes]) -> None:
         """Segment the units that are not known yet."""
+        if len(self.ids) > MAX_UNITS:  # memory stays bounded; units in use come back from the older ones
+            self.older, self.ids, self.scores = (self.ids, self.scores), {}, {}
+        old_ids, old_scores = self.older
         new = []
-        for u in units:
-            if u in self.units:
-                continue
-            if u in self.older:
-                self.units[u] = self.older[u]
+        for u in units.difference(self.ids):
+            if u in old_ids:
+                self.ids[u], self.scores[u] = old_ids[u], old_scores[u]
             else:
                 new.append(u)
         new.sort(key=len)
@@ -268,28 +280,17 @@ class Segmenter:
         for at in range(0, len(short), STEP_UNITS):
             part = short[at : at + STEP_UNITS]
             for u, (ids, score) in zip(part, self.many(part)):
-                self.units[u] = (array("H", ids).tobytes(), score)
+                self.ids[u], self.scores[u] = ids, score
         for u in new[len(short) :]:
             ids, score = self.one(u)
-            self.units[u] = (array("H", ids).tobytes(), score)
-
-    def forget(self) -> None:
-        """Keep memory bounded between batches; units in use come back from the older ones."""
-        if len(self.units) > MAX_UNITS:
-            self.older = {u: x for u, x in self.units.items() if len(u) <= LONG_UNIT}
-            self.units = {}
+            self.ids[u], self.scores[u] = array("H", ids).tobytes(), score
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, float]]:
         """(ids, score) of every text; at most as many units are new as the texts have."""
         split = [units_of(t) for t in texts]
-        self.forget()
         self.remember(set().union(*split))
-        out = []
-        known = self.units
-        for units in split:
-            found = [known[u] for u in units]
-            out.append((np.frombuffer(b"".join([x[0] for x in found]), np.uint16), math.fsum(x[1] for x in found)))
-        return out
+        ids, score = self.ids.__getitem__, self.scores.__getitem__
+        return [(np.frombuffer(b"".join(map(ids, units)), np.uint16), math.fsum(map(score, units))) for units in split]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: bytes of byte pieces, blanks for markers, without the first blank."""
@@ -312,18 +313,26 @@ _segmenters: dict = {}
 
 
 def segmentation(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids, score): the pieces of every whole text and the sum of their log scores."""
+    """(doc_id, text, ids, score, round_trip): the pieces of every whole text, the sum of their log
+    scores, and whether decoding them gave the text back."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(Model.read(path or model_path()))
 
-    @F.pandas_udf("ids binary, score double")
+    @F.pandas_udf("ids binary, score double, round_trip boolean")
     def cut(text: pd.Series) -> pd.DataFrame:
         seg = _segmenters.setdefault(path, Segmenter(shared.value))
-        out = [x for at in range(0, len(text), 200) for x in seg.encode(text.iloc[at : at + 200].tolist())]
-        return pd.DataFrame({"ids": [ids.astype("<u2").tobytes() for ids, _ in out], "score": [s for _, s in out]})
+        ids_, scores, same = [], [], []
+        for at in range(0, len(text), 200):
+            part = text.iloc[at : at + 200].tolist()
+            for t, (ids, score) in zip(part, seg.encode(part)):
+                ids_.append(ids.astype("<u2").tobytes())
+                scores.append(score)
+                same.append(seg.decode(ids) == t)
+        return pd.DataFrame({"ids": ids_, "score": scores, "round_trip": same})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text"), cut(clean_text()).alias("cut")).select("doc_id", "text", "cut.ids", "cut.score")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), clean_text().alias("text"), cut(clean_text()).alias("cut"))
+    return rows.select("doc_id", "text", "cut.ids", "cut.score", "cut.round_trip")
 
 
 def decoded(ids: str, path: str | None, spark):
@@ -342,8 +351,4 @@ def op8_unigram_segmentation(spark, sf_dir: str) -> DataFrame:
     """Per document: number of pieces, checksum of the ids (unsigned little-endian 16 bit), score,
     and whether decoding gives the text back."""
     cut = segmentation(table(spark, sf_dir, "documents"))
-    back = cut.withColumn("decoded", decoded("ids", None, spark))
-    return back.select(
-        "doc_id", (F.length("ids") / 2).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "score",
-        (F.col("decoded") == F.col("text")).alias("round_trip"),
-    )
+    return cut.select("doc_id", (F.length("ids") / 2).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "score", "round_trip")
