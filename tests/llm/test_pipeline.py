@@ -21,7 +21,9 @@ def stages(spark):
     out = [docs.cache()]
     for _, stage in P.STAGES:
         out.append(stage(spark, out[-1], SF_SMALL).cache())
-    return out
+    yield out
+    for df in out:  # other tests look at plans over the same files
+        df.unpersist()
 
 
 def rows(df):
