@@ -562,3 +562,25 @@ def test_language_odd_rows(spark, odd, none):
     nothing = langid.train(none)
     assert nothing.langs == [] and langid.predict(none.select("text"), nothing).count() == 0
     assert nothing.predict("some words") == ("und", 0.0, True)
+
+
+def test_language_stage_uses_the_decoding(spark):
+    rnd = random.Random(9)
+    parts = {"aa": ["ka", "to", "mi", "ra"], "ab": ["ka", "to", "mi", "ru"], "cc": ["éon", "ñar", "ouü", "çel"]}
+    word = lambda lang: "".join(rnd.choices(parts[lang], k=3))
+    rows = [(i, " ".join(word(lang) for _ in range(30)), lang, "s") for i, lang in enumerate(sorted(parts) * 80)]
+    mixed = " ".join(word(lang) for lang in sorted(parts) * 12)
+    noise = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=600))
+    other = "съешь ещё этих мягких французских булок да выпей чаю " * 5
+    extra = [(1000, mixed, None, "s"), (1001, "katomi", None, "s"), (1002, noise, None, "s"), (1003, other, None, "s"), (1004, "12 !?", None, "s")]
+    docs = docs_frame(spark, rows + extra)
+    kept = {r["doc_id"] for r in langid.keep_known(docs, langid.train(docs)).collect()}
+    assert kept == {r[0] for r in rows} | {1000, 1001}
+    one = docs.where("lang = 'aa' or doc_id >= 1000")  # a single language has no bits, but evidence
+    kept = {r["doc_id"] for r in langid.keep_known(one, langid.train(one)).collect()}
+    assert kept >= {r[0] for r in rows if r[2] == "aa"} | {1001} and not kept & {1002, 1003, 1004}
+
+
+def test_language_stage_without_a_language_keeps_texts(spark):
+    docs = docs_frame(spark, [(1, "some words", None, "s"), (2, "more words", "", "s"), (3, "12 !?", None, "s"), (4, None, None, "s")])
+    assert {r["doc_id"] for r in langid.keep_known(docs, langid.train(docs)).collect()} == {1, 2}
