@@ -54,10 +54,10 @@ SYLLABLES = {
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])"
-HEX = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
+HEX = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
 KEY = r"(?<![0-9A-Za-z])A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
 _ASSIGNS = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?"""
-SECRET = rf"""(?=[PpSsTtAa])(?<![0-9A-Za-z]){_ASSIGNS}(?=[^\s"']{{0,100}}[0-9])[^\s"',;]{{8,128}}"""
+SECRET = rf"""(?=[PpSsTtAa])(?<![0-9A-Za-z]){_ASSIGNS}[^\s"',;]{{8,}}+"""
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = (
@@ -70,7 +70,7 @@ _WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
 _INITIAL = "(?=[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "])"
 NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLE}\.? {_WORD}(?: {_WORD})?(?![\p{{L}}])"
 #: What any entity has; texts without it are not searched for entities.
-HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|{_INITIAL}{_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? \p{{Lu}}"
 PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -90,7 +90,7 @@ def _kind(m: Column, lead: Column, bare: Column) -> Column:
     return (
         F.when(m.contains("@") & m.rlike(f"^(?:{EMAIL})$"), "email")
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
-        .when(bare.rlike("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "hex")
+        .when(bare.rlike("^[0-9A-Fa-f]{32,}$"), "hex")
         .when(m.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(m.rlike("^[0-9 -]{13,}$") & (F.length(_digits(m)) >= 13), "card")
@@ -156,16 +156,20 @@ def _phone(canon: Column, digits: Column) -> Column:
     return F.concat(F.substring(canon, F.lit(1), lead), F.substring(rest, F.lit(1), n - lead))
 
 
-def _secret(canon: Column, long_hex: Column) -> Column:
-    """Hexadecimal for hexadecimal, else a letter for a letter and a digit for a digit."""
+def _secret(canon: Column, hashed: Column) -> Column:
+    """Hexadecimal for hexadecimal, else a letter for a letter and a digit for a digit; as many
+    hash blocks are drawn as the value is long, and each is used once."""
+    n = F.length(canon)
+    drawn = lambda digits: F.array_join(F.transform(F.sequence(F.lit(0), F.floor((digits - 1) / 64).cast("int")), lambda i: F.sha2(F.concat(hashed, i.cast("string")), 256)), "")
 
-    def swap(c, i):
-        h = F.conv(F.substring(long_hex, (i * 2) % 126 + 1, F.lit(2)), 16, 10).cast("int")
+    def swap(c, pair):
+        h = F.conv(pair, 16, 10).cast("int")
         letter = F.substring(F.lit(LETTERS), h % 26 + 1, F.lit(1))
         return F.when(c.rlike("[0-9]"), (h % 10).cast("string")).when(c.rlike("[a-z]"), letter).otherwise(c)
 
-    same_length = F.substring(long_hex, F.lit(1), F.length(canon))
-    return F.when(canon.rlike("^[0-9a-f]+$"), same_length).otherwise(F.array_join(F.transform(F.split(canon, ""), swap), ""))
+    pairs = F.regexp_extract_all(F.substring(drawn(n * 2), F.lit(1), n * 2), F.lit(".."), F.lit(0))
+    other = F.array_join(F.zip_with(F.split(canon, ""), pairs, swap), "")
+    return F.when(canon.rlike("^[0-9a-f]+$"), F.substring(drawn(n), F.lit(1), n)).otherwise(other)
 
 
 def _key(canon: Column, hashed: Column) -> Column:
@@ -222,7 +226,7 @@ def surrogate(kind: Column, canon: Column, gender: Column, hashed: Column, attem
     return (
         F.when(kind == "email", _email(canon, hashed, key, attempt))
         .when(kind == "ip", _ip(canon, hashed))
-        .when(kind.isin("hex", "secret"), _secret(canon, F.concat(hashed, F.sha2(hashed, 256))))
+        .when(kind.isin("hex", "secret"), _secret(canon, hashed))
         .when(kind == "key", _key(canon, hashed))
         .when(kind == "card", _card(canon, digits))
         .when(kind == "phone", _phone(canon, digits))
@@ -238,12 +242,11 @@ def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Colum
         before = F.length(_digits(F.substring(bare, F.lit(1), i)))
         return F.when(c.rlike("[0-9]"), F.substring(made, before + 1, F.lit(1))).otherwise(c)
 
-    def case(c, i):
-        new = F.substring(made, i + 1, F.lit(1))
+    def case(c, new):
         return F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
 
     numbers = F.array_join(F.transform(F.split(bare, ""), fill), "")
-    letters = F.array_join(F.transform(F.split(bare, ""), case), "")
+    letters = F.array_join(F.zip_with(F.split(bare, ""), F.split(made, ""), case), "")
     cased = (
         F.when(F.upper(bare) == bare, F.upper(made)).when(F.lower(bare) == bare, made)
         .when(kind == "name", F.initcap(made)).when(kind.isin("hex", "secret"), letters)

@@ -319,6 +319,28 @@ def test_surrogates_of_secrets(spark):
         assert old not in new
 
 
+def test_surrogates_of_long_secrets(spark):
+    rnd = random.Random(4)
+    draw = lambda chars, n: "".join(rnd.choices(chars, k=n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    head = draw(letters + "0123456789", 128)
+    tail = [draw(letters + "0123456789._-", 172) for _ in range(2)]
+    late, plain = draw(letters, 150) + "7", draw(letters, 20)
+    long_hex, mixed_hex = draw("0123456789abcdef", 300), draw("0123456789abcdefABCDEF", 40)
+    huge = draw(letters + "0123456789+/", 200_000)
+    values = [head + tail[0], head + tail[1], late, plain, long_hex, mixed_hex, huge]
+    text = f"token={values[0]} token={values[1]} secret={late}; password={plain} {long_hex} {mixed_hex} api_key={huge}"
+    only = f"password={plain}"
+    got = dict(surrogates.pseudonymize(docs_frame(spark, [(1, text, "en", "s"), (2, only, "en", "s")])).select("doc_id", "text").collect())
+    new = re.fullmatch(r"token=(\S+) token=(\S+) secret=(\w+); password=(\w+) ([0-9a-f]+) ([0-9A-Fa-f]+) api_key=(\S+)", got[1]).groups()
+    assert [len(v) for v in new] == [len(v) for v in values] and new[0][:128] != new[1][:128]
+    assert got[2] == f"password={new[3]}"
+    for old, v in zip(values, new):
+        assert not any(old[i : i + 12] in v for i in range(0, min(len(old), 2000) - 11))
+        assert all(a.isupper() == b.isupper() and a.isdigit() == b.isdigit() for a, b in zip(old, v)) or old in (long_hex, mixed_hex)
+    assert len({new[6][i : i + 32] for i in range(0, 6400, 32)}) == 200
+
+
 def test_surrogate_collisions_are_resolved(spark):
     # one-letter addresses at one domain collide at once: 36 entities share 26 letters and 10 digits
     names = "abcdefghijklmnopqrstuvwxyz0123456789"
