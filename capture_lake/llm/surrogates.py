@@ -2,8 +2,9 @@
 
 Found are e-mail addresses, IPv4 addresses, telephone, card and social-security
 numbers, access keys, hexadecimal secrets, what a password, token or key is set to, and
-names that follow a title.  An entity is
-its type and its canonical form (digits alone, or lower case), so all spellings
+names that follow a title, with all their words and particles.  An entity is
+its type and its canonical form (digits alone, a telephone number's without country code
+and trunk digit, or lower case), so all spellings
 of one entity get one surrogate, written in the format of each mention: digits
 stay digits between the same separators, card numbers keep their length and
 whether their check digit holds, upper case stays upper case, given names keep
@@ -60,17 +61,39 @@ _ASSIGNS = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[
 SECRET = rf"""(?=[PpSsTtAa])(?<![0-9A-Za-z]){_ASSIGNS}[^\s"',;]{{8,}}+"""
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
+_SEP = r"[ .\u00a0\u202f-]"
+_TRUNK = rf"(?:{_SEP}?\(0\))?"
+#: Numbers with a country code by the lengths of NANP, ru/kz, es, fr, then any other by its groups.
+_ABROAD = (
+    rf"(?:\+|00{_SEP}?)(?:1(?:{_SEP}?\(?[0-9]{{3}}\)?)(?:{_SEP}?[0-9]){{7}}|7(?:{_SEP}?\(?[0-9]{{3}}\)?)(?:{_SEP}?[0-9]){{7}}"
+    rf"|34(?:{_SEP}?[0-9]){{9}}|33{_TRUNK}(?:{_SEP}?[0-9]){{9}}|[1-9][0-9]{{0,2}}{_TRUNK}(?:(?:{_SEP}|/)?\(?[0-9]{{1,15}}+\)?){{1,7}}+)(?![0-9])"
+)
+#: Grouped national numbers: fr, es, ru, and area code before the rest (de, uk).
+_HOME = (
+    rf"0[1-9](?:{_SEP}[0-9]{{2}}){{4}}"
+    rf"|[6-9][0-9]{{2}}(?:{_SEP}[0-9]{{3}}){{2}}|[6-9][0-9]{{2}}(?:{_SEP}[0-9]{{2}}){{3}}|9[0-9]{_SEP}[0-9]{{3}}(?:{_SEP}[0-9]{{2}}){{2}}"
+    rf"|8{_SEP}?\(?[0-9]{{3}}\)?{_SEP}?[0-9]{{3}}{_SEP}[0-9]{{2}}{_SEP}[0-9]{{2}}|\([0-9]{{3}}\){_SEP}?[0-9]{{3}}{_SEP}[0-9]{{2}}{_SEP}[0-9]{{2}}"
+    rf"|0[1-9][0-9]{{1,4}}(?:{_SEP}|{_SEP}?/{_SEP}?)[0-9]{{2,5}}(?:{_SEP}[0-9]{{2,5}}){{1,3}}|0[1-9][0-9]{{1,4}}(?:{_SEP}|{_SEP}?/{_SEP}?)[0-9]{{5,9}}"
+    rf"|\(0[0-9]{{2,5}}\){_SEP}?[0-9]{{2,9}}(?:{_SEP}[0-9]{{2,5}}){{0,3}}"
+)
 PHONE = (
     r"(?<![0-9A-Za-z+])(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z+.-])(?:\+[0-9]{1,3}[ .-]?)?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
-    r"|(?<![0-9A-Za-z+])\+[0-9]{8,15}(?![0-9])"
+    rf"|(?<![0-9A-Za-z+.-])(?=(?:\+|00)(?:[^0-9A-Za-z]{{0,2}}[0-9]){{7}}){_ABROAD}"
+    rf"|(?<![0-9A-Za-z+.-])(?:{_HOME})(?![0-9]|[.-][0-9])"
 )
+#: Country codes of one and two digits; all others have three.
+_COUNTRY = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + ")"
-_WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
+#: Titles may be followed by academic ones, the name by lower-case particles; they are kept.
+_TITLES = rf"{_TITLE}\.? (?:(?:Dr|Prof|Доктор)\.? ){{0,3}}"
+PARTICLES = ["von", "vom", "van", "der", "den", "de", "del", "della", "di", "da", "do", "dos", "das", "du", "des", "la", "las", "los", "le", "el", "zu", "zum", "zur", "ter", "ten", "af", "av", "al", "bin", "ibn", "y"]
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}"
+_WORD = rf"(?!{_TITLE}\.? )(?:[dl]['’])?\p{{Lu}}(?:[\p{{L}}\p{{M}}'’-]++|\.)"
 _INITIAL = "(?=[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "])"
-NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLE}\.? {_WORD}(?: {_WORD})?(?![\p{{L}}])"
+NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLES}{_PARTICLES}{_WORD}(?: {_PARTICLES}{_WORD}){{0,9}}"
 #: What any entity has; texts without it are not searched for entities.
-HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? (?=[\p{{Lu}}a-z])"
 PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -82,7 +105,7 @@ def _digits(c: Column) -> Column:
 
 def _lead(m: Column) -> Column:
     """What stands before the entity in its mention: a title, or what a secret is assigned to."""
-    return F.regexp_extract(m, rf"^(?:{_TITLE}\.? |{_ASSIGNS}(?!$))", 0)
+    return F.regexp_extract(m, rf"^(?:{_TITLES}|{_ASSIGNS}(?!$))", 0)
 
 
 def _kind(m: Column, lead: Column, bare: Column) -> Column:
@@ -93,7 +116,7 @@ def _kind(m: Column, lead: Column, bare: Column) -> Column:
         .when(bare.rlike("^[0-9A-Fa-f]{32,}$"), "hex")
         .when(m.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(m.rlike("^[0-9 -]{13,}$") & (F.length(_digits(m)) >= 13), "card")
+        .when(m.rlike(f"^(?:{CARD})$"), "card")
         .when(m.rlike("^[+(0-9]"), "phone")
         .when(lead.rlike("[=:]"), "secret")
         .otherwise("name")
@@ -101,12 +124,21 @@ def _kind(m: Column, lead: Column, bare: Column) -> Column:
 
 
 def _canon(bare: Column, kind: Column) -> Column:
-    return F.when(kind.isin("ssn", "card", "phone"), _digits(bare)).otherwise(F.lower(bare))
+    return F.when(kind == "phone", _national(bare)).when(kind.isin("ssn", "card"), _digits(bare)).otherwise(F.lower(bare))
+
+
+def _national(bare: Column) -> Column:
+    """The digits of a telephone number without country code and trunk digit, so all its spellings agree."""
+    abroad = F.regexp_replace(_digits(bare), rf"^(?:00)?(?:{_COUNTRY}|[0-9]{{3}})", "")
+    digits = F.when(bare.rlike(r"^(?:\+|00)"), abroad).otherwise(F.regexp_replace(_digits(bare), r"^(?:0|[178](?=[0-9]{10}$))", ""))
+    # a country code without a plus stands before ten digits with a bracketed area code
+    ten = bare.rlike(r"^[0-9]{1,3}[ .-]?\([1-9]") & (F.length(digits) > 10)
+    return F.when(ten, F.substring(digits, F.length(digits) - 9, F.lit(10))).when(F.length(digits) > 7, F.regexp_replace(digits, "^0", "")).otherwise(digits)
 
 
 def _gender(lead: Column, canon: Column) -> Column:
     """m, f or n (not told) of a name, by its title or else by a known given name."""
-    title = F.regexp_replace(lead, r"\.? $", "")
+    title = F.regexp_extract(lead, rf"^{_TITLE}", 0)
     given = F.substring_index(canon, " ", 1)
     known = {g: [n for (_, x), names in GIVEN.items() if x == g for n in names] for g in "mf"}
     return (
@@ -149,11 +181,9 @@ def _card(canon: Column, digits: Column) -> Column:
 
 
 def _phone(canon: Column, digits: Column) -> Column:
-    n = F.length(canon)
-    lead = F.greatest(n - 10, F.lit(0))
     from_two = lambda at: ((F.substring(digits, at, 1).cast("int") % 8) + 2).cast("string")
-    rest = F.concat(from_two(1), F.substring(digits, 2, 2), from_two(4), F.substring(digits, 5, 6))
-    return F.concat(F.substring(canon, F.lit(1), lead), F.substring(rest, F.lit(1), n - lead))
+    rest = F.concat(from_two(1), F.substring(digits, 2, 2), from_two(4), F.substring(digits, 5, 60))
+    return F.substring(rest, F.lit(1), F.length(canon))
 
 
 def _secret(canon: Column, hashed: Column) -> Column:
@@ -205,17 +235,23 @@ def _email(canon: Column, hashed: Column, key: str, attempt: Column) -> Column:
 
 
 def _name(canon: Column, gender: Column, key: str, attempt: Column) -> Column:
-    """A given name of the same gender and script before a surname of the same script; a word
-    has one surrogate wherever it stands, until a collision makes the whole name try again."""
-    last = F.substring_index(canon, " ", -1)
+    """A given name of the same gender and script for the first of several words, an initial for an
+    initial, a surname of the same script for any other; particles stay.  A word has one surrogate
+    wherever it stands, until a collision makes the whole name try again."""
     again = attempt.cast("string")
-    family, first = _hash(key, F.lit("family"), last, again), _hash(key, F.lit("given"), F.substring_index(canon, " ", 1), again)
 
     def of(script: str) -> Column:
-        given = F.when(gender == "m", _pick(GIVEN[script, "m"], first, 1)).when(gender == "f", _pick(GIVEN[script, "f"], first, 1)).otherwise(_pick(GIVEN[script, "n"], first, 1))
-        parts = [_pick(SYLLABLES[script], family, at) for at in (1, 5, 9, 13)]
-        surname = F.concat(*parts[:3], F.when(attempt > 0, F.concat(parts[3], _pick(SYLLABLES[script], family, 17))).otherwise(""))
-        return F.when(canon.contains(" "), F.concat(given, F.lit(" "), surname)).otherwise(surname)
+        letters = LETTERS if script == "latin" else "абвгдежзиклмнопрстуфхцчшэюя"
+
+        def swap(word, i):
+            family, first = _hash(key, F.lit("family"), word, again), _hash(key, F.lit("given"), word, again)
+            given = F.when(gender == "m", _pick(GIVEN[script, "m"], first, 1)).when(gender == "f", _pick(GIVEN[script, "f"], first, 1)).otherwise(_pick(GIVEN[script, "n"], first, 1))
+            parts = [_pick(SYLLABLES[script], family, at) for at in (1, 5, 9, 13)]
+            surname = F.concat(*parts[:3], F.when(attempt > 0, F.concat(parts[3], _pick(SYLLABLES[script], family, 17))).otherwise(""))
+            initial = F.concat(_pick(list(letters), first, 1), F.lit("."))
+            return F.when(word.isin(PARTICLES), word).when(word.endswith("."), initial).when((i == 0) & canon.contains(" "), given).otherwise(surname)
+
+        return F.array_join(F.transform(F.split(canon, " "), swap), " ")
 
     return F.when(canon.rlike(r"\p{IsCyrillic}"), of("cyrillic")).otherwise(of("latin"))
 
@@ -239,8 +275,12 @@ def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Colum
     """A canonical surrogate in the format of the mention of `bare` after `lead`."""
 
     def fill(c, i):
-        before = F.length(_digits(F.substring(bare, F.lit(1), i)))
-        return F.when(c.rlike("[0-9]"), F.substring(made, before + 1, F.lit(1))).otherwise(c)
+        # the digits before those of the surrogate are a country code or trunk digit and stay
+        at = F.length(_digits(F.substring(bare, F.lit(1), i))) - F.length(_digits(bare)) + F.length(made)
+        return F.when(c.rlike("[0-9]") & (at >= 0), F.substring(made, at + 1, F.lit(1))).otherwise(c)
+
+    def word(old, new):
+        return F.when(F.lower(old) == old, new).otherwise(F.initcap(new))
 
     def case(c, new):
         return F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
@@ -249,7 +289,7 @@ def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Colum
     letters = F.array_join(F.zip_with(F.split(bare, ""), F.split(made, ""), case), "")
     cased = (
         F.when(F.upper(bare) == bare, F.upper(made)).when(F.lower(bare) == bare, made)
-        .when(kind == "name", F.initcap(made)).when(kind.isin("hex", "secret"), letters)
+        .when(kind == "name", F.array_join(F.zip_with(F.split(bare, " "), F.split(made, " "), word), " ")).when(kind.isin("hex", "secret"), letters)
         .otherwise(F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made))))
     )
     new = F.when(kind.isin("card", "phone", "ssn"), numbers).when(kind == "ip", made).otherwise(cased)

@@ -341,6 +341,49 @@ def test_surrogates_of_long_secrets(spark):
     assert len({new[6][i : i + 32] for i in range(0, 6400, 32)}) == 200
 
 
+def test_surrogates_of_whole_names(spark):
+    text = (
+        "Señora María García López; Dr Anna Marie Schmidt, Herr von Braun; Señor de la Cruz; Prof. Dr. J. R. Weber met Frau Schmidt and Monsieur d'Estaing. "
+        "Señor López y Señora Cruz"
+    )
+    frame = docs_frame(spark, [(1, text, "es", "s"), (2, "Herr von Braun spricht", "de", "s")])
+    got = dict(surrogates.pseudonymize(frame).select("doc_id", "text").collect())
+    assert not [w for w in ("María", "García", "López", "Anna", "Marie", "Schmidt", "Braun", "Cruz", "Weber", "J.", "Estaing") if w in got[1]]
+    shape = (
+        r"Señora (\w+) (\w+) (\w+); Dr (\w+) (\w+) (\w+), Herr von (\w+); Señor de la (\w+); Prof\. Dr\. [A-Z]\. [A-Z]\. (\w+) met Frau (\w+) and Monsieur (\w+)\. "
+        r"Señor (\w+) y Señora (\w+)"
+    )
+    new = re.fullmatch(shape, got[1]).groups()
+    assert new[2] == new[11] and new[5] == new[9] and new[7] == new[12] and all(w[0].isupper() and w[1:].islower() for w in new)
+    assert got[2] == f"Herr von {new[6]} spricht"
+
+
+def test_surrogates_of_phones(spark):
+    same = [
+        ["+33 1 23 45 67 89", "01 23 45 67 89", "+33123456789", "+33 (0)1.23.45.67.89", "0033 1 23 45 67 89"],
+        ["+34 612 345 678", "612 345 678", "612 34 56 78"], ["+44 20 7946 0958", "020 7946 0958", "+44 (0)20 7946 0958"],
+        ["+49 30 1234567", "030 1234567", "030/1234567", "(030) 1234567"], ["+7 912 345-67-89", "8 912 345-67-89", "8 (912) 345-67-89"],
+        ["+1 551-555-0826", "551-555-0826", "(551) 555-0826", "1 (551) 555-0826"], ["+351 21 123 4567"],
+    ]
+    flat = [p for group in same for p in group]
+    rows = [(i, f"call {p}, today", "en", "s") for i, p in enumerate(flat)]
+    clean = ["on 2024-01-02 10:30 1 234 567 rows", "version 1.02.3 of 12 300", "+5 points, 0 12 items"]
+    got = dict(surrogates.pseudonymize(docs_frame(spark, rows + [(100 + i, c, "en", "s") for i, c in enumerate(clean)])).select("doc_id", "text").collect())
+    assert [got[100 + i] for i in range(len(clean))] == clean
+    made, at = [], 0
+    for group in same:
+        ends = set()
+        for p in group:
+            new = re.fullmatch("call (.+), today", got[at]).group(1)
+            assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", p)
+            assert new != p
+            ends.add(re.sub("[^0-9]", "", new)[-len(re.sub("[^0-9]", "", min(group, key=len))) + 1 :][-8:])
+            at += 1
+        assert len(ends) == 1, (group, ends)
+        made += ends
+    assert len(set(made)) == len(same)
+
+
 def test_surrogate_collisions_are_resolved(spark):
     # one-letter addresses at one domain collide at once: 36 entities share 26 letters and 10 digits
     names = "abcdefghijklmnopqrstuvwxyz0123456789"
