@@ -649,3 +649,28 @@ def test_language_stage_uses_the_decoding(spark):
 def test_language_stage_without_a_language_keeps_texts(spark):
     docs = docs_frame(spark, [(1, "some words", None, "s"), (2, "more words", "", "s"), (3, "12 !?", None, "s"), (4, None, None, "s")])
     assert {r["doc_id"] for r in langid.keep_known(docs, langid.train(docs)).collect()} == {1, 2}
+
+
+def test_every_language_is_learned(spark):
+    k = 600
+    words = lambda i: " ".join(chr(0x4E00 + 5 * i + j) * 2 for j in range(5))
+    docs = docs_frame(spark, [(4 * i + j, words(i), f"l{i:04}", "s") for i in range(k) for j in range(4)])
+    model = langid.fit(langid.gram_counts(docs))
+    assert len(model.langs) == k and model.weights.shape == (langid.BUCKETS, model.code.shape[1]) and model.code.shape[1] == 1024
+    assert sum(model.predict(words(i))[0] == f"l{i:04}" for i in range(k)) > 0.99 * k
+
+
+@pytest.mark.parametrize("k", [1, 2, 4, 7])
+def test_model_by_hand(spark, k):
+    rnd = random.Random(k)
+    docs = docs_frame(spark, [(i, "".join(rnd.choices("abcdefgh ", k=200)), f"l{i % k}", "s") for i in range(40)])
+    model = langid.fit(langid.gram_counts(docs))
+    n = np.zeros((k, langid.BUCKETS))
+    for r in docs.collect():
+        for g in langid.grams(langid.letters_of(r["text"])):
+            np.add.at(n[int(r["lang"][1:])], g, 1)
+    share = (n + 0.02) / (n + 0.02).sum(axis=1, keepdims=True)
+    assert np.allclose(model.known, np.log(share.mean(axis=0)))
+    for b in range(model.code.shape[1]):
+        one, zero = share[model.code[:, b] == 1].mean(axis=0), share[model.code[:, b] == 0].mean(axis=0)
+        assert np.allclose(model.weights[:, b], np.clip(np.log(one / zero), -6, 6), atol=1e-4)
