@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from capture_lake.llm import bitslice, chat
+from capture_lake.llm import bitslice, chat, collocations, hard_negatives
 from capture_lake.llm.bitslice import op3_bitsliced_topk
 from capture_lake.llm.chat import op7_chat_formatting
+from capture_lake.llm.collocations import op12_collocations
+from capture_lake.llm.hard_negatives import op13_hard_negatives
+from capture_lake.llm.html_extract import op11_html_extraction
 from capture_lake.llm.langid import op10_language_id
 from capture_lake.llm.minhash import op9_document_fingerprints
 from capture_lake.llm.quality import op5_quality_classifier
@@ -25,4 +28,7 @@ REGISTRY: dict = {
     "op8_unigram_segmentation": (op8_unigram_segmentation, None),
     "op9_document_fingerprints": (op9_document_fingerprints, None),
     "op10_language_id": (op10_language_id, None),
+    "op11_html_extraction": (op11_html_extraction, None),
+    "op12_collocations": (op12_collocations, collocations.ORACLE),
+    "op13_hard_negatives": (op13_hard_negatives, hard_negatives.ORACLE),
 }
