@@ -13,11 +13,14 @@ gender and script, private addresses stay private.
 A surrogate is a function of the key, the entity and an attempt number.  Attempt
 0 is computed next to the text.  Collisions are looked for over all distinct
 entities of the corpus: no two entities share a surrogate, and none is the
-canonical form of an entity that occurs.  The entities that have to try again
-(and names whose mentions disagree in gender) form a table of exceptions, which
-is joined to the texts that mention them.
-
-Edge cases: a null text stays null, an empty one empty; repeated rows are
+canonical form of an entity that occurs.  A further attempt widens formats that have
+few places: initials become two, then three, a surname gets one more syllable, a private
+address moves to a larger private range.  An entity that is still without a place after
+the last attempt gets a placeholder, `[KIND-<128 bits of its keyed hash>]`; nothing fails.
+The entities that have to try again (and names whose mentions disagree in gender) form a
+table of exceptions, which is joined to the texts that mention them.
+
+Edge cases: a null text stays null, an empty one empty, a very long one is rewritten whole; repeated rows are
 rewritten alike; other columns are kept whatever they are called; an empty table
 gives an empty result.
 """
@@ -32,13 +35,13 @@ from pyspark.sql import functions as F
 from capture_lake.llm.common import fresh_names, stored, stored_table, table
 
 DEFAULT_KEY = "surrogate-key"
-MAX_ATTEMPTS = 30
+MAX_ATTEMPTS = 6
 
 # Titles by gender, given names by gender and script, surname syllables by script.
 TITLES = {
-    "m": ["Mr", "Herr", "Monsieur", "Señor", "Don", "Господин", "г-н"],
-    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "Госпожа", "г-жа"],
-    "n": ["Dr", "Prof", "Доктор"],
+    "m": ["Mr", "MR", "Herr", "HERR", "Monsieur", "Señor", "Sr", "Don", "Господин", "г-н"],
+    "f": ["Mrs", "MRS", "Ms", "Miss", "MISS", "Frau", "FRAU", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Doña", "Госпожа", "г-жа"],
+    "n": ["Dr", "DR", "Prof", "PROF", "Доктор"],
 }
 GIVEN = {
     ("latin", "m"): ["james", "peter", "carlos", "louis", "martin", "henry", "paul", "victor", "oscar", "simon", "felix", "hugo"],
@@ -53,7 +56,8 @@ SYLLABLES = {
     "cyrillic": ["бар", "вен", "гор", "дол", "зор", "кал", "лен", "мор", "нев", "пол", "рос", "сор", "тал", "фед", "чер", "шов"],
 }
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
+#: A host has as many labels as a domain name can have.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,63}+(?![A-Za-z0-9])"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])"
 HEX = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
 KEY = r"(?<![0-9A-Za-z])A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
@@ -84,19 +88,23 @@ PHONE = (
 )
 #: Country codes of one and two digits; all others have three.
 _COUNTRY = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
-_TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + ")"
+_TITLE = "(?:" + "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True)) + ")"
 #: Titles may be followed by academic ones, the name by lower-case particles; they are kept.
 _TITLES = rf"{_TITLE}\.? (?:(?:Dr|Prof|Доктор)\.? ){{0,3}}"
 PARTICLES = ["von", "vom", "van", "der", "den", "de", "del", "della", "di", "da", "do", "dos", "das", "du", "des", "la", "las", "los", "le", "el", "zu", "zum", "zur", "ter", "ten", "af", "av", "al", "bin", "ibn", "y"]
 _PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}"
 _WORD = rf"(?!{_TITLE}\.? )(?:[dl]['’])?\p{{Lu}}(?:[\p{{L}}\p{{M}}'’-]++|\.)"
 _INITIAL = "(?=[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "])"
-NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLES}{_PARTICLES}{_WORD}(?: {_PARTICLES}{_WORD}){{0,9}}"
+NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLES}{_PARTICLES}{_WORD}(?: {_PARTICLES}{_WORD})*+"
 #: What any entity has; texts without it are not searched for entities.
 HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? (?=[\p{{Lu}}a-z])"
 PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
 
+# Letters by script, and the marks that may stand in a secret.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
+GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
+MARKS = "!#$%&()*+-./<>?@^_|~"
 
 
 def _digits(c: Column) -> Column:
@@ -186,16 +194,21 @@ def _phone(canon: Column, digits: Column) -> Column:
     return F.substring(rest, F.lit(1), F.length(canon))
 
 
-def _secret(canon: Column, hashed: Column) -> Column:
-    """Hexadecimal for hexadecimal, else a letter for a letter and a digit for a digit; as many
+def _secret(canon: Column, hashed: Column, attempt: Column) -> Column:
+    """Hexadecimal for hexadecimal, else a letter of the same script for a letter and a digit for a digit;
+    marks stay, but in a value of marks alone and in further attempts a mark stands for a mark.  As many
     hash blocks are drawn as the value is long, and each is used once."""
     n = F.length(canon)
     drawn = lambda digits: F.array_join(F.transform(F.sequence(F.lit(0), F.floor((digits - 1) / 64).cast("int")), lambda i: F.sha2(F.concat(hashed, i.cast("string")), 256)), "")
 
+    marks = (attempt > 0) | ~canon.rlike("[\\p{L}\\p{M}\\p{N}]")
+
     def swap(c, pair):
         h = F.conv(pair, 16, 10).cast("int")
-        letter = F.substring(F.lit(LETTERS), h % 26 + 1, F.lit(1))
-        return F.when(c.rlike("[0-9]"), (h % 10).cast("string")).when(c.rlike("[a-z]"), letter).otherwise(c)
+        one_of = lambda chars: F.substring(F.lit(chars), h % len(chars) + 1, F.lit(1))
+        return (F.when(c.rlike("[0-9]|\\p{N}"), (h % 10).cast("string")).when(c.rlike("[a-z]"), one_of(LETTERS))
+                .when(c.rlike("\\p{IsCyrillic}"), one_of(CYRILLIC)).when(c.rlike("\\p{IsGreek}"), one_of(GREEK))
+                .when(c.rlike("\\p{L}|\\p{M}"), one_of(LETTERS)).when(marks, one_of(MARKS)).otherwise(c))
 
     pairs = F.regexp_extract_all(F.substring(drawn(n * 2), F.lit(1), n * 2), F.lit(".."), F.lit(0))
     other = F.array_join(F.zip_with(F.split(canon, ""), pairs, swap), "")
@@ -210,12 +223,15 @@ def _key(canon: Column, hashed: Column) -> Column:
     return F.concat(F.substring(canon, 1, 4), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), swap), ""))
 
 
-def _ip(canon: Column, hashed: Column) -> Column:
+def _ip(canon: Column, hashed: Column, attempt: Column) -> Column:
+    """Private addresses stay private; a range that is too full gives way to a larger one."""
     part = [_number(hashed, at, 256).cast("string") for at in (1, 5, 9)]
-    first = F.lit(20) + _number(hashed, 13, 100)
-    first = F.when(canon.startswith("10."), "10").when(canon.startswith("192.168."), "192").otherwise(first.cast("string"))
-    second = F.when(canon.startswith("192.168."), "168").otherwise(part[0])
-    return F.concat_ws(".", first, second, part[1], part[2])
+    public = F.concat_ws(".", (F.lit(20) + _number(hashed, 13, 100)).cast("string"), *part)
+    small, middle = F.concat_ws(".", F.lit("192.168"), *part[1:]), F.concat_ws(".", F.lit("172"), (F.lit(16) + _number(hashed, 13, 16)).cast("string"), *part[1:])
+    large = F.concat_ws(".", F.lit("10"), *part)
+    is_small, is_middle = canon.startswith("192.168."), canon.rlike(r"^172\.(?:1[6-9]|2[0-9]|3[01])\.")
+    return (F.when(is_small & (attempt == 0), small).when((is_small & (attempt == 1)) | (is_middle & (attempt == 0)), middle)
+            .when(is_small | is_middle | canon.startswith("10."), large).otherwise(public))
 
 
 def _email(canon: Column, hashed: Column, key: str, attempt: Column) -> Column:
@@ -241,14 +257,16 @@ def _name(canon: Column, gender: Column, key: str, attempt: Column) -> Column:
     again = attempt.cast("string")
 
     def of(script: str) -> Column:
-        letters = LETTERS if script == "latin" else "абвгдежзиклмнопрстуфхцчшэюя"
+        letters = LETTERS if script == "latin" else CYRILLIC
 
         def swap(word, i):
             family, first = _hash(key, F.lit("family"), word, again), _hash(key, F.lit("given"), word, again)
             given = F.when(gender == "m", _pick(GIVEN[script, "m"], first, 1)).when(gender == "f", _pick(GIVEN[script, "f"], first, 1)).otherwise(_pick(GIVEN[script, "n"], first, 1))
-            parts = [_pick(SYLLABLES[script], family, at) for at in (1, 5, 9, 13)]
-            surname = F.concat(*parts[:3], F.when(attempt > 0, F.concat(parts[3], _pick(SYLLABLES[script], family, 17))).otherwise(""))
-            initial = F.concat(_pick(list(letters), first, 1), F.lit("."))
+            syllable = lambda i: F.element_at(F.array(*map(F.lit, SYLLABLES[script])), F.conv(F.substring(family, i * 4 + 13, F.lit(4)), 16, 10).cast("int") % 16 + 1)
+            more = F.array_join(F.transform(F.sequence(F.lit(0), attempt), syllable), "")
+            surname = F.concat(*(_pick(SYLLABLES[script], family, at) for at in (1, 5, 9)), F.when(attempt > 0, more).otherwise(""))
+            one = lambda i: F.concat(F.substring(F.lit(letters), F.conv(F.substring(first, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % len(letters) + 1, F.lit(1)), F.lit("."))
+            initial = F.array_join(F.transform(F.sequence(F.lit(0), attempt), one), " ")
             return F.when(word.isin(PARTICLES), word).when(word.endswith("."), initial).when((i == 0) & canon.contains(" "), given).otherwise(surname)
 
         return F.array_join(F.transform(F.split(canon, " "), swap), " ")
@@ -261,8 +279,8 @@ def surrogate(kind: Column, canon: Column, gender: Column, hashed: Column, attem
     digits = F.translate(hashed, "abcdef", "012345")
     return (
         F.when(kind == "email", _email(canon, hashed, key, attempt))
-        .when(kind == "ip", _ip(canon, hashed))
-        .when(kind.isin("hex", "secret"), _secret(canon, hashed))
+        .when(kind == "ip", _ip(canon, hashed, attempt))
+        .when(kind.isin("hex", "secret"), _secret(canon, hashed, attempt))
         .when(kind == "key", _key(canon, hashed))
         .when(kind == "card", _card(canon, digits))
         .when(kind == "phone", _phone(canon, digits))
@@ -283,16 +301,16 @@ def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Colum
         return F.when(F.lower(old) == old, new).otherwise(F.initcap(new))
 
     def case(c, new):
-        return F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new)
+        return F.when(c.rlike("\\p{Lu}"), F.upper(new)).otherwise(new)
 
     numbers = F.array_join(F.transform(F.split(bare, ""), fill), "")
     letters = F.array_join(F.zip_with(F.split(bare, ""), F.split(made, ""), case), "")
     cased = (
-        F.when(F.upper(bare) == bare, F.upper(made)).when(F.lower(bare) == bare, made)
+        F.when(F.lower(bare) == bare, made).when(F.upper(bare) == bare, F.upper(made))
         .when(kind == "name", F.array_join(F.zip_with(F.split(bare, " "), F.split(made, " "), word), " ")).when(kind.isin("hex", "secret"), letters)
         .otherwise(F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made))))
     )
-    new = F.when(kind.isin("card", "phone", "ssn"), numbers).when(kind == "ip", made).otherwise(cased)
+    new = F.when((kind == "ip") | made.startswith("["), made).when(kind.isin("card", "phone", "ssn"), numbers).otherwise(cased)
     return F.concat(lead, new)
 
 
@@ -313,6 +331,11 @@ def _described(rows: DataFrame) -> DataFrame:
     return rows.withColumn("gender", F.when(F.col("kind") == "name", _gender(F.col("lead"), F.col("canon"))).otherwise("n")).drop("lead", "bare")
 
 
+def _placeholder(kind: Column, canon: Column, key: str) -> Column:
+    """What stands for an entity whose format has no place left."""
+    return F.concat(F.lit("["), F.upper(kind), F.lit("-"), F.substring(_hash(key, F.lit("placeholder"), kind, canon), 1, 32), F.lit("]"))
+
+
 def exceptions(found: DataFrame, key: str) -> DataFrame:
     """(kind, canon, made) of the entities whose surrogate isn't that of attempt 0.
 
@@ -338,7 +361,7 @@ def exceptions(found: DataFrame, key: str) -> DataFrame:
             break
         taken = taken.unionByName(won.select("kind", "made"))
     else:
-        raise RuntimeError(f"entities without a distinct surrogate after {MAX_ATTEMPTS} attempts")
+        done.append(pending.select("kind", "canon", "gender", "mixed", _placeholder(F.col("kind"), F.col("canon"), key).alias("made")))
     return reduce(DataFrame.unionByName, done).select("kind", "canon", "made")
 
 
