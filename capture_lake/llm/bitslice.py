@@ -13,10 +13,12 @@ Each (block of rows, group of queries) pair is one unit of work, so the stated
 queries meet all rows in blocks; a block's best rows are merged by a window.
 
 Edge cases: vectors that are null or hold null or non-finite components take no
-part, nor do rows without vec_id; an empty vector takes part with score 0, a
-shorter one counts as padded with zeros; of rows that repeat a vec_id the one
-with the smallest quantised vector stays; quantised components beyond +-2^26
-count as that (scores then fit a long); empty tables give an empty result.
+part; an empty vector takes part with score 0, a shorter one counts as padded with
+zeros; rows that repeat a vec_id stay apart, each is a candidate for all rows but
+itself; a row without vec_id is no query, as a candidate it comes after equal
+scores with one, its id is null; components are exact whatever their size (slices
+are as many as the values need), a score that does not fit a long raises an error;
+columns beyond the two are not read; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -29,35 +31,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from capture_lake.llm.common import stored, table
+from capture_lake.llm.vectors import matrix, numbered
 
-SCALE = 256
-LIMIT = 1 << 26
-#: Rows per block of the index and queries per group, on average.
+#: Rows per block of the index and queries per group, on average: a pair moves some 3 MB and keeps a
+#: core busy for seconds.
 BLOCK_ROWS = 32_768
-GROUP_QUERIES = 256
+GROUP_QUERIES = 1_024
 #: Most shuffle partitions for (block, group) pairs.
 MAX_TASKS = 20_000
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, q): one row per id with usable components."""
-    v = F.col(vector_col)
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
-    whole = F.transform(v, lambda x: F.least(F.greatest(F.floor(x.cast("double") * SCALE), F.lit(-LIMIT)), F.lit(LIMIT)).cast("long"))
-    usable = vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & finite)
-    return usable.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
+    """(rid, vec_id, void, q): the rows with usable components; `void` marks those without an id."""
+    vec_id = F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long"))
+    return numbered(vectors, vector_col, vec_id=vec_id, void=F.col(id_col).isNull())
 
 
 def build_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """One index row: ids in ascending order, per dimension its least value and bit slices."""
-    rows = rows.sort_values("vec_id")
+    """One index row: ids in ascending order (none last), per dimension its least value and bit slices."""
+    rows = rows.sort_values(["void", "vec_id", "rid"])
     n = len(rows)
-    dims = max((len(q) for q in rows["q"]), default=0)
-    values = np.zeros((n, dims), np.int64)
-    for i, q in enumerate(rows["q"]):
-        values[i, : len(q)] = q
+    whole = matrix(rows["q"])
+    dims = whole.shape[1]
+    if whole.size and np.abs(whole).max() >= 2.0**61:
+        values = np.array([[int(x) for x in r] for r in whole], object).reshape(n, dims)
+    else:
+        values = whole.astype(np.int64)
     words = -(-n // 64)
-    low = values.min(axis=0) if dims else np.zeros(0, np.int64)
+    low = [int(x) for x in values.min(axis=0)] if dims else []
     width, slices = [], []
     for d in range(dims):
         above = values[:, d] - low[d]
@@ -70,16 +71,18 @@ def build_block(rows: pd.DataFrame) -> pd.DataFrame:
             slices.append(packed)
     blob = np.concatenate(slices).tobytes() if slices else b""
     return pd.DataFrame({
-        "block": [int(rows["block"].iloc[0])], "ids": [rows["vec_id"].to_numpy("<i8").tobytes()],
-        "low": [low.tolist()], "width": [width], "slices": [blob],
+        "block": [int(rows["block"].iloc[0])], "rids": [rows["rid"].to_numpy("<i8").tobytes()], "ids": [rows["vec_id"].to_numpy("<i8").tobytes()],
+        "void": [rows["void"].to_numpy(np.uint8).tobytes()], "low": [[str(x) for x in low]], "width": [width], "slices": [blob],
     })
 
 
 class Block:
     """A block of the index ready for bitmap arithmetic."""
 
-    def __init__(self, ids: bytes, low, width, slices: bytes):
+    def __init__(self, rids: bytes, ids: bytes, void: bytes, low, width, slices: bytes):
+        self.rids = np.frombuffer(rids, "<i8")
         self.ids = np.frombuffer(ids, "<i8")
+        self.void = np.frombuffer(void, np.uint8)
         self.low = [int(x) for x in low]
         self.width = [int(x) for x in width]
         words = -(-len(self.ids) // 64)
@@ -131,12 +134,11 @@ class Block:
             at += 1
         return out, base
 
-    def top(self, query, own: int, k: int) -> list[tuple[int, int]]:
-        """(vec_id, score) of the k best rows but the query's own, ties to smaller ids."""
+    def top(self, query, own: int, k: int) -> list[tuple[int, int, bool, int]]:
+        """(rid, id, void, score) of the k best rows but the query's own, ties to smaller ids."""
         slices, base = self.scores(query)
         open_ = self.every.copy()
-        at = int(np.searchsorted(self.ids, own))
-        if at < len(self.ids) and self.ids[at] == own:
+        for at in np.nonzero(self.rids == own)[0].tolist():
             open_[at // 64] &= ~np.uint64(1 << (at % 64))
         chosen = np.zeros_like(open_)
         need = k
@@ -157,8 +159,10 @@ class Block:
         out = []
         for r in rows:
             score = base + sum((int(s[r // 64]) >> (r % 64) & 1) << w for w, s in enumerate(slices))
-            out.append((int(self.ids[r]), score))
-        return sorted(out, key=lambda x: (-x[1], x[0]))
+            if abs(score) >= 1 << 63:
+                raise OverflowError("an inner product does not fit a long")
+            out.append((int(self.rids[r]), int(self.ids[r]), bool(self.void[r]), score))
+        return out
 
 
 def _positions(bitmap: np.ndarray) -> np.ndarray:
@@ -166,19 +170,19 @@ def _positions(bitmap: np.ndarray) -> np.ndarray:
 
 
 def build_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
-    """(block, ids, low, width, slices), and the number of blocks; rows are dealt by a hash of their id."""
+    """The stored index, and the number of blocks; rows are dealt by a hash of their number."""
     blocks = max(1, -(-rows.count() // block_rows))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    index = dealt.groupBy("block").applyInPandas(build_block, "block long, ids binary, low array<long>, width array<int>, slices binary")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(blocks)))
+    index = dealt.groupBy("block").applyInPandas(build_block, "block long, rids binary, ids binary, void binary, low array<string>, width array<int>, slices binary")
     return stored(index), blocks
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score) for `rows` and `queries` of (vec_id, q)."""
+    """(query_id, rank, vec_id, score) for stored `rows`, and `queries` among them, of (rid, vec_id, void, q)."""
     index, blocks = build_index(rows, block_rows)
     groups = max(1, -(-queries.count() // group_queries))
-    asked = queries.withColumn("grp", F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(groups)))
-    asked = asked.groupBy("grp").agg(F.collect_list(F.struct("vec_id", "q")).alias("asked"))
+    asked = queries.withColumn("grp", F.pmod(F.xxhash64("rid", F.lit("query")), F.lit(groups)))
+    asked = asked.groupBy("grp").agg(F.collect_list(F.struct("rid", "vec_id", "q")).alias("asked"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
     index = index.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<bigint>")))
     tasks = min(blocks * groups, MAX_TASKS)
@@ -187,18 +191,19 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = BLO
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                block = Block(row.ids, row.low, row.width, row.slices)
-                found = [(q["vec_id"], v, s) for q in row.asked for v, s in block.top(q["q"], q["vec_id"], k)]
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                block = Block(row.rids, row.ids, row.void, row.low, row.width, row.slices)
+                found = [(q["rid"], q["vec_id"], *best) for q in row.asked for best in block.top(q["q"], q["rid"], k)]
+                yield pd.DataFrame(found, columns=["query", "query_id", "rid", "id", "void", "score"])
 
-    per_block = pairs.mapInPandas(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return per_block.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    per_block = pairs.mapInPandas(run, "query long, query_id long, rid long, id long, void boolean, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "void", "id", "rid")
+    ranked = per_block.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.when(~F.col("void"), F.col("id")).alias("vec_id"), "score")
 
 
 def op3_bitsliced_topk(spark, sf_dir: str) -> DataFrame:
     rows = stored(quantised(table(spark, sf_dir, "embeddings")))
-    return top_k(rows, rows.where("vec_id % 50 = 0"))
+    return top_k(rows, rows.where("not void and vec_id % 50 = 0"))
 
 
 ORACLE = """

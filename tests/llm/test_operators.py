@@ -252,6 +252,28 @@ def test_bit_sliced_top_k(spark, values):
     assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def brute_rows(rows, k=5):
+    out = []
+    for p, (qi, q) in enumerate(rows):
+        if qi is not None and qi % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), i is None, i or 0, r) for r, (i, v) in enumerate(rows) if r != p)
+            out += [(qi, n + 1, None if void else i, -s) for n, (s, void, i, _) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def test_bit_sliced_large_components_and_repeated_ids(spark):
+    data = [(0, [3e5, 1.0]), (1, [3e5, 1.0]), (2, [3e5 + 1 / 256, 1.0]), (2, [1.0, 2e5]), (2, [-3e5, 1.0]), (0, [2e5, 0.0]), (3, [7e6, -1.5]), (4, [0.0, 0.0]), (5, [2.5e5, 1e5])]
+    frame = spark.createDataFrame([(*r, "x", "y") for r in data], "vec_id long, embedding array<double>, rid string, q string").coalesce(1)
+    rows = bitslice.quantised(frame)
+    got = sorted(tuple(r) for r in bitslice.top_k(rows, rows.where("not void and vec_id % 50 = 0")).collect())
+    assert got == brute_rows([(i, [math.floor(256 * x) for x in v]) for i, v in data])
+    assert (0, 1, 3, 256 * 300_000 * 256 * 7_000_000 - 384 * 256) in got
+    far = bitslice.quantised(spark.createDataFrame([(0, [1e30, 1.0]), (1, [0.0, 2.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>").coalesce(1))
+    assert sorted(tuple(r) for r in bitslice.top_k(far, far.where("vec_id = 0")).collect()) == [(0, 1, 1, 131072), (0, 2, 2, 65536)]
+    with pytest.raises(Exception, match="does not fit a long"):
+        bitslice.top_k(far, far.where("vec_id = 0"), k=9).unionByName(bitslice.top_k(*[bitslice.quantised(spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>"))] * 2)).collect()
+
+
 def test_bit_sliced_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     data = [
@@ -260,9 +282,10 @@ def test_bit_sliced_odd_vectors(spark):
     ]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
     rows = bitslice.quantised(frame)
-    usable = {0: [256, 512, 0], 50: [-256, 128, 0], 5: [0, 0, 0], 6: [256, 0, 0], 7: [256, 512, 0], 8: [0, 0, 2304]}
-    got = sorted(tuple(r) for r in bitslice.top_k(rows, rows.where("vec_id % 50 = 0")).collect())
-    assert got == brute_top(usable)
+    # every row but the query's own is a candidate: repeated ids stay apart, a row without id comes last
+    usable = [(0, [256, 512, 0]), (50, [-256, 128, 0]), (None, [256, 256, 0]), (5, [0, 0, 0]), (6, [256, 0, 0]), (7, [256, 512, 0]), (7, [256, 512, 0]), (8, [0, 0, 2304])]
+    got = sorted(tuple(r) for r in bitslice.top_k(rows, rows.where("not void and vec_id % 50 = 0")).collect())
+    assert got == brute_rows(usable)
     empty = bitslice.quantised(frame.limit(0))
     assert bitslice.top_k(empty, empty).count() == 0
 
