@@ -1,19 +1,23 @@
 """Collocations by stripes: every prefix keys an associative counter of its next words.
 
-Level j counts the phrases of j words as stripes: (lang, prefix of j-1 words) -> {next
-word: count}, with one more entry, the empty word, for the prefix's places that no counted
-word follows.  Tasks make stripes over chunks of text; stripes of one prefix are merged
-elementwise after one shuffle.  A merged stripe gives three things: its entries of at least
-`least` are the extensions and their counts, the sum of all its entries is the prefix's own
-count, and its largest entry says whether an extension to the right subsumes the prefix (the
-same entry, read as a phrase without its first word, says so for the left).
-
-The empty prefix's stripe is the vocabulary, so it is cut into shards by the next word's
-hash; all other stripes hold only words that are frequent.  A phrase is counted only where the
-phrases without its last and without its first word are frequent.  That is looked up in a
-bitmap of fixed size made of the level before, in tasks: a hash hit by chance lets a phrase
-through to be counted (and then dropped by its count), a frequent one always passes; so the
-counts are exact at every size.
+The stripe of a prefix (up to four words, or none) maps next words to counts, with one more
+entry, the empty word, for the prefix's places that no counted word follows.  A task
+makes the stripes of all lengths in one pass over its texts and adds them up in a bounded
+table; stripes of one prefix are merged elementwise after one shuffle.  A merged stripe gives
+three things: its entries of at least `least` are the extensions and their counts, the sum of
+all its entries is the prefix's own count, and its largest entry says whether an extension to
+the right subsumes the prefix (the same entry, read as a phrase without its first word, says
+so for the left).
+
+Most phrases are rare, and a stripe need not hold them.  So phrases are first counted by
+bucket: the hash of a phrase is its bucket, tasks send (bucket, count) of a few bytes, and
+a bucket of at least `least` is heavy.  A phrase in no heavy bucket is rare, a frequent one is
+always in a heavy bucket, and so are, by chance, some rare ones: they are counted in the
+stripes and dropped by their count.  Phrases of three and more words are only counted where the
+shorter ones in them are heavy.  The heavy buckets are bitmaps of a fixed size, so what is
+sent to the tasks is bounded, and the counts are exact at every size.
+
+The empty prefix's stripe is cut into shards by the next word's hash.
 
 An extension by several words that subsumes a phrase has an extension by one word in it that
 does so too (it occurs at least as often), so one word to each side is enough.
@@ -30,7 +34,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -39,13 +42,16 @@ from pyspark.sql import functions as F
 from capture_lake.llm.common import bounded_batches, clean_text, stored, table
 
 MOST_WORDS = 5
-#: Bytes of text whose stripes are made at once.
-CHUNK_BYTES = 8 * 1024 * 1024
+#: Characters of text that are encoded at once.
+CHUNK_CHARS = 8 * 1024 * 1024
+#: Phrase places, and entries of stripes, that a task adds up before it sends them.
+PLACES = 8_000_000
+ENTRIES = 300_000
 #: Shards of the empty prefix's stripe.
 SHARDS = 64
-#: Bits of the bitmap of frequent phrases, dealt over pieces.
-BITMAP_BITS = 1 << 26
-PIECES = 64
+#: Bits of a bitmap of heavy buckets, and buckets that are counted together by one key of the shuffle.
+BITMAP_BITS = 1 << 27
+PIECE_BITS = 16
 #: Entries of merged stripes held back for one Arrow batch.
 OUT_ENTRIES = 100_000
 REST = ""
@@ -55,6 +61,7 @@ _CUT = re.compile("[.,;:!?\x0a-\x0d]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("shard", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+BUCKETS_DDL = "level int, piece int, at binary, n binary"
 STRIPE_DDL = "lang string, prefix string, shard int, words array<string>, counts array<bigint>"
 
 
@@ -105,72 +112,178 @@ def slices(text: str, most: int) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def stripes_of(lang: str, texts: list[str], level: int, bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """The stripes of level `level` over some texts of one language."""
-    words, ids = encode(texts)
-    if not words:
-        return
-    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
-    n = len(ids)
-    room = n - level + 2  # places where a prefix of level-1 words may start
-    if room <= 0:
-        return
-    if level == 1:
-        next_ids, counts = np.unique(ids[ids >= 0], return_counts=True)
-        shard = (hashes[next_ids] % np.uint64(SHARDS)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
-        yield from _batch(lang, [""] * SHARDS, np.arange(SHARDS), shard[order], words, next_ids[order], counts[order])
-        return
-    padded = np.concatenate((ids, [-1]))
-    columns = [padded[t : t + room] for t in range(level)]
-    whole = columns[0] >= 0
-    for c in columns[1:-1]:
-        whole &= c >= 0
-    seed = lang_hash(lang)
-    h = np.where(ids >= 0, hashes[np.maximum(ids, 0)], np.uint64(0))
-    h = np.concatenate((h, np.zeros(1, np.uint64)))
-    first = np.full(room, seed)
-    for t in range(level - 1):
-        first = extend_hash(first, h[t : t + room])
-    at = np.nonzero(whole)[0]
-    at = at[has_bits(bitmap, first[at])]
-    # the phrase without its first word starts one place further on; is it whole and frequent?
-    second = np.full(len(at), seed)
-    for t in range(1, level):
-        second = extend_hash(second, h[at + t])
-    last = columns[-1][at]
-    counted = (last >= 0) & has_bits(bitmap, second)
-    last = np.where(counted, last, len(words))
-    if not len(at):
-        return
-    # exact numbers of the distinct prefixes, word by word
-    number = columns[0][at]
-    for t in range(1, level - 1):
-        _, number = np.unique(number * (len(words) + 1) + columns[t][at], return_inverse=True)
-    pairs, where, counts = np.unique(number * (len(words) + 1) + last, return_index=True, return_counts=True)
-    next_ids = pairs % (len(words) + 1)
-    numbers = pairs // (len(words) + 1)
-    start = np.concatenate(([True], numbers[1:] != numbers[:-1]))
-    row = np.cumsum(start) - 1
-    heads = at[where[start]]
-    prefixes = [b" ".join([words[columns[t][p]] for t in range(level - 1)]).decode("utf-8") for p in heads]
-    yield from _batch(lang, prefixes, np.zeros(len(prefixes), np.int64), row, words + [b""], next_ids, counts)
-
-
-def _batch(lang: str, prefixes: list[str], shards, row: np.ndarray, words: list[bytes], next_ids: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes as rows: entry i belongs to prefix number row[i] (ascending)."""
-    used, at = np.unique(next_ids, return_inverse=True)
-    names = pa.array([words[i].decode("utf-8") for i in used], pa.string())
-    ends = np.searchsorted(row, np.arange(len(prefixes) + 1))
-    step = 20_000
-    for lo in range(0, len(prefixes), step):
-        hi = min(lo + step, len(prefixes))
-        part = slice(ends[lo], ends[hi])
-        offsets = pa.array((ends[lo : hi + 1] - ends[lo]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * (hi - lo), pa.string()), pa.array(prefixes[lo:hi], pa.string()), pa.array(np.asarray(shards[lo:hi], np.int32)),
-            pa.ListArray.from_arrays(offsets, names.take(pa.array(at[part]))), pa.ListArray.from_arrays(offsets, pa.array(counts[part].astype(np.int64))),
-        ], schema=STRIPE)
+def ahead(mask: np.ndarray, t: int) -> np.ndarray:
+    """The mask as seen from `t` places before."""
+    out = np.zeros(len(mask), bool)
+    out[: max(0, len(mask) - t)] = mask[t:]
+    return out
+
+
+class Chunk:
+    """The words of some texts of one language, and the hashes of the phrases that start at each."""
+
+    def __init__(self, lang: str, texts: list[str]):
+        self.words, self.ids = encode(texts)
+        n = len(self.ids)
+        self.hashes = np.fromiter(map(word_hash, self.words), np.uint64, len(self.words))
+        running = np.where(self.ids >= 0, self.hashes[np.maximum(self.ids, 0)] if len(self.words) else np.uint64(0), np.uint64(0))
+        self.running = np.concatenate((running, np.zeros(MOST_WORDS, np.uint64)))
+        self.padded = np.concatenate((self.ids, np.full(MOST_WORDS, -1)))
+        self.n, self.seed = n, lang_hash(lang)
+
+    def phrases(self, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(words, which starts have a whole phrase of so many words, hashes)."""
+        whole, h = np.ones(self.n, bool), np.full(self.n, self.seed)
+        for t in range(most):
+            whole = whole & (self.padded[t : t + self.n] >= 0)
+            h = extend_hash(h, self.running[t : t + self.n])
+            yield t + 1, whole, h
+
+    def heavy(self, bitmaps: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        """Per number of words, the starts of phrases in heavy buckets all of whose shorter ones are too."""
+        out: dict[int, np.ndarray] = {}
+        for j, whole, h in self.phrases(max(bitmaps, default=0)):
+            if j in bitmaps:
+                mask = whole.copy()
+                if j - 1 in out:
+                    mask &= out[j - 1] & ahead(out[j - 1], 1)
+                at = np.nonzero(mask)[0]
+                mask[at] = has_bits(bitmaps[j], h[at])
+                out[j] = mask
+        return out
+
+
+def bucket_counts(chunks: Iterator[Chunk], levels: list[int], known: dict[int, np.ndarray], least: int, bits: int, places: int) -> Iterator[pa.RecordBatch]:
+    """(level, piece, places in the piece, counts): phrases by bucket, added up over many chunks.
+
+    A count is cut at `least`, which is enough to tell that a bucket is heavy."""
+    waiting: dict[int, list[np.ndarray]] = {j: [] for j in levels}
+    held = 0
+    shift = np.uint64(64 - (bits.bit_length() - 1))
+    width = min(PIECE_BITS, bits.bit_length() - 1)
+    kind = np.uint8 if least < 256 else np.uint32
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for j, parts in waiting.items():
+            if not parts:
+                continue
+            buckets, counts = np.unique(np.concatenate(parts), return_counts=True)
+            piece = buckets >> np.uint32(width)
+            names, first = np.unique(piece, return_index=True)
+            ends = np.append(first[1:], len(piece))
+            low = (buckets & np.uint32((1 << width) - 1)).astype(np.uint16)
+            counts = np.minimum(counts, least).astype(kind)
+            yield pa.RecordBatch.from_pydict({
+                "level": pa.array([j] * len(names), pa.int32()), "piece": pa.array(names.astype(np.int32)),
+                "at": pa.array([low[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()), "n": pa.array([counts[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+            })
+
+    for chunk in chunks:
+        before = chunk.heavy(known)
+        for j, whole, h in chunk.phrases(max(levels)):
+            if j not in waiting:
+                continue
+            shorter = max((k for k in before if k < j), default=None)
+            if shorter is not None:  # every shorter phrase in it is heavy
+                ok = before[shorter]
+                whole = whole.copy()
+                for t in range(j - shorter + 1):
+                    whole &= ahead(ok, t)
+            found = (h[whole] >> shift).astype(np.uint32)
+            waiting[j].append(found)
+            held += len(found)
+        if held >= places:
+            yield from flush()
+            waiting, held = {j: [] for j in levels}, 0
+    yield from flush()
+
+
+def heavy_pieces(batches: Iterator[pa.RecordBatch], least: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The heavy buckets of each (level, piece) as bits; rows come sorted by level and piece."""
+    kind = np.uint8 if least < 256 else np.uint32
+    key, total = None, None
+
+    def close() -> pa.RecordBatch:
+        bits = np.packbits(total >= least, bitorder="little").tobytes()
+        return pa.RecordBatch.from_pydict({"level": pa.array([key[0]], pa.int32()), "piece": pa.array([key[1]], pa.int32()), "bits": pa.array([bits], pa.binary())})
+
+    for b in batches:
+        for level, piece, at, n in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if (level, piece) != key:
+                if key is not None:
+                    yield close()
+                key, total = (level, piece), np.zeros(1 << width, np.int64)
+            total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
+    if key is not None:
+        yield close()
+
+
+def chunks_of(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[str, Chunk]]:
+    """(lang, chunk) of batches of (lang, text)."""
+    waiting: dict[str, list[str]] = {}
+    size = 0
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for part in slices(text, chunk_chars):
+                waiting.setdefault(lang, []).append(part)
+                size += len(part)
+                if size >= chunk_chars:
+                    yield from ((x, Chunk(x, texts)) for x, texts in waiting.items())
+                    waiting, size = {}, 0
+    yield from ((x, Chunk(x, texts)) for x, texts in waiting.items())
+
+
+def stripe_table(lang: str, chunk: Chunk, bitmaps: dict[int, np.ndarray], most: int, table: dict[tuple[str, str], dict[str, int]]) -> int:
+    """Add the stripes of a chunk to `table`; how many entries that were new."""
+    heavy = chunk.heavy(bitmaps)
+    words = [w.decode() for w in chunk.words]
+    m = len(words) + 1
+    new = 0
+
+    def add(prefix: str, nexts: list[str], counts: list[int]) -> None:
+        nonlocal new
+        stripe = table.setdefault((lang, prefix), {})
+        before = len(stripe)
+        for w, c in zip(nexts, counts):
+            stripe[w] = stripe.get(w, 0) + c
+        new += len(stripe) - before
+
+    names = [*words, REST]
+    for j in range(1, most + 1):
+        starts = np.nonzero(heavy[j - 1])[0] if j > 1 else np.nonzero(chunk.ids >= 0)[0]
+        if not len(starts):
+            break
+        last = np.where(heavy[j][starts], chunk.padded[starts + j - 1], len(words))
+        number = np.zeros(len(starts), np.int64)
+        for t in range(j - 1):  # exact numbers of the distinct prefixes, word by word
+            _, number = np.unique(number * m + chunk.padded[starts + t], return_inverse=True)
+        pairs, where, counts = np.unique(number * m + last, return_index=True, return_counts=True)
+        nexts, numbers = pairs % m, pairs // m
+        edges = np.append(np.nonzero(np.concatenate(([True], numbers[1:] != numbers[:-1])))[0], len(pairs))
+        nexts, counts, heads = [names[i] for i in nexts.tolist()], counts.tolist(), starts[where[edges[:-1]]]
+        prefixes = [" ".join([words[i] for i in p]) for p in np.stack([chunk.padded[heads + t] for t in range(j - 1)], axis=1).tolist()] if j > 1 else [""]
+        edges = edges.tolist()
+        for prefix, lo, hi in zip(prefixes, edges, edges[1:]):
+            add(prefix, nexts[lo:hi], counts[lo:hi])
+    return new
+
+
+def stripe_rows(table: dict[tuple[str, str], dict[str, int]]) -> Iterator[pa.RecordBatch]:
+    """Stripes as rows; those of the empty prefix in shards."""
+    rows: list[tuple] = []
+    for (lang, prefix), stripe in table.items():
+        if prefix:
+            rows.append((lang, prefix, 0, list(stripe), list(stripe.values())))
+        else:
+            shards: dict[int, dict[str, int]] = {}
+            for w, c in stripe.items():
+                shards.setdefault(word_hash(w.encode()) % SHARDS, {})[w] = c
+            rows += [(lang, prefix, i, list(part), list(part.values())) for i, part in shards.items()]
+        if len(rows) >= 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRIPE)], schema=STRIPE)
+            rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRIPE)], schema=STRIPE)
 
 
 def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -213,35 +326,47 @@ def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
         yield batch()
 
 
-def stripes(docs: DataFrame, level: int, bitmap: np.ndarray | None, least: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The merged stripes of one level, stored: (lang, prefix, shard, words, counts)."""
+def heavy_buckets(docs: DataFrame, levels: list[int], known: dict[int, np.ndarray], least: int, bits: int, chunk_chars: int, places: int) -> dict[int, np.ndarray]:
+    """A bitmap of heavy buckets per number of words; `known` are those of shorter phrases."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    width = min(PIECE_BITS, bits.bit_length() - 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from bucket_counts((c for _, c in chunks_of(batches, chunk_chars)), levels, shared.value, least, bits, places)
+
+    counted = docs.select("lang", "text").mapInArrow(count, BUCKETS_DDL)
+    pieces = counted.repartition("level", "piece").sortWithinPartitions("level", "piece").mapInArrow(
+        lambda batches: heavy_pieces(batches, least, width), "level int, piece int, bits binary")
+    out = {j: np.zeros(bits // 8, np.uint8) for j in levels}
+    size = (1 << width) // 8
+    for r in stored(pieces).toLocalIterator():  # as many rows as there are pieces, each of one size
+        out[r["level"]][r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def stripes(docs: DataFrame, bitmaps: dict[int, np.ndarray], least: int, most_words: int, chunk_chars: int, most_entries: int) -> DataFrame:
+    """The merged stripes of all prefixes, stored: (lang, prefix, shard, words, counts)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[str]] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, texts in waiting.items():
-                yield from stripes_of(lang, texts, level, bitmap)
-
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for part in slices(text, chunk_bytes):
-                    waiting.setdefault(lang, []).append(part)
-                    size += len(part)
-                    if size >= chunk_bytes:
-                        yield from flush()
-                        waiting, size = {}, 0
-        yield from flush()
+        table: dict[tuple[str, str], dict[str, int]] = {}
+        held = 0
+        for lang, chunk in chunks_of(batches, chunk_chars):
+            held += stripe_table(lang, chunk, shared.value, most_words, table)
+            if held >= most_entries:
+                yield from stripe_rows(table)
+                table, held = {}, 0
+        yield from stripe_rows(table)
 
     made = docs.select("lang", "text").mapInArrow(make, STRIPE_DDL)
     keys = ["lang", "prefix", "shard"]
     return stored(made.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: merge_stripes(batches, least), STRIPE_DDL))
 
 
-def entries(level: DataFrame) -> DataFrame:
-    """(lang, prefix, word, f): the frequent extensions of a level's stripes."""
+def entries(merged: DataFrame) -> DataFrame:
+    """(lang, prefix, word, f): the frequent extensions of merged stripes."""
     each = F.explode(F.arrays_zip("words", "counts")).alias("e")
-    rows = level.select("lang", "prefix", each).where(F.col("e.words") != REST)
+    rows = merged.select("lang", "prefix", each).where(F.col("e.words") != REST)
     return rows.select("lang", "prefix", F.col("e.words").alias("word"), F.col("e.counts").alias("f"))
 
 
@@ -249,54 +374,26 @@ def phrase_of(prefix: Column, word: Column) -> Column:
     return F.when(prefix == "", word).otherwise(F.concat(prefix, F.lit(" "), word))
 
 
-def bitmap_of(level: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """The frequent phrases of a level as a bitmap of fixed size, made in tasks piece by piece."""
-    piece_bits = bits // PIECES
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            at = np.fromiter((_phrase_bit(lang, p, bits) for lang, p in zip(b["lang"], b["phrase"])), np.int64, len(b))
-            yield pd.DataFrame({"piece": at // piece_bits, "bit": at % piece_bits})
-
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        here = np.zeros(piece_bits, np.uint8)
-        here[part["bit"].to_numpy()] = 1
-        return pd.DataFrame({"piece": [int(part["piece"].iloc[0])], "bits": [np.packbits(here, bitorder="little").tobytes()]})
-
-    rows = entries(level).select("lang", phrase_of(F.col("prefix"), F.col("word")).alias("phrase"))
-    places = rows.mapInPandas(hashed, "piece long, bit long").distinct()
-    out = np.zeros(bits // 8, np.uint8)
-    for r in places.groupBy("piece").applyInPandas(fold, "piece long, bits binary").toLocalIterator():
-        out[r["piece"] * piece_bits // 8 : (r["piece"] + 1) * piece_bits // 8] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
-def _phrase_bit(lang: str, phrase: str, bits: int) -> int:
-    h = np.array([lang_hash(lang)])
-    for w in phrase.encode("utf-8").split(b" "):
-        h = extend_hash(h, np.array([word_hash(w)], np.uint64))
-    return int(_bit(h, bits)[0])
-
-
-def collocations(docs: DataFrame, least: int = 100, most_words: int = MOST_WORDS, subsumed_percent: int = 100,
-                 chunk_bytes: int = CHUNK_BYTES, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 100, most_words: int = MOST_WORDS, subsumed_percent: int = 100, bitmap_bits: int = BITMAP_BITS,
+                 chunk_chars: int = CHUNK_CHARS, places: int = PLACES, most_entries: int = ENTRIES) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the phrases that are candidates and not subsumed.
 
-    `docs`: lang and text without nulls.  A phrase is dropped if a longer candidate around it has at
-    least `subsumed_percent` percent of its count."""
+    `docs`: lang and text without nulls; phrases have two to `most_words` (at most MOST_WORDS) words.  A
+    phrase is dropped if a longer candidate around it has at least `subsumed_percent` percent of its count."""
     bounded_batches(docs.sparkSession)
-    levels, bitmap = [], None
-    for level in range(1, most_words + 1):
-        levels.append(stripes(docs, level, bitmap, least, chunk_bytes))
-        if level < most_words:
-            bitmap = bitmap_of(levels[-1], bitmap_bits)
+    heavy: dict[int, np.ndarray] = {}
+    for levels in ([1, 2], [3], [4, 5]):
+        levels = [j for j in levels if j <= most_words]
+        if levels:
+            heavy |= heavy_buckets(docs, levels, heavy, least, bitmap_bits, chunk_chars, places)
+    merged = stripes(docs, heavy, least, most_words, chunk_chars, most_entries)
     total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)
-    n = levels[0].groupBy("lang").agg(F.sum(total).alias("n"))
+    n = merged.where("prefix = ''").groupBy("lang").agg(F.sum(total).alias("n"))
     # prefix totals and right maxima come from the prefix's own stripe, left maxima from its entries' phrases
     widest = F.array_max(F.transform(F.arrays_zip("words", "counts"), lambda e: F.when(e["words"] != REST, e["counts"]).otherwise(0)))
-    heads = _union([s.select("lang", F.col("prefix").alias("phrase"), total.alias("total"), widest.alias("right")) for s in levels[1:]])
-    found = stored(_union([entries(s).select("lang", phrase_of(F.col("prefix"), F.col("word")).alias("phrase"), F.col("f").alias("a"), F.lit(i + 1).alias("words"))
-                           for i, s in enumerate(levels)]))
+    heads = merged.where("prefix <> ''").select("lang", F.col("prefix").alias("phrase"), total.alias("total"), widest.alias("right"))
+    phrase = phrase_of(F.col("prefix"), F.col("word"))
+    found = stored(entries(merged).select("lang", phrase.alias("phrase"), F.col("f").alias("a")).withColumn("words", F.size(F.split("phrase", " "))))
     longer = found.where("words > 1").select("lang", F.expr("substring(phrase, locate(' ', phrase) + 1)").alias("phrase"), F.col("a").alias("left"))
     left = longer.groupBy("lang", "phrase").agg(F.max("left").alias("left"))
     candidates = found.where("words > 1")
@@ -318,13 +415,6 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = MOST_WORDS
     return lowest.select("lang", "phrase", "c.*")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def best_collocations(docs: DataFrame, first: int = 2000, **how) -> DataFrame:
     """Each language's `first` collocations by score, count and bytes, with their rank."""
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

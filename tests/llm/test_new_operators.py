@@ -148,7 +148,7 @@ def random_docs(seed, n, words, langs):
 def test_collocations_brute_force(spark, seed, least, percent):
     docs = random_docs(seed, 120, ["the", "of", "New", "york", "Ünder", "x1", "don't", "-", "ß"], ["en", "en", "en", None, ""])
     docs.append(("en", "one two three. " * 400))
-    got = [tuple(r) for r in co.best_collocations(frame_of(spark, docs), least=least, subsumed_percent=percent, chunk_bytes=700).collect()]
+    got = [tuple(r) for r in co.best_collocations(frame_of(spark, docs), least=least, subsumed_percent=percent, chunk_chars=700, places=1000, most_entries=50).collect()]
     assert sorted(got) == sorted(brute_collocations(docs, least, percent=percent))
 
 
@@ -169,9 +169,8 @@ def test_collocations_rank_ties_and_limit(spark):
 def test_collocations_products_past_64_bits(spark, monkeypatch):
     """Counts near 2^40 (stripes made by hand): the products need over 64 bits."""
     big = 1 << 40
-    made = {1: [("en", "", 0, ["a", "b", ""], [big, big - 5, 7])], 2: [("en", "a", 0, ["b", ""], [big - 9, 9])]}
-    empty = spark.createDataFrame([], co.STRIPE_DDL)
-    monkeypatch.setattr(co, "stripes", lambda docs, level, *rest: spark.createDataFrame(made[level], co.STRIPE_DDL) if level in made else empty)
+    made = [("en", "", 0, ["a", ""], [big, 3]), ("en", "", 1, ["b", ""], [big - 5, 4]), ("en", "a", 0, ["b", ""], [big - 9, 9])]
+    monkeypatch.setattr(co, "stripes", lambda *rest: spark.createDataFrame(made, co.STRIPE_DDL))
     row = co.collocations(frame_of(spark, []), most_words=3).collect()
     n = 2 * big + 2
     assert [tuple(r) for r in row] == [("en", "a b", big - 9, big, big - 5, n, 1000 * (big - 9) * n // (big * (big - 5)))]
