@@ -90,7 +90,6 @@ def check_options(args: argparse.Namespace) -> None:
 
 def run(args: argparse.Namespace, spark: SparkSession) -> int:
     from capture_lake.plans.capture import capture_files, run_single
-    from capture_lake.sources.listing import count_hidden
     from capture_lake.sources.tables import read_target
     from capture_lake.streaming.ingest import retry_queue, table_sidecar, write_results
 
@@ -130,20 +129,16 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
     if args.retry:
         keys = retry_queue(spark.read.parquet(results_path))
     totals = write(job(keys))
-    print(json.dumps({**totals, "hidden_skipped": count_hidden(spark, args.images)}))
+    print(json.dumps(totals))
     return 0
 
 
 def _run_stream(args, spark, manifest, ocr_factory, pdf_factory, results_path) -> int:
     from capture_lake.plans import capture as C
-    from capture_lake.sources import listing as L
     from capture_lake.streaming.ingest import listing_stream, start_capture_stream, table_sidecar
 
     def process(rows):
-        # the folder is opened per micro-batch; its scan is cut down to the rows' modification times
-        session = rows.sparkSession
-        files = L.open_files(session, args.images, args.prefix, L.CAPTURE_SUFFIX)
-        return C.payload_process(session, files, ocr_factory, pdf_factory, args.intake,
+        return C.payload_process(rows.sparkSession, args.images, ocr_factory, pdf_factory, args.intake,
                                  enforce_rules=not args.no_range_rules)(rows)
 
     checkpoint = args.checkpoint or table_sidecar(args.warehouse, args.table, "checkpoint")

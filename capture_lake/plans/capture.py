@@ -34,6 +34,7 @@ from capture_lake.operators.metrics import CONFIDENCE_BOUNDS, DURATION_BOUNDS, b
 from capture_lake.schema import RECORD_COLUMNS, RECORD_SCHEMA
 from capture_lake.session import stored
 from capture_lake.sources import listing as L
+from capture_lake.sources import objects as O
 
 
 # What is kept of every listed object (results), beside the record columns.
@@ -267,25 +268,24 @@ def capture_files(
     ``[box, [text, confidence]]`` entries; it is called on fresh rows only.
     ``pdf_factory()`` returns ``fn(pdf_bytes) -> list of page texts``.
     ``partitions`` round-robins the fresh rows before the Python work (the
-    payload scan's byte-packed partitions are used otherwise).
+    byte-packed tasks that read the payloads are used otherwise).
     ``keys``: only these objects; one key is also the listing's prefix.
     """
     if isinstance(keys, list) and len(keys) == 1 and keys[0].startswith(prefix):
         prefix = keys[0]
-    files = L.open_files(spark, images_root, prefix, L.CAPTURE_SUFFIX, start, end)
-    listed = L.listing_of(files, images_root, prefix)
+    listed = O.list_objects(spark, images_root, prefix, L.CAPTURE_SUFFIX, start, end)
     if isinstance(keys, DataFrame):
         listed = listed.join(keys.select("key").distinct(), "key", "left_semi")
     elif keys is not None:
         listed = L.select_keys(listed, keys)
     with_meta = L.attach_metadata(listed, manifest)
-    process = payload_process(spark, files, ocr_factory, pdf_factory, intake_root, region, partitions, enforce_rules)
+    process = payload_process(spark, images_root, ocr_factory, pdf_factory, intake_root, region, partitions, enforce_rules)
     return capture_rows(with_meta, target, process)
 
 
 def payload_process(
     spark: SparkSession,
-    files: DataFrame,
+    images_root: str,
     ocr_factory: Callable[[], Callable[[bytes, dict], Any]],
     pdf_factory: Callable[[], Callable[[bytes], Any]] | None = None,
     intake_root: str | None = None,
@@ -293,14 +293,14 @@ def payload_process(
     partitions: int | None = None,
     enforce_rules: bool = True,
 ) -> Callable[[DataFrame], DataFrame]:
-    """``process`` of ``capture_rows`` for stored listing rows whose bytes are in ``files``."""
+    """``process`` of ``capture_rows`` for stored listing rows of objects under ``images_root``."""
 
     def process(rows: DataFrame) -> DataFrame:
         # archive texts come from the listing rows, so finding the archives never runs the image pipeline
         intake_text = None
         if intake_root is not None and pdf_factory is not None:
             intake_text = archive_texts(spark, intake_root, rows, pdf_factory)
-        return assemble_payloads(L.payloads_for(files, rows), ocr_factory, intake_text, region, partitions, enforce_rules)
+        return assemble_payloads(O.read_payloads(rows, images_root), ocr_factory, intake_text, region, partitions, enforce_rules)
 
     return process
 
@@ -366,18 +366,15 @@ def archive_texts(spark: SparkSession, intake_root: str, images: DataFrame,
                   pdf_factory: Callable[[], Callable[[bytes], Any]]) -> DataFrame:
     """Per referenced archive: first PDF member -> pages -> assembled text, and the ms it took.
 
-    The intake folder is listed without content and semi-joined with the
-    batch's distinct references (combined map-side: a ZIP shared by many images
-    is read once); the scan of the bytes is cut down to the modification times
-    of the archives that are left (``payloads_for``).  A missing archive is
-    simply absent (its images get ``""``).
+    The intake folder is listed and semi-joined with the batch's distinct references
+    (combined map-side: a ZIP shared by many images is read once); only the archives that
+    are left are opened.  A missing archive is simply absent (its images get ``""``).
     """
     refs = images.select(M.meta_get("metadata", M.KEY_SOURCE_INTAKE_KEY).alias("intake_key")).where(
         F.col("intake_key").isNotNull() & (F.col("intake_key") != "")).distinct()
-    files = L.open_files(spark, intake_root)
-    listed = L.listing_of(files, intake_root).select(F.col("key").alias("intake_key"), "path", "last_modified")
+    listed = O.list_objects(spark, intake_root).select(F.col("key").alias("intake_key"), "path", "size")
     present = stored(listed.join(refs, "intake_key", "left_semi"))
-    firsts = pdf.first_pdf(L.payloads_for(files, present).select("intake_key", "content"))
+    firsts = pdf.first_pdf(O.read_payloads(present, intake_root).select("intake_key", "content"))
     texts = run_extractor(firsts, pdf_factory, ["pdf_bytes"], PDF_OUTPUT, on_error="empty", empty=[],
                           error_col="__pdf_err", elapsed_col="pdf_ms", passthrough=["intake_key"])
     return texts.select("intake_key", join_pages(F.col("pages")).alias("pdf_raw_text"), "pdf_ms")

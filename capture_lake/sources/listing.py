@@ -1,4 +1,4 @@
-"""Object listing and payload scans.
+"""Listing rows and their filters (S1-S6, J4); payloads are read in ``sources.objects``.
 
 Listing rows are ``(key, size, last_modified, etag, path)``; the manifest is
 ``(key, metadata map<string,string>)``.
@@ -80,8 +80,8 @@ def open_files(spark: SparkSession, root: str, prefix: str = "", suffix: str | N
     gives no rows.  A file that goes between listing and reading is skipped by
     the read; callers find it by its missing row.
 
-    Spark's file sources never list names that begin with ``_`` or ``.``;
-    ``count_hidden`` tells how many there are."""
+    Spark's file sources never list names that begin with ``_`` or ``.``; the capture job
+    lists with ``sources.objects``, which does."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
@@ -121,71 +121,6 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str |
     return listing_of(open_files(spark, root, prefix, suffix, start, end), root, prefix)
 
 
-def count_hidden(spark: SparkSession, root: str) -> int:
-    """Objects under ``root`` that no Spark file source lists: those whose name, or a folder's
-    name on the way, begins with ``_`` or ``.``.  One glob per folder level; names only."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    base = _GLOB_SPECIAL.sub(r"\\\1", root.rstrip("/"))
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(conf)
-    total, level = 0, base
-    while True:
-        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/{{_,.}}*")) or []:
-            total += fs.getContentSummary(status.getPath()).getFileCount()
-        level += "/[!_.]*"
-        if not any(status.isDirectory() for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(level)) or []):
-            return total
-
-
-# Time ranges that a payload scan is cut down to, and bytes of listing rows that one
-# broadcast may hold.
-TIME_RANGES = 256
-SLICE_BYTES = 32 * 1024 * 1024
-
-
-def payloads_for(files: DataFrame, rows: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``rows`` (stored listing rows with ``path`` and ``last_modified``) with their bytes as ``content``.
-
-    The bytes stream by on the scan side and the rows are broadcast, so no byte
-    is ever exchanged.  The rows' modification times, as at most
-    ``TIME_RANGES`` ranges, are pushed into the scan: files outside of them are
-    not read.  Rows of more than ``slice_bytes`` are joined in slices of
-    consecutive ranges, each scanned once (a range that is larger by itself is
-    cut by a hash of the path).  A row whose file is gone has no result row.
-    """
-    spark = rows.sparkSession
-    us = F.unix_micros(F.col("last_modified").cast("timestamp"))
-    weight = F.lit(200) + sum((F.length(F.to_json(F.struct(c))) for c in rows.columns), F.lit(0))
-    ends = rows.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-    nothing = files.sparkSession.createDataFrame([], BINARY_FILE_SCHEMA)
-    if ends["lo"] is None:
-        return nothing.select(F.col("path").alias("__p"), "content").join(rows, F.col("__p") == F.col("path")).drop("__p")
-    width = (ends["hi"] - ends["lo"]) // TIME_RANGES + 1
-    spans = (rows.groupBy(F.floor((us - F.lit(ends["lo"])) / F.lit(width)).alias("b"))
-             .agg(F.min(us).alias("lo"), F.max(us).alias("hi"), F.sum(weight).alias("bytes")).orderBy("b").collect())
-    slices: list[list] = []
-    for span in spans:  # at most TIME_RANGES + 1 of them
-        if slices and sum(s["bytes"] for s in slices[-1]) + span["bytes"] <= slice_bytes:
-            slices[-1].append(span)
-        else:
-            slices.append([span])
-    out = None
-    time = F.col("modificationTime")
-    for part in slices:
-        wanted = None
-        for s in part:
-            one = (time >= F.timestamp_micros(F.lit(s["lo"]))) & (time <= F.timestamp_micros(F.lit(s["hi"])))
-            wanted = one if wanted is None else wanted | one
-        cuts = -(-int(sum(s["bytes"] for s in part)) // slice_bytes)
-        scan = files.where(wanted).select(F.col("path").alias("__p"), "content")
-        for k in range(cuts):
-            some = rows.where(us.between(part[0]["lo"], part[-1]["hi"]))
-            if cuts > 1:
-                some = some.where(F.pmod(F.xxhash64("path"), F.lit(cuts)) == k)
-            joined = scan.join(F.broadcast(some), F.col("__p") == F.col("path")).drop("__p")
-            out = joined if out is None else out.unionByName(joined)
-    return out
-
-
 def select_keys(df: DataFrame, keys: Iterable[str], key: str = "key") -> DataFrame:
     """Only the named objects (``--key`` runs)."""
     return df.where(F.col(key).isin(list(keys)))

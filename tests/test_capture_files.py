@@ -124,29 +124,84 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_bytes_are_never_exchanged_and_do_not_leave_the_extractor(spark, bucket):
-    from capture_lake.plans.capture import assemble_payloads
+def stored_rows(spark, images, manifest):
     from capture_lake.session import stored
     from capture_lake.sources import listing as L
+    from capture_lake.sources import objects as O
+
+    return stored(L.attach_metadata(O.list_objects(spark, images, suffix=L.CAPTURE_SUFFIX), manifest))
+
+
+def test_bytes_are_never_exchanged_and_do_not_leave_the_extractor(spark, bucket):
+    from capture_lake.plans.capture import assemble_payloads
+    from capture_lake.sources import objects as O
 
     images, _, manifest, _ = bucket
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        files = L.open_files(spark, images, suffix=L.CAPTURE_SUFFIX)
-        rows = stored(L.attach_metadata(L.listing_of(files, images), manifest))
-        joined = L.payloads_for(files, rows)
-        plan = plan_of(joined)
-        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
-        assert "modificationTime" in plan.split("PushedFilters")[-1]
-        assert joined.count() == 6
-        sliced = L.payloads_for(files, rows, slice_bytes=600)  # many slices, the same rows
-        assert sorted((r.key, bytes(r.content)) for r in sliced.collect()) == sorted((r.key, bytes(r.content)) for r in joined.collect())
-        checked = assemble_payloads(joined, ocr_factory)
-        out = [l for l in plan_of(checked).split("\n") if "MapInArrow" in l][0]
-        returned = out.rsplit("[", 1)[-1]
-        assert "__ocr_in" not in returned and "__img#" not in returned and "content" not in returned
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = stored_rows(spark, images, manifest)
+    joined = O.read_payloads(rows, images)
+    plan = plan_of(joined).split("\n")
+    assert "content" not in "".join(l for l in plan if "Exchange" in l) and not any("Join" in l or "Union" in l for l in plan)
+    assert joined.count() == 6
+    small = O.read_payloads(rows, images, task_bytes=70_000)  # about a task per object, the same rows
+    assert small.rdd.getNumPartitions() == 6
+    assert sorted((r.key, bytes(r.content)) for r in small.collect()) == sorted((r.key, bytes(r.content)) for r in joined.collect())
+    checked = assemble_payloads(joined, ocr_factory)
+    out = [l for l in plan_of(checked).split("\n") if "MapInArrow" in l][0]
+    returned = out.rsplit("[", 1)[-1]
+    assert "__ocr_in" not in returned and "__img#" not in returned and "content" not in returned
+
+
+def test_each_object_is_opened_once_whatever_its_time(spark):
+    """Sixty objects of one modification time and a straggler, read by many tasks: one open each."""
+    from capture_lake.sources import objects as O
+
+    base = scratch_path(spark, "opens").replace("file:", "")
+    for i in range(61):
+        write(f"{base}/in/d{i % 7}/{i}.png.zst", b"x" * (100 + i))
+        os.utime(f"{base}/in/d{i % 7}/{i}.png.zst", (1_700_000_000 - 10**8 * (i == 60),) * 2)
+    rows = stored_rows(spark, f"{base}/in", spark.createDataFrame([], "key string, metadata map<string,string>"))
+    opens = spark.sparkContext.accumulator(0)
+
+    def read(path):
+        opens.add(1)
+        with open(path.removeprefix("file:"), "rb") as f:
+            return f.read()
+
+    got = O.read_payloads(rows, f"{base}/in", task_bytes=400_000, read=read).select("key", F.length("content").alias("n")).collect()
+    assert sorted(r.n for r in got) == [100 + i for i in range(61)]
+    assert opens.value == 61
+
+
+def test_packs_are_even_by_bytes(spark):
+    from capture_lake.session import stored
+    from capture_lake.sources import objects as O
+
+    rows = stored(spark.range(0, 5000, 1, 7).select(F.col("id").cast("string").alias("path"), (F.col("id") % 97 * 10_000).alias("size")))
+    packs = O.in_packs(rows, 10_000_000).groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.col("size") + O.OPEN_BYTES).alias("w"), F.count("*").alias("n")).collect()
+    total = sum(p.w for p in packs)
+    assert sum(p.n for p in packs) == 5000
+    assert len(packs) == -(-total // 10_000_000)
+    assert max(p.w for p in packs) <= 11_100_000
+
+
+def test_every_name_is_listed_level_by_level(spark):
+    from capture_lake.sources import objects as O
+
+    base = scratch_path(spark, "names").replace("file:", "")
+    names = ["a.png.zst", "_x.png.zst", ".x/b.png.zst", "_d/e/.f.png.zst", "d/e/f/g/h.png.zst", "d/ä b[1].png.zst", "d.txt"]
+    for n in names:
+        write(f"{base}/in/{n}", n.encode())
+    os.makedirs(f"{base}/in/empty/er")
+    listed = {r.key: (r.size, r.path) for r in O.list_objects(spark, f"{base}/in").collect()}
+    assert listed == {n: (len(n.encode()), f"file:{base}/in/{n}") for n in names}
+    assert {r.key for r in O.list_objects(spark, f"file:{base}/in/", "d").collect()} == {n for n in names if n.startswith("d")}
+    assert {r.key for r in O.list_objects(spark, f"{base}/in", "d/e/f/").collect()} == {"d/e/f/g/h.png.zst"}
+    assert O.list_objects(spark, f"{base}/in", "nowhere/").count() == 0
+    assert O.list_objects(spark, f"{base}/missing").count() == 0
+    assert O.list_objects(spark, f"{base}/in", suffix=".png.zst", start="2000-01-01", end="2001-01-01").count() == 0
+    manifest = spark.createDataFrame([], "key string, metadata map<string,string>")
+    res = capture_files(spark, f"{base}/in", manifest, None, ocr_factory)
+    assert {r.key for r in res.results.collect()} == {n for n in names if n.endswith(".png.zst")}
 
 
 @pytest.mark.parametrize("names", [["a[1].png.zst"], ["a?.png.zst", "ab.png.zst"], ["{x}.png.zst", "x.png.zst"], ["a*.png.zst", "a b.png.zst"]])
@@ -163,12 +218,10 @@ def test_keys_are_not_globs(spark, names):
 
 def test_vanished_object_is_a_failure(spark, bucket):
     from capture_lake.plans.capture import capture_rows, payload_process
-    from capture_lake.sources import listing as L
 
     images, _, manifest, _ = bucket
-    files = L.open_files(spark, images, suffix=L.CAPTURE_SUFFIX)
-    listing = L.attach_metadata(L.listing_of(files, images), manifest)
-    inner = payload_process(spark, files, ocr_factory)
+    listing = stored_rows(spark, images, manifest)
+    inner = payload_process(spark, images, ocr_factory)
 
     def process(rows):  # the object goes after it has been listed
         if os.path.exists(f"{images}/2024/01/01/f.png.zst"):

@@ -47,14 +47,16 @@ def test_cli_batch_key_retry(spark, capsys):
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     parser = cli.build_parser()
     run = lambda *extra: cli.run(parser.parse_args(args_for(base, images, intake, table, *extra)), spark)
-    write(f"{images}/_hidden/c.png.zst", b"x")
+    write(f"{images}/_hidden/c.png.zst", b"x")  # listed like any other
     write(f"{images}/sub/.d.png.zst", b"x")
     assert run() == 0
     out = last_line(capsys)
-    assert out["total"] == 2 and out["files_extracted"] == 1 and out["rows_written"] == 1 and out["hidden_skipped"] == 2
+    assert out["total"] == 4 and out["files_extracted"] == 1 and out["rows_written"] == 1
+    os.remove(f"{images}/_hidden/c.png.zst")
+    os.remove(f"{images}/sub/.d.png.zst")
     row = spark.table(table).first()
     assert (row.file_hash, row.ocr_raw_text, row.pdf_raw_text, row.image_width) == ("HA", "w40", "hello", 40)
-    assert spark.read.parquet(f"{base}/wh/cli_records_quarantine").count() == 1  # kept without being asked for
+    assert spark.read.parquet(f"{base}/wh/cli_records_quarantine").count() == 3  # kept without being asked for
     # single key: duplicate now (success, 0 rows); broken key fails the run
     assert run("--key", "a.png.zst") == 0
     assert last_line(capsys)["rows"] == 0
@@ -68,7 +70,7 @@ def test_cli_batch_key_retry(spark, capsys):
     write(f"{images}/b.png.zst", zstd_bytes(png_bytes(50, 20)))
     assert run("--retry") == 0
     out = last_line(capsys)
-    assert (out["total"], out["rows_written"]) == (1, 1)
+    assert (out["total"], out["rows_written"]) == (1, 1)  # the removed ones are no longer listed
     assert run("--retry") == 0
     assert last_line(capsys)["total"] == 0
     spark.catalog.refreshTable(table)
