@@ -91,7 +91,7 @@ def check_options(args: argparse.Namespace) -> None:
 def run(args: argparse.Namespace, spark: SparkSession) -> int:
     from capture_lake.plans.capture import capture_files, run_single
     from capture_lake.sources.tables import read_target
-    from capture_lake.streaming.ingest import retry_queue, table_sidecar, write_results
+    from capture_lake.streaming.ingest import read_sidecar, retry_queue, table_sidecar, write_results
 
     check_options(args)
     prepare(spark)
@@ -127,7 +127,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> int:
         return 0
     keys = None
     if args.retry:
-        keys = retry_queue(spark.read.parquet(results_path))
+        keys = retry_queue(read_sidecar(spark, results_path, args.table, args.warehouse))
     totals = write(job(keys))
     print(json.dumps(totals))
     return 0

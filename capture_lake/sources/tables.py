@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from capture_lake.operators.dedup import hash_exists
+from capture_lake.sinks.commits import BATCH_COLUMN, Commits, commit_folder
 
 # Spark's error conditions for a namespace or table that isn't there.
 MISSING_CONDITIONS = ("SCHEMA_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "NO_SUCH_NAMESPACE", "NO_SUCH_TABLE")
@@ -24,13 +25,23 @@ def table_exists(spark: SparkSession, identifier: str) -> bool:
         raise
 
 
+def table_place(spark: SparkSession, identifier: str) -> str:
+    """Where the catalog says the table is."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {identifier}").where("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0]
+
+
 def read_target(spark: SparkSession, identifier: str) -> DataFrame | None:
-    """The target table, refreshed (a stream's cloned session may hold an old
-    file listing), or None when it does not exist yet."""
+    """The committed rows of the target table, refreshed (a stream's cloned session may
+    hold an old file listing), or None when it does not exist yet.  A table without
+    batches (another format's own commits) is read as it is."""
     if not table_exists(spark, identifier):
         return None
     spark.catalog.refreshTable(identifier)
-    return spark.table(identifier)
+    table = spark.table(identifier)
+    if BATCH_COLUMN not in table.columns:
+        return table
+    return Commits(spark, commit_folder(table_place(spark, identifier))).live(table)
 
 
 def record_exists(spark: SparkSession, identifier: str, file_hash: str) -> bool:

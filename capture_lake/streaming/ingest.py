@@ -8,15 +8,15 @@
 * T3 cross-batch hash dedup: ``foreachBatch`` runs the batch job's core
   (``capture_rows``) against the target, read through the batch's own session
   after a table refresh (a stale file listing could admit duplicates).
-  ``foreachBatch`` is at-least-once: a batch writes a commit marker after its
-  writes, a replay of a marked batch is skipped, and a replay in the short
-  window before the marker is harmless for hashed rows (J1).
+  ``foreachBatch`` is at-least-once; a batch is published in two phases
+  (``sinks.commits``), so a replay writes nothing twice wherever the first run died.
 * T4 retry: every run appends its per-object results to a log; the objects
   whose latest result is a failure are the queue of a retry run.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable
 
@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 from capture_lake.operators import dedup, quality
 from capture_lake.plans import capture as C
 from capture_lake.session import scratch_path, stored
-from capture_lake.sinks.table import append_records
+from capture_lake.sinks.commits import BATCH_COLUMN, new_attempt
+from capture_lake.sinks.table import append_records, commits_of
 from capture_lake.sources import listing as L
 from capture_lake.sources.tables import read_target
 
@@ -43,34 +44,22 @@ def table_sidecar(warehouse: str, identifier: str, what: str) -> str:
     return f"{warehouse.rstrip('/')}/{identifier.split('.', 1)[-1]}_{what}"
 
 
-def _committed(spark, commit_dir: str | None, batch_id: int | None) -> bool:
-    """True when ``batch_id`` has a commit marker.  A sentinel marker always
-    exists (written once, mode ``ignore``), so the glob below never names a
-    missing path: only the sentinel and this batch's folder are listed."""
-    if commit_dir is None or batch_id is None:
-        return False
-    spark.range(1).selectExpr("-1L as batch_id").write.mode("ignore").parquet(f"{commit_dir}/sentinel")
-    marks = spark.read.schema("batch_id bigint").parquet(f"{commit_dir}/{{sentinel,batch-{int(batch_id)}}}")
-    return not marks.where(F.col("batch_id") == int(batch_id)).limit(1).isEmpty()
-
-
-def _mark_committed(spark, commit_dir: str | None, batch_id: int | None) -> None:
-    if commit_dir is not None and batch_id is not None:
-        spark.range(1).selectExpr(f"{int(batch_id)}L as batch_id").write.mode("overwrite").parquet(
-            f"{commit_dir}/batch-{int(batch_id)}")
-
-
 def write_results(res: C.CaptureResult, identifier: str, warehouse: str, fmt: str = "parquet",
-                  quarantine_path: str | None = None, results_path: str | None = None) -> dict:
-    """Append the records, then the failures and the results log; all come from the stored results.
+                  quarantine_path: str | None = None, results_path: str | None = None, name: str | None = None) -> dict:
+    """Stage the records, the failures and the results log (all from the stored results), then publish
+    them with one commit; ``name`` is the commit's, for a batch that may be replayed.
 
     Returns (A5, A6) the batch's totals and the write counters, and (A7, A8)
     the two histograms as lists of (series, le, value)."""
-    counters = append_records(res.records, identifier, warehouse, fmt)
+    spark = res.results.sparkSession
+    attempt = new_attempt(name)
+    counters = append_records(res.records, identifier, warehouse, fmt, batch=attempt)
+    in_batch = F.lit(attempt).alias(BATCH_COLUMN)
     quarantine_path = quarantine_path or table_sidecar(warehouse, identifier, "quarantine")
-    res.quarantine.write.mode("append").parquet(quarantine_path)
-    logged = res.results.select(*LOG_COLUMNS, F.current_timestamp().alias("logged_at"))
+    res.quarantine.select("*", in_batch).write.mode("append").parquet(quarantine_path)
+    logged = res.results.select(*LOG_COLUMNS, F.current_timestamp().alias("logged_at"), in_batch)
     logged.write.mode("append").parquet(results_path or table_sidecar(warehouse, identifier, "results"))
+    commits_of(spark, identifier, warehouse).commit(name or attempt, [attempt])
     return {
         **res.outcome().first().asDict(), **counters,
         "confidence_histogram": [list(r) for r in res.confidence_histogram().collect()],
@@ -78,36 +67,36 @@ def write_results(res: C.CaptureResult, identifier: str, warehouse: str, fmt: st
     }
 
 
+def read_sidecar(spark: SparkSession, path: str, identifier: str, warehouse: str) -> DataFrame:
+    """The committed rows of a table's quarantine or results log."""
+    return commits_of(spark, identifier, warehouse).live(spark.read.parquet(path))
+
+
 def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str, process: Process = C.assemble,
-                  quarantine_path: str | None = None, batch_id: int | None = None,
-                  commit_dir: str | None = None, probe_dir: str | None = "same",
+                  quarantine_path: str | None = None, batch_id: int | None = None, stream: str = "stream",
                   manifest: DataFrame | None = None, fmt: str = "parquet", results_path: str | None = None,
                   copies_at_once: bool = False, bounded: bool = False) -> dict:
-    """One micro-batch: J1 against the refreshed target, D2 and checks, append.
+    """One micro-batch: J1 against the refreshed target, D2 and checks, publish.
 
     ``manifest``: joined here, pruned to the batch's keys (else the rows bring
     their ``metadata``).  ``bounded``: the source caps a micro-batch
     (``maxFilesPerTrigger``), so its keys and hashes may be broadcast.
 
-    ``foreachBatch`` is at-least-once.  With ``commit_dir`` a marker is
-    written per ``batch_id`` after its writes succeed, and a replayed batch
-    whose marker exists is skipped whole (``probe_dir`` is where markers are
-    looked up: the commit folder by default, None to skip the lookup for a
-    batch that cannot be a replay).  A replay after the append but
-    before the marker is still harmless for hashed rows (J1 drops them);
-    only empty-hash rows could repeat, as they would in the producer.
+    ``foreachBatch`` is at-least-once.  The commit is named after ``stream`` and
+    ``batch_id``: a replay of a committed batch is skipped whole, and one of a batch
+    that died before its commit starts anew, what it had staged does not count.
     Returns (and logs) what ``write_results`` does.
     """
     spark = batch_df.sparkSession
-    if _committed(spark, commit_dir if probe_dir == "same" else probe_dir, batch_id):
+    name = None if batch_id is None else f"{stream}-{int(batch_id)}"
+    if name is not None and commits_of(spark, identifier, warehouse).has(name):
         log.info("capture batch %s into %s: already committed, skipped", batch_id, identifier)
         return {"rows_written": 0, "rows_with_hash": 0, "skipped": True}
     if manifest is not None:
         # stored first: the manifest's filter and the join read the listing once
         batch_df = L.attach_metadata(stored(batch_df), manifest, bounded=bounded)
     res = C.capture_rows(batch_df, read_target(spark, identifier), process, bounded=bounded, copies_at_once=copies_at_once)
-    counters = write_results(res, identifier, warehouse, fmt, quarantine_path, results_path)
-    _mark_committed(spark, commit_dir, batch_id)
+    counters = write_results(res, identifier, warehouse, fmt, quarantine_path, results_path, name)
     log.info("capture batch %s into %s: %s", batch_id, identifier, counters)
     return counters
 
@@ -119,19 +108,13 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
                          fmt: str = "parquet", results_path: str | None = None, copies_at_once: bool = False,
                          bounded: bool = False, report: Callable[[dict], None] | None = None):
     """Start the stream: ``source`` is a streaming frame of listing rows, with a
-    ``metadata`` map unless ``manifest`` is given (see ``listing_stream``).  Batch
-    commit markers live next to the stream checkpoint; ``report`` gets each
-    batch's totals."""
-    commit_dir = f"{checkpoint.rstrip('/')}/_capture_commits"
-    # Spark re-runs a micro-batch only as the first batch after a (re)start,
-    # so only that one probes its marker; every batch still writes one.
-    first = [True]
+    ``metadata`` map unless ``manifest`` is given (see ``listing_stream``).  Commits are
+    named after the checkpoint; ``report`` gets each batch's totals."""
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        probe = commit_dir if first[0] else None
-        first[0] = False
-        totals = capture_batch(df, identifier, warehouse, process, quarantine_path, batch_id, commit_dir,
-                               probe_dir=probe, manifest=manifest, fmt=fmt, results_path=results_path,
+        totals = capture_batch(df, identifier, warehouse, process, quarantine_path, batch_id, stream,
+                               manifest=manifest, fmt=fmt, results_path=results_path,
                                copies_at_once=copies_at_once, bounded=bounded)
         if report is not None:
             report(totals)
@@ -208,5 +191,4 @@ def demo_stream_capture(spark: SparkSession, sf_dir: str, drops: int = 3) -> Dat
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    spark.catalog.refreshTable(ident)
-    return spark.table(ident).select("original_path", "file_hash")
+    return read_target(spark, ident).select("original_path", "file_hash")

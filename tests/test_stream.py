@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,21 +154,47 @@ def test_dedup_keys_stream(spark):
     assert sorted(r.key for r in spark.table("dedup_keys_out").collect()) == ["a", "b"]
 
 
-def test_replayed_batch_writes_nothing_twice(spark):
-    from capture_lake.streaming.ingest import capture_batch
+@pytest.mark.parametrize("dies_at", ["records", "quarantine", "results", "commit", None])
+def test_a_batch_that_dies_anywhere_leaves_no_repeated_row(spark, monkeypatch, dies_at):
+    """The job is ended before one of its writes, or after the last; the replay gives every row once,
+    those without a hash and the failures too."""
+    from capture_lake.sinks.commits import Commits
+    from capture_lake.sources.tables import read_target
+    from capture_lake.streaming import ingest
 
     base = scratch_path(spark, "stream-replay")
-    ident = "capture_lake_t.stream_replay"
+    ident = f"capture_lake_t.stream_replay_{dies_at}"
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
-    t0 = dt.datetime(2024, 1, 1)
-    batch = spark.createDataFrame([("a", 1, t0, "", meta("H1")), ("e", 1, t0, "", meta(""))], SCHEMA)
-    commits = f"{base}/ckpt/_capture_commits"
-    first = capture_batch(batch, ident, f"{base}/wh", batch_id=0, commit_dir=commits)
-    again = capture_batch(batch, ident, f"{base}/wh", batch_id=0, commit_dir=commits)  # replay
-    assert first["rows_written"] == 2 and again.get("skipped")
-    # a replay that missed its marker: the hashed row is still dropped by J1
-    late = capture_batch(batch, ident, f"{base}/wh", batch_id=1)
-    assert late["rows_with_hash"] == 0
-    spark.catalog.refreshTable(ident)
-    assert sorted(r.file_hash for r in spark.table(ident).collect()) == ["", "", "H1"]
+    wh, t0 = f"{base}/wh", dt.datetime(2024, 1, 1)
+    frame = lambda rows: spark.createDataFrame(rows, SCHEMA)
+    ingest.capture_batch(frame([("z", 1, t0, "", meta("H0"))]), ident, wh, batch_id=0)
+    batch = frame([("a", 1, t0, "", meta("H1")), ("e", 1, t0, "", meta("")), ("q", 1, t0, "", meta("", "0"))])
+
+    class Died(Exception):
+        pass
+
+    def die(*args, **kw):
+        raise Died
+
+    with monkeypatch.context() as m:
+        if dies_at == "records":
+            m.setattr(ingest, "append_records", die)
+        elif dies_at == "commit":
+            m.setattr(Commits, "commit", die)
+        elif dies_at is not None:
+            plain = ingest.table_sidecar
+            m.setattr(ingest, "table_sidecar", lambda w, i, what: die() if what == dies_at else plain(w, i, what))
+        if dies_at is None:
+            assert ingest.capture_batch(batch, ident, wh, batch_id=1)["rows_written"] == 2
+        else:
+            with pytest.raises(Died):
+                ingest.capture_batch(batch, ident, wh, batch_id=1)
+            assert [r.file_hash for r in read_target(spark, ident).collect()] == ["H0"]  # nothing staged counts
+    again = ingest.capture_batch(batch, ident, wh, batch_id=1)
+    assert again.get("skipped", False) == (dies_at is None)
+    assert ingest.capture_batch(batch, ident, wh, batch_id=1)["skipped"]
+    assert sorted(r.file_hash for r in read_target(spark, ident).collect()) == ["", "H0", "H1"]
+    side = {what: ingest.read_sidecar(spark, ingest.table_sidecar(wh, ident, what), ident, wh) for what in ("quarantine", "results")}
+    assert [r.key for r in side["quarantine"].collect()] == ["q"]
+    assert sorted(r.key for r in side["results"].collect()) == ["a", "e", "q", "z"]
     spark.sql(f"DROP TABLE IF EXISTS {ident}")
