@@ -14,8 +14,8 @@ bucket: the hash of a phrase is its bucket, tasks send (bucket, count) of a few
 a bucket of at least `least` is heavy.  A phrase in no heavy bucket is rare, a frequent one is
 always in a heavy bucket, and so are, by chance, some rare ones: they are counted in the
 stripes and dropped by their count.  Phrases of three and more words are only counted where the
-shorter ones in them are heavy.  The heavy buckets are bitmaps of a fixed size, so what is
-sent to the tasks is bounded, and the counts are exact at every size.
+shorter ones in them are heavy.  The heavy buckets are bitmaps of a fixed size, sent compressed, so
+what goes to the tasks is bounded, and the counts are exact at every size.
 
 The empty prefix's stripe is cut into shards by the next word's hash.
 
@@ -31,6 +31,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,23 +200,25 @@ def bucket_counts(chunks: Iterator[Chunk], levels: list[int], known: dict[int, n
 
 
 def heavy_pieces(batches: Iterator[pa.RecordBatch], least: int, width: int) -> Iterator[pa.RecordBatch]:
-    """The heavy buckets of each (level, piece) as bits; rows come sorted by level and piece."""
+    """The heavy buckets of each (level, piece) that has some, as compressed bits; rows come sorted by level and piece."""
     kind = np.uint8 if least < 256 else np.uint32
     key, total = None, None
 
-    def close() -> pa.RecordBatch:
-        bits = np.packbits(total >= least, bitorder="little").tobytes()
-        return pa.RecordBatch.from_pydict({"level": pa.array([key[0]], pa.int32()), "piece": pa.array([key[1]], pa.int32()), "bits": pa.array([bits], pa.binary())})
+    def close() -> Iterator[pa.RecordBatch]:
+        heavy = total >= least
+        if heavy.any():
+            bits = zlib.compress(np.packbits(heavy, bitorder="little").tobytes(), 1)
+            yield pa.RecordBatch.from_pydict({"level": pa.array([key[0]], pa.int32()), "piece": pa.array([key[1]], pa.int32()), "bits": pa.array([bits], pa.binary())})
 
     for b in batches:
         for level, piece, at, n in zip(*(b.column(i).to_pylist() for i in range(4))):
             if (level, piece) != key:
                 if key is not None:
-                    yield close()
+                    yield from close()
                 key, total = (level, piece), np.zeros(1 << width, np.int64)
             total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
     if key is not None:
-        yield close()
+        yield from close()
 
 
 def chunks_of(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[tuple[str, Chunk]]:
@@ -326,33 +329,50 @@ def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
         yield batch()
 
 
-def heavy_buckets(docs: DataFrame, levels: list[int], known: dict[int, np.ndarray], least: int, bits: int, chunk_chars: int, places: int) -> dict[int, np.ndarray]:
-    """A bitmap of heavy buckets per number of words; `known` are those of shorter phrases."""
+#: Pieces of bitmaps as (piece, compressed bits), per number of words.
+Packed = dict[int, list[tuple[int, bytes]]]
+_UNPACKED: list = [None, None]
+
+
+def unpacked(packed: Packed, bits: int) -> dict[int, np.ndarray]:
+    """The bitmaps; a worker keeps those it unpacked last."""
+    if _UNPACKED[0] is not packed:
+        size = (1 << min(PIECE_BITS, bits.bit_length() - 1)) // 8
+        out = {j: np.zeros(bits // 8, np.uint8) for j in packed}
+        for j, pieces in packed.items():
+            for piece, held in pieces:
+                out[j][piece * size : (piece + 1) * size] = np.frombuffer(zlib.decompress(held), np.uint8)
+        _UNPACKED[:] = [packed, out]
+    return _UNPACKED[1]
+
+
+def heavy_buckets(docs: DataFrame, levels: list[int], known: Packed, least: int, bits: int, chunk_chars: int, places: int) -> Packed:
+    """The bitmap of heavy buckets per number of words; `known` are those of shorter phrases."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
     width = min(PIECE_BITS, bits.bit_length() - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from bucket_counts((c for _, c in chunks_of(batches, chunk_chars)), levels, shared.value, least, bits, places)
+        yield from bucket_counts((c for _, c in chunks_of(batches, chunk_chars)), levels, unpacked(shared.value, bits), least, bits, places)
 
     counted = docs.select("lang", "text").mapInArrow(count, BUCKETS_DDL)
     pieces = counted.repartition("level", "piece").sortWithinPartitions("level", "piece").mapInArrow(
         lambda batches: heavy_pieces(batches, least, width), "level int, piece int, bits binary")
-    out = {j: np.zeros(bits // 8, np.uint8) for j in levels}
-    size = (1 << width) // 8
-    for r in stored(pieces).toLocalIterator():  # as many rows as there are pieces, each of one size
-        out[r["level"]][r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    out: Packed = {j: [] for j in levels}
+    for r in stored(pieces).toLocalIterator():  # as many rows as there are pieces at most, each of one size at most
+        out[r["level"]].append((r["piece"], bytes(r["bits"])))
+    shared.unpersist()
     return out
 
 
-def stripes(docs: DataFrame, bitmaps: dict[int, np.ndarray], least: int, most_words: int, chunk_chars: int, most_entries: int) -> DataFrame:
+def stripes(docs: DataFrame, heavy: Packed, least: int, most_words: int, bits: int, chunk_chars: int, most_entries: int) -> DataFrame:
     """The merged stripes of all prefixes, stored: (lang, prefix, shard, words, counts)."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
+    shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[tuple[str, str], dict[str, int]] = {}
         held = 0
         for lang, chunk in chunks_of(batches, chunk_chars):
-            held += stripe_table(lang, chunk, shared.value, most_words, table)
+            held += stripe_table(lang, chunk, unpacked(shared.value, bits), most_words, table)
             if held >= most_entries:
                 yield from stripe_rows(table)
                 table, held = {}, 0
@@ -381,12 +401,12 @@ def collocations(docs: DataFrame, least: int = 100, most_words: int = MOST_WORDS
     `docs`: lang and text without nulls; phrases have two to `most_words` (at most MOST_WORDS) words.  A
     phrase is dropped if a longer candidate around it has at least `subsumed_percent` percent of its count."""
     bounded_batches(docs.sparkSession)
-    heavy: dict[int, np.ndarray] = {}
+    heavy: Packed = {}
     for levels in ([1, 2], [3], [4, 5]):
         levels = [j for j in levels if j <= most_words]
         if levels:
             heavy |= heavy_buckets(docs, levels, heavy, least, bitmap_bits, chunk_chars, places)
-    merged = stripes(docs, heavy, least, most_words, chunk_chars, most_entries)
+    merged = stripes(docs, heavy, least, most_words, bitmap_bits, chunk_chars, most_entries)
     total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda x, y: x + y)
     n = merged.where("prefix = ''").groupBy("lang").agg(F.sum(total).alias("n"))
     # prefix totals and right maxima come from the prefix's own stripe, left maxima from its entries' phrases
