@@ -17,7 +17,8 @@ stripes and dropped by their count.  Phrases of three and more words are only co
 shorter ones in them are heavy.  The heavy buckets are bitmaps of a fixed size, sent compressed, so
 what goes to the tasks is bounded, and the counts are exact at every size.
 
-The empty prefix's stripe is cut into shards by the next word's hash.
+Stripes travel in parcels, one per task and part of the prefixes (by hash; the empty prefix's stripe is
+cut by the next word's), sorted and compressed; there are as many parts as the heavy buckets ask for.
 
 An extension by several words that subsumes a phrase has an extension by one word in it that
 does so too (it occurs at least as often), so one word to each side is enough.
@@ -44,12 +45,13 @@ from capture_lake.llm.common import bounded_batches, clean_text, stored, table
 
 MOST_WORDS = 5
 #: Characters of text that are encoded at once.
-CHUNK_CHARS = 8 * 1024 * 1024
+CHUNK_CHARS = 12 * 1024 * 1024
 #: Phrase places, and entries of stripes, that a task adds up before it sends them.
 PLACES = 8_000_000
-ENTRIES = 300_000
-#: Shards of the empty prefix's stripe.
-SHARDS = 64
+ENTRIES = 500_000
+#: Heavy buckets per part of the prefixes, and least number of parts.
+PART_BUCKETS = 20_000
+LEAST_PARTS = 64
 #: Bits of a bitmap of heavy buckets, and buckets that are counted together by one key of the shuffle.
 BITMAP_BITS = 1 << 27
 PIECE_BITS = 16
@@ -61,9 +63,9 @@ _SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 _CUT = re.compile("[.,;:!?\x0a-\x0d]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
-STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("shard", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 BUCKETS_DDL = "level int, piece int, at binary, n binary"
-STRIPE_DDL = "lang string, prefix string, shard int, words array<string>, counts array<bigint>"
+STRIPE_DDL = "lang string, prefix string, part int, words array<string>, counts array<bigint>"
 
 
 def word_hash(word: bytes) -> int:
@@ -271,62 +273,67 @@ def stripe_table(lang: str, chunk: Chunk, bitmaps: dict[int, np.ndarray], most:
     return new
 
 
-def stripe_rows(table: dict[tuple[str, str], dict[str, int]]) -> Iterator[pa.RecordBatch]:
-    """Stripes as rows; those of the empty prefix in shards."""
-    rows: list[tuple] = []
-    for (lang, prefix), stripe in table.items():
+def part_of(lang: str, prefix: str, word: str, parts: int) -> int:
+    """The part of a stripe; the empty prefix's is cut by the next word."""
+    return xxhash.xxh64_intdigest(f"{lang}\n{prefix or word}") % parts
+
+
+def parcels(table: dict[tuple[str, str], dict[str, int]], parts: int) -> Iterator[pa.RecordBatch]:
+    """The stripes as (part, compressed stripes), sorted by prefix."""
+    dealt: dict[int, list[tuple]] = {}
+    for (lang, prefix), stripe in sorted(table.items()):
         if prefix:
-            rows.append((lang, prefix, 0, list(stripe), list(stripe.values())))
+            part = part_of(lang, prefix, REST, parts)
+            dealt.setdefault(part, []).append((lang, prefix, part, list(stripe), list(stripe.values())))
         else:
-            shards: dict[int, dict[str, int]] = {}
+            cut: dict[int, dict[str, int]] = {}
             for w, c in stripe.items():
-                shards.setdefault(word_hash(w.encode()) % SHARDS, {})[w] = c
-            rows += [(lang, prefix, i, list(part), list(part.values())) for i, part in shards.items()]
-        if len(rows) >= 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRIPE)], schema=STRIPE)
-            rows = []
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRIPE)], schema=STRIPE)
+                cut.setdefault(part_of(lang, prefix, w, parts), {})[w] = c
+            for part, some in cut.items():
+                dealt.setdefault(part, []).append((lang, prefix, part, list(some), list(some.values())))
+    for part, rows in dealt.items():
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, STRIPE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(_stripe_batch(rows))
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "stripes": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
 
-def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Elementwise sums of the stripes that share a key; rows come sorted by key.
+def _stripe_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRIPE)], schema=STRIPE)
 
-    Entries below `least` go into the empty word's, so the sum of a stripe stays its prefix's count."""
-    key, acc = None, {}
-    out: list[tuple] = []
-    held = 0
 
-    def close() -> None:
-        nonlocal held
-        kept = {w: c for w, c in acc.items() if c >= least and w != REST}
-        rest = sum(acc.values()) - sum(kept.values())
-        out.append((*key, [*kept, REST], [*kept.values(), rest]))
-        held += len(kept) + 1
+def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Elementwise sums of the stripes that share a prefix; parcels come sorted by part, a part is merged at a time.
 
-    def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), STRIPE)], schema=STRIPE)
+    Entries below `least` go into the empty word's, so the sum of a stripe stays its prefix's count;
+    stripes that are left with no other are of no use and go (the empty prefix's stay)."""
+    part, acc = None, {}
 
-    for b in batches:
-        langs, prefixes, shards = (b.column(i).to_pylist() for i in range(3))
-        words, counts = b.column(3), b.column(4)
-        offsets = words.offsets.to_pylist()
-        flat, numbers = words.values.to_pylist(), counts.values.to_pylist()
-        for i, here in enumerate(zip(langs, prefixes, shards)):
-            if here != key:
-                if key is not None:
-                    close()
-                key, acc = here, {}
+    def close() -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        held = 0
+        for (lang, prefix), stripe in acc.items():
+            kept = {w: c for w, c in stripe.items() if c >= least and w != REST}
+            if kept or not prefix:
+                out.append((lang, prefix, part, [*kept, REST], [*kept.values(), sum(stripe.values()) - sum(kept.values())]))
+                held += len(kept) + 1
                 if held > OUT_ENTRIES:
-                    yield batch()
+                    yield _stripe_batch(out)
                     out, held = [], 0
-            for j in range(offsets[i], offsets[i + 1]):
-                w = flat[j]
-                acc[w] = acc.get(w, 0) + numbers[j]
-    if key is not None:
-        close()
-    if out:
-        yield batch()
+        if out:
+            yield _stripe_batch(out)
+
+    for b in batches:
+        for here, parcel in zip(b.column(0).to_pylist(), b.column(1)):
+            if here != part:
+                yield from close()
+                part, acc = here, {}
+            stripes_in = pa.ipc.open_stream(parcel.as_buffer()).read_all().combine_chunks()
+            for lang, prefix, words, counts in zip(*(stripes_in.column(i).to_pylist() for i in (0, 1, 3, 4))):
+                stripe = acc.setdefault((lang, prefix), {})
+                for w, c in zip(words, counts):
+                    stripe[w] = stripe.get(w, 0) + c
+    yield from close()
 
 
 #: Pieces of bitmaps as (piece, compressed bits), per number of words.
@@ -365,8 +372,10 @@ def heavy_buckets(docs: DataFrame, levels: list[int], known: Packed, least: int,
 
 
 def stripes(docs: DataFrame, heavy: Packed, least: int, most_words: int, bits: int, chunk_chars: int, most_entries: int) -> DataFrame:
-    """The merged stripes of all prefixes, stored: (lang, prefix, shard, words, counts)."""
+    """The merged stripes of all prefixes, stored: (lang, prefix, part, words, counts)."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
+    buckets = sum(np.unpackbits(np.frombuffer(zlib.decompress(held), np.uint8)).sum() for pieces in heavy.values() for _, held in pieces)
+    parts = max(LEAST_PARTS, int(buckets) // PART_BUCKETS)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[tuple[str, str], dict[str, int]] = {}
@@ -374,13 +383,12 @@ def stripes(docs: DataFrame, heavy: Packed, least: int, most_words: int, bits: i
         for lang, chunk in chunks_of(batches, chunk_chars):
             held += stripe_table(lang, chunk, unpacked(shared.value, bits), most_words, table)
             if held >= most_entries:
-                yield from stripe_rows(table)
+                yield from parcels(table, parts)
                 table, held = {}, 0
-        yield from stripe_rows(table)
+        yield from parcels(table, parts)
 
-    made = docs.select("lang", "text").mapInArrow(make, STRIPE_DDL)
-    keys = ["lang", "prefix", "shard"]
-    return stored(made.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: merge_stripes(batches, least), STRIPE_DDL))
+    made = docs.select("lang", "text").mapInArrow(make, "part int, stripes binary")
+    return stored(made.repartition("part").sortWithinPartitions("part").mapInArrow(lambda batches: merge_stripes(batches, least), STRIPE_DDL))
 
 
 def entries(merged: DataFrame) -> DataFrame:
