@@ -59,3 +59,51 @@ def batch_outcome(results: DataFrame, status: str = "status", rows: str = "n_row
 def rows_per_day(df: DataFrame, ts: str = "processed_at", day_col: str = "processed_at_day") -> DataFrame:
     """``(processed_at_day, n_rows)``."""
     return df.groupBy(F.to_date(F.col(ts)).alias(day_col)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------------------
+# Over the life of the service: one mergeable state row per batch
+# ---------------------------------------------------------------------------
+
+#: The histograms of a state: prefix, value of a result row, bounds.
+_OBSERVED = (("conf", "ocr_confidence_mean", CONFIDENCE_BOUNDS), ("dur", "processing_duration_ms / 1000D", DURATION_BOUNDS))
+#: Size of the KLL sketches; a quantile is off by about 1.33 % of the rows with it (99 % of the time).
+KLL_K = 200
+
+
+def metric_state(results: DataFrame) -> DataFrame:
+    """A5-A8 of one batch as one row that can be added up: totals, bucket counts, sums, and KLL
+    sketches of the written records' confidence and duration."""
+    ok = F.col("status") == STATUS_OK
+    aggs = [F.count(F.lit(1)).alias("total"), F.count_if(F.col("status").isin(STATUS_OK, STATUS_DUPLICATE)).alias("succeeded"),
+            F.count_if(ok).alias("files_extracted"), F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("rows_written")]
+    for name, value, bounds in _OBSERVED:
+        v = F.when(ok, F.expr(value).cast("double"))
+        below = [F.count_if(v <= F.lit(float(b))) for b in bounds]
+        aggs += [F.array(*below).alias(f"{name}_buckets"), F.count(v).alias(f"{name}_count"), F.coalesce(F.sum(v), F.lit(0.0)).alias(f"{name}_sum"),
+                 F.kll_sketch_agg_double(v, KLL_K).alias(f"{name}_sketch")]
+    return results.agg(*aggs)
+
+
+def cumulative(states: DataFrame) -> DataFrame:
+    """One state row: the sum of all batches' states (counts and sums added, sketches merged)."""
+    aggs = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("total", "succeeded", "files_extracted", "rows_written")]
+    for name, _, bounds in _OBSERVED:
+        each = [F.coalesce(F.sum(F.col(f"{name}_buckets")[i]), F.lit(0)).cast("bigint") for i in range(len(bounds))]
+        aggs += [F.array(*each).alias(f"{name}_buckets"), F.coalesce(F.sum(f"{name}_count"), F.lit(0)).cast("bigint").alias(f"{name}_count"),
+                 F.coalesce(F.sum(f"{name}_sum"), F.lit(0.0)).alias(f"{name}_sum"), F.kll_merge_agg_double(f"{name}_sketch").alias(f"{name}_sketch")]
+    return states.agg(*aggs)
+
+
+def state_histogram(state: DataFrame, name: str) -> DataFrame:
+    """The histogram ``(series, le, value)`` of a state row; ``name`` is conf or dur."""
+    (bounds,) = (b for n, _, b in _OBSERVED if n == name)
+    rows = [f"'bucket', '{_label(b)}', cast({name}_buckets[{i}] as double)" for i, b in enumerate(bounds)]
+    rows += [f"'bucket', '+Inf', cast({name}_count as double)", f"'sum', cast(null as string), {name}_sum", f"'count', cast(null as string), cast({name}_count as double)"]
+    return state.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (series, le, value)")
+
+
+def state_quantile(name: str, q: float) -> Column:
+    """A quantile of a state's sketch (null without any observation)."""
+    sketch = F.col(f"{name}_sketch")
+    return F.when(F.col(f"{name}_count") > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(q)))

@@ -82,6 +82,7 @@ def capture_rows(
     order: tuple[str, ...] = ("last_modified", "key"),
     bounded: bool = False,
     copies_at_once: bool = False,
+    mark: Callable[[DataFrame], DataFrame] | None = None,
 ) -> CaptureResult:
     """J1, D2 and the checks for listing rows with a ``metadata`` map: what becomes of each.
 
@@ -95,10 +96,12 @@ def capture_rows(
     columns).  It is expensive for object files, so first only the first copy of
     each hash with readable metadata is processed; the other copies follow
     where it failed.  ``copies_at_once`` (cheap ``process``) takes all copies in
-    one pass.  ``bounded``: see ``dedup.mark_captured``.
+    one pass.  ``bounded``: see ``dedup.mark_captured``.  ``mark`` sets ``captured`` in the
+    place of the target (an index of its hashes).
     """
     hashed = listing.withColumn("file_hash", M.meta_string("metadata", M.KEY_CONTENT_HASH, ""))
-    marked = stored(dedup.mark_captured(hashed, target, bounded=bounded).withColumns(
+    known = dedup.mark_captured(hashed, target, bounded=bounded) if mark is None else mark(hashed)
+    marked = stored(known.withColumns(
         {"__ord": F.struct(*order), "__dkey": dedup.dedup_key(hashed), "__bad": M.parse_errors("metadata")}))
     todo = marked.where(~F.col("captured"))
     readable = todo.where(F.size("__bad") == 0)
@@ -120,7 +123,7 @@ def capture_rows(
         done = run(todo)
     else:
         first = stored(dedup.first_per_hash(readable, order))
-        done = stored(run(first))
+        done = run(first)
         failed = done.where((F.col("status") != quality.STATUS_OK) & dedup.has_hash()).select("__dkey").distinct()
         others = readable.join(failed, "__dkey", "left_semi").join(first.select("key"), "key", "left_anti")
         others = stored(others)

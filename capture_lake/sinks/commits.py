@@ -73,6 +73,11 @@ class Commits:
         """The rows of live batches (the small side is the list of batches; AQE sees its size)."""
         return df.join(self.live_batches(), BATCH_COLUMN, "left_semi")
 
+    def published(self, df: DataFrame) -> DataFrame:
+        """The rows of batches that were ever committed: what is kept beside the table (hashes, logs,
+        metrics) stays true when a compaction moves the batch's rows."""
+        return df.join(self.frame().select(F.explode("adds").alias(BATCH_COLUMN)).distinct(), BATCH_COLUMN, "left_semi")
+
 
 def commit_folder(location: str) -> str:
     """Where the commits of a table at ``location`` are."""

@@ -157,7 +157,8 @@ def write_objects(objects: DataFrame, root: str) -> int:
                 os.makedirs(os.path.dirname(path), exist_ok=True)
                 with open(path, "wb") as f:
                     f.write(content)
-                os.utime(path, (seconds, seconds))
+                if seconds is not None:
+                    os.utime(path, (seconds, seconds))
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
     rows = objects.select("key", "content", F.unix_timestamp(F.col("last_modified").cast("timestamp")).alias("seconds"))

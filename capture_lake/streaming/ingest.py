@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capture_lake.operators import dedup, quality
+from capture_lake.operators import quality
+from capture_lake.operators.hash_index import append_hashes, mark_captured
+from capture_lake.operators.metrics import metric_state
 from capture_lake.plans import capture as C
 from capture_lake.session import scratch_path, stored
 from capture_lake.sinks.commits import BATCH_COLUMN, new_attempt
@@ -45,9 +47,11 @@ def table_sidecar(warehouse: str, identifier: str, what: str) -> str:
 
 
 def write_results(res: C.CaptureResult, identifier: str, warehouse: str, fmt: str = "parquet",
-                  quarantine_path: str | None = None, results_path: str | None = None, name: str | None = None) -> dict:
-    """Stage the records, the failures and the results log (all from the stored results), then publish
-    them with one commit; ``name`` is the commit's, for a batch that may be replayed.
+                  quarantine_path: str | None = None, results_path: str | None = None, name: str | None = None,
+                  hash_index: bool = False) -> dict:
+    """Stage the records, the failures, the results log and the metrics (all from the stored results),
+    then publish them with one commit; ``name`` is the commit's, for a batch that may be replayed.
+    ``hash_index``: the hashes go into the bucketed index too.
 
     Returns (A5, A6) the batch's totals and the write counters, and (A7, A8)
     the two histograms as lists of (series, le, value)."""
@@ -59,6 +63,10 @@ def write_results(res: C.CaptureResult, identifier: str, warehouse: str, fmt: st
     res.quarantine.select("*", in_batch).write.mode("append").parquet(quarantine_path)
     logged = res.results.select(*LOG_COLUMNS, F.current_timestamp().alias("logged_at"), in_batch)
     logged.write.mode("append").parquet(results_path or table_sidecar(warehouse, identifier, "results"))
+    state = metric_state(res.results).select("*", in_batch)
+    state.write.mode("append").parquet(table_sidecar(warehouse, identifier, "metrics"))
+    if hash_index:
+        append_hashes(res.records, identifier, table_sidecar(warehouse, identifier, "hashes"), attempt)
     commits_of(spark, identifier, warehouse).commit(name or attempt, [attempt])
     return {
         **res.outcome().first().asDict(), **counters,
@@ -69,18 +77,20 @@ def write_results(res: C.CaptureResult, identifier: str, warehouse: str, fmt: st
 
 def read_sidecar(spark: SparkSession, path: str, identifier: str, warehouse: str) -> DataFrame:
     """The committed rows of a table's quarantine or results log."""
-    return commits_of(spark, identifier, warehouse).live(spark.read.parquet(path))
+    return commits_of(spark, identifier, warehouse).published(spark.read.parquet(path))
 
 
 def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str, process: Process = C.assemble,
                   quarantine_path: str | None = None, batch_id: int | None = None, stream: str = "stream",
                   manifest: DataFrame | None = None, fmt: str = "parquet", results_path: str | None = None,
-                  copies_at_once: bool = False, bounded: bool = False) -> dict:
+                  copies_at_once: bool = False, bounded: bool = False, hash_index: bool = False) -> dict:
     """One micro-batch: J1 against the refreshed target, D2 and checks, publish.
 
     ``manifest``: joined here, pruned to the batch's keys (else the rows bring
     their ``metadata``).  ``bounded``: the source caps a micro-batch
-    (``maxFilesPerTrigger``), so its keys and hashes may be broadcast.
+    (``maxFilesPerTrigger``), so its keys and hashes may be broadcast.  ``hash_index``:
+    J1 looks hashes up in the bucketed index (kept from the table's first batch on)
+    instead of the target.
 
     ``foreachBatch`` is at-least-once.  The commit is named after ``stream`` and
     ``batch_id``: a replay of a committed batch is skipped whole, and one of a batch
@@ -95,8 +105,13 @@ def capture_batch(batch_df: DataFrame, identifier: str, warehouse: str, process:
     if manifest is not None:
         # stored first: the manifest's filter and the join read the listing once
         batch_df = L.attach_metadata(stored(batch_df), manifest, bounded=bounded)
-    res = C.capture_rows(batch_df, read_target(spark, identifier), process, bounded=bounded, copies_at_once=copies_at_once)
-    counters = write_results(res, identifier, warehouse, fmt, quarantine_path, results_path, name)
+    mark = None
+    if hash_index:
+        commits = commits_of(spark, identifier, warehouse)
+        mark = lambda rows: mark_captured(rows, identifier, commits)
+    target = None if hash_index else read_target(spark, identifier)
+    res = C.capture_rows(batch_df, target, process, bounded=bounded, copies_at_once=copies_at_once, mark=mark)
+    counters = write_results(res, identifier, warehouse, fmt, quarantine_path, results_path, name, hash_index)
     log.info("capture batch %s into %s: %s", batch_id, identifier, counters)
     return counters
 
@@ -106,7 +121,7 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
                          available_now: bool = False, interval: str = "60 seconds",
                          quarantine_path: str | None = None, manifest: DataFrame | None = None,
                          fmt: str = "parquet", results_path: str | None = None, copies_at_once: bool = False,
-                         bounded: bool = False, report: Callable[[dict], None] | None = None):
+                         bounded: bool = False, hash_index: bool = False, report: Callable[[dict], None] | None = None):
     """Start the stream: ``source`` is a streaming frame of listing rows, with a
     ``metadata`` map unless ``manifest`` is given (see ``listing_stream``).  Commits are
     named after the checkpoint; ``report`` gets each batch's totals."""
@@ -115,7 +130,7 @@ def start_capture_stream(spark: SparkSession, source: DataFrame, identifier: str
     def each_batch(df: DataFrame, batch_id: int) -> None:
         totals = capture_batch(df, identifier, warehouse, process, quarantine_path, batch_id, stream,
                                manifest=manifest, fmt=fmt, results_path=results_path,
-                               copies_at_once=copies_at_once, bounded=bounded)
+                               copies_at_once=copies_at_once, bounded=bounded, hash_index=hash_index)
         if report is not None:
             report(totals)
 
