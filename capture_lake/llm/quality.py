@@ -117,12 +117,18 @@ def _features(text: pd.Series) -> pd.Series:
     return pd.Series([features(t) for t in text])
 
 
+def _site(source):
+    """A source without its scheme: `https://a.com/x/y` as `a.com/x/y`."""
+    return F.regexp_replace(F.coalesce(source, F.lit("")), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//", "")
+
+
 def host_of(source):
-    return F.substring_index(F.coalesce(source, F.lit("")), "/", 1)
+    return F.substring_index(_site(source), "/", 1)
 
 
 def path_of(source):
-    return F.coalesce(F.try_element_at(F.split(F.coalesce(source, F.lit("")), "/"), F.lit(2)), F.lit(""))
+    """The first part of the path after the host."""
+    return F.coalesce(F.try_element_at(F.split(_site(source), "[/?#]"), F.lit(2)), F.lit(""))
 
 
 def evidence(docs: DataFrame) -> DataFrame:

@@ -179,12 +179,28 @@ class _Search:
         self.fill[b] -= total
         return found
 
+    def _pairs(self, items: list[int]) -> list[tuple[list[int], int]]:
+        """A pair of `items` (largest first) for every sum of two of them, largest sum first.
+
+        The lengths of a bin that differ are few, as they add up to its fill at most."""
+        by_length: dict[int, list[int]] = {}
+        for i in items:
+            by_length.setdefault(self.lengths[i], []).append(i)
+        lengths = list(by_length)
+        sums: dict[int, list[int]] = {}
+        for n, x in enumerate(lengths):
+            if len(by_length[x]) > 1:
+                sums.setdefault(2 * x, by_length[x][:2])
+            for y in lengths[n + 1 :]:
+                sums.setdefault(x + y, [by_length[x][0], by_length[y][0]])
+        return [(sums[total], total) for total in sorted(sums, reverse=True)]
+
     def _step(self, donor: int) -> bool:
         """One move or exchange that increases the squared fill, if there is one."""
         items = sorted(self.bins[donor], key=self.lengths.__getitem__, reverse=True)
         offers = [([i], self.lengths[i]) for i in items]
-        # two of the donor's for one or none of the other's: its largest with any other
-        offers += [([items[0], j], self.lengths[items[0]] + self.lengths[j]) for j in items[1:]]
+        # two of the donor's for one of the other's: a pair for every sum that two of them have
+        offers += self._pairs(items)
         for given, total in offers:
             if total > self.capacity:
                 continue

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capture_lake.llm.common import bounded_batches, clean_text, table
+from capture_lake.llm.common import bounded_batches, clean_text, stored, table
 
 CAPACITY = 2048
 #: Characters of text whose pieces one task packs, on average.
@@ -156,9 +156,10 @@ def token_matrices(docs: DataFrame, path: str | None = None, capacity: int = CAP
     chars = docs.agg(F.sum(F.length(clean_text()) + 1)).first()[0] or 0
     groups = max(1, -(-chars // group_chars))
     pieces = token_pieces(docs, path or byte_bpe_path(), capacity)
-    # dealt by what a piece is, so a task that runs again deals alike
-    gid = F.pmod(F.xxhash64("doc_id", "piece", F.crc32("ids")), F.lit(groups))
-    dealt = pieces.withColumn("gid", gid).withColumn("doc_id", F.col("doc_id").cast("string"))
+    # dealt by the number of the stored row: rows that repeat exactly spread like any others, and a task
+    # that runs again deals alike
+    pieces = stored(pieces.withColumn("row", F.monotonically_increasing_id()))
+    dealt = pieces.withColumn("gid", F.pmod(F.xxhash64("row"), F.lit(groups))).drop("row").withColumn("doc_id", F.col("doc_id").cast("string"))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return pack_group(rows, capacity, int(key[0]))

@@ -16,8 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Entries of a worker's table; as many again are kept that were in use before those.
-MAX_ENTRIES = 150_000
+#: Bytes of a worker's table; as many again are kept that were in use before those.
+MAX_BYTES = 48 * 1024 * 1024
+#: Runs of more characters than this (texts without blanks) are not remembered.
+LONG_RUN = 64
 #: Characters of text whose runs are held at once.
 CHARS_AT_ONCE = 1 << 20
 
@@ -38,23 +40,36 @@ SPACE = re.compile(f"(?:[^\\s]|[{ODD_SPACE}])+")
 
 
 class _Table:
-    """A bounded table of ids: when it is full it becomes the older one, and entries in use come
+    """A table of ids bounded by bytes: when it is full it becomes the older one, and entries in use come
     back from there."""
 
     def __init__(self):
         self.now: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.size = 0
+
+    def grown(self, keys) -> None:
+        """Count the bytes of new entries (and of their places in the table)."""
+        now, size = self.now, sys.getsizeof
+        self.size += sum(size(k) + size(now[k]) + 100 for k in keys)
+
+    def forget_long(self, keys: set[str]) -> None:
+        for k in keys:
+            if len(k) > LONG_RUN and (ids := self.now.pop(k, None)) is not None:
+                self.size -= sys.getsizeof(k) + sys.getsizeof(ids) + 100
 
     def unknown(self, keys: set[str]) -> list[str]:
         """Those of `keys` that have to be made; the others are in `now` afterwards."""
-        if len(self.now) >= MAX_ENTRIES:
-            self.older, self.now = self.now, {}
-        now, older, out = self.now, self.older, []
+        if self.size >= MAX_BYTES:
+            self.older, self.now, self.size = self.now, {}, 0
+        now, older, out, back = self.now, self.older, [], []
         for k in keys.difference(now):
             if k in older:
                 now[k] = older[k]
+                back.append(k)
             else:
                 out.append(k)
+        self.grown(back)
         return out
 
 
@@ -91,10 +106,11 @@ class BpeIds:
                 ids.byteswap()
             known[w] = ids.tobytes()
 
-    def _learn(self, runs: set[str]) -> None:
-        """Ids of runs without white space: of a word, or of several words."""
+    def _learn(self, runs: set[str]) -> set[str]:
+        """Ids of runs without white space: of a word, or of several words; those that are new."""
         words, several = [], {}
-        for r in self.table.unknown(runs):
+        new = self.table.unknown(runs)
+        for r in new:
             if r.isalpha() and r.islower() and _latin(r):
                 words.append(r)
             elif "<|" in r or not _latin(r):
@@ -102,10 +118,12 @@ class BpeIds:
             else:
                 several[r] = WORDS.findall(r.lower())
         known = self.table.now
-        more = {w for parts in several.values() for w in parts}
-        self._learn_words([*words, *(w for w in more.difference(known, words))])
+        more = {w for parts in several.values() for w in parts}.difference(known, words)
+        self._learn_words([*words, *more])
         for r, parts in several.items():
             known[r] = b"".join([known[w] for w in parts])
+        self.table.grown({*new, *more})
+        return {*new, *more}
 
     def _runs(self, text: str) -> list[str]:
         """What stands between white space; in plain texts full stops and commas stand alone too."""
@@ -131,10 +149,11 @@ class BpeIds:
         yield from self._joined(held)
 
     def _joined(self, split: list[list[str]]) -> Iterator[bytes]:
-        self._learn(set().union(*split))
+        new = self._learn(set().union(*split))
         get = self.table.now.__getitem__
-        for runs in split:
-            yield b"".join(map(get, runs))
+        joined = [b"".join(map(get, runs)) for runs in split]
+        self.table.forget_long(new)
+        yield from joined
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_many([text]))

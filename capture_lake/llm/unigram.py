@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from array import array
 from dataclasses import dataclass
 
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 
 from capture_lake.llm.common import bounded_batches, clean_text, table
 
-#: Units a worker remembers, and as many again that it has seen before those.
-MAX_UNITS = 200_000
+#: Bytes of units (with their ids) a worker remembers, and as many again that it has seen before those;
+#: units of over LONG_UNIT bytes are not remembered.
+MAX_BYTES = 64 * 1024 * 1024
 #: Units searched in step at a time, and the longest of them in bytes.
 STEP_UNITS = 8192
 LONG_UNIT = 256
@@ -165,6 +167,7 @@ class Segmenter:
         self.ids: dict[bytes, bytes] = {}
         self.scores: dict[bytes, float] = {}
         self.older: tuple[dict[bytes, bytes], dict[bytes, float]] = ({}, {})
+        self.size = 0
 
     def one(self, unit: bytes) -> tuple[list[int], float]:
         """Ids and score of one unit."""
@@ -264,13 +267,13 @@ class Segmenter:
             out[k] = ids.tobytes()
         return list(zip(out, best[size, np.arange(w)].tolist()))
 
-    def remember(self, units: set[bytes]) -> None:
-        """Segment the units that are not known yet."""
-        if len(self.ids) > MAX_UNITS:  # memory stays bounded; units in use come back from the older ones
-            self.older, self.ids, self.scores = (self.ids, self.scores), {}, {}
+    def remember(self, units: set[bytes]) -> list[bytes]:
+        """Segment the units that are not known yet; the long ones among them."""
+        if self.size > MAX_BYTES:  # memory stays bounded; units in use come back from the older ones
+            self.older, self.ids, self.scores, self.size = (self.ids, self.scores), {}, {}, 0
         old_ids, old_scores = self.older
-        new = []
-        for u in units.difference(self.ids):
+        new, seen = [], list(units.difference(self.ids))
+        for u in seen:
             if u in old_ids:
                 self.ids[u], self.scores[u] = old_ids[u], old_scores[u]
             else:
@@ -284,13 +287,23 @@ class Segmenter:
         for u in new[len(short) :]:
             ids, score = self.one(u)
             self.ids[u], self.scores[u] = array("H", ids).tobytes(), score
+        size = sys.getsizeof
+        self.size += sum(size(u) + size(self.ids[u]) + 250 for u in seen)  # two places and a number besides
+        return [u for u in new[len(short):]]
+
+    def forget(self, units: list[bytes]) -> None:
+        for u in units:
+            self.size -= sys.getsizeof(u) + sys.getsizeof(self.ids.pop(u)) + 250
+            del self.scores[u]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, float]]:
         """(ids, score) of every text; at most as many units are new as the texts have."""
         split = [units_of(t) for t in texts]
-        self.remember(set().union(*split))
+        long = self.remember(set().union(*split))
         ids, score = self.ids.__getitem__, self.scores.__getitem__
-        return [(np.frombuffer(b"".join(map(ids, units)), np.uint16), math.fsum(map(score, units))) for units in split]
+        out = [(np.frombuffer(b"".join(map(ids, units)), np.uint16), math.fsum(map(score, units))) for units in split]
+        self.forget(long)
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: bytes of byte pieces, blanks for markers, without the first blank."""

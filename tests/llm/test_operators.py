@@ -153,14 +153,14 @@ def test_token_ids_are_those_of_the_tokenizer():
 
 
 def test_token_tables_forget_and_remember(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_ENTRIES", 5)
+    monkeypatch.setattr(tokens, "MAX_BYTES", 900)
     monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 10)
     path = swap_packing.word_bpe_path()
     texts = [f"word{i % 7} again. word{i}x, end" for i in range(40)]
     small = tokens.BpeIds(path)
-    monkeypatch.setattr(tokens, "MAX_ENTRIES", 10_000)
+    monkeypatch.setattr(tokens, "MAX_BYTES", 1 << 20)
     want = [tokens.BpeIds(path).encode(t) for t in texts]
-    monkeypatch.setattr(tokens, "MAX_ENTRIES", 5)
+    monkeypatch.setattr(tokens, "MAX_BYTES", 900)
     assert list(small.encode_many(texts)) == want
 
 
