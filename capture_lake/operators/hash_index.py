@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capture_lake.operators.dedup import HASH, KEY, dedup_key, has_hash
+from capture_lake.session import stored
 from capture_lake.sinks.commits import BATCH_COLUMN, Commits
 from capture_lake.sources.tables import table_exists
 
@@ -45,7 +46,8 @@ def captured_hits(probes: DataFrame, identifier: str, commits: Commits) -> DataF
     """The distinct ``__dkey`` of ``probes`` (dealt by it to the index's buckets) that a committed batch captured."""
     index = probes.sparkSession.table(index_name(identifier))
     found = index.join(probes.select("__dkey").distinct(), index[HASH] == F.col("__dkey")).select("__dkey", BATCH_COLUMN)
-    return commits.published(found).select("__dkey").distinct()
+    # stored: the look at the commits would be pushed below the join, onto the whole index
+    return commits.published(stored(found)).select("__dkey").distinct()
 
 
 def mark_captured(batch: DataFrame, identifier: str, commits: Commits, flag: str = "captured", key: str | None = KEY) -> DataFrame:
