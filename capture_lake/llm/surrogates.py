@@ -1,7 +1,7 @@
 """Keyed, type-consistent surrogates for personal data, by DataFrame functions only.
 
-Found are e-mail addresses, IPv4 addresses, telephone, card and social-security
-numbers, access keys, hexadecimal secrets, what a password, token or key is set to, and
+Found are e-mail addresses, IPv4 addresses, telephone numbers, card numbers (with a right
+check digit), social-security numbers, access keys, hexadecimal secrets, what a password, token or key is set to, and
 names that follow a title, with all their words and particles.  An entity is
 its type and its canonical form (digits alone, a telephone number's without country code
 and trunk digit, or lower case), so all spellings
@@ -96,6 +96,8 @@ _PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}"
 _WORD = rf"(?!{_TITLE}\.? )(?:[dl]['’])?\p{{Lu}}(?:[\p{{L}}\p{{M}}'’-]++|\.)"
 _INITIAL = "(?=[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "])"
 NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLES}{_PARTICLES}{_WORD}(?: {_PARTICLES}{_WORD})*+"
+#: The kind of what looks like an entity and is none.
+PLAIN = "plain"
 #: What any entity has; texts without it are not searched for entities.
 HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? (?=[\p{{Lu}}a-z])"
 PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
@@ -116,15 +118,20 @@ def _lead(m: Column) -> Column:
     return F.regexp_extract(m, rf"^(?:{_TITLES}|{_ASSIGNS}(?!$))", 0)
 
 
+def _is_card(m: Column) -> Column:
+    """Whether a number in the shape of a card's is one: its first digit is that of an issuer, its check digit is right."""
+    return m.rlike("^[2-6]") & (_luhn(_digits(m)) % 10 == 0)
+
+
 def _kind(m: Column, lead: Column, bare: Column) -> Column:
-    """The type of a mention `m` that is `lead` and the entity `bare`."""
+    """The type of a mention `m` that is `lead` and the entity `bare`; PLAIN is none and stays."""
     return (
         F.when(m.contains("@") & m.rlike(f"^(?:{EMAIL})$"), "email")
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
         .when(bare.rlike("^[0-9A-Fa-f]{32,}$"), "hex")
         .when(m.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-        .when(m.rlike(f"^(?:{CARD})$"), "card")
+        .when(m.rlike(f"^(?:{CARD})$"), F.when(_is_card(m), "card").otherwise(PLAIN))
         .when(m.rlike("^[+(0-9]"), "phone")
         .when(lead.rlike("[=:]"), "secret")
         .otherwise("name")
@@ -310,7 +317,7 @@ def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Colum
         .when(kind == "name", F.array_join(F.zip_with(F.split(bare, " "), F.split(made, " "), word), " ")).when(kind.isin("hex", "secret"), letters)
         .otherwise(F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made))))
     )
-    new = F.when((kind == "ip") | made.startswith("["), made).when(kind.isin("card", "phone", "ssn"), numbers).otherwise(cased)
+    new = F.when(kind == PLAIN, bare).when((kind == "ip") | made.startswith("["), made).when(kind.isin("card", "phone", "ssn"), numbers).otherwise(cased)
     return F.concat(lead, new)
 
 
@@ -396,7 +403,7 @@ def _rewritten(text: Column, key: str, special: Column | None) -> Column:
 
 def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
     """`docs` with every detected entity in `text_col` replaced by its surrogate."""
-    found = stored(_described(mentions(docs, text_col)))
+    found = stored(_described(mentions(docs, text_col)).where(F.col("kind") != PLAIN))
     special = stored_table(exceptions(found, key), "surrogates")
     if special.isEmpty():
         return docs.withColumn(text_col, _rewritten(F.col(text_col), key, None))
@@ -409,5 +416,5 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
 
 
 def op2_pii_surrogates(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(_matches(F.coalesce("text", F.lit("")))).alias("n_entities"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.filter(_matches(F.coalesce("text", F.lit(""))), lambda m: ~m.rlike(f"^(?:{CARD})$") | _is_card(m))).alias("n_entities"))
     return pseudonymize(docs)

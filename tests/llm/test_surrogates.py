@@ -85,3 +85,13 @@ def test_gender_of_titles_with_a_common_beginning(spark):
     new = rewritten(spark, ["Mrs Anna Brown came", "Mr Peter Brown came", "la Sra. Zoe Gil", "el Sr. Zoe Gil"])
     given = [t.split()[i].lower() for t, i in zip(new, (1, 1, 2, 2))]
     assert given[0] in surrogates.GIVEN["latin", "f"] and given[1] in surrogates.GIVEN["latin", "m"]
+
+
+def test_numbers_that_are_no_cards_stay(spark):
+    """Sixteen digits with a wrong check digit, or that no issuer begins with, are order numbers and the like."""
+    texts = ["order 9807915762804490 came", "ref 4845168114407320 and 7536784127813050", "paid with 4845168114407329 today", "paid 4845 1681 1440 7329, ref 2390 4095 0064 8960"]
+    new = rewritten(spark, texts)
+    assert new[:2] == texts[:2]
+    assert re.fullmatch(r"paid with [0-9]{16} today", new[2]) and "4845168114407329" not in new[2]
+    assert re.fullmatch(r"paid 4[0-9]{3} [0-9]{4} [0-9]{4} [0-9]{4}, ref 2390 4095 0064 8960", new[3]) and "4845 1681" not in new[3]
+    assert new[3].split(",")[0].removeprefix("paid ").replace(" ", "") == new[2].split()[2]
