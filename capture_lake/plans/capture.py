@@ -107,9 +107,10 @@ def capture_rows(
     readable = todo.where(F.size("__bad") == 0)
     extra = ["__ord", "__dkey", "__bad", "captured"]
 
-    def run(rows: DataFrame) -> DataFrame:
-        """Checked rows, stored; listed objects that gave none have vanished."""
-        done = stored(process(rows.drop(*extra)).select("key", "status", "error", *RECORD_COLUMNS))
+    def run(rows: DataFrame, store: bool = True) -> DataFrame:
+        """Checked rows, stored unless they are used once; listed objects that gave none have vanished."""
+        done = process(rows.drop(*extra)).select("key", "status", "error", *RECORD_COLUMNS)
+        done = stored(done) if store else done
         found = done.withColumn("__found", F.lit(True)).drop("file_hash")
         joined = rows.select("key", "metadata", "file_hash", "__ord", "__dkey").join(found, "key", "left")
         gone = F.col("__found").isNull()
@@ -120,7 +121,7 @@ def capture_rows(
         }).drop("__found")
 
     if copies_at_once:
-        done = run(todo)
+        done = run(todo, store=False)
     else:
         first = stored(dedup.first_per_hash(readable, order))
         done = run(first)
