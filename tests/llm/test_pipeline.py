@@ -65,7 +65,11 @@ def test_personal_data_stage(stages):
     before, after = rows(stages[3]), rows(stages[4])
     assert set(before) == set(after)
     found = re.compile(r"[\w.]+@[\w.]+\.com|\b\d{16}\b|\+1 \(\d{3}\) \d{3}-\d{4}|\b(?:\d{1,3}\.){3}\d{1,3}\b|\b[0-9a-f]{40}\b|AKIA\w{16}|password=\w+")
-    old = {m for r in before.values() for m in found.findall(r["text"])}
+    def counts(m):  # sixteen digits are a card's with an issuer's first digit and a right check digit only
+        twice = [int(c) * (2 - i % 2) for i, c in enumerate(m)] if re.fullmatch(r"\d{16}", m) else []
+        return not twice or (m[0] in "23456" and sum(x - 9 * (x > 9) for x in twice) % 10 == 0)
+
+    old = {m for r in before.values() for m in found.findall(r["text"]) if counts(m)}
     new = {m for r in after.values() for m in found.findall(r["text"])}
     assert old and not old & new and len(old) == len(new)
     for i, r in after.items():
