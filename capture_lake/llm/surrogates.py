@@ -1,14 +1,15 @@
 """Keyed, type-consistent surrogates for personal data, by DataFrame functions only.
 
-Found are e-mail addresses, IPv4 addresses, telephone numbers, card numbers (with a right
-check digit), social-security numbers, access keys, hexadecimal secrets, what a password, token or key is set to, and
+Found are e-mail addresses, IPv4 and IPv6 addresses, telephone numbers, card numbers and IBANs
+(with right check digits), passport numbers after that word, social-security numbers, access keys, hexadecimal secrets, what a password, token or key is set to, and
 names that follow a title, with all their words and particles.  An entity is
 its type and its canonical form (digits alone, a telephone number's without country code
-and trunk digit, or lower case), so all spellings
+and trunk digit, an IPv6 address with all its zeros, or lower case), so all spellings
 of one entity get one surrogate, written in the format of each mention: digits
 stay digits between the same separators, card numbers keep their length and
-whether their check digit holds, upper case stays upper case, given names keep
-gender and script, private addresses stay private.
+whether their check digit holds, IBANs keep country and layout and get right check digits, upper case stays upper case, given names keep
+gender and script, private and link-local addresses stay that (global IPv6 ones move to the
+range for documentation), shortened ones stay short.
 
 A surrogate is a function of the key, the entity and an attempt number.  Attempt
 0 is computed next to the text.  Collisions are looked for over all distinct
@@ -59,11 +60,28 @@ SYLLABLES = {
 #: A host has as many labels as a domain name can have.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,63}+(?![A-Za-z0-9])"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+#: All eight groups, or a shortened address that is global, unique local or link-local.
+IPV6 = (
+    rf"(?<![0-9A-Za-z:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:[23][0-9A-Fa-f]{{3}}|[Ff][CcDdEe][0-9A-Fa-f]{{2}})"
+    rf"(?:(?::{_GROUP}){{1,5}}::(?:{_GROUP}(?::{_GROUP}){{0,4}})?|::{_GROUP}(?::{_GROUP}){{0,5}}))(?![0-9A-Za-z:]|\.[0-9])"
+)
 HEX = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
 KEY = r"(?<![0-9A-Za-z])A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"
 _ASSIGNS = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?"""
 SECRET = rf"""(?=[PpSsTtAa])(?<![0-9A-Za-z]){_ASSIGNS}[^\s"',;]{{8,}}+"""
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
+# Length of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS",
+    23: "AE GI IL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT", 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB PL",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC",
+}
+IBAN = (
+    "(?<![0-9A-Za-z])(?:"
+    + "|".join(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, countries in IBAN_LENGTHS.items())
+    + ")(?![0-9A-Za-z])"
+)
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 _SEP = r"[ .\u00a0\u202f-]"
 _TRUNK = rf"(?:{_SEP}?\(0\))?"
@@ -80,11 +98,16 @@ _HOME = (
     rf"|0[1-9][0-9]{{1,4}}(?:{_SEP}|{_SEP}?/{_SEP}?)[0-9]{{2,5}}(?:{_SEP}[0-9]{{2,5}}){{1,3}}|0[1-9][0-9]{{1,4}}(?:{_SEP}|{_SEP}?/{_SEP}?)[0-9]{{5,9}}"
     rf"|\(0[0-9]{{2,5}}\){_SEP}?[0-9]{{2,9}}(?:{_SEP}[0-9]{{2,5}}){{0,3}}"
 )
+#: Words that tell an ungrouped number to be a telephone's or a passport's.
+_CALLED = "(?i:tel|phone|call|fax|mobile|cell|téléphone|teléfono|telefon|móvil|portable|handy|тел|телефон)"
+_PASSPORT = "(?i:passport|passeport|pasaporte|reisepass|паспорт)(?: (?i:no|nr|number|numéro|número|nummer))?"
+PASSPORT = rf"(?<=(?<![\p{{L}}]){_PASSPORT}[.:]{{0,2}} {{1,2}})[A-Z]{{0,2}}[0-9]{{6,9}}+(?![0-9A-Za-z])"
 PHONE = (
     r"(?<![0-9A-Za-z+])(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z+.-])(?:\+[0-9]{1,3}[ .-]?)?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
     rf"|(?<![0-9A-Za-z+.-])(?=(?:\+|00)(?:[^0-9A-Za-z]{{0,2}}[0-9]){{7}}){_ABROAD}"
     rf"|(?<![0-9A-Za-z+.-])(?:{_HOME})(?![0-9]|[.-][0-9])"
+    rf"|(?<=(?<![\p{{L}}]){_CALLED}[.:]{{0,2}} {{0,2}})[0-9]{{7,12}}+(?![0-9A-Za-z]|[.-][0-9])"
 )
 #: Country codes of one and two digits; all others have three.
 _COUNTRY = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
@@ -99,8 +122,8 @@ NAME = rf"{_INITIAL}(?<![\p{{L}}\p{{N}}_]){_TITLES}{_PARTICLES}{_WORD}(?: {_PART
 #: The kind of what looks like an entity and is none.
 PLAIN = "plain"
 #: What any entity has; texts without it are not searched for entities.
-HINT = rf"[0-9@]|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? (?=[\p{{Lu}}a-z])"
-PATTERN = "|".join((EMAIL, f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
+HINT = rf"[0-9@]|:[A-Fa-f]{{0,4}}:|A[KS]IA[0-9A-Z]{{16}}|(?=[PpSsTtAa]){_ASSIGNS}|{_INITIAL}{_TITLE}\.? (?=[\p{{Lu}}a-z])"
+PATTERN = "|".join((EMAIL, f"(?=[0-9A-Fa-f]{{1,4}}:)(?:{IPV6})", f"(?=[A-Z]{{2}}[0-9])(?:{IBAN})", f"(?=[A-Z]{{0,2}}[0-9]{{6}})(?:{PASSPORT})", f"(?=[0-9+(])(?:{IP}|{CARD}|{SSN}|{PHONE})", f"(?=[0-9A-Fa-f]){HEX}", f"(?=A){KEY}", SECRET, NAME))
 
 # Letters by script, and the marks that may stand in a secret.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -123,13 +146,28 @@ def _is_card(m: Column) -> Column:
     return m.rlike("^[2-6]") & (_luhn(_digits(m)) % 10 == 0)
 
 
+def _by_97(code: Column) -> Column:
+    """The remainder by 97 of a code whose letters count as 10 to 35."""
+    value = lambda c: F.conv(c, 36, 10).cast("int")
+    return F.aggregate(F.split(code, ""), F.lit(0), lambda t, c: F.when(c.rlike("[0-9]"), t * 10 + value(c)).otherwise(t * 100 + value(c)) % 97)
+
+
+def _is_iban(m: Column) -> Column:
+    """Whether a code in the shape of an IBAN is one: its check digits are right."""
+    code = F.replace(m, F.lit(" "), F.lit(""))
+    return _by_97(F.concat(F.substring(code, F.lit(5), F.length(code)), F.substring(code, 1, 4))) == 1
+
+
 def _kind(m: Column, lead: Column, bare: Column) -> Column:
     """The type of a mention `m` that is `lead` and the entity `bare`; PLAIN is none and stays."""
     return (
         F.when(m.contains("@") & m.rlike(f"^(?:{EMAIL})$"), "email")
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
+        .when(m.rlike(f"^(?:{IPV6})$"), "ip6")
         .when(bare.rlike("^[0-9A-Fa-f]{32,}$"), "hex")
+        .when(m.rlike(f"^(?:{IBAN})$"), F.when(_is_iban(m), "iban").otherwise(PLAIN))
         .when(m.rlike("^A[KS]IA[0-9A-Z]{16}$"), "key")
+        .when(m.rlike("^[A-Z]{1,2}[0-9]{6,9}$"), "passport")
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(m.rlike(f"^(?:{CARD})$"), F.when(_is_card(m), "card").otherwise(PLAIN))
         .when(m.rlike("^[+(0-9]"), "phone")
@@ -139,7 +177,18 @@ def _kind(m: Column, lead: Column, bare: Column) -> Column:
 
 
 def _canon(bare: Column, kind: Column) -> Column:
-    return F.when(kind == "phone", _national(bare)).when(kind.isin("ssn", "card"), _digits(bare)).otherwise(F.lower(bare))
+    return (
+        F.when(kind == "phone", _national(bare)).when(kind.isin("ssn", "card"), _digits(bare)).when(kind == "ip6", _groups(bare))
+        .when(kind == "iban", F.lower(F.replace(bare, F.lit(" "), F.lit("")))).otherwise(F.lower(bare))
+    )
+
+
+def _groups(bare: Column) -> Column:
+    """An IPv6 address as eight groups of four digits, so all its spellings agree."""
+    halves = F.split(F.lower(bare), "::", -1)
+    side = lambda i: F.filter(F.split(F.coalesce(F.try_element_at(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(side(1)) - F.size(side(2)))
+    return F.array_join(F.transform(F.concat(side(1), zeros, side(2)), lambda g: F.lpad(g, 4, "0")), ":")
 
 
 def _national(bare: Column) -> Column:
@@ -241,6 +290,33 @@ def _ip(canon: Column, hashed: Column, attempt: Column) -> Column:
             .when(is_small | is_middle | canon.startswith("10."), large).otherwise(public))
 
 
+def _ip6(canon: Column, hashed: Column) -> Column:
+    """Link-local and unique local addresses stay that, others move to the range for documentation."""
+    part = lambda at: F.substring(hashed, at, 4)
+    local = F.concat(F.lit("fd"), F.substring(hashed, 17, 2), F.lit(":"), part(21))
+    site = F.when(canon.startswith("fe8"), F.lit("fe80:0000")).when(canon.rlike("^f[cd]"), local).otherwise(F.lit("2001:0db8"))
+    return F.concat_ws(":", site, F.lit("0000:0000"), part(1), part(5), part(9), part(13))
+
+
+def _like(code: Column, hashed: Column) -> Column:
+    """A letter for a letter and a digit for a digit of a code of at most 32 characters."""
+
+    def swap(c, i):
+        h = F.conv(F.substring(hashed, i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        return F.when(c.rlike("[0-9]"), (h % 10).cast("string")).otherwise(F.substring(F.lit(LETTERS), h % 26 + 1, F.lit(1)))
+
+    return F.array_join(F.transform(F.split(code, ""), swap), "")
+
+
+def _iban(canon: Column, hashed: Column) -> Column:
+    """The same country, a letter for a letter and a digit for a digit, right check digits."""
+    country, body = F.substring(canon, 1, 2), F.substring(canon, F.lit(5), F.length(canon))
+    # one pass per step: the new body is made once and then used twice
+    bodies = F.array(_like(body, hashed))
+    check = lambda b: F.lpad((98 - _by_97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
+    return F.element_at(F.transform(bodies, lambda b: F.concat(country, check(b), b)), 1)
+
+
 def _email(canon: Column, hashed: Column, key: str, attempt: Column) -> Column:
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     site = _hash(key, F.lit("domain"), domain)
@@ -287,6 +363,9 @@ def surrogate(kind: Column, canon: Column, gender: Column, hashed: Column, attem
     return (
         F.when(kind == "email", _email(canon, hashed, key, attempt))
         .when(kind == "ip", _ip(canon, hashed, attempt))
+        .when(kind == "ip6", _ip6(canon, hashed))
+        .when(kind == "iban", _iban(canon, hashed))
+        .when(kind == "passport", _like(canon, hashed))
         .when(kind.isin("hex", "secret"), _secret(canon, hashed, attempt))
         .when(kind == "key", _key(canon, hashed))
         .when(kind == "card", _card(canon, digits))
@@ -310,14 +389,22 @@ def _as_written(lead: Column, bare: Column, kind: Column, made: Column) -> Colum
     def case(c, new):
         return F.when(c.rlike("\\p{Lu}"), F.upper(new)).otherwise(new)
 
+    def spaced(c, i):
+        at = i - F.length(F.regexp_replace(F.substring(bare, F.lit(1), i), "[^ ]", ""))
+        return F.when(c == " ", c).otherwise(F.substring(made, at + 1, F.lit(1)))
+
     numbers = F.array_join(F.transform(F.split(bare, ""), fill), "")
+    code = F.upper(F.array_join(F.transform(F.split(bare, ""), spaced), ""))
+    plain = F.regexp_replace(made, "(^|:)0{1,3}(?=[0-9a-f])", "$1")
+    short = F.when(bare.contains("::"), F.regexp_replace(plain, "^([0-9a-f:]*?):0(?::0)+:", "$1::")).when(F.length(bare) < 39, plain).otherwise(made)
+    address = F.when(bare.rlike("[A-F]"), F.upper(short)).otherwise(short)
     letters = F.array_join(F.zip_with(F.split(bare, ""), F.split(made, ""), case), "")
     cased = (
         F.when(F.lower(bare) == bare, made).when(F.upper(bare) == bare, F.upper(made))
         .when(kind == "name", F.array_join(F.zip_with(F.split(bare, " "), F.split(made, " "), word), " ")).when(kind.isin("hex", "secret"), letters)
         .otherwise(F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made))))
     )
-    new = F.when(kind == PLAIN, bare).when((kind == "ip") | made.startswith("["), made).when(kind.isin("card", "phone", "ssn"), numbers).otherwise(cased)
+    new = F.when(kind == PLAIN, bare).when((kind == "ip") | made.startswith("["), made).when(kind == "ip6", address).when(kind == "iban", code).when(kind.isin("card", "phone", "ssn"), numbers).otherwise(cased)
     return F.concat(lead, new)
 
 
@@ -415,6 +502,11 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     return joined.withColumn(text_col, _rewritten(F.col(text_col), key, F.col(made))).select(*docs.columns)
 
 
+def _counts(m: Column) -> Column:
+    """Whether a match is an entity: what only looks like a card or an IBAN is none."""
+    return F.when(m.rlike(f"^(?:{CARD})$"), _is_card(m)).when(m.rlike(f"^(?:{IBAN})$"), _is_iban(m)).otherwise(True)
+
+
 def op2_pii_surrogates(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.filter(_matches(F.coalesce("text", F.lit(""))), lambda m: ~m.rlike(f"^(?:{CARD})$") | _is_card(m))).alias("n_entities"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.filter(_matches(F.coalesce("text", F.lit(""))), _counts)).alias("n_entities"))
     return pseudonymize(docs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ipaddress
 import re
 
 import pytest
@@ -95,3 +96,50 @@ def test_numbers_that_are_no_cards_stay(spark):
     assert re.fullmatch(r"paid with [0-9]{16} today", new[2]) and "4845168114407329" not in new[2]
     assert re.fullmatch(r"paid 4[0-9]{3} [0-9]{4} [0-9]{4} [0-9]{4}, ref 2390 4095 0064 8960", new[3]) and "4845 1681" not in new[3]
     assert new[3].split(",")[0].removeprefix("paid ").replace(" ", "") == new[2].split()[2]
+
+
+def remainder(iban: str) -> int:
+    code = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97
+
+
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "FR14 2004 1010 0505 0001 3M02 606", "NO93 8601 1117 947"])
+def test_ibans_keep_country_layout_and_check(spark, iban):
+    """A word in capitals after it is not part of it; a code with wrong check digits is none and stays."""
+    wrong = iban[:2] + ("11" if iban[2:4] != "11" else "12") + iban[4:]
+    one, again, other = rewritten(spark, [f"pay to {iban} NOW please", f"account {iban.replace(' ', '')}.", f"ref {wrong} x"])
+    new = one.removeprefix("pay to ").removesuffix(" NOW please")
+    layout = lambda s: re.sub("[A-Z]", "A", re.sub("[0-9]", "0", s))
+    assert new != iban and new[:2] == iban[:2] and layout(new) == layout(iban)
+    assert remainder(iban) == remainder(new) == 1
+    assert again == f"account {new.replace(' ', '')}."
+    assert other == f"ref {wrong} x"
+
+
+def test_ipv6_spellings_agree_and_keep_their_form(spark):
+    texts = ["host 2001:4860:4860::8888 up", "host 2001:4860:4860:0000:0000:0000:0000:8888 up", "host 2001:4860:4860:0:0:0:0:8888 up", "host 2001:4860:4860::88AB up",
+             "at fe80::1ff:fe23:4567:890a.", "net fd12:3456:789a::1, then", "ends fdab:cdef::abcd"]
+    new = rewritten(spark, texts)
+    found = [ipaddress.ip_address(re.search(r"[0-9A-Fa-f:]*:[0-9A-Fa-f:]+", t).group().rstrip(".")) for t in new]
+    assert found[0] == found[1] == found[2] != found[3]
+    assert found[0] in ipaddress.ip_network("2001:db8::/32") and found[4].is_link_local
+    assert all(f in ipaddress.ip_network("fd00::/8") for f in found[5:])
+    assert "::" in new[0] and len(new[1]) == len(texts[1]) and "::" not in new[2]
+    assert new[3].split()[1] == new[3].split()[1].upper()
+    assert not any(a == b for a, b in zip(new, texts))
+    assert new[4].endswith(".") and new[5].endswith(", then")
+
+
+def test_what_is_no_ipv6_address_stays(spark):
+    texts = ["at 12:30:45 or 01:02:03:04", "std::abc and dead::beef", "mac 00:1a:2b:3c:4d:5e ok", "fingerprint aa:bb:cc:dd:ee:ff:00:11:22:33 ok", "in 2001: a year"]
+    assert rewritten(spark, texts) == texts
+
+
+def test_numbers_told_by_the_word_before(spark):
+    texts = ["call 5551234567 now", "Tel: (555) 123-4567", "order 5551234567 came", "passport no. C01234567 seen", "Reisepass C01234567", "part C01234567", "hotel 5551234567"]
+    new = rewritten(spark, texts)
+    number = re.fullmatch(r"call ([0-9]{10}) now", new[0]).group(1)
+    assert number != "5551234567" and re.sub("[^0-9]", "", new[1]) == number
+    code = re.fullmatch(r"passport no\. ([A-Z][0-9]{8}) seen", new[3]).group(1)
+    assert code != "C01234567" and new[4] == f"Reisepass {code}"
+    assert [new[i] for i in (2, 5, 6)] == [texts[i] for i in (2, 5, 6)]
