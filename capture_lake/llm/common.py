@@ -21,6 +21,12 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+def once(udf):
+    """A UDF whose result is also filtered on: the optimizer may not copy it into the filter, which
+    would run it twice, in two Python workers a task."""
+    return udf.asNondeterministic()
+
+
 def stored_table(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder: column pruning and, unlike a
     checkpoint, file sizes that let Catalyst broadcast it only when it is small."""

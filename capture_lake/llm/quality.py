@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capture_lake.llm.common import bounded_batches, clean_text, fresh_names, stored, stored_table, table
+from capture_lake.llm.common import bounded_batches, clean_text, fresh_names, once, stored, stored_table, table
 
 #: Labelled rows the classifier is fitted on, about, when there are more.
 MAX_LABELLED = 20_000
@@ -258,7 +258,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELL
     text, and the site table is joined on its stored size (broadcast only when small)."""
     rows = evidence(docs)
     model = train(rows, labels, max_labelled)
-    site, prior = sites(rows.withColumn("logit", _logit_udf(model)("x")).drop("x"))
+    site, prior = sites(rows.withColumn("logit", once(_logit_udf(model))("x")).drop("x"))
     site = stored_table(site, "sites")
     (bag,) = fresh_names(docs, "row")
     wide = docs.select(F.struct(*docs.columns).alias(bag), host_of(F.col("source")).alias("host"), path_of(F.col("source")).alias("path"), _text_logit_udf(model)(clean_text()).alias("logit"))

@@ -6,6 +6,7 @@ import random
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +113,17 @@ def test_half_and_half_texts_are_flagged(spark):
     found = [model.predict(t) for t in mixed]
     assert sum(f[2] for f in found) >= 0.9 * len(found)
     assert max(f[1] for f in found) < 1.0
+
+
+def test_a_filtered_udf_runs_once(spark):
+    """A filter on a Python result must not bring a second Python pass below it."""
+    from capture_lake.llm.common import once
+
+    @F.pandas_udf("n long, word string")
+    def measure(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"n": text.str.len(), "word": text})
+
+    rows = spark.createDataFrame([("a",), ("bb",)], "text string")
+    kept = rows.select(once(measure)("text").alias("m")).select("m.*").where("word is not null and n > 1")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in kept.collect()] == [(2, "bb")]
