@@ -70,7 +70,9 @@ def test_personal_data_stage(stages):
         return not twice or (m[0] in "23456" and sum(x - 9 * (x > 9) for x in twice) % 10 == 0)
 
     old = {m for r in before.values() for m in found.findall(r["text"]) if counts(m)}
-    new = {m for r in after.values() for m in found.findall(r["text"])}
+    new = {m for r in after.values() for m in found.findall(r["text"]) if counts(m)}
+    no_cards = [{m for r in side.values() for m in found.findall(r["text"]) if not counts(m)} for side in (before, after)]
+    assert no_cards[0] == no_cards[1]
     assert old and not old & new and len(old) == len(new)
     for i, r in after.items():
         assert found.sub("", r["text"]) == found.sub("", before[i]["text"])
