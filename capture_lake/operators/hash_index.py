@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from capture_lake.operators.dedup import HASH, KEY, dedup_key, has_hash
 from capture_lake.session import stored
 from capture_lake.sinks.commits import BATCH_COLUMN, Commits
+from capture_lake.sinks.table import create_namespace
 from capture_lake.sources.tables import table_exists
 
 #: Buckets of a new index: a few hundred MB of hashes each at the size it is meant for.
@@ -25,13 +26,16 @@ def index_name(identifier: str) -> str:
 
 
 def append_hashes(records: DataFrame, identifier: str, location: str, batch: str, buckets: int = BUCKETS) -> None:
-    """Stage a batch's distinct non-empty hashes; they count once the batch is committed."""
+    """Stage a batch's distinct non-empty hashes; they count once the batch is committed.  The first
+    batch creates the table, and its namespace where no record was written before."""
     spark, index = records.sparkSession, index_name(identifier)
     if table_exists(spark, index):
         buckets = index_buckets(spark, identifier)
     rows = records.where(has_hash()).select(HASH, F.lit(batch).alias(BATCH_COLUMN)).distinct()
     writer = rows.repartition(buckets, HASH).write.format("parquet").mode("append").bucketBy(buckets, HASH).sortBy(HASH)
     if not table_exists(spark, index):
+        if "." in identifier:
+            create_namespace(spark, identifier.split(".", 1)[0], location.rstrip("/").rpartition("/")[0])
         writer = writer.option("path", location)
     writer.saveAsTable(index)
     spark.catalog.refreshTable(index)

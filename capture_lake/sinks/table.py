@@ -35,7 +35,7 @@ def table_location(warehouse: str, identifier: str) -> str:
     return f"{warehouse.rstrip('/')}/{split_identifier(identifier)[1]}"
 
 
-def _create_namespace(spark: SparkSession, ns: str, warehouse: str) -> None:
+def create_namespace(spark: SparkSession, ns: str, warehouse: str) -> None:
     try:  # errors ignored: the namespace may exist or be managed elsewhere
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{ns}` LOCATION '{warehouse.rstrip('/')}/{ns}.db'")
     except Exception:
@@ -71,7 +71,7 @@ def append_records(df: DataFrame, identifier: str, warehouse: str, fmt: str = "p
         if exists:
             w.append()
         else:
-            _create_namespace(spark, ns, warehouse)
+            create_namespace(spark, ns, warehouse)
             (w.using("iceberg").partitionedBy(F.days("processed_at"))
              .tableProperty("location", table_location(warehouse, identifier)).create())
         return dict(obs.get)
@@ -80,7 +80,7 @@ def append_records(df: DataFrame, identifier: str, warehouse: str, fmt: str = "p
     writer = (out.write.format(fmt).mode("append").partitionBy(DAY_COLUMN, BATCH_COLUMN)
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
     if not exists:
-        _create_namespace(spark, ns, warehouse)
+        create_namespace(spark, ns, warehouse)
         writer = writer.option("path", table_location(warehouse, identifier))
     writer.saveAsTable(identifier)
     spark.catalog.refreshTable(identifier)

@@ -65,6 +65,16 @@ def test_the_index_is_never_exchanged(spark, monkeypatch):
     assert "SelectedBucketsCount: 1 out of 16" in lookup
 
 
+def test_the_index_makes_its_namespace(spark):
+    base = scratch_path(spark, "index-alone")
+    ident = f"lake_{base[-8:]}.records"  # no record was written, so nothing has made the namespace
+    commits = Commits(spark, f"{base}_commits")
+    assert not hash_index.hash_exists(spark, ident, "h1", commits)
+    hash_index.append_hashes(records(spark, 10), ident, base, "b0")
+    commits.commit("b0", ["b0"])
+    assert hash_index.hash_exists(spark, ident, "h1", commits) and not hash_index.hash_exists(spark, ident, "h10", commits)
+
+
 def test_compaction_swaps_many_files_for_few(spark):
     base = scratch_path(spark, "compact-test")
     ident = f"capture_lake_t.cmp_{base[-8:]}"
