@@ -1,9 +1,13 @@
 """J1 and D2 on a stream by keyed state (T3): one flag per hash, nothing read from the target.
 
-Checked rows are grouped by hash; the first passing row of a hash is written, by the order of
-the objects within a micro-batch and by arrival between micro-batches, and its flag drops
-every later copy.  A flag lives for ``ttl`` after the write (a copy that comes later than that is
-the target's or the index's to know).  Rows without a hash take no state and pass.
+The first passing row of a hash is written, by the order of the objects within a micro-batch and by
+arrival between micro-batches, and its flag drops every later copy.  A flag lives for ``ttl`` after
+the write (a copy that comes later than that is the target's or the index's to know).  Rows without
+a hash take no state and pass.
+
+Checked rows are grouped by a digest of their hash (``GROUPS``), so what a call of the processor and a
+frame cost is paid for many hashes at once, and a flag costs its look-up and its write alone.  A call
+holds one row for each hash of its group in the micro-batch.
 """
 
 from __future__ import annotations
@@ -24,28 +28,31 @@ from capture_lake.schema import RECORD_SCHEMA, to_records
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Groups the hashes are dealt to: a call of the processor has the rows of a group, and a flag for each of
+#: its hashes.  Fixed for a checkpoint's life.
+GROUPS = 2_048
+GROUP = "__group"
+
+
 class FirstPassing(StatefulProcessor):
-    """Value state per hash: whether it has been written."""
+    """Map state per group of hashes: which of them have been written."""
 
     def __init__(self, ttl_ms: int, order: tuple[str, ...], columns: list[str]):
         self.ttl_ms, self.order, self.columns = ttl_ms, list(order), columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.written = handle.getValueState("written", "written boolean", self.ttl_ms)
+        self.written = handle.getMapState("written", "file_hash string", "written boolean", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         best = None
-        if self.written.exists():
-            for _ in rows:  # all copies of a written hash go
-                pass
-            return
         for frame in rows:
-            passed = frame[frame["status"] == quality.STATUS_OK]
-            if len(passed):
-                first = passed.sort_values(self.order).head(1)
-                best = first if best is None else pd.concat([best, first]).sort_values(self.order).head(1)
-        if best is not None:
-            self.written.update((True,))
+            both = frame if best is None else pd.concat([best, frame])
+            best = both.sort_values(self.order).drop_duplicates(HASH)  # one row a hash, however many copies come
+        fresh = [not self.written.containsKey((h,)) for h in best[HASH]]
+        best = best[fresh]
+        for h in best[HASH]:
+            self.written.updateValue((h,), (True,))
+        if len(best):
             yield best[self.columns]
 
     def close(self) -> None:
@@ -56,10 +63,12 @@ def first_passing(checked: DataFrame, ttl: str = "7 days", order: tuple[str, ...
     """The records to write of a stream of checked rows (``status`` and the record columns)."""
     names = RECORD_SCHEMA.fieldNames()
     ttl_ms = int(pd.Timedelta(ttl).total_seconds() * 1000)
-    hashed = checked.where(has_hash()).groupBy(HASH).transformWithStateInPandas(
+    passed = checked.where(F.col("status") == quality.STATUS_OK)
+    # only what is written or ordered by goes to Python
+    dealt = passed.where(has_hash()).select(F.pmod(F.xxhash64(HASH), F.lit(GROUPS)).alias(GROUP), *dict.fromkeys([*names, *order]))
+    hashed = dealt.groupBy(GROUP).transformWithStateInPandas(
         FirstPassing(ttl_ms, order, names), RECORD_SCHEMA, "Append", "ProcessingTime")
-    bare = checked.where(~has_hash() & (F.col("status") == quality.STATUS_OK))
-    return to_records(hashed).unionByName(to_records(bare))
+    return to_records(hashed).unionByName(to_records(passed.where(~has_hash())))
 
 
 def start_state_stream(spark: SparkSession, source: DataFrame, path: str, checkpoint: str, process: Callable[[DataFrame], DataFrame] = C.assemble,

@@ -158,6 +158,31 @@ def test_keyed_state_and_counters(spark):
     assert counters.totals == {"rows_written": 5, "rows_with_hash": 3}
 
 
+def test_a_call_of_the_state_processor_has_many_hashes():
+    """The first passing row of each of a group's hashes, over frames and calls, as one frame a call."""
+    import pandas as pd
+
+    from capture_lake.streaming.state import FirstPassing
+
+    class Flags(dict):
+        containsKey, updateValue = dict.__contains__, dict.__setitem__
+
+    class Handle:
+        def getMapState(self, *args):
+            return Flags()
+
+        def getValueState(self, *args):  # what one hash a call would need
+            raise AssertionError("a state for one hash only")
+
+    p = FirstPassing(1000, ("last_modified", "key"), ["file_hash", "original_path"])
+    p.init(Handle())
+    frame = lambda *rows: pd.DataFrame([(7, h, t, k, k) for h, t, k in rows], columns=["__group", "file_hash", "last_modified", "key", "original_path"])
+    run = lambda *frames: [[tuple(r) for r in f.sort_values("file_hash").itertuples(index=False)] for f in p.handleInputRows((7,), iter(frames), None)]
+    assert run(frame(("H1", 2, "b"), ("H2", 1, "z"), ("H1", 2, "a")), frame(("H2", 1, "c"), ("H3", 5, "d"))) == [[("H1", "a"), ("H2", "c"), ("H3", "d")]]
+    assert run(frame(("H1", 0, "e"))) == []
+    assert run(frame(("H4", 9, "f"), ("H3", 0, "g"))) == [[("H4", "f")]]
+
+
 def test_object_stream_over_restarts(spark):
     from capture_lake.streaming.objects import object_stream
 
