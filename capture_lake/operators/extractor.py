@@ -24,7 +24,7 @@ parallelism of a small input.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -33,6 +33,19 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+#: Bytes of input whose results are held as Python values at once.
+PART_BYTES = 1024 * 1024
+
+
+def in_parts(batch: pa.RecordBatch, part_bytes: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``part_bytes``, of a row at least: parsed results take many times
+    the bytes they were read from."""
+    n = batch.num_rows
+    step = max(1, n * (part_bytes or PART_BYTES) // max(1, batch.nbytes))
+    for at in range(0, max(1, n), step):
+        yield batch.slice(at, step)
+
+
 def _normalize(result: Any, fields: list[str]) -> list[Any]:
     if len(fields) == 1 and not isinstance(result, dict | tuple | list):
         return [result]
@@ -103,7 +116,7 @@ def run_extractor(
 
     def run(batches):
         fn = factory()
-        for batch in batches:
+        for batch in (part for whole in batches for part in in_parts(whole)):
             cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs]
             results: list[list[Any]] = [[] for _ in field_names]
             errors: list[str | None] = []

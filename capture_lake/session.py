@@ -24,8 +24,10 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Arrow batches to Python workers are bounded by bytes as well as rows,
-    # so a batch of large payloads (images, archives) stays small.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # so a batch of large payloads (images, archives) stays small; a task has
+    # several workers at once, and each holds its batch as Arrow and as Python values.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -38,7 +40,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)

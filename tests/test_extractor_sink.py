@@ -103,3 +103,24 @@ def test_malformed_output_is_a_row_error(spark):
     rows = {r.i: r for r in run_extractor(df, factory, ["i"], OUT).collect()}
     assert rows[2].n is None and rows[2].error.startswith("Arrow")
     assert [rows[i].n for i in (0, 1, 3, 4)] == [0, 1, 3, 4] and rows[0].error is None
+
+
+def test_results_are_held_for_a_part_of_a_batch():
+    import pyarrow as pa
+
+    from capture_lake.operators import extractor
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1000)), "b": [b"x" * 1024] * 1000})
+    parts = list(extractor.in_parts(batch, 64 * 1024))
+    assert len(parts) >= 15 and max(p.num_rows for p in parts) <= 64
+    assert pa.Table.from_batches(parts).column("k").to_pylist() == list(range(1000))
+    assert [p.num_rows for p in extractor.in_parts(batch, 1)] == [1] * 1000  # a row at least
+    assert [p.num_rows for p in extractor.in_parts(batch.slice(0, 0))] == [0]
+
+
+def test_batches_of_a_prepared_session_are_small(spark):
+    from capture_lake.session import prepare
+
+    prepare(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 * 1024 * 1024
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
