@@ -5,9 +5,8 @@ classifier (smoothed log-odds of hashed character n-grams, languages weighted
 alike) predicts which side a text is on; its margin says how surely.  Decoding
 sums a logistic loss per bit, weighted by how far apart the two sides of that
 bit are, and takes the codeword with the least loss.  How far the two best codewords
-are apart by the mean log-odds of an n-gram is compared with the median of training rows
-decoded to the same language (a bounded sample, ``CALIBRATE_ROWS``): a text at under half of
-that is flagged as ambiguous, and its score is lower in proportion.
+are apart by the mean log-odds of an n-gram is compared with the median of all training rows
+(copies count once) rightly decoded to the same language: a text at under half of that is flagged as ambiguous, and its score is lower in proportion.
 
 Whether a text is in a learned language at all is told by its mean log share of
 n-grams over all languages (`keep_known`): it may lie under the median of the
@@ -53,9 +52,8 @@ BLOCK = 64
 SMOOTHING = 0.02
 #: Largest prime under HADAMARD: the numbers a block of a codeword stands for.
 PRIME = 509
-#: Share of its language's median gap under which a prediction is flagged as ambiguous, and training rows (by hash) that the medians are taken of.
+#: Share of its language's median gap under which a prediction is flagged as ambiguous.
 AMBIGUOUS_SHARE = 0.5
-CALIBRATE_ROWS = 2_000
 #: How far under its language's median evidence a text stays: so many nats an n-gram at least, or so many times median - lower quartile.
 LEAST_GAP, SPREADS = 2.5, 12.0
 #: n-grams that count as much as a text's own when its evidence is shrunk to the median.
@@ -295,7 +293,8 @@ def held_out(id_col: str = "doc_id"):
 
 
 def calibrated(model: Model, docs: DataFrame) -> Model:
-    """The model with the median gap of each language's training rows; one row a language reaches the driver."""
+    """The model with the median gap of each language's training rows, all that are rightly decoded, copies once;
+    one row a language reaches the driver."""
     if len(model.langs) < 2:
         return model
     bounded_batches(docs.sparkSession)
@@ -303,22 +302,20 @@ def calibrated(model: Model, docs: DataFrame) -> Model:
 
     @F.pandas_udf("lang string, gap double")
     def measure(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.gap(t) for t in text], columns=["lang", "gap"])
+        found = [shared.value.gap(t) for t in text]
+        # five digits: the medians are exact and count few distinct values
+        return pd.DataFrame([(lang, float(f"{gap:.4e}")) for lang, gap in found], columns=["lang", "gap"])
 
     usable = docs.where("lang <> '' and text is not null").select("lang", "text")
-    hashed = usable.withColumn("h", F.xxhash64("text", "lang"))
-    # the bound is found among the hashes alone, so no text is sorted; copies count once
-    cut = hashed.select("h").orderBy("h").limit(CALIBRATE_ROWS).agg(F.max("h")).first()[0]
-    if cut is None:
-        return model
-    sample = stored(hashed.where(F.col("h") <= cut).groupBy("h").agg(F.min("lang").alias("lang"), F.min("text").alias("text")))
-    found = sample.select("lang", once(measure)("text").alias("m")).where(F.col("lang") == F.col("m.lang"))
-    rows = found.groupBy("lang").agg(F.percentile("m.gap", F.lit(0.5)).alias("gap")).collect()
+    told = usable.select("lang", F.xxhash64("text", "lang").alias("h"), once(measure)("text").alias("m")).where(F.col("lang") == F.col("m.lang"))
+    single = told.groupBy("h").agg(F.min("lang").alias("lang"), F.min("m.gap").alias("gap"))  # hashes and numbers are exchanged, no text
+    rows = single.groupBy("lang").agg(F.percentile("gap", F.lit(0.5)).alias("gap")).collect()
     return replace(model, typical={r["lang"]: r["gap"] for r in rows})
 
 
 def train(docs: DataFrame) -> Model:
-    """The counts are stored: they are summed up by language and by bucket, the texts are read once for them."""
+    """The counts are stored: they are summed up by language and by bucket; the texts are read once for them and
+    once for the medians."""
     learned = docs.where(~held_out())
     return calibrated(fit(stored(gram_counts(learned))), learned)
 

@@ -641,6 +641,22 @@ def test_language_id_held_out(spark):
     assert sum(half.predict(t)[0] == lang for _, t, lang, _ in rows) > 380
 
 
+def test_median_gaps_are_of_all_training_rows(spark):
+    """More rows than any sample would hold, copies count once; rows held out or wrongly decoded do not count."""
+    rnd = random.Random(12)
+    parts = {"aa": ["ka", "to", "mi", "ra"], "bb": ["ka", "to", "gro", "dem"]}
+    rows = [(i, " ".join("".join(rnd.choices(parts[lang], k=2)) for _ in range(rnd.randint(1, 9))), lang, "s") for i, lang in enumerate(sorted(parts) * 2000)]
+    rows += [(10_000 + i, *rows[i % 20][1:]) for i in range(600)]
+    model = langid.train(docs_frame(spark, rows))
+    gaps = {lang: [] for lang in parts}
+    for text, lang in {(text, lang) for i, text, lang, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}:
+        told, gap = model.gap(text)
+        if told == lang:
+            gaps[lang].append(gap)
+    assert sum(map(len, gaps.values())) > 2500
+    assert model.typical == {lang: pytest.approx(float(np.median(g)), rel=2e-5) for lang, g in gaps.items()}
+
+
 def test_language_odd_rows(spark, odd, none):
     got = langid.predict(odd.select("doc_id", "text"), langid.train(odd)).collect()
     assert len(got) == len(odd_rows())
