@@ -17,8 +17,13 @@ stripes and dropped by their count.  Phrases of three and more words are only co
 shorter ones in them are heavy.  The heavy buckets are bitmaps of a fixed size, sent compressed, so
 what goes to the tasks is bounded, and the counts are exact at every size.
 
+On a large corpus most phrases are frequent, so there are nearly as many entries as places.  Entries
+are therefore kept in matrices of word numbers, added up by sorting; the words themselves are kept
+once a table.  Hashes only order entries: what is added up is equal word by word.
+
 Stripes travel in parcels, one per task and part of the prefixes (by hash; the empty prefix's stripe is
-cut by the next word's), sorted and compressed; there are as many parts as the heavy buckets ask for.
+cut by the next word's), compressed, with the words that they hold; there are as many parts as the heavy
+buckets ask for.
 
 An extension by several words that subsumes a phrase has an extension by one word in it that
 does so too (it occurs at least as often), so one word to each side is enough.
@@ -37,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,13 +63,18 @@ BITMAP_BITS = 1 << 27
 PIECE_BITS = 16
 #: Entries of merged stripes held back for one Arrow batch.
 OUT_ENTRIES = 100_000
+#: Entries of a part's parcels that are added up at once, at least.
+MERGED = 1_000_000
 REST = ""
+#: In entries of stripes: no word in this place of the prefix; the empty word.
+NONE, NO_WORD = -1, -2
 
 _SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 _CUT = re.compile("[.,;:!?\x0a-\x0d]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+PARCEL = pa.schema([("langs", pa.list_(pa.string())), ("words", pa.list_(pa.large_binary())), ("at", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
 BUCKETS_DDL = "level int, piece int, at binary, n binary"
 STRIPE_DDL = "lang string, prefix string, part int, words array<string>, counts array<bigint>"
 
@@ -96,11 +107,15 @@ def has_bits(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
 def encode(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     """(distinct words, ids of the running words with -1 between pieces)."""
     joined = "\n".join(texts).encode("utf-8").lower().translate(_SEPARATORS)
-    words = joined.replace(b"\n", b" \n ").split(b" ")
-    known: dict[bytes, int] = {w: i for i, w in enumerate(set(words) - {b"", b"\n"})}
-    known_all = {**known, b"\n": -1, b"": -2}
-    ids = np.fromiter(map(known_all.__getitem__, words), np.int64, len(words))
-    return list(known), ids[ids != -2]
+    running = pc.split_pattern(pa.array([joined.replace(b"\n", b" \n ")], pa.large_binary()), " ").flatten().dictionary_encode()
+    words, ids = running.dictionary.to_pylist(), running.indices.to_numpy()
+    number, known = np.empty(len(words), np.int64), []
+    for i, w in enumerate(words):
+        number[i] = -1 if w == b"\n" else -2 if w == b"" else len(known)
+        if number[i] >= 0:
+            known.append(w)
+    ids = number[ids]
+    return known, ids[ids != -2]
 
 
 def slices(text: str, most: int) -> Iterator[str]:
@@ -238,68 +253,195 @@ def chunks_of(batches: Iterator[pa.RecordBatch], chunk_chars: int) -> Iterator[t
     yield from ((x, Chunk(x, texts)) for x, texts in waiting.items())
 
 
-def stripe_table(lang: str, chunk: Chunk, bitmaps: dict[int, np.ndarray], most: int, table: dict[tuple[str, str], dict[str, int]]) -> int:
-    """Add the stripes of a chunk to `table`; how many entries that were new."""
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a place of each distinct key, which of them each place has, how often each occurs); keys are not negative."""
+    bits = len(keys).bit_length()
+    if int(keys.max(initial=0)) >> (63 - bits) == 0:  # key and place fit one word, and plain sorts are the fastest
+        order = np.sort((keys << bits) | np.arange(len(keys)))
+        held, order = order >> bits, order & ((1 << bits) - 1)
+    else:
+        order = np.argsort(keys)
+        held = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = held[1:] != held[:-1]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return order[first], which, np.diff(first, append=len(keys))
+
+
+def runs(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order in which equal columns of a matrix stand together, where each run of them begins).
+
+    They are ordered by hash; should two that differ have the same hash, by what they hold."""
+    h = np.zeros(columns.shape[1], np.uint64)
+    for row in columns:
+        h = extend_hash(h, row.astype(np.uint64))
+    order = np.argsort(h)
+
+    def differ() -> np.ndarray:
+        out = np.zeros(max(0, len(order) - 1), bool)
+        for row in columns:
+            out |= np.diff(row[order]) != 0
+        return out
+
+    new = differ()
+    if (new & (np.diff(h[order]) == 0)).any():
+        order = np.lexsort(columns)
+        new = differ()
+    return order, np.flatnonzero(np.concatenate((np.ones(min(1, len(order)), bool), new)))
+
+
+def summed(entries: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each distinct entry once, with the sum of its counts."""
+    order, first = runs(entries)
+    return entries[:, order[first]], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def stripe_entries(chunk: Chunk, bitmaps: dict[int, np.ndarray], most: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, the entries of a chunk's stripes by the words' numbers, each once, their counts).
+
+    An entry is a column of a matrix: the language (0 here), the words of the prefix (NONE where it
+    has no more), the next word (NO_WORD for the empty one)."""
     heavy = chunk.heavy(bitmaps)
-    words = [w.decode() for w in chunk.words]
-    m = len(words) + 1
-    new = 0
-
-    def add(prefix: str, nexts: list[str], counts: list[int]) -> None:
-        nonlocal new
-        stripe = table.setdefault((lang, prefix), {})
-        before = len(stripe)
-        for w, c in zip(nexts, counts):
-            stripe[w] = stripe.get(w, 0) + c
-        new += len(stripe) - before
-
-    names = [*words, REST]
+    m = len(chunk.words) + 1
+    starts = np.flatnonzero(chunk.ids >= 0)
+    number = np.zeros(len(starts), np.int64)  # of the prefix that begins at each start
+    found, times = [np.zeros((MOST_WORDS + 1, 0), np.int32)], [np.zeros(0, np.int64)]
     for j in range(1, most + 1):
-        starts = np.nonzero(heavy[j - 1])[0] if j > 1 else np.nonzero(chunk.ids >= 0)[0]
         if not len(starts):
             break
-        last = np.where(heavy[j][starts], chunk.padded[starts + j - 1], len(words))
-        number = np.zeros(len(starts), np.int64)
-        for t in range(j - 1):  # exact numbers of the distinct prefixes, word by word
-            _, number = np.unique(number * m + chunk.padded[starts + t], return_inverse=True)
-        pairs, where, counts = np.unique(number * m + last, return_index=True, return_counts=True)
-        nexts, numbers = pairs % m, pairs // m
-        edges = np.append(np.nonzero(np.concatenate(([True], numbers[1:] != numbers[:-1])))[0], len(pairs))
-        nexts, counts, heads = [names[i] for i in nexts.tolist()], counts.tolist(), starts[where[edges[:-1]]]
-        prefixes = [" ".join([words[i] for i in p]) for p in np.stack([chunk.padded[heads + t] for t in range(j - 1)], axis=1).tolist()] if j > 1 else [""]
-        edges = edges.tolist()
-        for prefix, lo, hi in zip(prefixes, edges, edges[1:]):
-            add(prefix, nexts[lo:hi], counts[lo:hi])
-    return new
-
-
-def part_of(lang: str, prefix: str, word: str, parts: int) -> int:
-    """The part of a stripe; the empty prefix's is cut by the next word."""
-    return xxhash.xxh64_intdigest(f"{lang}\n{prefix or word}") % parts
-
-
-def parcels(table: dict[tuple[str, str], dict[str, int]], parts: int) -> Iterator[pa.RecordBatch]:
-    """The stripes as (part, compressed stripes), sorted by prefix."""
-    dealt: dict[int, list[tuple]] = {}
-    for (lang, prefix), stripe in sorted(table.items()):
-        if prefix:
-            part = part_of(lang, prefix, REST, parts)
-            dealt.setdefault(part, []).append((lang, prefix, part, list(stripe), list(stripe.values())))
-        else:
-            cut: dict[int, dict[str, int]] = {}
-            for w, c in stripe.items():
-                cut.setdefault(part_of(lang, prefix, w, parts), {})[w] = c
-            for part, some in cut.items():
-                dealt.setdefault(part, []).append((lang, prefix, part, list(some), list(some.values())))
-    for part, rows in dealt.items():
+        longer = heavy[j][starts]
+        last = np.where(longer, chunk.padded[starts + j - 1], m - 1)
+        at, which, counts = grouped(number * m + last)
+        out = np.full((MOST_WORDS + 1, len(at)), NONE, np.int32)
+        out[0] = 0
+        for t in range(j - 1):
+            out[t + 1] = chunk.padded[starts[at] + t]
+        out[-1] = np.where(longer[at], last[at], NO_WORD)
+        found.append(out)
+        times.append(counts)
+        starts, number = starts[longer], which[longer]
+    entries = np.concatenate(found, axis=1)
+    used = np.zeros(len(chunk.words) + 2, bool)
+    used[entries[1:]] = True
+    used = np.flatnonzero(used[:-2])
+    words = pa.array([chunk.words[i] for i in used.tolist()], pa.large_binary())
+    number = by_number(len(chunk.words))
+    number[used] = np.arange(len(used))
+    entries[1:] = number[entries[1:]]
+    return words, entries, np.concatenate(times)
+
+
+def by_number(words: np.ndarray | int) -> np.ndarray:
+    """New numbers of words by their old ones; NO_WORD and NONE, which count from the end, stay as they are."""
+    given = np.full(words, NONE) if isinstance(words, int) else words
+    return np.concatenate((given, [NO_WORD, NONE])).astype(np.int32)
+
+
+class Table:
+    """Entries of stripes added up, with the languages and words that they hold by number."""
+
+    def __init__(self) -> None:
+        self.langs, self.words = pa.array([], pa.string()), pa.array([], pa.large_binary())
+        self.entries, self.counts = np.zeros((MOST_WORDS + 1, 0), np.int32), np.zeros(0, np.int64)
+        self.waiting: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, langs: pa.Array, words: pa.Array, entries: np.ndarray, counts: np.ndarray) -> None:
+        """Entries, each once, whose languages and words are numbered by the arrays given."""
+        self.waiting.append((langs, words, entries, counts))
+        self.size += len(counts)
+
+    def add_up(self) -> None:
+        if not self.waiting:
+            return
+        alone = len(self.waiting) == 1 and not len(self.counts)
+        waiting, self.waiting = [(self.langs, self.words, self.entries, self.counts), *self.waiting], []
+        langs, words = (pa.concat_arrays([x[i] for x in waiting]).dictionary_encode() for i in (0, 1))
+        self.langs, self.words = langs.dictionary, words.dictionary
+        lang, word = langs.indices.to_numpy(), words.indices.to_numpy()
+        numbered = []
+        for own_langs, own_words, entries, _ in waiting:
+            numbered.append(np.concatenate((lang[: len(own_langs)][entries[:1]], by_number(word[: len(own_words)])[entries[1:]])))
+            lang, word = lang[len(own_langs) :], word[len(own_words) :]
+        self.entries, self.counts = np.concatenate(numbered, axis=1), np.concatenate([x[3] for x in waiting])
+        if not alone:
+            self.entries, self.counts = summed(self.entries, self.counts)
+        self.size = len(self.counts)
+
+
+def part_of(table: Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the part of each entry's stripe, a hash of its prefix); the empty prefix's stripe is cut by the next word."""
+    entries, words = table.entries, np.zeros(len(table.words) + 2, np.uint64)
+    words[: len(table.words)] = np.fromiter(map(word_hash, table.words.to_pylist()), np.uint64, len(table.words))
+    h = np.array([lang_hash(x) for x in table.langs.to_pylist()], np.uint64)[entries[0]]
+    for row in entries[1:-1]:
+        h = np.where(row >= 0, extend_hash(h, words[row]), h)
+    h = np.where(entries[1] < 0, extend_hash(h, words[entries[-1]]), h)
+    return ((h >> np.uint64(33)) % np.uint64(parts)).astype(np.int32), h
+
+
+def parcels(table: Table, parts: int) -> Iterator[pa.RecordBatch]:
+    """The stripes as (part, compressed entries with the words they hold), prefix by prefix."""
+    table.add_up()
+    part, h = part_of(table, parts)
+    order = np.argsort((part.astype(np.uint64) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF)))
+    entries, counts, part = table.entries[:, order], table.counts[order], part[order]
+    table.entries, table.counts = entries, counts  # not held twice
+    del order, h
+    used, number = np.zeros(len(table.words) + 2, bool), by_number(len(table.words))
+    edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(part)), bool), np.diff(part) != 0)))
+    for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(part)]):
+        some = entries[:, lo:hi]
+        lang, lang_at = np.unique(some[0], return_inverse=True)
+        used[some[1:]] = True
+        word = np.flatnonzero(used[:-2])
+        used[word] = False
+        number[word] = np.arange(len(word))
+        at = np.concatenate((lang_at.reshape(1, -1).astype(np.int32), number[some[1:]])).ravel()
+        held = (table.langs.take(pa.array(lang)), table.words.take(pa.array(word)), pa.array(at), pa.array(counts[lo:hi]))
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, STRIPE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(_stripe_batch(rows))
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "stripes": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
-
-
-def _stripe_batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRIPE)], schema=STRIPE)
+        with pa.ipc.new_stream(sink, PARCEL, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in held], schema=PARCEL))
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part[lo]], pa.int32()), "stripes": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+
+def merged_part(part: int, table: Table, least: int) -> Iterator[pa.RecordBatch]:
+    """The stripes of a part, once all its parcels are in the table."""
+    table.add_up()
+    order, first = runs(table.entries[:-1])
+    if not len(order):
+        return
+    entries, counts = table.entries[:, order], table.counts[order]
+    kept = (counts >= least) & (entries[-1] >= 0)
+    rest = np.add.reduceat(np.where(kept, 0, counts), first)
+    many = np.add.reduceat(kept, first, dtype=np.int64)
+    stay = (many > 0) | (entries[1, first] < 0)
+    ends = np.cumsum(many[stay] + 1)
+    if not len(ends):
+        return
+    word, count = np.full(ends[-1], len(table.words), np.int64), np.empty(ends[-1], np.int64)
+    listed = np.ones(ends[-1], bool)
+    listed[ends - 1] = False  # the empty word comes last
+    word[listed], count[listed] = entries[-1, kept], counts[kept]
+    count[ends - 1] = rest[stay]
+    names, (empty, space) = table.words.cast(pa.large_string()), pa.array(["", " "], pa.large_string())
+    more = pa.concat_arrays([pc.binary_join_element_wise(empty, names, space), pa.array([""], pa.large_string())])
+    names = pa.concat_arrays([names, pa.array([REST], pa.large_string())])
+    prefix = entries[:-1, first[stay]]
+    places = [(more if t else names).take(pa.array(np.where(row < 0, len(table.words), row))) for t, row in enumerate(prefix[1:])]
+    offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+    out = pa.RecordBatch.from_arrays([
+        table.langs.take(pa.array(prefix[0])), pc.binary_join_element_wise(*places, empty).cast(pa.string()), pa.array(np.full(len(ends), part, np.int32)),
+        pa.ListArray.from_arrays(offsets, names.take(pa.array(word)).cast(pa.string())), pa.ListArray.from_arrays(offsets, pa.array(count)),
+    ], schema=STRIPE)
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        until = max(at + 1, int(np.searchsorted(ends, before + OUT_ENTRIES, "right")))
+        yield out.slice(at, until - at)
+        at = until
 
 
 def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -307,33 +449,17 @@ def merge_stripes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
 
     Entries below `least` go into the empty word's, so the sum of a stripe stays its prefix's count;
     stripes that are left with no other are of no use and go (the empty prefix's stay)."""
-    part, acc = None, {}
-
-    def close() -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        held = 0
-        for (lang, prefix), stripe in acc.items():
-            kept = {w: c for w, c in stripe.items() if c >= least and w != REST}
-            if kept or not prefix:
-                out.append((lang, prefix, part, [*kept, REST], [*kept.values(), sum(stripe.values()) - sum(kept.values())]))
-                held += len(kept) + 1
-                if held > OUT_ENTRIES:
-                    yield _stripe_batch(out)
-                    out, held = [], 0
-        if out:
-            yield _stripe_batch(out)
-
+    part, table = None, Table()
     for b in batches:
         for here, parcel in zip(b.column(0).to_pylist(), b.column(1)):
             if here != part:
-                yield from close()
-                part, acc = here, {}
-            stripes_in = pa.ipc.open_stream(parcel.as_buffer()).read_all().combine_chunks()
-            for lang, prefix, words, counts in zip(*(stripes_in.column(i).to_pylist() for i in (0, 1, 3, 4))):
-                stripe = acc.setdefault((lang, prefix), {})
-                for w, c in zip(words, counts):
-                    stripe[w] = stripe.get(w, 0) + c
-    yield from close()
+                yield from merged_part(part, table, least)
+                part, table = here, Table()
+            langs, words, at, counts = (c[0].values for c in pa.ipc.open_stream(parcel.as_buffer()).read_all().combine_chunks().columns)
+            table.add(langs, words, at.to_numpy().reshape(MOST_WORDS + 1, -1), counts.to_numpy())
+            if table.size >= max(MERGED, 2 * len(table.counts)):
+                table.add_up()
+    yield from merged_part(part, table, least)
 
 
 #: Pieces of bitmaps as (piece, compressed bits), per number of words.
@@ -378,13 +504,14 @@ def stripes(docs: DataFrame, heavy: Packed, least: int, most_words: int, bits: i
     parts = max(LEAST_PARTS, int(buckets) // PART_BUCKETS)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table: dict[tuple[str, str], dict[str, int]] = {}
-        held = 0
+        table = Table()
         for lang, chunk in chunks_of(batches, chunk_chars):
-            held += stripe_table(lang, chunk, unpacked(shared.value, bits), most_words, table)
-            if held >= most_entries:
+            table.add(pa.array([lang], pa.string()), *stripe_entries(chunk, unpacked(shared.value, bits), most_words))
+            if table.size >= most_entries:
+                table.add_up()
+            if table.size >= most_entries:
                 yield from parcels(table, parts)
-                table, held = {}, 0
+                table = Table()
         yield from parcels(table, parts)
 
     made = docs.select("lang", "text").mapInArrow(make, "part int, stripes binary")
